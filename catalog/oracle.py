@@ -319,9 +319,9 @@ def sql(main: str, *ctes: str) -> str:
     return f"WITH {head}\n{main}" if head else main
 
 
-# Values are compared after rounding; the shift keeps exact halves away from the rounding edge.
+# Values are compared after rounding; the shift, no short decimal itself, keeps exact halves off the rounding edge.
 def shift(digits: int) -> str:
-    return f"{1.7 * 10 ** -(digits + 2):.{digits + 3}f}E0"
+    return f"1.7320508E-{digits + 2}"
 
 
 def rounded(main: str, keep: list[str], *ctes: str, digits: int = 4) -> str:

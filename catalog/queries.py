@@ -128,7 +128,7 @@ _APP_FEATURES = [c for c in APP_CLEAN if c not in rows.NOT_FEATURES]
     "feature_report",
     o.sql(
         f"SELECT t.train_rows, s.test_rows, CAST({len(_APP_FEATURES)} - m.n AS INT) AS feature_count, "
-        "m.dropped AS dropped_high_missing, round(t.target_mean + 1.7E-8, 6) AS target_mean FROM "
+        f"m.dropped AS dropped_high_missing, round(t.target_mean + {o.shift(6)}, 6) AS target_mean FROM "
         "(SELECT count(*) AS train_rows, avg(TARGET) AS target_mean FROM app_clean WHERE split = 'train') t, "
         "(SELECT count(*) AS test_rows FROM app_clean WHERE split = 'test') s, "
         "(SELECT count(*) AS n, coalesce(string_agg(column_name, ',' ORDER BY column_name), '') AS dropped FROM ("
@@ -144,7 +144,7 @@ def _(s, d):
     test = features.application_clean(test_of(raw), fitted)
     train, test, dropped = columns.drop_high_missing(train, test)
     report = columns.feature_report(train, test, dropped)
-    return report.withColumn("target_mean", F.round(F.col("target_mean") + 1.7e-8, 6))
+    return report.withColumn("target_mean", F.round(F.col("target_mean") + float(o.shift(6)), 6))
 
 
 # ---- projections, cleaning, predicates ------------------------------------
@@ -324,7 +324,7 @@ _APP_RAW = (
 @query(
     "drop_high_missing",
     o.sql(
-        "SELECT p.column_name, round(p.missing_share + 1.7E-8, 6) AS missing_share, "
+        f"SELECT p.column_name, round(p.missing_share + {o.shift(6)}, 6) AS missing_share, "
         "CASE WHEN p.missing_share > 0.8 THEN 1 ELSE 0 END AS dropped FROM ("
         + _missing_sql(_APP_RAW, "app_fixed", "split = 'train'")
         + ") p",
@@ -338,7 +338,7 @@ def _(s, d):
     profile = columns.missing_profile(train_of(raw), _APP_RAW)
     return profile.select(
         "column_name",
-        F.round(F.col("missing_share") + 1.7e-8, 6).alias("missing_share"),
+        F.round(F.col("missing_share") + float(o.shift(6)), 6).alias("missing_share"),
         F.col("column_name").isin(dropped).cast("int").alias("dropped"),
     )
 
@@ -623,7 +623,7 @@ def _(s, d):
 
 @query("agg_first_last", o.rounded("SELECT SK_ID_CURR, first_ask, last_ask FROM prev_first_last", ["SK_ID_CURR"], "prev_first_last"))
 def _(s, d):
-    order = ["DAYS_DECISION", "SK_ID_PREV"]
+    order = F.struct("DAYS_DECISION", "SK_ID_PREV")
     out = (
         fx.fixture(s, d, "fx_previous")
         .where("SK_ID_CURR IS NOT NULL")

@@ -126,12 +126,12 @@ def nulls_last(c: Column | str, filler=0) -> list[Column]:
     return [c.isNull(), F.coalesce(c, F.lit(filler))]
 
 
-def last_present(c: Column | str, order: list[Column | str]) -> Column:
+def last_present(c: Column | str, order: Column) -> Column:
     """Last non-missing value of a column in the given order (``max_by`` skips a missing order)."""
     c = col(c)
-    return F.max_by(c, F.when(c.isNotNull(), F.struct(*[col(o) for o in order])))
+    return F.max_by(c, F.when(c.isNotNull(), order))
 
 
-def first_present(c: Column | str, order: list[Column | str]) -> Column:
+def first_present(c: Column | str, order: Column) -> Column:
     c = col(c)
-    return F.min_by(c, F.when(c.isNotNull(), F.struct(*[col(o) for o in order])))
+    return F.min_by(c, F.when(c.isNotNull(), order))

@@ -17,9 +17,12 @@ def _as_rows(wide: DataFrame, columns: list[str], value: str) -> DataFrame:
 
 
 def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows (column_name, missing_share), from one aggregation over all columns."""
+    """Rows (column_name, missing_share), from one pass that only counts present values."""
     columns = columns or df.columns
-    return _as_rows(df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns]), columns, "missing_share")
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns])
+    return counts.unpivot(["_rows"], columns, "column_name", "present").select(
+        "column_name", F.try_divide(F.col("_rows") - F.col("present"), F.col("_rows")).alias("missing_share")
+    )
 
 
 def text_columns(df: DataFrame) -> list[str]:
