@@ -90,16 +90,15 @@ def _(s, d):
     "class_balance",
     o.rounded(
         "SELECT TARGET AS label, count(*) AS row_count, count(*) * 1.0E0 / sum(count(*)) OVER () AS share, "
-        "(SELECT count(*) FROM fx_application WHERE TARGET = 0 AND split = 'train') * 1.0E0 / "
-        "(SELECT count(*) FROM fx_application WHERE TARGET = 1 AND split = 'train') AS imbalance "
-        "FROM fx_application WHERE split = 'train' GROUP BY TARGET",
+        "(SELECT count(*) FROM fx_application WHERE TARGET = 0) * 1.0E0 / "
+        "(SELECT count(*) FROM fx_application WHERE TARGET = 1) AS imbalance FROM fx_application GROUP BY TARGET",
         ["label", "row_count"],
         "fx_application",
         digits=6,
     ),
 )
 def _(s, d):
-    return rounded(columns.class_balance(train_of(app(s, d))), ["label", "row_count"], 6)
+    return rounded(columns.class_balance(app(s, d)), ["label", "row_count"], 6)
 
 
 APP_TEXT = ["ORGANIZATION_TYPE"]
@@ -506,17 +505,18 @@ query("agg_subset", o.rounded(_SUBSET_SQL.replace("loan_count, ", "").replace(",
 )
 
 
-_ENCODING_SQL = """
+def _encoding_sql(where: str) -> str:
+    return f"""
 SELECT ORGANIZATION_TYPE AS category, (sum(TARGET) + g.m * 10) / (count(*) + 10) AS encoded, any_value(g.m) AS m
-FROM app_clean, (SELECT avg(TARGET) AS m FROM app_clean WHERE split = 'train') g
-WHERE split = 'train' GROUP BY ORGANIZATION_TYPE, g.m"""
+FROM app_clean, (SELECT avg(TARGET) AS m FROM app_clean WHERE {where}) g
+WHERE {where} GROUP BY ORGANIZATION_TYPE, g.m"""
 
 
 @query(
     "join_encoding",
     o.rounded(
-        f"SELECT a.SK_ID_CURR, coalesce(e.encoded, (SELECT avg(TARGET) FROM app_clean WHERE split = 'train')) AS ORGANIZATION_TYPE "
-        f"FROM app_clean a LEFT JOIN ({_ENCODING_SQL}) e ON a.ORGANIZATION_TYPE = e.category",
+        f"SELECT a.SK_ID_CURR, coalesce(e.encoded, (SELECT avg(TARGET) FROM app_clean)) AS ORGANIZATION_TYPE "
+        f"FROM app_clean a LEFT JOIN ({_encoding_sql('TRUE')}) e ON a.ORGANIZATION_TYPE = e.category",
         ["SK_ID_CURR"],
         "app_clean",
         digits=6,
@@ -524,7 +524,7 @@ WHERE split = 'train' GROUP BY ORGANIZATION_TYPE, g.m"""
 )
 def _(s, d):
     df = columns.fill_category(app(s, d), ["ORGANIZATION_TYPE"])
-    fitted = target.target_encode_full(train_of(df), ["ORGANIZATION_TYPE"], "TARGET")
+    fitted = target.target_encode_full(df, ["ORGANIZATION_TYPE"], "TARGET")
     joined = target.join_encoding(df, fitted.table, fitted.columns, F.lit(fitted.global_mean))
     return rounded(joined.select("SK_ID_CURR", "ORGANIZATION_TYPE"), ["SK_ID_CURR"], 6)
 
@@ -777,14 +777,14 @@ def build_features(s: SparkSession, d: str) -> DataFrame:
         "SELECT column_name, n_unique, CASE WHEN n_unique = 2 THEN 'label' WHEN column_name IN ('ORGANIZATION_TYPE', "
         "'OCCUPATION_TYPE') THEN 'keep' WHEN n_unique <= 10 THEN 'one_hot' ELSE 'drop' END AS action FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM app_fixed WHERE split = 'train'" for c in _TEXTS
+            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM app_fixed" for c in _TEXTS
         )
         + ")",
         "app_fixed",
     ),
 )
 def _(s, d):
-    return encode.fit_encoding(application.fix_anomalies(train_of(app(s, d)))).table(s)
+    return encode.fit_encoding(application.fix_anomalies(app(s, d).drop("split"))).table(s)
 
 
 @query("label_encode", o.sql("SELECT SK_ID_CURR, CODE_GENDER, FLAG_OWN_CAR FROM app_clean", "app_clean"))
@@ -805,14 +805,14 @@ def _(s, d):
 @query(
     "target_encode_full",
     o.rounded(
-        "SELECT category, encoded, m AS global_mean FROM (" + _ENCODING_SQL + ")", ["category"], "app_clean", digits=6
+        "SELECT category, encoded, m AS global_mean FROM (" + _encoding_sql("TRUE") + ")", ["category"], "app_clean", digits=6
     ),
 )
 def _(s, d):
-    df = columns.fill_category(train_of(app(s, d)), ["ORGANIZATION_TYPE"])
+    df = columns.fill_category(app(s, d), ["ORGANIZATION_TYPE"])
     fitted = target.target_encode_full(df, ["ORGANIZATION_TYPE"], "TARGET")
     return rounded(
-        fitted.table.select("category", "encoded", F.lit(fitted.global_mean).alias("global_mean")), ["category"], 6
+        fitted.table.table.select("category", "encoded", F.lit(fitted.global_mean).alias("global_mean")), ["category"], 6
     )
 
 
@@ -1090,6 +1090,7 @@ def _(s, d):
     )
 
 
+_IN_TRAIN = "split = 'train'"
 _SERVED = [c for c in APP_CLEAN if c not in ("SK_ID_CURR", "TARGET")] + ["buro_loan_count"]
 
 
@@ -1098,8 +1099,7 @@ _SERVED = [c for c in APP_CLEAN if c not in ("SK_ID_CURR", "TARGET")] + ["buro_l
     o.rounded(
         "SELECT a.SK_ID_CURR, a.* EXCLUDE (SK_ID_CURR, TARGET, split, ORGANIZATION_TYPE), coalesce(e.encoded, "
         "(SELECT avg(TARGET) FROM app_clean WHERE split = 'train')) AS ORGANIZATION_TYPE, NULL AS buro_loan_count "
-        f"FROM app_clean a LEFT JOIN ({_ENCODING_SQL}) e "
-        "ON a.ORGANIZATION_TYPE = e.category WHERE a.split = 'test'",
+        f"FROM app_clean a LEFT JOIN ({_encoding_sql(_IN_TRAIN)}) e ON a.ORGANIZATION_TYPE = e.category",
         ["SK_ID_CURR"],
         "app_clean",
     ),
@@ -1109,7 +1109,7 @@ def _(s, d):
     fitted = encode.fit_encoding(application.app_features(application.fix_anomalies(train_of(raw))))
     train = features.application_clean(train_of(raw), fitted)
     encoder = target.target_encode_full(train, ["ORGANIZATION_TYPE"], "TARGET")
-    return rounded(quality.serving_encode(test_of(raw), fitted, _SERVED, encoder, ["SK_ID_CURR"]), ["SK_ID_CURR"])
+    return rounded(quality.serving_encode(raw.drop("split", "TARGET"), fitted, _SERVED, encoder, ["SK_ID_CURR"]), ["SK_ID_CURR"])
 
 
 # ---- drift ----------------------------------------------------------------

@@ -38,16 +38,21 @@ def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
     return Lookup(stored, stored.count() <= max_rows)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> dict:
-    """Keys that hold at least ``share`` of the table and more than ``rows`` rows, with their counts.
+def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys, maybe with a few more, that hold at least ``share`` of the table.
 
-    The frequent-item sketch has no false negatives and keeps at most ``1/share`` candidates,
-    so the exact count that follows is over few keys.
+    The frequent-item sketch misses none and keeps at most ``1/share`` of them. A missing key
+    may be among them.
     """
-    candidates = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], share).first()[0]
-    if not candidates:
+    return list(df.select(key).stat.freqItems([key], share).first()[0] or [])
+
+
+def hot_keys(df: DataFrame, key: str, candidates: list, rows: int = HOT_ROWS) -> dict:
+    """Those candidates with more than ``rows`` rows, counted exactly."""
+    present = [c for c in candidates if c is not None]
+    if not present:
         return {}
-    counts = df.where(F.col(key).isin(candidates)).groupBy(key).count().where(F.col("count") > rows)
+    counts = df.where(F.col(key).isin(present)).groupBy(key).count().where(F.col("count") > rows)
     return {r[0]: r[1] for r in counts.collect()}
 
 
@@ -60,15 +65,24 @@ def lag_within(
     hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Previous value per key in the given total order.
+    """Previous value per key in the given total order; missing for rows without a key.
 
     Normally one window. A key beyond ``hot_rows`` is cut into pieces at split points taken from a
     bounded sample; the first row of a piece takes the last value of the piece before. The result
-    does not depend on where the splits fall.
+    does not depend on where the splits fall. Frequent rows without a key stay out of the window.
     """
-    hot = hot_keys(df, key, hot_share, hot_rows)
+    candidates = frequent_keys(df, key, hot_share)
+    if None in candidates:
+        without = df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(df.schema[value].dataType))
+        keyed = df.where(F.col(key).isNotNull())
+        return _lag(keyed, key, order, value, out, hot_keys(keyed, key, candidates, hot_rows), hot_rows).unionByName(without)
+    return _lag(df, key, order, value, out, hot_keys(df, key, candidates, hot_rows), hot_rows)
+
+
+def _lag(df: DataFrame, key: str, order: list[str], value: str, out: str, hot: dict, hot_rows: int) -> DataFrame:
     if not hot:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+        before = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
+        return df.withColumn(out, F.when(F.col(key).isNotNull(), before))
 
     position = F.struct(*order)
     pieces = {k: min(256, ceil(n / hot_rows) + 1) for k, n in hot.items()}
@@ -96,7 +110,8 @@ def lag_within(
     )
     lagged = rows.select("*", F.lag(value).over(in_piece).alias("_lag"), F.row_number().over(in_piece).alias("_rank"))
     return lagged.join(lookup(tails).side(), [key, "_piece"], "left").select(
-        *df.columns, F.when(F.col("_rank") == 1, F.col("_before")).otherwise(F.col("_lag")).alias(out)
+        *df.columns,
+        F.when(F.col("_rank") == 1, F.col("_before")).when(F.col(key).isNotNull(), F.col("_lag")).alias(out),
     )
 
 

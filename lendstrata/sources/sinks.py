@@ -34,13 +34,13 @@ def work_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = _local_folder()
+        folder = _local_folder().name
     return folder
 
 
 @cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="lendstrata-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="lendstrata-")
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lendstrata.operators import evaluate, folds, ordered
-from lendstrata.operators.ordered import hot_keys, lag_within, lookup, quantiles, running, value_counts
+from lendstrata.operators.ordered import frequent_keys, hot_keys, lag_within, lookup, quantiles, running, value_counts
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +23,10 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(skewed):
-    assert hot_keys(skewed, "k", 0.05, 100) == {1: 2000}
-    assert hot_keys(skewed, "k", 0.05, 10_000) == {}
+    candidates = frequent_keys(skewed, "k", 0.05)
+    assert 1 in candidates and len(candidates) <= 20
+    assert hot_keys(skewed, "k", candidates, 100) == {1: 2000}
+    assert hot_keys(skewed, "k", candidates, 10_000) == {}
 
 
 def test_lag_of_a_hot_key(skewed):
@@ -41,6 +43,15 @@ def test_lag_does_not_depend_on_partitions(skewed):
     assert run(skewed) == run(skewed.repartition(11, "tie"))
 
 
+def test_rows_without_a_key_have_no_previous_value(spark, skewed):
+    for share in (0.3, 0.001):
+        df = skewed.withColumn("k", F.when(F.col("tie") % 1000 >= 1000 * share, F.col("k")))
+        plain = df.withColumn("p", F.when(F.col("k").isNotNull(), F.lag("v").over(Window.partitionBy("k").orderBy("month", "tie"))))
+        for rows in (150, 10_000):
+            cut = lag_within(df, "k", ["month", "tie"], "v", "p", hot_share=0.05, hot_rows=rows)
+            assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_running_in_buckets(spark):
     rng = random.Random(5)
     rows = [(g, float(x), rng.randrange(5), rng.randrange(5)) for g in "ab" for x in rng.sample(range(10_000), 700)]
