@@ -28,7 +28,7 @@ from lendstrata.functions.nulls import (
     subset_sum,
     sum0,
 )
-from lendstrata.operators.ordered import lag_within
+from lendstrata.operators.ordered import HOT_ROWS, has_hot_key, lag_within
 
 # Fixed values of the data.
 DAY_SENTINEL = 365243
@@ -207,10 +207,18 @@ def latest_version(rows: DataFrame, ties: list[str] | None = None) -> DataFrame:
     )
 
 
-def install_loan(installments: DataFrame, ties: list[str] | None = None) -> DataFrame:
+def install_loan(installments: DataFrame, ties: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per loan, from the newest version of each installment.
+
+    Rows placed by loan serve both aggregations with one shuffle. If a loan is too large for one
+    task, each aggregation combines before its own shuffle instead.
+    """
+    rows = installments.where(F.col("SK_ID_PREV").isNotNull())
+    if not has_hot_key(rows, "SK_ID_PREV", rows=hot_rows):
+        rows = rows.repartition("SK_ID_PREV")
     recent = F.col("DAYS_INSTALMENT") >= RECENT_DAYS
     return (
-        latest_version(install_row_features(installments), ties)
+        latest_version(install_row_features(rows), ties)
         .groupBy("SK_ID_PREV")
         .agg(
             F.count("NUM_INSTALMENT_NUMBER").alias("inst_count"),

@@ -56,6 +56,10 @@ def hot_keys(df: DataFrame, key: str, candidates: list, rows: int = HOT_ROWS) ->
     return {r[0]: r[1] for r in counts.collect()}
 
 
+def has_hot_key(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> bool:
+    return bool(hot_keys(df, key, frequent_keys(df, key, share), rows))
+
+
 def lag_within(
     df: DataFrame,
     key: str,
