@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lendstrata.operators import evaluate, folds, ordered
+from lendstrata.operators import evaluate, folds, history, ordered
 from lendstrata.operators.ordered import frequent_keys, hot_keys, lag_within, lookup, quantiles, running, value_counts
 
 
@@ -64,6 +64,35 @@ def test_running_in_buckets(spark):
     assert one.agg(F.max("m_before")).first()[0] > 0
 
 
+def test_installments_of_a_hot_loan(spark):
+    rng = random.Random(13)
+    rows = [
+        (
+            1 if i % 3 == 0 else rng.randrange(2, 300),
+            rng.randrange(1, 40),
+            rng.choice([None, 0.0, 1.0, 2.0]),
+            float(rng.randrange(-800, 0)),
+            rng.choice([None, float(rng.randrange(-800, 0))]),
+            float(rng.randrange(100)),
+            rng.choice([None, float(rng.randrange(100))]),
+        )
+        for i in range(4500)
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "SK_ID_PREV int, NUM_INSTALMENT_NUMBER int, NUM_INSTALMENT_VERSION double, DAYS_INSTALMENT double, "
+        "DAYS_ENTRY_PAYMENT double, AMT_INSTALMENT double, AMT_PAYMENT double",
+    )
+    placed, combined = history.install_loan(df), history.install_loan(df.repartition(7), hot_rows=1000)
+    assert "REPARTITION_BY_COL" in placed._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in combined._jdf.queryExecution().executedPlan().toString()
+
+    def rounded(out):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in out.fillna(-1e6).collect())
+
+    assert rounded(placed) == rounded(combined)
+
+
 def _auc(rows):
     pos = [s for s, y in rows if y == 1]
     neg = [s for s, y in rows if y == 0]
