@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from lendstrata.functions import nulls as n
 from lendstrata.operators import aggregate, application, bureau, columns, drift, encode, evaluate, explain, folds
 from lendstrata.operators import history, ordered, quality, rows, target
 from lendstrata.plans import features, training
-from lendstrata.sources import readers
+from lendstrata.sources import readers, sinks
+from lendstrata.streaming import score
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1064,20 +1066,25 @@ def _(s, d):
     return out.select("SK_ID_CURR", *_DEFAULTED)
 
 
+_VIOLATIONS_SQL = (
+    "SELECT SK_ID_CURR, concat_ws(';', "
+    "CASE WHEN NAME_CONTRACT_TYPE IS NULL THEN 'NAME_CONTRACT_TYPE missing' END, "
+    "CASE WHEN AMT_CREDIT <= 0 THEN 'AMT_CREDIT > 0' END, "
+    "CASE WHEN AMT_INCOME_TOTAL <= 0 THEN 'AMT_INCOME_TOTAL > 0' END, "
+    "CASE WHEN AMT_GOODS_PRICE <= 0 THEN 'AMT_GOODS_PRICE > 0' END, "
+    "CASE WHEN CNT_CHILDREN < 0 THEN 'CNT_CHILDREN >= 0' END, "
+    "CASE WHEN CNT_FAM_MEMBERS < 1 THEN 'CNT_FAM_MEMBERS >= 1' END, "
+    "CASE WHEN DAYS_BIRTH >= 0 THEN 'DAYS_BIRTH < 0' END, "
+    "CASE WHEN NAME_INCOME_TYPE IS NULL THEN 'NAME_INCOME_TYPE missing' END, "
+    "CASE WHEN EXT_SOURCE_1 > 1 THEN 'EXT_SOURCE_1 <= 1' END, "
+    "CASE WHEN REGION_RATING_CLIENT > 3 THEN 'REGION_RATING_CLIENT <= 3' END) AS violations FROM fx_requests"
+)
+
+
 @query(
     "validate_rules",
     o.sql(
-        "SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN 1 ELSE 0 END AS valid FROM (SELECT SK_ID_CURR, concat_ws(';', "
-        "CASE WHEN NAME_CONTRACT_TYPE IS NULL THEN 'NAME_CONTRACT_TYPE missing' END, "
-        "CASE WHEN AMT_CREDIT <= 0 THEN 'AMT_CREDIT > 0' END, "
-        "CASE WHEN AMT_INCOME_TOTAL <= 0 THEN 'AMT_INCOME_TOTAL > 0' END, "
-        "CASE WHEN AMT_GOODS_PRICE <= 0 THEN 'AMT_GOODS_PRICE > 0' END, "
-        "CASE WHEN CNT_CHILDREN < 0 THEN 'CNT_CHILDREN >= 0' END, "
-        "CASE WHEN CNT_FAM_MEMBERS < 1 THEN 'CNT_FAM_MEMBERS >= 1' END, "
-        "CASE WHEN DAYS_BIRTH >= 0 THEN 'DAYS_BIRTH < 0' END, "
-        "CASE WHEN NAME_INCOME_TYPE IS NULL THEN 'NAME_INCOME_TYPE missing' END, "
-        "CASE WHEN EXT_SOURCE_1 > 1 THEN 'EXT_SOURCE_1 <= 1' END, "
-        "CASE WHEN REGION_RATING_CLIENT > 3 THEN 'REGION_RATING_CLIENT <= 3' END) AS violations FROM fx_requests)",
+        f"SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN 1 ELSE 0 END AS valid FROM ({_VIOLATIONS_SQL})",
         "fx_requests",
     ),
 )
@@ -1091,6 +1098,40 @@ def _(s, d):
 
 
 _IN_TRAIN = "split = 'train'"
+_REQUEST_RAW = (
+    f"({INTERCEPT}E0 + coalesce({WEIGHTS['EXT_SOURCE_MEAN']}E0 * (list_avg([EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3]) - {MEANS['EXT_SOURCE_MEAN']}E0), 0) "
+    f"+ coalesce({WEIGHTS['CREDIT_INCOME_RATIO']}E0 * ({o.ratio('AMT_CREDIT', 'AMT_INCOME_TOTAL')} - {MEANS['CREDIT_INCOME_RATIO']}E0), 0) "
+    f"+ coalesce({WEIGHTS['AGE_YEARS']}E0 * (-DAYS_BIRTH / 365.0E0 - {MEANS['AGE_YEARS']}E0), 0) "
+    f"+ coalesce({WEIGHTS['EMPLOYED_YEARS']}E0 * (-nullif(DAYS_EMPLOYED, 365243) / 365.0E0 - {MEANS['EMPLOYED_YEARS']}E0), 0))"
+)
+_REQUEST_P = f"(1 / (1 + exp(-{_REQUEST_RAW})))"
+
+
+@query(
+    "score_stream",
+    o.sql(
+        f"SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN round({_REQUEST_P}, 6) END AS default_probability, "
+        f"CASE WHEN violations = '' THEN {_TIER_SQL.format(_REQUEST_P)} END AS risk_tier "
+        f"FROM fx_requests JOIN ({_VIOLATIONS_SQL}) USING (SK_ID_CURR)",
+        "fx_requests",
+    ),
+)
+def _(s, d):
+    """All requests as JSON lines through the stream, then its output table."""
+    folder = f"{sinks.work_folder(s)}/requests-{uuid.uuid4().hex}"
+    fx.fixture(s, d, "fx_requests").select(F.to_json(F.struct("*")).alias("value")).write.text(f"{folder}/in")
+
+    def scorer(valid: DataFrame) -> DataFrame:
+        raw = evaluate.logistic_score(WEIGHTS, INTERCEPT, MEANS)
+        return evaluate.score_probability(application.app_features(application.fix_anomalies(valid)), raw)
+
+    lines = score.read_requests(s, f"{folder}/in")
+    score.score_stream(lines, FIELDS, scorer, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{folder}/out").select(
+        "SK_ID_CURR", F.array_join("violations", ";").alias("violations"), "default_probability", "risk_tier"
+    )
+
+
 _SERVED = [c for c in APP_CLEAN if c not in ("SK_ID_CURR", "TARGET")] + ["buro_loan_count"]
 
 

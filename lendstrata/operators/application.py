@@ -18,6 +18,7 @@ from lendstrata.functions.nulls import (
 
 # Placeholders that stand for a missing value.
 SENTINELS = {"DAYS_EMPLOYED": 365243, "CODE_GENDER": "XNA", "DAYS_LAST_PHONE_CHANGE": 0}
+DAY_COLUMNS = ["DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE"]
 EXTERNAL_SCORES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
 
 
@@ -29,6 +30,12 @@ def fix_anomalies(df: DataFrame) -> DataFrame:
     return df.withColumns(cleaned)
 
 
+def day_columns_to_years(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Add ``<name>_YEARS`` for day offsets before the application; absent columns are skipped."""
+    present = [c for c in columns or DAY_COLUMNS if c in df.columns]
+    return df.withColumns({f"{c.removeprefix('DAYS_')}_YEARS": days_to_years(c) for c in present})
+
+
 def app_features(df: DataFrame) -> DataFrame:
     """The engineered application columns, in one projection."""
     documents = [c for c in df.columns if "FLAG_DOCUMENT" in c]

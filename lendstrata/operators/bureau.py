@@ -59,40 +59,43 @@ def join_rollup(bureau: DataFrame, balance_loan: DataFrame) -> DataFrame:
     return bureau.join(balance_loan, "SK_ID_BUREAU", "left")
 
 
-def bureau_client(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
-    """One row per client, columns prefixed ``buro_``."""
-    credits = join_rollup(bureau.where(F.col("SK_ID_CURR").isNotNull()), bureau_balance_loan(bureau_balance))
+def bureau_client(bureau: DataFrame, bureau_balance: DataFrame | None) -> DataFrame:
+    """One row per client, columns prefixed ``buro_``; without monthly balances, those of the credits only."""
+    credits = bureau.where(F.col("SK_ID_CURR").isNotNull())
     active = F.col("CREDIT_ACTIVE") == "Active"
-    totals = credits.groupBy("SK_ID_CURR").agg(
-        F.count("SK_ID_BUREAU").alias("loan_count"),
-        F.count_if(active).alias("active_count"),
-        F.count_if(F.col("CREDIT_ACTIVE") == "Closed").alias("closed_count"),
-        sum0("CNT_CREDIT_PROLONG").alias("prolonged_sum"),
-        F.avg("AMT_CREDIT_SUM").alias("credit_sum_mean"),
-        F.max("AMT_CREDIT_SUM").alias("credit_sum_max"),
-        sum0("AMT_CREDIT_SUM_DEBT").alias("debt_sum"),
-        sum0("AMT_CREDIT_SUM_OVERDUE").alias("overdue_sum"),
-        F.max("AMT_CREDIT_SUM_OVERDUE").alias("overdue_max"),
-        F.max("CREDIT_DAY_OVERDUE").alias("dpd_max"),
-        any_flag(F.col("CREDIT_DAY_OVERDUE") > 0).alias("ever_overdue"),
-        F.max("DAYS_CREDIT").alias("days_credit_max"),
-        F.avg("DAYS_CREDIT").alias("days_credit_mean"),
-        F.max("bb_status_num_max").alias("worst_status"),
-        sum0("bb_dpd_count").alias("dpd_total"),
-        F.avg("bb_dpd_rate").alias("dpd_rate_mean"),
-        sum0("bb_months_count").alias("months_total"),
-        sum0("bb_recent_dpd_count").alias("recent_dpd_sum"),
-        F.max("bb_recent_worst").alias("recent_worst"),
-        F.avg(only(active, "AMT_CREDIT_SUM")).alias("active_credit_mean"),
-        subset_sum(active, "AMT_CREDIT_SUM_DEBT").alias("active_debt_sum"),
-        of_subset(active, F.max(only(active, "AMT_CREDIT_SUM_OVERDUE"))).alias("active_overdue_max"),
-    )
-    derived = totals.withColumns(
-        {
-            "active_ratio": ratio("active_count", "loan_count"),
-            "overdue_ratio": flag(F.col("overdue_sum") > 0),
-            "debt_ratio": ratio("debt_sum", "credit_sum_mean"),
-            "recent_vs_overall": F.col("recent_worst") - F.col("worst_status"),
+    aggregates = {
+        "loan_count": F.count("SK_ID_BUREAU"),
+        "active_count": F.count_if(active),
+        "closed_count": F.count_if(F.col("CREDIT_ACTIVE") == "Closed"),
+        "prolonged_sum": sum0("CNT_CREDIT_PROLONG"),
+        "credit_sum_mean": F.avg("AMT_CREDIT_SUM"),
+        "credit_sum_max": F.max("AMT_CREDIT_SUM"),
+        "debt_sum": sum0("AMT_CREDIT_SUM_DEBT"),
+        "overdue_sum": sum0("AMT_CREDIT_SUM_OVERDUE"),
+        "overdue_max": F.max("AMT_CREDIT_SUM_OVERDUE"),
+        "dpd_max": F.max("CREDIT_DAY_OVERDUE"),
+        "ever_overdue": any_flag(F.col("CREDIT_DAY_OVERDUE") > 0),
+        "days_credit_max": F.max("DAYS_CREDIT"),
+        "days_credit_mean": F.avg("DAYS_CREDIT"),
+        "active_credit_mean": F.avg(only(active, "AMT_CREDIT_SUM")),
+        "active_debt_sum": subset_sum(active, "AMT_CREDIT_SUM_DEBT"),
+        "active_overdue_max": of_subset(active, F.max(only(active, "AMT_CREDIT_SUM_OVERDUE"))),
+    }
+    derived = {
+        "active_ratio": ratio("active_count", "loan_count"),
+        "overdue_ratio": flag(F.col("overdue_sum") > 0),
+        "debt_ratio": ratio("debt_sum", "credit_sum_mean"),
+    }
+    if bureau_balance is not None:
+        credits = join_rollup(credits, bureau_balance_loan(bureau_balance))
+        aggregates |= {
+            "worst_status": F.max("bb_status_num_max"),
+            "dpd_total": sum0("bb_dpd_count"),
+            "dpd_rate_mean": F.avg("bb_dpd_rate"),
+            "months_total": sum0("bb_months_count"),
+            "recent_dpd_sum": sum0("bb_recent_dpd_count"),
+            "recent_worst": F.max("bb_recent_worst"),
         }
-    )
-    return add_prefix(derived, "buro_", keep=["SK_ID_CURR"])
+        derived["recent_vs_overall"] = F.col("recent_worst") - F.col("worst_status")
+    totals = credits.groupBy("SK_ID_CURR").agg(*[a.alias(c) for c, a in aggregates.items()])
+    return add_prefix(totals.withColumns(derived), "buro_", keep=["SK_ID_CURR"])

@@ -158,8 +158,8 @@ def pos_aggregates() -> dict[str, Column]:
 # ---- installments ---------------------------------------------------------
 
 
-def install_row_features(installments: DataFrame) -> DataFrame:
-    """Lateness and completeness of each payment row."""
+def install_row_features(installments: DataFrame, late_above: int = 0) -> DataFrame:
+    """Lateness and completeness of each payment row; late is more than ``late_above`` days."""
     late = F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT")
     deficit = F.col("AMT_INSTALMENT") - F.col("AMT_PAYMENT")
     return installments.select(
@@ -169,7 +169,7 @@ def install_row_features(installments: DataFrame) -> DataFrame:
         clip_low(-late, 0).alias("days_early_pos"),
         ratio("AMT_PAYMENT", "AMT_INSTALMENT").alias("payment_ratio"),
         deficit.alias("payment_deficit"),
-        flag(late > 0).alias("is_late"),
+        flag(late > late_above).alias("is_late"),
         flag(late > VERY_LATE_DAYS).alias("is_very_late"),
         flag(deficit > 0).alias("is_underpaid"),
         flag(late < 0).alias("is_early"),

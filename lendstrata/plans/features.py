@@ -30,6 +30,7 @@ class FeatureConfig:
     groups: tuple[str, ...] = GROUPS
     high_cardinality: list[str] = field(default_factory=lambda: list(HIGH_CARDINALITY_COLUMNS))
     missing_above: float = MISSING_ABOVE
+    monthly_balance: bool = True
     installment_ties: list[str] | None = None
     card_ties: list[str] | None = None
 
@@ -51,7 +52,7 @@ def client_groups(tables: dict[str, DataFrame], config: FeatureConfig) -> list[D
     """History features per client: at most two tables, bureau and earlier loans."""
     out = []
     if "bureau" in config.groups:
-        out.append(bureau_client(tables["bureau"], tables["bureau_balance"]))
+        out.append(bureau_client(tables["bureau"], tables["bureau_balance"] if config.monthly_balance else None))
     makers = {
         "pos_cash": lambda: pos_loan(tables["pos_cash"]),
         "installments": lambda: install_loan(tables["installments"], config.installment_ties),
