@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendstrata.functions.nulls import flag
 from lendstrata.functions.text import clean_column_names
 from lendstrata.operators.columns import nunique_profile, text_columns
+from lendstrata.sources.sinks import sink_json
 
 # Fixed values of the policy.
 HIGH_CARDINALITY_COLUMNS = ["ORGANIZATION_TYPE", "OCCUPATION_TYPE"]
 ONE_HOT_UP_TO = 10
 UNKNOWN = "Unknown"
+_PLAN_SCHEMA = "column_name string, n_unique bigint, action string, categories array<string>"
 
 
 def label_encode(c: str, labels: list[str]) -> Column:
@@ -64,9 +66,25 @@ class EncodingPlan:
                 dummies += one_hot(c, self.categories[c])
         return clean_column_names(df.select(*out, *dummies))
 
-    def table(self, spark) -> DataFrame:
-        rows = [(c, self.n_unique[c], a) for c, a in self.actions.items()]
-        return spark.createDataFrame(rows, "column_name string, n_unique bigint, action string")
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The decision per column as rows."""
+        return self._rows(spark).drop("categories")
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        rows = [(c, self.n_unique[c], a, self.categories.get(c)) for c, a in self.actions.items()]
+        return spark.createDataFrame(rows, _PLAN_SCHEMA)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        sink_json(self._rows(spark).coalesce(1), path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> EncodingPlan:
+        rows = spark.read.schema(_PLAN_SCHEMA).json(path).collect()
+        return EncodingPlan(
+            {r["column_name"]: r["action"] for r in rows},
+            {r["column_name"]: r["n_unique"] for r in rows},
+            {r["column_name"]: list(r["categories"]) for r in rows if r["categories"] is not None},
+        )
 
 
 def fit_encoding(

@@ -114,24 +114,28 @@ def validate_rules(df: DataFrame, fields: dict[str, Field]) -> DataFrame:
     return df.withColumn("violations", violations(fields)).withColumn("valid", F.size("violations") == 0)
 
 
-def serving_encode(
-    requests: DataFrame,
-    plan: EncodingPlan,
-    feature_list: list[str],
-    target_encoding: TargetEncoding | None = None,
-    keep: list[str] = (),
+def serving_features(
+    requests: DataFrame, plan: EncodingPlan, feature_list: list[str], keep: list[str] = ()
 ) -> DataFrame:
     """Requests as the features a model was trained on, by the encoders fitted in training.
 
-    A feature that is not derivable from the request is missing.
+    A feature that is not derivable from the request is missing. High-cardinality texts stay text.
     """
     encoded = plan.transform(app_features(fix_anomalies(requests)))
-    if target_encoding is not None:
-        encoded = target_encoding.transform(encoded)
     have = set(encoded.columns)
     return encoded.select(
-        *keep,
-        *[(F.col(c).cast("double") if c in have else F.lit(None).cast("double")).alias(c) for c in feature_list],
+        *keep, *[F.col(c) if c in have else F.lit(None).cast("double").alias(c) for c in feature_list]
     )
 
 
+def serving_encode(
+    requests: DataFrame,
+    plan: EncodingPlan,
+    feature_list: list[str],
+    target_encoding: TargetEncoding | None = None,
+    keep: list[str] = (),
+) -> DataFrame:
+    """The serving features as numbers only, high-cardinality texts by their target encoding."""
+    features = serving_features(requests, plan, feature_list, keep)
+    encoded = features if target_encoding is None else target_encoding.transform(features)
+    return encoded.select(*keep, *[F.col(c).cast("double").alias(c) for c in feature_list])

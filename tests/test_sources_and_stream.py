@@ -12,7 +12,8 @@ from catalog import fixtures as fx
 from catalog.queries import INTERCEPT, MEANS, WEIGHTS
 from lendstrata.operators import evaluate, quality
 from lendstrata.operators.application import app_features, fix_anomalies
-from lendstrata.plans import features, training
+from lendstrata.operators.encode import EncodingPlan, fit_encoding
+from lendstrata.plans import features, monitoring, scoring, training
 from lendstrata.sources import readers, sinks
 from lendstrata.sources.schemas import FILES, TABLES
 from lendstrata.streaming import score
@@ -170,6 +171,12 @@ def test_models(spark, tmp_path):
     assert {r["feature"] for r in cv.importance.collect()} == {"x", "ORGANIZATION_TYPE"}
     assert cv.test.count() == 600 and cv.test.where("prediction BETWEEN 0 AND 1").count() == 600
 
+    cv.write(f"{tmp_path}/cv")
+    metrics = spark.read.json(f"{tmp_path}/cv/cv_metrics").first()
+    assert len(metrics["cv_fold_aucs"]) == 2 and metrics["n_features"] == 2
+    assert metrics["cv_overall_auc"] == pytest.approx(cv.overall.first()["auc"])
+    assert spark.read.csv(f"{tmp_path}/cv/submission", header=True).columns == ["SK_ID_CURR", "TARGET"]
+
     model = training.fit_final(df, params)
     scored = model.score(test, "SK_ID_CURR")
     model.save(spark, f"{tmp_path}/m")
@@ -179,3 +186,35 @@ def test_models(spark, tmp_path):
     found = training.param_search(df, [params, training.TreeParams(trees=1, depth=1, min_rows=5, learning_rate=0.1)], k=2)
     aucs = [r["auc"] for r in found.collect()]
     assert aucs == sorted(aucs, reverse=True) and len(aucs) == 2
+
+
+def test_requests_are_scored_as_in_training(spark, tmp_path):
+    """A trained model with its saved encoders gives applications the score they get as requests."""
+    raw = fx.fixture(spark, SF, "fx_requests").withColumn("AMT_CREDIT", F.abs("AMT_CREDIT"))
+    fields = quality.request_fields()
+    requests = quality.apply_defaults(raw, fields, ["SK_ID_CURR"])
+    labelled = requests.withColumn("TARGET", (F.col("SK_ID_CURR") % 4 == 0).cast("int"))
+    plan = fit_encoding(app_features(fix_anomalies(labelled)))
+    train = plan.transform(app_features(fix_anomalies(labelled)))
+    model = training.fit_final(train, training.TreeParams(trees=2, depth=2, min_rows=2))
+    plan.save(spark, f"{tmp_path}/plan")
+    again = EncodingPlan.load(spark, f"{tmp_path}/plan")
+    assert again.actions == plan.actions and again.categories == plan.categories
+
+    out = scoring.score_requests(raw, fields, again, model)
+    assert out.count() == raw.count()
+    assert out.where("valid AND default_probability IS NULL OR NOT valid AND default_probability IS NOT NULL").count() == 0
+    want = {r[0]: r[1] for r in model.score(train, "SK_ID_CURR").collect()}
+    got = {r[0]: r[1] for r in out.where("valid").collect()}
+    assert got and all(want[k] == v for k, v in got.items())
+
+
+def test_monitoring(spark, tmp_path):
+    df = fx.fixture(spark, SF, "fx_events").select("value", "user_number", "event_type", "level")
+    moved = df.withColumn("value", F.col("value") * 3).withColumn("level", F.lit("high"))
+    report = monitoring.monitor(df, moved)
+    report.write(str(tmp_path))
+    found = {r["feature"]: r["drifted"] for r in spark.read.json(f"{tmp_path}/drift_features").collect()}
+    assert found == {"value": 1, "user_number": 0, "event_type": 0, "level": 1}
+    summary = spark.read.json(f"{tmp_path}/drift_metrics").first()
+    assert summary["n_drifted_features"] == 2 and summary["dataset_drift_detected"] == 0
