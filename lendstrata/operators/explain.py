@@ -17,6 +17,19 @@ TOP_N_LIMIT = 50
 GLOBAL_TOP = 20
 MIXED_ABOVE = 0.1
 UP, DOWN = "increases_risk", "decreases_risk"
+FACTOR_LINE = "  - %s: %s default risk (value: %s), SHAP impact: %s"
+SUMMARY = (
+    "Assessment summary:\n"
+    "- Default probability: %s%% (population baseline: %s%%)\n"
+    "- Risk tier: %s\n"
+    "\n"
+    "Top factors driving this assessment:\n"
+    "%s"
+)
+FALLBACK = (
+    "This application has a %s%% estimated default probability and is classified as %s risk. "
+    "Narrative explanation unavailable."
+)
 
 
 def top_factors(contributions: Column, names: Column, values: Column, n: int = TOP_N) -> Column:
@@ -81,16 +94,7 @@ def factor_lines(factors: Column) -> Column:
     def line(f: Column) -> Column:
         verb = F.when(f["direction"] == UP, F.lit("increases")).otherwise(F.lit("decreases"))
         value = F.coalesce(decimal_text(f["feature_value"], 4), F.lit("unknown"))
-        return F.concat(
-            F.lit("  - "),
-            f["feature"],
-            F.lit(": "),
-            verb,
-            F.lit(" default risk (value: "),
-            value,
-            F.lit("), SHAP impact: "),
-            decimal_text(f["contribution"], 3),
-        )
+        return F.format_string(FACTOR_LINE, f["feature"], verb, value, decimal_text(f["contribution"], 3))
 
     return F.array_join(F.transform(factors, line), "\n")
 
@@ -101,27 +105,13 @@ def percent_text(probability: Column) -> Column:
 
 def fallback_text(probability: Column, tier: Column) -> Column:
     """Fixed sentence for a scored row without a written explanation."""
-    return F.concat(
-        F.lit("This application has a "),
-        percent_text(probability),
-        F.lit("% estimated default probability and is classified as "),
-        tier,
-        F.lit(" risk. Narrative explanation unavailable."),
-    )
+    return F.when(probability.isNotNull(), F.format_string(FALLBACK, percent_text(probability), tier))
 
 
 def summary_text(probability: Column, baseline: Column, tier: Column, factors: Column) -> Column:
     """Assessment summary: probability against the baseline, tier and the factor lines."""
-    return F.concat(
-        F.lit("Assessment summary:\n- Default probability: "),
-        percent_text(probability),
-        F.lit("% (population baseline: "),
-        percent_text(baseline),
-        F.lit("%)\n- Risk tier: "),
-        tier,
-        F.lit("\n\nTop factors driving this assessment:\n"),
-        factor_lines(factors),
-    )
+    text = F.format_string(SUMMARY, percent_text(probability), percent_text(baseline), tier, factor_lines(factors))
+    return F.when(probability.isNotNull(), text)
 
 
 def render_explanation(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,20 @@ class Field:
     le: float | None = None
 
 
-# Request fields with a rule or a default, and the plain optional ones.
-_RULES: dict[str, Field] = {
+def _optional(kind: str, *names: str) -> dict[str, Field]:
+    return dict.fromkeys(names, Field(kind))
+
+
+def _building(kind: str) -> dict[str, Field]:
+    return _optional("double", *[f"{part}_{kind}" for part in _BUILDING_PARTS])
+
+
+# The request fields in order, with their rules and defaults.
+_BUILDING_PARTS = (
+    "APARTMENTS BASEMENTAREA YEARS_BEGINEXPLUATATION YEARS_BUILD COMMONAREA ELEVATORS ENTRANCES FLOORSMAX "
+    "FLOORSMIN LANDAREA LIVINGAPARTMENTS LIVINGAREA NONLIVINGAPARTMENTS NONLIVINGAREA"
+).split()
+REQUEST_FIELDS: dict[str, Field] = {
     "NAME_CONTRACT_TYPE": Field("string", required=True),
     "AMT_CREDIT": Field("double", required=True, gt=0),
     "AMT_INCOME_TOTAL": Field("double", required=True, gt=0),
@@ -39,7 +52,13 @@ _RULES: dict[str, Field] = {
     "CNT_CHILDREN": Field("int", default=0, ge=0),
     "CNT_FAM_MEMBERS": Field("double", ge=1),
     "DAYS_BIRTH": Field("int", required=True, lt=0),
+    "DAYS_EMPLOYED": Field("int"),
+    "DAYS_REGISTRATION": Field("double"),
+    "DAYS_ID_PUBLISH": Field("int"),
+    "DAYS_LAST_PHONE_CHANGE": Field("double"),
     "NAME_INCOME_TYPE": Field("string", required=True),
+    "OCCUPATION_TYPE": Field("string"),
+    "ORGANIZATION_TYPE": Field("string"),
     "NAME_EDUCATION_TYPE": Field("string", required=True),
     "NAME_FAMILY_STATUS": Field("string", required=True),
     "NAME_HOUSING_TYPE": Field("string", required=True),
@@ -47,34 +66,28 @@ _RULES: dict[str, Field] = {
     "EXT_SOURCE_2": Field("double", ge=0, le=1),
     "EXT_SOURCE_3": Field("double", ge=0, le=1),
     "REGION_RATING_CLIENT": Field("int", default=2, ge=1, le=3),
+    "REGION_POPULATION_RELATIVE": Field("double"),
+    "OWN_CAR_AGE": Field("double"),
+    "HOUR_APPR_PROCESS_START": Field("int"),
+    **_optional("int", "FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL"),
+    **_optional("int", "REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION"),
+    **_optional("int", "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY"),
+    **_building("AVG"),
+    **_building("MODE"),
+    **_building("MEDI"),
+    "TOTALAREA_MODE": Field("double"),
+    "EMERGENCYSTATE_MODE": Field("string"),
+    **_optional("double", "OBS_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE"),
+    **_optional("double", "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"),
+    **_optional("int", *[f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]),
+    **_optional("string", "WEEKDAY_APPR_PROCESS_START", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE"),
 }
-_BUILDING = (
-    "APARTMENTS BASEMENTAREA YEARS_BEGINEXPLUATATION YEARS_BUILD COMMONAREA ELEVATORS ENTRANCES FLOORSMAX "
-    "FLOORSMIN LANDAREA LIVINGAPARTMENTS LIVINGAREA NONLIVINGAPARTMENTS NONLIVINGAREA"
-).split()
-_OPTIONAL = {
-    "int": "DAYS_EMPLOYED DAYS_ID_PUBLISH HOUR_APPR_PROCESS_START FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE "
-    "FLAG_CONT_MOBILE FLAG_PHONE FLAG_EMAIL REG_REGION_NOT_LIVE_REGION REG_REGION_NOT_WORK_REGION "
-    "LIVE_REGION_NOT_WORK_REGION REG_CITY_NOT_LIVE_CITY REG_CITY_NOT_WORK_CITY LIVE_CITY_NOT_WORK_CITY".split()
-    + [f"FLAG_DOCUMENT_{i}" for i in range(2, 22)],
-    "double": "DAYS_REGISTRATION DAYS_LAST_PHONE_CHANGE REGION_POPULATION_RELATIVE OWN_CAR_AGE TOTALAREA_MODE "
-    "OBS_30_CNT_SOCIAL_CIRCLE OBS_60_CNT_SOCIAL_CIRCLE DEF_30_CNT_SOCIAL_CIRCLE DEF_60_CNT_SOCIAL_CIRCLE".split()
-    + [f"{stem}_{kind}" for kind in ("AVG", "MODE", "MEDI") for stem in _BUILDING],
-    "string": "OCCUPATION_TYPE ORGANIZATION_TYPE EMERGENCYSTATE_MODE WEEKDAY_APPR_PROCESS_START FONDKAPREMONT_MODE "
-    "HOUSETYPE_MODE WALLSMATERIAL_MODE".split(),
-}
-
-
 _SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType()}
 
 
-def request_fields(feature_names: list[str] = ()) -> dict[str, Field]:
+def request_fields(feature_names: Iterable[str] = ()) -> dict[str, Field]:
     """All request fields; ready-made history features may be passed along as optional numbers."""
-    fields = dict(_RULES)
-    for kind, names in _OPTIONAL.items():
-        fields.update({n: Field(kind) for n in names})
-    fields.update({n: Field("double") for n in feature_names if n not in fields})
-    return fields
+    return REQUEST_FIELDS | {c: Field("double") for c in feature_names if c not in REQUEST_FIELDS}
 
 
 def request_schema(fields: dict[str, Field], *ids: T.StructField) -> T.StructType:

@@ -1,8 +1,4 @@
-"""Column types of the input tables.
-
-Integer widths follow the data; amounts are double so that sums keep their cents.
-Columns that are not listed are inferred by the reader.
-"""
+"""Column types and file names of the input tables."""
 
 from __future__ import annotations
 
@@ -17,56 +13,140 @@ _TYPES = {
 }
 
 
-def _table(**columns: str) -> dict[str, T.DataType]:
-    """Typed columns from ``type="NAME NAME ..."`` groups."""
-    return {name: _TYPES[kind] for kind, names in columns.items() for name in names.split()}
+def _typed(text: str) -> dict[str, T.DataType]:
+    words = text.split()
+    return {name: _TYPES[kind] for name, kind in zip(words[::2], words[1::2])}
 
 
-_APPLICATION = _table(
-    int="SK_ID_CURR DAYS_BIRTH DAYS_EMPLOYED DAYS_ID_PUBLISH",
-    short="CNT_CHILDREN",
-    byte="TARGET FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_CONT_MOBILE FLAG_PHONE FLAG_EMAIL "
-    "REGION_RATING_CLIENT REGION_RATING_CLIENT_W_CITY",
-    double="AMT_INCOME_TOTAL AMT_CREDIT AMT_ANNUITY AMT_GOODS_PRICE REGION_POPULATION_RELATIVE "
-    "DAYS_REGISTRATION EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3 OBS_30_CNT_SOCIAL_CIRCLE "
-    "DEF_30_CNT_SOCIAL_CIRCLE OBS_60_CNT_SOCIAL_CIRCLE DEF_60_CNT_SOCIAL_CIRCLE DAYS_LAST_PHONE_CHANGE",
-    string="NAME_CONTRACT_TYPE CODE_GENDER FLAG_OWN_CAR FLAG_OWN_REALTY NAME_TYPE_SUITE NAME_INCOME_TYPE "
-    "NAME_EDUCATION_TYPE NAME_FAMILY_STATUS NAME_HOUSING_TYPE",
-)
+# Known columns with their types, in file order. Integer widths follow the data; amounts
+# are double so that sums keep their cents. Columns that are not listed are inferred by the reader.
+_APPLICATION = _typed("""
+    SK_ID_CURR int
+    TARGET byte
+    NAME_CONTRACT_TYPE string
+    CODE_GENDER string
+    FLAG_OWN_CAR string
+    FLAG_OWN_REALTY string
+    CNT_CHILDREN short
+    AMT_INCOME_TOTAL double
+    AMT_CREDIT double
+    AMT_ANNUITY double
+    AMT_GOODS_PRICE double
+    NAME_TYPE_SUITE string
+    NAME_INCOME_TYPE string
+    NAME_EDUCATION_TYPE string
+    NAME_FAMILY_STATUS string
+    NAME_HOUSING_TYPE string
+    REGION_POPULATION_RELATIVE double
+    DAYS_BIRTH int
+    DAYS_EMPLOYED int
+    DAYS_REGISTRATION double
+    DAYS_ID_PUBLISH int
+    FLAG_MOBIL byte
+    FLAG_EMP_PHONE byte
+    FLAG_WORK_PHONE byte
+    FLAG_CONT_MOBILE byte
+    FLAG_PHONE byte
+    FLAG_EMAIL byte
+    REGION_RATING_CLIENT byte
+    REGION_RATING_CLIENT_W_CITY byte
+    EXT_SOURCE_1 double
+    EXT_SOURCE_2 double
+    EXT_SOURCE_3 double
+    OBS_30_CNT_SOCIAL_CIRCLE double
+    DEF_30_CNT_SOCIAL_CIRCLE double
+    OBS_60_CNT_SOCIAL_CIRCLE double
+    DEF_60_CNT_SOCIAL_CIRCLE double
+    DAYS_LAST_PHONE_CHANGE double
+""")
 
 TABLES: dict[str, dict[str, T.DataType]] = {
     "application_train": _APPLICATION,
     "application_test": {c: t for c, t in _APPLICATION.items() if c != "TARGET"},
-    "bureau": _table(
-        int="SK_ID_CURR SK_ID_BUREAU DAYS_CREDIT CREDIT_DAY_OVERDUE CNT_CREDIT_PROLONG DAYS_CREDIT_UPDATE",
-        double="DAYS_CREDIT_ENDDATE AMT_CREDIT_MAX_OVERDUE AMT_CREDIT_SUM AMT_CREDIT_SUM_DEBT "
-        "AMT_CREDIT_SUM_LIMIT AMT_CREDIT_SUM_OVERDUE AMT_ANNUITY",
-        string="CREDIT_ACTIVE CREDIT_CURRENCY CREDIT_TYPE",
-    ),
-    "bureau_balance": _table(int="SK_ID_BUREAU", short="MONTHS_BALANCE", string="STATUS"),
-    "previous_app": _table(
-        int="SK_ID_PREV SK_ID_CURR DAYS_DECISION",
-        double="AMT_ANNUITY AMT_APPLICATION AMT_CREDIT AMT_DOWN_PAYMENT AMT_GOODS_PRICE CNT_PAYMENT",
-        string="NAME_CONTRACT_TYPE NAME_CONTRACT_STATUS NAME_PAYMENT_TYPE CODE_REJECT_REASON NAME_CLIENT_TYPE "
-        "NAME_GOODS_CATEGORY NAME_PORTFOLIO NAME_PRODUCT_TYPE CHANNEL_TYPE NAME_SELLER_INDUSTRY NAME_YIELD_GROUP",
-    ),
-    "pos_cash": _table(
-        int="SK_ID_PREV SK_ID_CURR SK_DPD SK_DPD_DEF",
-        short="MONTHS_BALANCE",
-        double="CNT_INSTALMENT CNT_INSTALMENT_FUTURE",
-        string="NAME_CONTRACT_STATUS",
-    ),
-    "installments": _table(
-        int="SK_ID_PREV SK_ID_CURR NUM_INSTALMENT_NUMBER",
-        double="NUM_INSTALMENT_VERSION DAYS_INSTALMENT DAYS_ENTRY_PAYMENT AMT_INSTALMENT AMT_PAYMENT",
-    ),
-    "credit_card": _table(
-        int="SK_ID_PREV SK_ID_CURR SK_DPD SK_DPD_DEF",
-        short="MONTHS_BALANCE",
-        double="AMT_BALANCE AMT_CREDIT_LIMIT_ACTUAL AMT_DRAWINGS_ATM_CURRENT AMT_DRAWINGS_CURRENT "
-        "AMT_DRAWINGS_OTHER_CURRENT AMT_DRAWINGS_POS_CURRENT AMT_INST_MIN_REGULARITY AMT_PAYMENT_CURRENT "
-        "AMT_PAYMENT_TOTAL_CURRENT AMT_RECEIVABLE_PRINCIPAL AMT_RECIVABLE AMT_TOTAL_RECEIVABLE",
-    ),
+    "bureau": _typed("""
+        SK_ID_CURR int
+        SK_ID_BUREAU int
+        CREDIT_ACTIVE string
+        CREDIT_CURRENCY string
+        DAYS_CREDIT int
+        CREDIT_DAY_OVERDUE int
+        DAYS_CREDIT_ENDDATE double
+        AMT_CREDIT_MAX_OVERDUE double
+        CNT_CREDIT_PROLONG int
+        AMT_CREDIT_SUM double
+        AMT_CREDIT_SUM_DEBT double
+        AMT_CREDIT_SUM_LIMIT double
+        AMT_CREDIT_SUM_OVERDUE double
+        CREDIT_TYPE string
+        DAYS_CREDIT_UPDATE int
+        AMT_ANNUITY double
+    """),
+    "bureau_balance": _typed("""
+        SK_ID_BUREAU int
+        MONTHS_BALANCE short
+        STATUS string
+    """),
+    "previous_app": _typed("""
+        SK_ID_PREV int
+        SK_ID_CURR int
+        NAME_CONTRACT_TYPE string
+        AMT_ANNUITY double
+        AMT_APPLICATION double
+        AMT_CREDIT double
+        AMT_DOWN_PAYMENT double
+        AMT_GOODS_PRICE double
+        NAME_CONTRACT_STATUS string
+        DAYS_DECISION int
+        NAME_PAYMENT_TYPE string
+        CODE_REJECT_REASON string
+        NAME_CLIENT_TYPE string
+        NAME_GOODS_CATEGORY string
+        NAME_PORTFOLIO string
+        NAME_PRODUCT_TYPE string
+        CHANNEL_TYPE string
+        NAME_SELLER_INDUSTRY string
+        CNT_PAYMENT double
+        NAME_YIELD_GROUP string
+    """),
+    "pos_cash": _typed("""
+        SK_ID_PREV int
+        SK_ID_CURR int
+        MONTHS_BALANCE short
+        CNT_INSTALMENT double
+        CNT_INSTALMENT_FUTURE double
+        NAME_CONTRACT_STATUS string
+        SK_DPD int
+        SK_DPD_DEF int
+    """),
+    "installments": _typed("""
+        SK_ID_PREV int
+        SK_ID_CURR int
+        NUM_INSTALMENT_VERSION double
+        NUM_INSTALMENT_NUMBER int
+        DAYS_INSTALMENT double
+        DAYS_ENTRY_PAYMENT double
+        AMT_INSTALMENT double
+        AMT_PAYMENT double
+    """),
+    "credit_card": _typed("""
+        SK_ID_PREV int
+        SK_ID_CURR int
+        MONTHS_BALANCE short
+        AMT_BALANCE double
+        AMT_CREDIT_LIMIT_ACTUAL double
+        AMT_DRAWINGS_ATM_CURRENT double
+        AMT_DRAWINGS_CURRENT double
+        AMT_DRAWINGS_OTHER_CURRENT double
+        AMT_DRAWINGS_POS_CURRENT double
+        AMT_INST_MIN_REGULARITY double
+        AMT_PAYMENT_CURRENT double
+        AMT_PAYMENT_TOTAL_CURRENT double
+        AMT_RECEIVABLE_PRINCIPAL double
+        AMT_RECIVABLE double
+        AMT_TOTAL_RECEIVABLE double
+        SK_DPD int
+        SK_DPD_DEF int
+    """),
 }
 
 # Default file names of the eight inputs.
