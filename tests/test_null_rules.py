@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from lendstrata.functions import nulls as n
 from lendstrata.functions.text import add_prefix, clean_column_names, decimal_text
-from lendstrata.operators import application, bureau, columns, history
-from lendstrata.operators.encode import fit_encoding
+from lendstrata.operators import application, bureau, columns, history, rows
+from lendstrata.operators.encode import EncodingPlan, drop_high_card, fit_encoding
 
 
 def values(df, c):
@@ -219,3 +219,49 @@ def test_imputation(spark):
     assert columns.impute_values(df, ["x"], "mean")["x"] == pytest.approx(13 / 3)
     assert columns.impute_values(df, ["x"], "zero") == {"x": 0.0}
     assert sorted(r[0] for r in columns.impute(df, {"x": 2.0}).collect()) == [1.0, 2.0, 2.0, 10.0]
+
+
+def test_day_columns(spark):
+    df = spark.createDataFrame([(-730, -365.0, None)], "DAYS_BIRTH int, DAYS_REGISTRATION double, DAYS_EMPLOYED int")
+    out = application.day_columns_to_years(df).first()
+    assert (out["BIRTH_YEARS"], out["REGISTRATION_YEARS"], out["EMPLOYED_YEARS"]) == (2.0, 1.0, None)
+
+
+def test_late_threshold(spark):
+    df = spark.createDataFrame(
+        [(1, -50.0, -45.0, 1.0, 1.0), (2, -50.0, -10.0, 1.0, 0.5)],
+        "i int, DAYS_INSTALMENT double, DAYS_ENTRY_PAYMENT double, AMT_INSTALMENT double, AMT_PAYMENT double",
+    )
+    assert values(history.install_row_features(df), "is_late") == [1, 1]
+    assert values(history.install_row_features(df, late_above=10), "is_late") == [0, 1]
+    assert values(history.install_row_features(df), "is_very_late") == [0, 1]
+
+
+def test_bureau_without_monthly_balances(spark):
+    credits = spark.createDataFrame(
+        [(1, 1, "Closed", -100, 3, 1000.0, None, None, 1)],
+        "SK_ID_CURR int, SK_ID_BUREAU int, CREDIT_ACTIVE string, DAYS_CREDIT int, CREDIT_DAY_OVERDUE int, "
+        "AMT_CREDIT_SUM double, AMT_CREDIT_SUM_DEBT double, AMT_CREDIT_SUM_OVERDUE double, CNT_CREDIT_PROLONG int",
+    )
+    out = bureau.bureau_client(credits, None).first()
+    assert "buro_worst_status" not in out.asDict()
+    assert (out["buro_debt_sum"], out["buro_active_debt_sum"], out["buro_ever_overdue"]) == (0.0, None, 1)
+
+
+def test_feature_selection_and_dropping(spark):
+    df = spark.createDataFrame([(1, 0, 2.0, "x")], "SK_ID_CURR int, TARGET int, a double, NOTE string")
+    assert rows.select_features(df).columns == ["a", "NOTE"]
+    plan = EncodingPlan({"NOTE": "drop"}, {"NOTE": 99})
+    assert drop_high_card(df, plan).columns == ["SK_ID_CURR", "TARGET", "a"]
+
+
+def test_rows_keep_their_number(spark):
+    """Shares lie in [0, 1] and flags are 0 or 1 in the whole feature matrix."""
+    from catalog.queries import build_features
+
+    out = build_features(spark, "/root/testdata/sf0.001")
+    shares = [c for c in out.columns if c.endswith(("_rate", "_rate_mean", "_ratio_mean")) and c.startswith(("prev", "pos", "cc")) and "atm" not in c]
+    flags = [c for c in out.columns if "_ever_" in c or c.startswith("NAME_INCOME_TYPE_")]
+    assert shares and flags
+    bad = " OR ".join([f"{c} < 0 OR {c} > 1.5" for c in shares] + [f"{c} NOT IN (0, 1)" for c in flags])
+    assert out.where(bad).count() == 0
