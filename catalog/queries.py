@@ -1,1253 +1,7 @@
-"""The registered queries: a Spark callable and, where SQL can say it, the SQL for the check."""
+"""All registered queries: importing the modules registers them."""
 
-from __future__ import annotations
+from catalog import model_queries, rollup_queries, row_queries, service_queries  # noqa: F401
+from catalog.registry import INTERCEPT, MEANS, ORACLES, QUERIES, WEIGHTS
+from catalog.rollup_queries import build_features
 
-import hashlib
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from catalog import fixtures as fx
-from catalog import oracle as o
-from lendstrata.functions import nulls as n
-from lendstrata.operators import aggregate, application, bureau, columns, drift, encode, evaluate, explain, folds
-from lendstrata.operators import history, ordered, quality, rows, target
-from lendstrata.plans import features, training
-from lendstrata.sources import readers, sinks
-from lendstrata.streaming import score
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLES[name] = sql
-        return f
-
-    return register
-
-
-def rounded(df: DataFrame, keep: list[str], digits: int = 4) -> DataFrame:
-    """All columns but the kept ones as rounded doubles, as in ``oracle.rounded``."""
-    shift = float(o.shift(digits))
-    return df.select(
-        *keep,
-        *[
-            (F.round(F.col(c).cast("double") + F.lit(shift), digits) + F.lit(0.0)).alias(c)
-            for c in df.columns
-            if c not in keep
-        ],
-    )
-
-
-def events(s: SparkSession, d: str) -> DataFrame:
-    return fx.fixture(s, d, "fx_events")
-
-
-def app(s: SparkSession, d: str) -> DataFrame:
-    return fx.fixture(s, d, "fx_application")
-
-
-def engineered(s: SparkSession, d: str) -> DataFrame:
-    return application.app_features(application.fix_anomalies(app(s, d)))
-
-
-def train_of(df: DataFrame) -> DataFrame:
-    return df.where("split = 'train'").drop("split")
-
-
-def test_of(df: DataFrame) -> DataFrame:
-    return df.where("split = 'test'").drop("split", "TARGET")
-
-
-# ---- sources and reports --------------------------------------------------
-
-@query("scan_parquet", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
-def _(s, d):
-    return readers.scan_parquet(s, f"{d}/orders.parquet", ["o_orderkey", "o_orderstatus", "o_totalprice"])
-
-
-PROFILED = ["customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders"]
-
-
-@query(
-    "table_profile",
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
-        f"CAST((SELECT count(*) FROM (DESCRIBE {t})) AS INT) AS column_count"
-        for t in PROFILED
-    ),
-)
-def _(s, d):
-    return columns.table_profile({t: fx.source(s, d, t) for t in PROFILED})
-
-
-@query(
-    "class_balance",
-    o.rounded(
-        "SELECT TARGET AS label, count(*) AS row_count, count(*) * 1.0E0 / sum(count(*)) OVER () AS share, "
-        "(SELECT count(*) FROM fx_application WHERE TARGET = 0) * 1.0E0 / "
-        "(SELECT count(*) FROM fx_application WHERE TARGET = 1) AS imbalance FROM fx_application GROUP BY TARGET",
-        ["label", "row_count"],
-        "fx_application",
-        digits=6,
-    ),
-)
-def _(s, d):
-    return rounded(columns.class_balance(app(s, d)), ["label", "row_count"], 6)
-
-
-APP_TEXT = ["ORGANIZATION_TYPE"]
-APP_CLEAN = (
-    "SK_ID_CURR TARGET CODE_GENDER FLAG_OWN_CAR ORGANIZATION_TYPE AMT_INCOME_TOTAL AMT_CREDIT AMT_ANNUITY "
-    "AMT_GOODS_PRICE CNT_FAM_MEMBERS DAYS_BIRTH DAYS_EMPLOYED DAYS_LAST_PHONE_CHANGE EXT_SOURCE_1 EXT_SOURCE_2 "
-    "EXT_SOURCE_3 MOSTLY_MISSING OBS_30_CNT_SOCIAL_CIRCLE DEF_30_CNT_SOCIAL_CIRCLE OBS_60_CNT_SOCIAL_CIRCLE "
-    "DEF_60_CNT_SOCIAL_CIRCLE FLAG_DOCUMENT_2 FLAG_DOCUMENT_3 DAYS_EMPLOYED_ANOMALY AGE_YEARS EMPLOYED_YEARS "
-    "CREDIT_INCOME_RATIO ANNUITY_INCOME_RATIO CREDIT_GOODS_RATIO ANNUITY_CREDIT_RATIO INCOME_PER_PERSON "
-    "EXT_SOURCE_MEAN EXT_SOURCE_MIN EXT_SOURCE_2_3 EXT_SOURCE_PROD DOCS_PROVIDED DEF_30_RATE DEF_60_RATE"
-).split() + [f"NAME_INCOME_TYPE_{s}" for s in o.SEGMENTS]
-
-
-def _missing_sql(names: list[str], table: str, where: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1.0E0 ELSE 0.0E0 END) AS missing_share "
-        f"FROM {table} WHERE {where}"
-        for c in names
-    )
-
-
-_APP_FEATURES = [c for c in APP_CLEAN if c not in rows.NOT_FEATURES]
-
-
-@query(
-    "feature_report",
-    o.sql(
-        f"SELECT t.train_rows, s.test_rows, CAST({len(_APP_FEATURES)} - m.n AS INT) AS feature_count, "
-        f"m.dropped AS dropped_high_missing, round(t.target_mean + {o.shift(6)}, 6) AS target_mean FROM "
-        "(SELECT count(*) AS train_rows, avg(TARGET) AS target_mean FROM app_clean WHERE split = 'train') t, "
-        "(SELECT count(*) AS test_rows FROM app_clean WHERE split = 'test') s, "
-        "(SELECT count(*) AS n, coalesce(string_agg(column_name, ',' ORDER BY column_name), '') AS dropped FROM ("
-        + _missing_sql(_APP_FEATURES, "app_clean", "split = 'train'")
-        + ") WHERE missing_share > 0.8) m",
-        "app_clean",
-    ),
-)
-def _(s, d):
-    raw = app(s, d)
-    fitted = encode.fit_encoding(application.app_features(application.fix_anomalies(train_of(raw))))
-    train = features.application_clean(train_of(raw), fitted)
-    test = features.application_clean(test_of(raw), fitted)
-    train, test, dropped = columns.drop_high_missing(train, test)
-    report = columns.feature_report(train, test, dropped)
-    return report.withColumn("target_mean", F.round(F.col("target_mean") + float(o.shift(6)), 6))
-
-
-# ---- projections, cleaning, predicates ------------------------------------
-
-@query(
-    "sentinel_to_null",
-    o.sql(
-        "SELECT 'application' AS source, SK_ID_CURR AS id, nullif(DAYS_EMPLOYED, 365243) AS days, "
-        "nullif(CODE_GENDER, 'XNA') AS code FROM fx_application UNION ALL "
-        "SELECT 'previous', SK_ID_PREV, nullif(DAYS_FIRST_DUE, 365243), NULL FROM fx_previous",
-        "fx_application",
-        "fx_previous",
-    ),
-)
-def _(s, d):
-    spine = app(s, d).select(
-        F.lit("application").alias("source"),
-        F.col("SK_ID_CURR").alias("id"),
-        n.sentinel_to_null("DAYS_EMPLOYED", 365243).alias("days"),
-        n.sentinel_to_null("CODE_GENDER", "XNA").alias("code"),
-    )
-    loans = history.previous_clean(fx.fixture(s, d, "fx_previous")).select(
-        F.lit("previous").alias("source"),
-        F.col("SK_ID_PREV").alias("id"),
-        F.col("DAYS_FIRST_DUE").cast("bigint").alias("days"),
-        F.lit(None).cast("string").alias("code"),
-    )
-    return spine.unionByName(loans)
-
-
-@query(
-    "sentinel_flag",
-    o.sql("SELECT SK_ID_CURR, CASE WHEN DAYS_EMPLOYED = 365243 THEN 1 ELSE 0 END AS flag FROM fx_application", "fx_application"),
-)
-def _(s, d):
-    return app(s, d).select("SK_ID_CURR", n.sentinel_flag("DAYS_EMPLOYED", 365243).alias("flag"))
-
-
-@query("map_codes", o.sql("SELECT SK_ID_BUREAU, MONTHS_BALANCE, STATUS, num AS status_number FROM bb", "bb"))
-def _(s, d):
-    return fx.fixture(s, d, "fx_bureau_balance").select(
-        "SK_ID_BUREAU", "MONTHS_BALANCE", "STATUS", bureau.status_number().alias("status_number")
-    )
-
-
-@query(
-    "safe_ratio",
-    o.rounded(
-        f"SELECT SK_ID_CURR, {o.ratio('AMT_CREDIT', 'AMT_GOODS_PRICE')} AS credit_goods, "
-        f"{o.ratio('AMT_INCOME_TOTAL', 'CNT_FAM_MEMBERS')} AS per_person FROM fx_application",
-        ["SK_ID_CURR"],
-        "fx_application",
-    ),
-)
-def _(s, d):
-    return rounded(
-        app(s, d).select(
-            "SK_ID_CURR",
-            n.ratio("AMT_CREDIT", "AMT_GOODS_PRICE").alias("credit_goods"),
-            n.ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS").alias("per_person"),
-        ),
-        ["SK_ID_CURR"],
-    )
-
-
-@query(
-    "clip_upper",
-    o.rounded("SELECT SK_ID_PREV, MONTHS_BALANCE, TIE_1, utilization FROM card_rows", ["SK_ID_PREV", "MONTHS_BALANCE", "TIE_1"], "card_rows"),
-)
-def _(s, d):
-    ids = ["SK_ID_PREV", "MONTHS_BALANCE", "TIE_1"]
-    utilization = n.clip_high(n.ratio("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"), history.UTILIZATION_CAP)
-    return rounded(fx.fixture(s, d, "fx_credit_card").select(*ids, utilization.alias("utilization")), ids)
-
-
-@query("days_to_years", o.rounded("SELECT SK_ID_CURR, AGE_YEARS, EMPLOYED_YEARS FROM app_engineered", ["SK_ID_CURR"], "app_engineered"))
-def _(s, d):
-    clean = application.fix_anomalies(app(s, d))
-    return rounded(
-        clean.select(
-            "SK_ID_CURR",
-            n.days_to_years("DAYS_BIRTH").alias("AGE_YEARS"),
-            n.days_to_years("DAYS_EMPLOYED").alias("EMPLOYED_YEARS"),
-        ),
-        ["SK_ID_CURR"],
-    )
-
-
-@query(
-    "row_stats",
-    o.rounded(
-        "SELECT SK_ID_CURR, EXT_SOURCE_MEAN, EXT_SOURCE_MIN, EXT_SOURCE_PROD FROM app_engineered", ["SK_ID_CURR"], "app_engineered", digits=6
-    ),
-)
-def _(s, d):
-    names = application.EXTERNAL_SCORES
-    return rounded(
-        app(s, d).select(
-            "SK_ID_CURR",
-            n.row_mean(*names).alias("EXT_SOURCE_MEAN"),
-            n.row_min(*names).alias("EXT_SOURCE_MIN"),
-            n.row_product(*names).alias("EXT_SOURCE_PROD"),
-        ),
-        ["SK_ID_CURR"],
-        6,
-    )
-
-
-@query("flag_count", o.sql("SELECT SK_ID_CURR, FLAG_DOCUMENT_2 + FLAG_DOCUMENT_3 AS documents FROM fx_application", "fx_application"))
-def _(s, d):
-    df = app(s, d)
-    return df.select("SK_ID_CURR", n.row_sum(*[c for c in df.columns if "FLAG_DOCUMENT" in c]).alias("documents"))
-
-
-_ENGINEERED = (
-    "AGE_YEARS EMPLOYED_YEARS CREDIT_INCOME_RATIO ANNUITY_INCOME_RATIO CREDIT_GOODS_RATIO ANNUITY_CREDIT_RATIO "
-    "INCOME_PER_PERSON EXT_SOURCE_MEAN EXT_SOURCE_MIN EXT_SOURCE_2_3 EXT_SOURCE_PROD DOCS_PROVIDED DEF_30_RATE DEF_60_RATE"
-).split()
-
-
-@query("app_features", o.rounded(f"SELECT SK_ID_CURR, {', '.join(_ENGINEERED)} FROM app_engineered", ["SK_ID_CURR"], "app_engineered"))
-def _(s, d):
-    return rounded(engineered(s, d).select("SK_ID_CURR", *_ENGINEERED), ["SK_ID_CURR"])
-
-
-_INST_IDS = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "TIE_1"]
-_INST_COLUMNS = (
-    "days_late days_late_pos days_early_pos payment_ratio payment_deficit is_late is_very_late is_underpaid is_early is_missing"
-).split()
-
-
-@query("install_row_features", o.rounded(f"SELECT {', '.join(_INST_IDS + _INST_COLUMNS)} FROM inst_rows", _INST_IDS, "inst_rows"))
-def _(s, d):
-    out = history.install_row_features(fx.fixture(s, d, "fx_installments"))
-    return rounded(out.select(*_INST_IDS, *_INST_COLUMNS), _INST_IDS)
-
-
-_CARD_IDS = ["SK_ID_PREV", "MONTHS_BALANCE", "TIE_1"]
-_CARD_COLUMNS = "utilization paid_min paid_full atm_ratio balance_change is_maxed is_overlimit".split()
-
-
-@query("card_row_features", o.rounded(f"SELECT {', '.join(_CARD_IDS + _CARD_COLUMNS)} FROM card_rows", _CARD_IDS, "card_rows"))
-def _(s, d):
-    out = history.card_row_features(fx.fixture(s, d, "fx_credit_card"), fx.CARD_TIES)
-    return rounded(out.select(*_CARD_IDS, *_CARD_COLUMNS), _CARD_IDS)
-
-
-_POS = "SK_ID_PREV, MONTHS_BALANCE, NAME_CONTRACT_STATUS, SK_DPD"
-
-
-def _pos_rows(df: DataFrame) -> DataFrame:
-    return df.select(*_POS.split(", "))
-
-
-@query("filter_eq", o.sql(f"SELECT {_POS} FROM fx_pos WHERE NAME_CONTRACT_STATUS = 'Demand'", "fx_pos"))
-def _(s, d):
-    return _pos_rows(rows.filter_eq(fx.fixture(s, d, "fx_pos"), "NAME_CONTRACT_STATUS", "Demand"))
-
-
-@query("filter_in", o.sql(f"SELECT {_POS} FROM fx_pos WHERE NAME_CONTRACT_STATUS IN ('Active', 'Completed', 'Demand')", "fx_pos"))
-def _(s, d):
-    return _pos_rows(rows.filter_in(fx.fixture(s, d, "fx_pos"), "NAME_CONTRACT_STATUS", history.DUE_STATUSES))
-
-
-@query("filter_recent", o.sql(f"SELECT {_POS} FROM fx_pos WHERE MONTHS_BALANCE >= -12", "fx_pos"))
-def _(s, d):
-    return _pos_rows(rows.filter_recent(fx.fixture(s, d, "fx_pos"), "MONTHS_BALANCE", history.RECENT_MONTHS))
-
-
-_APP_RAW = (
-    "CODE_GENDER FLAG_OWN_CAR NAME_INCOME_TYPE ORGANIZATION_TYPE NAME_FREE_TEXT AMT_INCOME_TOTAL AMT_CREDIT AMT_ANNUITY "
-    "AMT_GOODS_PRICE CNT_FAM_MEMBERS DAYS_BIRTH DAYS_EMPLOYED DAYS_LAST_PHONE_CHANGE EXT_SOURCE_1 EXT_SOURCE_2 "
-    "EXT_SOURCE_3 MOSTLY_MISSING"
-).split()
-
-
-@query(
-    "drop_high_missing",
-    o.sql(
-        f"SELECT p.column_name, round(p.missing_share + {o.shift(6)}, 6) AS missing_share, "
-        "CASE WHEN p.missing_share > 0.8 THEN 1 ELSE 0 END AS dropped FROM ("
-        + _missing_sql(_APP_RAW, "app_fixed", "split = 'train'")
-        + ") p",
-        "app_fixed",
-    ),
-)
-def _(s, d):
-    raw = application.fix_anomalies(app(s, d))
-    kept, _, dropped = columns.drop_high_missing(train_of(raw), test_of(raw))
-    assert not set(dropped) & set(kept.columns)
-    profile = columns.missing_profile(train_of(raw), _APP_RAW)
-    return profile.select(
-        "column_name",
-        F.round(F.col("missing_share") + float(o.shift(6)), 6).alias("missing_share"),
-        F.col("column_name").isin(dropped).cast("int").alias("dropped"),
-    )
-
-
-_ALIGNED = [c for c in APP_CLEAN if c != "TARGET"]
-
-
-@query(
-    "align_schema",
-    o.rounded(
-        f"SELECT {', '.join(_ALIGNED)} FROM app_clean WHERE split = 'test'",
-        ["SK_ID_CURR", "ORGANIZATION_TYPE"],
-        "app_clean",
-    ),
-)
-def _(s, d):
-    raw = app(s, d)
-    train = features.application_clean(train_of(raw))
-    # encoded apart, the test table lacks the segment that only train has
-    test = features.application_clean(test_of(raw))
-    return rounded(columns.align_schema(train, test).select(*_ALIGNED), ["SK_ID_CURR", "ORGANIZATION_TYPE"])
-
-
-_CROSSED = (
-    "ext2_x_inst_ratio credit_income_x_cc_util prev_refusal_x_active pos_cc_behavior inst_payment_deterioration age_x_buro_clean"
-).split()
-
-
-def groups(s: SparkSession, d: str) -> list[DataFrame]:
-    config = features.FeatureConfig(installment_ties=fx.INSTALLMENT_TIES, card_ties=fx.CARD_TIES)
-    return features.client_groups(fx.tables(s, d), config)
-
-
-@query("cross_features", o.rounded(f"SELECT SK_ID_CURR, {', '.join(_CROSSED)} FROM crossed", ["SK_ID_CURR"], "crossed"))
-def _(s, d):
-    out = application.cross_features(features.join_spine(engineered(s, d), *groups(s, d)))
-    return rounded(out.select("SK_ID_CURR", *_CROSSED), ["SK_ID_CURR"])
-
-
-_IMPUTED = ["AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "CNT_FAM_MEMBERS"]
-
-
-@query(
-    "impute",
-    o.rounded(
-        "SELECT SK_ID_CURR, "
-        + ", ".join(f"coalesce({c}, quantile_cont({c}, 0.5) OVER ()) AS {c}" for c in _IMPUTED)
-        + " FROM fx_application",
-        ["SK_ID_CURR"],
-        "fx_application",
-    ),
-)
-def _(s, d):
-    df = app(s, d)
-    filled = columns.impute(df, columns.impute_values(df, _IMPUTED, "median"))
-    return rounded(filled.select("SK_ID_CURR", *_IMPUTED), ["SK_ID_CURR"])
-
-
-@query(
-    "fill_category",
-    o.sql("SELECT SK_ID_CURR, coalesce(ORGANIZATION_TYPE, 'Unknown') AS ORGANIZATION_TYPE, coalesce(NAME_INCOME_TYPE, 'Unknown') AS NAME_INCOME_TYPE FROM fx_application", "fx_application"),
-)
-def _(s, d):
-    names = ["ORGANIZATION_TYPE", "NAME_INCOME_TYPE"]
-    return columns.fill_category(app(s, d), names).select("SK_ID_CURR", *names)
-
-
-_CAPPED = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY"]
-
-
-@query(
-    "winsorize",
-    o.rounded(
-        "SELECT SK_ID_CURR, "
-        + ", ".join(
-            f"CASE WHEN {c} > quantile_cont({c}, 0.99) OVER () THEN quantile_cont({c}, 0.99) OVER () ELSE {c} END AS {c}"
-            for c in _CAPPED
-        )
-        + " FROM fx_application",
-        ["SK_ID_CURR"],
-        "fx_application",
-    ),
-)
-def _(s, d):
-    df = app(s, d)
-    capped = columns.winsorize(df, columns.winsor_limits(df, _CAPPED))
-    return rounded(capped.select("SK_ID_CURR", *_CAPPED), ["SK_ID_CURR"])
-
-
-# ---- joins ----------------------------------------------------------------
-
-_GROUP_CTES = ["buro_client", "prev_client", "pos_client", "inst_client", "card_client"]
-
-@query(
-    "join_spine",
-    o.rounded(
-        "SELECT * FROM (SELECT SK_ID_CURR FROM fx_application) "
-        + " ".join(f"LEFT JOIN {c} USING (SK_ID_CURR)" for c in _GROUP_CTES),
-        ["SK_ID_CURR"],
-        "fx_application",
-        *_GROUP_CTES,
-    ),
-)
-def _(s, d):
-    return rounded(features.join_spine(app(s, d).select("SK_ID_CURR"), *groups(s, d)), ["SK_ID_CURR"])
-
-
-@query(
-    "join_rollup",
-    o.rounded(
-        "SELECT SK_ID_BUREAU, SK_ID_CURR, AMT_CREDIT_SUM, bb_months_count, bb_dpd_count, bb_status_num_max, bb_dpd_rate FROM buro_rows",
-        ["SK_ID_BUREAU", "SK_ID_CURR"],
-        "buro_rows",
-    ),
-)
-def _(s, d):
-    joined = bureau.join_rollup(
-        fx.fixture(s, d, "fx_bureau"), bureau.bureau_balance_loan(fx.fixture(s, d, "fx_bureau_balance"))
-    )
-    ids = ["SK_ID_BUREAU", "SK_ID_CURR"]
-    return rounded(
-        joined.select(*ids, "AMT_CREDIT_SUM", "bb_months_count", "bb_dpd_count", "bb_status_num_max", "bb_dpd_rate"), ids
-    )
-
-
-@query(
-    "join_bridge",
-    o.rounded(
-        "SELECT p.SK_ID_PREV, p.SK_ID_CURR, l.* EXCLUDE (SK_ID_PREV) FROM fx_previous p LEFT JOIN pos_loan l USING (SK_ID_PREV)",
-        ["SK_ID_PREV", "SK_ID_CURR"],
-        "fx_previous",
-        "pos_loan",
-    ),
-)
-def _(s, d):
-    bridge = fx.fixture(s, d, "fx_previous").select("SK_ID_PREV", "SK_ID_CURR")
-    return rounded(history.join_bridge(bridge, history.pos_loan(fx.fixture(s, d, "fx_pos"))), ["SK_ID_PREV", "SK_ID_CURR"])
-
-
-_SUBSET_SQL = """
-SELECT t.SK_ID_CURR, loan_count, active_debt_sum, active_credit_mean FROM
- (SELECT SK_ID_CURR, count(SK_ID_BUREAU) AS loan_count FROM fx_bureau WHERE SK_ID_CURR IS NOT NULL GROUP BY 1) t
- LEFT JOIN (SELECT SK_ID_CURR, coalesce(sum(AMT_CREDIT_SUM_DEBT), 0) AS active_debt_sum,
-   avg(AMT_CREDIT_SUM) AS active_credit_mean FROM fx_bureau WHERE CREDIT_ACTIVE = 'Active' GROUP BY 1) a USING (SK_ID_CURR)"""
-
-
-def _subset(s: SparkSession, d: str) -> DataFrame:
-    active = F.col("CREDIT_ACTIVE") == "Active"
-    out = (
-        fx.fixture(s, d, "fx_bureau")
-        .where("SK_ID_CURR IS NOT NULL")
-        .groupBy("SK_ID_CURR")
-        .agg(
-            F.count("SK_ID_BUREAU").alias("loan_count"),
-            n.subset_sum(active, "AMT_CREDIT_SUM_DEBT").alias("active_debt_sum"),
-            F.avg(n.only(active, "AMT_CREDIT_SUM")).alias("active_credit_mean"),
-        )
-    )
-    return rounded(out, ["SK_ID_CURR"])
-
-
-query("join_subset_agg", o.rounded(_SUBSET_SQL, ["SK_ID_CURR"], "fx_bureau"))(_subset)
-query("agg_subset", o.rounded(_SUBSET_SQL.replace("loan_count, ", "").replace(", count(SK_ID_BUREAU) AS loan_count", ""), ["SK_ID_CURR"], "fx_bureau"))(
-    lambda s, d: _subset(s, d).drop("loan_count")
-)
-
-
-def _encoding_sql(where: str) -> str:
-    return f"""
-SELECT ORGANIZATION_TYPE AS category, (sum(TARGET) + g.m * 10) / (count(*) + 10) AS encoded, any_value(g.m) AS m
-FROM app_clean, (SELECT avg(TARGET) AS m FROM app_clean WHERE {where}) g
-WHERE {where} GROUP BY ORGANIZATION_TYPE, g.m"""
-
-
-@query(
-    "join_encoding",
-    o.rounded(
-        f"SELECT a.SK_ID_CURR, coalesce(e.encoded, (SELECT avg(TARGET) FROM app_clean)) AS ORGANIZATION_TYPE "
-        f"FROM app_clean a LEFT JOIN ({_encoding_sql('TRUE')}) e ON a.ORGANIZATION_TYPE = e.category",
-        ["SK_ID_CURR"],
-        "app_clean",
-        digits=6,
-    ),
-)
-def _(s, d):
-    df = columns.fill_category(app(s, d), ["ORGANIZATION_TYPE"])
-    fitted = target.target_encode_full(df, ["ORGANIZATION_TYPE"], "TARGET")
-    joined = target.join_encoding(df, fitted.table, fitted.columns, F.lit(fitted.global_mean))
-    return rounded(joined.select("SK_ID_CURR", "ORGANIZATION_TYPE"), ["SK_ID_CURR"], 6)
-
-
-# ---- aggregations ---------------------------------------------------------
-
-_BASIC = ["mean", "max", "min", "sum", "count"]
-
-
-@query(
-    "agg_basic",
-    o.rounded(
-        "SELECT SK_ID_PREV, avg(AMT_PAYMENT) AS AMT_PAYMENT_mean, max(AMT_PAYMENT) AS AMT_PAYMENT_max, min(AMT_PAYMENT) AS "
-        "AMT_PAYMENT_min, coalesce(sum(AMT_PAYMENT), 0) AS AMT_PAYMENT_sum, count(AMT_PAYMENT) AS AMT_PAYMENT_count "
-        "FROM fx_installments GROUP BY SK_ID_PREV",
-        ["SK_ID_PREV"],
-        "fx_installments",
-    ),
-)
-def _(s, d):
-    return rounded(
-        aggregate.agg_numeric(fx.fixture(s, d, "fx_installments"), "SK_ID_PREV", ["AMT_PAYMENT"], _BASIC), ["SK_ID_PREV"]
-    )
-
-
-@query(
-    "agg_std",
-    o.rounded(
-        "SELECT SK_ID_PREV, stddev_samp(AMT_INSTALMENT) AS AMT_INSTALMENT_std, stddev_samp(AMT_PAYMENT) AS AMT_PAYMENT_std "
-        "FROM fx_installments GROUP BY SK_ID_PREV",
-        ["SK_ID_PREV"],
-        "fx_installments",
-    ),
-)
-def _(s, d):
-    out = aggregate.agg_numeric(
-        fx.fixture(s, d, "fx_installments"), "SK_ID_PREV", ["AMT_INSTALMENT", "AMT_PAYMENT"], ["std"]
-    )
-    return rounded(out, ["SK_ID_PREV"])
-
-
-def _previous(s: SparkSession, d: str, *names: str) -> DataFrame:
-    """Chosen aggregates of the earlier loans per client."""
-    chosen = history.previous_aggregates()
-    return (
-        fx.fixture(s, d, "fx_previous")
-        .where("SK_ID_CURR IS NOT NULL")
-        .groupBy("SK_ID_CURR")
-        .agg(*[chosen[c].alias(c) for c in names])
-    )
-
-
-def _previous_query(name: str, *names: str) -> None:
-    sql = o.rounded(f"SELECT SK_ID_CURR, {', '.join(names)} FROM prev_client", ["SK_ID_CURR"], "prev_client")
-    query(name, sql)(lambda s, d: rounded(_previous(s, d, *names), ["SK_ID_CURR"]))
-
-
-_previous_query("agg_count_if", "prev_approved_count", "prev_refused_count", "prev_canceled_count", "prev_unused_count")
-_previous_query("agg_mean_ratio", "prev_approval_ratio")
-_previous_query("last_status_flag", "prev_last_was_refused")
-_previous_query("growth_first_last", "prev_credit_ask_growth")
-
-
-@query(
-    "agg_any",
-    o.sql(
-        "SELECT SK_ID_PREV, max(CASE WHEN NAME_CONTRACT_STATUS = 'Demand' THEN 1 ELSE 0 END) AS ever_demand, "
-        "max(CASE WHEN CNT_INSTALMENT_FUTURE > 20 THEN 1 ELSE 0 END) AS ever_long FROM fx_pos GROUP BY SK_ID_PREV",
-        "fx_pos",
-    ),
-)
-def _(s, d):
-    return fx.fixture(s, d, "fx_pos").groupBy("SK_ID_PREV").agg(
-        n.any_flag(F.col("NAME_CONTRACT_STATUS") == "Demand").alias("ever_demand"),
-        n.any_flag(F.col("CNT_INSTALMENT_FUTURE") > 20).alias("ever_long"),
-    )
-
-
-@query(
-    "agg_recent",
-    o.rounded("SELECT SK_ID_BUREAU, bb_dpd_count, bb_recent_dpd_count, bb_recent_worst FROM bb_loan", ["SK_ID_BUREAU"], "bb_loan"),
-)
-def _(s, d):
-    out = bureau.bureau_balance_loan(fx.fixture(s, d, "fx_bureau_balance"))
-    return rounded(out.select("SK_ID_BUREAU", "bb_dpd_count", "bb_recent_dpd_count", "bb_recent_worst"), ["SK_ID_BUREAU"])
-
-
-@query(
-    "agg_two_level",
-    o.rounded("SELECT SK_ID_CURR, pos_dpd_mean, pos_late_rate_mean, pos_completion_mean FROM pos_client", ["SK_ID_CURR"], "pos_client"),
-)
-def _(s, d):
-    out = history.pos_client(fx.fixture(s, d, "fx_pos"), fx.fixture(s, d, "fx_previous"))
-    return rounded(out.select("SK_ID_CURR", "pos_dpd_mean", "pos_late_rate_mean", "pos_completion_mean"), ["SK_ID_CURR"])
-
-
-@query("agg_first_last", o.rounded("SELECT SK_ID_CURR, first_ask, last_ask FROM prev_first_last", ["SK_ID_CURR"], "prev_first_last"))
-def _(s, d):
-    order = F.struct("DAYS_DECISION", "SK_ID_PREV")
-    out = (
-        fx.fixture(s, d, "fx_previous")
-        .where("SK_ID_CURR IS NOT NULL")
-        .groupBy("SK_ID_CURR")
-        .agg(
-            n.first_present("AMT_APPLICATION", order).alias("first_ask"),
-            n.last_present("AMT_APPLICATION", order).alias("last_ask"),
-        )
-    )
-    return rounded(out, ["SK_ID_CURR"])
-
-
-@query("trend_delta", o.rounded("SELECT SK_ID_PREV, cc_recent_utilization, cc_utilization_mean, cc_util_trend FROM card_loan", ["SK_ID_PREV"], "card_loan"))
-def _(s, d):
-    out = history.card_loan(fx.fixture(s, d, "fx_credit_card"), fx.CARD_TIES)
-    return rounded(out.select("SK_ID_PREV", "cc_recent_utilization", "cc_utilization_mean", "cc_util_trend"), ["SK_ID_PREV"])
-
-
-_TEXTS = ["CODE_GENDER", "FLAG_OWN_CAR", "NAME_INCOME_TYPE", "ORGANIZATION_TYPE", "NAME_FREE_TEXT"]
-
-
-@query(
-    "nunique_profile",
-    o.sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM app_fixed" for c in _TEXTS), "app_fixed"),
-)
-def _(s, d):
-    return columns.nunique_profile(application.fix_anomalies(app(s, d)), _TEXTS)
-
-
-@query(
-    "missing_profile",
-    o.rounded(_missing_sql(_APP_RAW, "app_fixed", "TRUE"), ["column_name"], "app_fixed", digits=6),
-)
-def _(s, d):
-    return rounded(columns.missing_profile(application.fix_anomalies(app(s, d)), _APP_RAW), ["column_name"], 6)
-
-
-# ---- windows, folds, samples ----------------------------------------------
-
-@query(
-    "window_diff",
-    o.rounded("SELECT event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS change FROM events", ["event_id"]),
-)
-def _(s, d):
-    out = ordered.lag_within(
-        fx.source(s, d, "events").select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], "value", "before"
-    )
-    return rounded(out.select("event_id", (F.col("value") - F.col("before")).alias("change")), ["event_id"])
-
-
-_LATEST_IDS = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"]
-
-
-@query(
-    "latest_version",
-    o.rounded(f"SELECT {', '.join(_LATEST_IDS)}, DAYS_INSTALMENT, {', '.join(_INST_COLUMNS)} FROM inst_latest", _LATEST_IDS, "inst_latest"),
-)
-def _(s, d):
-    out = history.latest_version(history.install_row_features(fx.fixture(s, d, "fx_installments")), fx.INSTALLMENT_TIES)
-    return rounded(out.select(*_LATEST_IDS, "DAYS_INSTALMENT", *_INST_COLUMNS), _LATEST_IDS)
-
-
-@query("stratified_folds", o.sql("SELECT id, label, fold FROM folded", "folded"))
-def _(s, d):
-    return folds.stratified_folds(fx.fixture(s, d, "fx_scored"), "id", "label").select("id", "label", "fold")
-
-
-@query(
-    "sample_n",
-    "SELECT event_id, user_id, value FROM events ORDER BY md5(CAST(event_id AS VARCHAR) || ':42'), event_id LIMIT 1000",
-)
-def _(s, d):
-    return folds.sample_n(fx.source(s, d, "events").select("event_id", "user_id", "value"), "event_id", 1000)
-
-
-_IMPORTANCE_SQL = (
-    "SELECT 'f' || CAST(i - 1 AS VARCHAR) AS feature, avg(abs(CAST(c AS DOUBLE))) AS importance FROM "
-    "(SELECT unnest(embedding) AS c, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i "
-    "ORDER BY importance DESC, feature LIMIT "
-)
-_DIMENSIONS = [f"f{i}" for i in range(64)]
-
-
-def _importance(s: SparkSession, d: str, top: int) -> DataFrame:
-    df = fx.source(s, d, "embeddings").select("embedding")
-    return rounded(explain.global_importance(df, F.col("embedding"), _DIMENSIONS, top), ["feature"], 6)
-
-
-query("top_n_importance", o.rounded(_IMPORTANCE_SQL + "15", ["feature"], digits=6))(lambda s, d: _importance(s, d, 15))
-query("global_importance", o.rounded(_IMPORTANCE_SQL + "20", ["feature"], digits=6))(lambda s, d: _importance(s, d, 20))
-
-
-# ---- feature groups -------------------------------------------------------
-
-def _group(name: str, cte: str, key: str, build: Query) -> None:
-    query(name, o.rounded(f"SELECT * FROM {cte}", [key], cte))(lambda s, d: rounded(build(s, d), [key]))
-
-
-_group("bureau_balance_loan", "bb_loan", "SK_ID_BUREAU", lambda s, d: bureau.bureau_balance_loan(fx.fixture(s, d, "fx_bureau_balance")))
-_group("bureau_client", "buro_client", "SK_ID_CURR", lambda s, d: bureau.bureau_client(fx.fixture(s, d, "fx_bureau"), fx.fixture(s, d, "fx_bureau_balance")))
-_group("previous_client", "prev_client", "SK_ID_CURR", lambda s, d: history.previous_client(fx.fixture(s, d, "fx_previous")))
-_group("pos_loan", "pos_loan", "SK_ID_PREV", lambda s, d: history.pos_loan(fx.fixture(s, d, "fx_pos")))
-_group("pos_client", "pos_client", "SK_ID_CURR", lambda s, d: history.pos_client(fx.fixture(s, d, "fx_pos"), fx.fixture(s, d, "fx_previous")))
-_group("install_loan", "inst_loan", "SK_ID_PREV", lambda s, d: history.install_loan(fx.fixture(s, d, "fx_installments"), fx.INSTALLMENT_TIES))
-_group(
-    "install_client",
-    "inst_client",
-    "SK_ID_CURR",
-    lambda s, d: history.install_client(fx.fixture(s, d, "fx_installments"), fx.fixture(s, d, "fx_previous"), fx.INSTALLMENT_TIES),
-)
-_group("card_loan", "card_loan", "SK_ID_PREV", lambda s, d: history.card_loan(fx.fixture(s, d, "fx_credit_card"), fx.CARD_TIES))
-_group(
-    "card_client",
-    "card_client",
-    "SK_ID_CURR",
-    lambda s, d: history.card_client(fx.fixture(s, d, "fx_credit_card"), fx.fixture(s, d, "fx_previous"), fx.CARD_TIES),
-)
-
-
-@query(
-    "application_clean",
-    o.rounded(f"SELECT {', '.join(APP_CLEAN)}, split FROM app_clean", ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"], "app_clean"),
-)
-def _(s, d):
-    raw = app(s, d)
-    fitted = encode.fit_encoding(application.app_features(application.fix_anomalies(train_of(raw))))
-    # the split marker is not a feature, so the plan leaves it alone
-    return rounded(features.application_clean(raw, fitted).select(*APP_CLEAN, "split"), ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"])
-
-
-@query(
-    "build_features",
-    o.rounded(
-        "SELECT * EXCLUDE (MOSTLY_MISSING) REPLACE (CASE WHEN split = 'train' THEN TARGET END AS TARGET) FROM crossed",
-        ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"],
-        "crossed",
-    ),
-)
-def build_features(s: SparkSession, d: str) -> DataFrame:
-    config = features.FeatureConfig(installment_ties=fx.INSTALLMENT_TIES, card_ties=fx.CARD_TIES)
-    return rounded(
-        features.build_features(fx.tables(s, d), config).matrix, ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"]
-    )
-
-
-# ---- encoding -------------------------------------------------------------
-
-@query(
-    "encoding_policy",
-    o.sql(
-        "SELECT column_name, n_unique, CASE WHEN n_unique = 2 THEN 'label' WHEN column_name IN ('ORGANIZATION_TYPE', "
-        "'OCCUPATION_TYPE') THEN 'keep' WHEN n_unique <= 10 THEN 'one_hot' ELSE 'drop' END AS action FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM app_fixed" for c in _TEXTS
-        )
-        + ")",
-        "app_fixed",
-    ),
-)
-def _(s, d):
-    return encode.fit_encoding(application.fix_anomalies(app(s, d).drop("split"))).table(s)
-
-
-@query("label_encode", o.sql("SELECT SK_ID_CURR, CODE_GENDER, FLAG_OWN_CAR FROM app_clean", "app_clean"))
-def _(s, d):
-    clean = application.fix_anomalies(app(s, d)).select("SK_ID_CURR", "CODE_GENDER", "FLAG_OWN_CAR")
-    return encode.fit_encoding(clean).transform(clean)
-
-
-_SEGMENT_COLUMNS = [f"NAME_INCOME_TYPE_{s}" for s in o.SEGMENTS]
-
-
-@query("one_hot", o.sql(f"SELECT SK_ID_CURR, {', '.join(_SEGMENT_COLUMNS)} FROM app_clean", "app_clean"))
-def _(s, d):
-    df = app(s, d).select("SK_ID_CURR", "NAME_INCOME_TYPE")
-    return encode.fit_encoding(df).transform(df).select("SK_ID_CURR", *_SEGMENT_COLUMNS)
-
-
-@query(
-    "target_encode_full",
-    o.rounded(
-        "SELECT category, encoded, m AS global_mean FROM (" + _encoding_sql("TRUE") + ")", ["category"], "app_clean", digits=6
-    ),
-)
-def _(s, d):
-    df = columns.fill_category(app(s, d), ["ORGANIZATION_TYPE"])
-    fitted = target.target_encode_full(df, ["ORGANIZATION_TYPE"], "TARGET")
-    return rounded(
-        fitted.table.table.select("category", "encoded", F.lit(fitted.global_mean).alias("global_mean")), ["category"], 6
-    )
-
-
-def _fold_encoded(c: str) -> str:
-    """Encoding per category and held-out fold, from the rows outside that fold."""
-    return (
-        f"(SELECT x.category, k.fold, (sum(x.s) + any_value(k.m) * 10) / (sum(x.n) + 10) AS encoded FROM "
-        f"(SELECT {c} AS category, fold, sum(label) AS s, count(*) AS n FROM folded GROUP BY 1, 2) x "
-        f"JOIN outside k ON x.fold <> k.fold GROUP BY x.category, k.fold)"
-    )
-
-
-@query(
-    "target_encode_folds",
-    o.rounded(
-        "SELECT f.id, f.fold, coalesce(a.encoded, k.m) AS lang, coalesce(b.encoded, k.m) AS source FROM folded f "
-        "JOIN outside k ON f.fold = k.fold "
-        f"LEFT JOIN {_fold_encoded('lang')} a ON f.lang = a.category AND f.fold = a.fold "
-        f"LEFT JOIN {_fold_encoded('source')} b ON f.source = b.category AND f.fold = b.fold",
-        ["id", "fold"],
-        "folded",
-        "outside",
-        digits=6,
-    ),
-)
-def _(s, d):
-    folded = folds.stratified_folds(fx.fixture(s, d, "fx_scored"), "id", "label")
-    encoded = target.target_encode_folds(folded, ["lang", "source"], "label").out_of_fold(folded)
-    return rounded(encoded.select("id", "fold", "lang", "source"), ["id", "fold"], 6)
-
-
-# ---- evaluation -----------------------------------------------------------
-
-def _auc_sql(score: str, table: str, by: str = "") -> str:
-    part = f"PARTITION BY {by}" if by else ""
-    return f"""
-SELECT {by + ', ' if by else ''}(sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2.0E0)
-  / (sum(label) * sum(1 - label)) AS auc
-FROM (SELECT *, rank() OVER ({part} ORDER BY {score}) + (count(*) OVER ({'PARTITION BY ' + (by + ', ' if by else '') + score}) - 1) / 2.0E0 AS r
-  FROM {table}) {f'GROUP BY {by}' if by else ''}"""
-
-
-@query("auc", o.rounded(_auc_sql("score_a", "fx_scored"), [], "fx_scored", digits=8))
-def _(s, d):
-    return rounded(evaluate.auc(fx.fixture(s, d, "fx_scored"), "score_a", "label"), [], 8)
-
-
-@query(
-    "auc_by_fold",
-    o.rounded(
-        "SELECT fold, auc, avg(auc) OVER () AS mean_auc, stddev_pop(auc) OVER () AS std_auc FROM (" + _auc_sql("score_a", "folded", "fold") + ")",
-        ["fold"],
-        "folded",
-        digits=8,
-    ),
-)
-def _(s, d):
-    folded = folds.stratified_folds(fx.fixture(s, d, "fx_scored"), "id", "label")
-    return rounded(evaluate.auc_by_fold(folded, "score_a", "label", "fold"), ["fold"], 8)
-
-
-@query(
-    "compare_models",
-    o.rounded(
-        "SELECT a.auc AS champion_auc, b.auc AS challenger_auc, CASE WHEN b.auc - a.auc > 0.001 THEN 1 ELSE 0 END AS promote "
-        f"FROM ({_auc_sql('score_a', 'fx_scored')}) a, ({_auc_sql('score_b', 'fx_scored')}) b",
-        [],
-        "fx_scored",
-        digits=8,
-    ),
-)
-def _(s, d):
-    return rounded(evaluate.compare_models(fx.fixture(s, d, "fx_scored"), "score_b", "score_a", "label"), [], 8)
-
-
-_TIER_SQL = "CASE WHEN {0} < 0.05 THEN 'LOW' WHEN {0} < 0.15 THEN 'MEDIUM' WHEN {0} < 0.30 THEN 'HIGH' ELSE 'VERY_HIGH' END"
-
-
-@query("risk_tier", o.sql(f"SELECT id, {_TIER_SQL.format('score_a')} AS tier FROM fx_scored", "fx_scored"))
-def _(s, d):
-    return fx.fixture(s, d, "fx_scored").select("id", evaluate.risk_tier("score_a").alias("tier"))
-
-
-@query(
-    "baseline_probability",
-    o.sql("SELECT round(1 / (1 + exp(-avg(score_a * 4 - 3))), 6) AS baseline_probability FROM fx_scored", "fx_scored"),
-)
-def _(s, d):
-    return evaluate.baseline_probability(fx.fixture(s, d, "fx_scored"), F.col("score_a") * 4 - 3)
-
-
-@query(
-    "prediction_mean_check",
-    o.rounded(
-        "SELECT p AS predicted_mean, t AS train_mean, abs(p - t) AS difference, CASE WHEN abs(p - t) > 0.02 THEN 1 ELSE 0 END AS warning "
-        "FROM (SELECT avg(score_a) AS p, avg(label) AS t FROM fx_scored)",
-        [],
-        "fx_scored",
-        digits=6,
-    ),
-)
-def _(s, d):
-    scored = fx.fixture(s, d, "fx_scored")
-    return rounded(evaluate.prediction_mean_check(scored, "score_a", scored, "label"), [], 6)
-
-
-# Any fixed linear model will do for the check.
-WEIGHTS = {"EXT_SOURCE_MEAN": -3.0, "CREDIT_INCOME_RATIO": 0.01, "AGE_YEARS": -0.02, "EMPLOYED_YEARS": -0.015, "DEF_30_RATE": 0.4}
-MEANS = {"EXT_SOURCE_MEAN": 0.5, "CREDIT_INCOME_RATIO": 40.0, "AGE_YEARS": 43.0, "EMPLOYED_YEARS": 12.0}
-INTERCEPT = -1.75
-_RAW_SQL = f"{INTERCEPT}E0" + "".join(
-    f" + coalesce({w}E0 * ({c} - {MEANS.get(c, 0.0)}E0), 0)" for c, w in WEIGHTS.items()
-)
-_RAW_SQL = f"({_RAW_SQL})"
-_P_SQL = f"(1 / (1 + exp(-{_RAW_SQL})))"
-
-
-@query(
-    "logistic_score",
-    o.sql(
-        f"SELECT SK_ID_CURR, round({_P_SQL}, 6) AS default_probability, {_TIER_SQL.format(_P_SQL)} AS risk_tier FROM app_engineered",
-        "app_engineered",
-    ),
-)
-def _(s, d):
-    raw = evaluate.logistic_score(WEIGHTS, INTERCEPT, MEANS)
-    return evaluate.score_probability(engineered(s, d), raw).select("SK_ID_CURR", "default_probability", "risk_tier")
-
-
-def matrix(s: SparkSession, d: str) -> features.FeatureSet:
-    config = features.FeatureConfig(installment_ties=fx.INSTALLMENT_TIES, card_ties=fx.CARD_TIES)
-    return features.build_features(fx.tables(s, d), config)
-
-
-SHORT = training.TreeParams(trees=4, depth=3, learning_rate=0.2)
-
-
-@query("cv_train")
-def _(s, d):
-    built = matrix(s, d)
-    return training.cv_train(built.train, built.test, SHORT).oof
-
-
-@query("fit_final")
-def _(s, d):
-    return training.fit_final(matrix(s, d).train, SHORT).importance(s)
-
-
-@query("param_search")
-def _(s, d):
-    trials = [SHORT, training.TreeParams(trees=4, depth=2, learning_rate=0.3)]
-    return training.param_search(matrix(s, d).train, trials, k=2)
-
-
-@query("batch_score")
-def _(s, d):
-    built = matrix(s, d)
-    return training.fit_final(built.train, SHORT).score(built.matrix, "SK_ID_CURR", "split")
-
-
-# ---- explanations ---------------------------------------------------------
-
-def _embedded(s: SparkSession, d: str) -> DataFrame:
-    return fx.source(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-
-
-def _names():
-    return F.array(*[F.lit(x) for x in _DIMENSIONS])
-
-
-def _values():
-    return F.transform("embedding", lambda c, i: F.when(i % 7 != 0, c * 10))
-
-
-@query(
-    "explain_top_n",
-    o.sql(
-        "SELECT vec_id, CAST(rank AS INT) AS rank, feature, round(c, 6) AS contribution, "
-        "CASE WHEN c > 0 THEN 'increases_risk' ELSE 'decreases_risk' END AS direction, "
-        "CASE WHEN (i - 1) % 7 <> 0 THEN round(c * 10, 4) END AS feature_value FROM factors WHERE rank <= 10",
-        "factors",
-    ),
-)
-def _(s, d):
-    explained = explain.explain_top_n(_embedded(s, d), F.col("embedding"), _names(), _values(), 10)
-    return explained.select("vec_id", F.posexplode("top_features").alias("at", "f")).select(
-        "vec_id", (F.col("at") + 1).alias("rank"), "f.feature", "f.contribution", "f.direction", "f.feature_value"
-    )
-
-
-@query(
-    "mixed_signal_rows",
-    "SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS INT) AS n_positive, "
-    "CAST(len(list_filter(embedding, lambda x: x < 0)) AS INT) AS n_negative FROM embeddings "
-    "WHERE list_max(embedding) > 0.1 AND list_min(embedding) < -0.1",
-)
-def _(s, d):
-    return explain.mixed_signal_rows(_embedded(s, d), F.col("embedding")).select("vec_id", "n_positive", "n_negative")
-
-
-def _text_sql(x: str, digits: int) -> str:
-    t = f"rtrim(CAST(CAST(round({x}, {digits}) AS DECIMAL(30, {digits})) AS VARCHAR), '0')"
-    return f"(CASE WHEN {t} LIKE '%.' THEN {t} || '0' ELSE {t} END)"
-
-
-@query(
-    "render_explanation",
-    o.sql(
-        f"""
-SELECT vec_id, 'Assessment summary:' || chr(10) || '- Default probability: ' || {_text_sql('p * 100', 2)} ||
-  '% (population baseline: 8.07%)' || chr(10) || '- Risk tier: ' || tier || chr(10) || chr(10) ||
-  'Top factors driving this assessment:' || chr(10) || lines AS explanation,
-  'This application has a ' || {_text_sql('p * 100', 2)} || '% estimated default probability and is classified as ' ||
-  tier || ' risk. Narrative explanation unavailable.' AS fallback
-FROM (SELECT vec_id, p, {_TIER_SQL.format('p')} AS tier FROM
-   (SELECT vec_id, 1 / (1 + exp(-CAST(embedding[1] AS DOUBLE))) AS p FROM embeddings))
-JOIN (SELECT vec_id, string_agg('  - ' || feature || ': ' || CASE WHEN c > 0 THEN 'increases' ELSE 'decreases' END ||
-   ' default risk (value: ' || coalesce(CASE WHEN (i - 1) % 7 <> 0 THEN {_text_sql('c * 10', 4)} END, 'unknown') ||
-   '), SHAP impact: ' || {_text_sql('round(c, 6)', 3)}, chr(10) ORDER BY rank) AS lines
-  FROM factors WHERE rank <= 5 GROUP BY vec_id) USING (vec_id)""",
-        "factors",
-    ),
-)
-def _(s, d):
-    p = evaluate.sigmoid(F.get("embedding", F.lit(0)))
-    factors = explain.top_factors(F.col("embedding"), _names(), _values(), 5)
-    out = explain.render_explanation(_embedded(s, d), p, F.lit(0.0807), evaluate.risk_tier(p), factors)
-    return out.select("vec_id", "explanation", "fallback")
-
-
-# ---- requests -------------------------------------------------------------
-
-FIELDS = quality.request_fields(["buro_loan_count"])
-_DEFAULTED = ["CNT_CHILDREN", "REGION_RATING_CLIENT", "AMT_ANNUITY", "NAME_CONTRACT_TYPE", "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_21", "buro_loan_count"]
-
-
-@query(
-    "apply_defaults",
-    o.sql(
-        "SELECT SK_ID_CURR, CAST(coalesce(CNT_CHILDREN, 0) AS INT) AS CNT_CHILDREN, "
-        "CAST(coalesce(REGION_RATING_CLIENT, 2) AS INT) AS REGION_RATING_CLIENT, AMT_ANNUITY, NAME_CONTRACT_TYPE, "
-        "CAST(FLAG_DOCUMENT_2 AS INT) AS FLAG_DOCUMENT_2, CAST(NULL AS INT) AS FLAG_DOCUMENT_21, "
-        "CAST(NULL AS DOUBLE) AS buro_loan_count FROM fx_requests",
-        "fx_requests",
-    ),
-)
-def _(s, d):
-    out = quality.apply_defaults(fx.fixture(s, d, "fx_requests"), FIELDS, ["SK_ID_CURR"])
-    return out.select("SK_ID_CURR", *_DEFAULTED)
-
-
-_VIOLATIONS_SQL = (
-    "SELECT SK_ID_CURR, concat_ws(';', "
-    "CASE WHEN NAME_CONTRACT_TYPE IS NULL THEN 'NAME_CONTRACT_TYPE missing' END, "
-    "CASE WHEN AMT_CREDIT <= 0 THEN 'AMT_CREDIT > 0' END, "
-    "CASE WHEN AMT_INCOME_TOTAL <= 0 THEN 'AMT_INCOME_TOTAL > 0' END, "
-    "CASE WHEN AMT_GOODS_PRICE <= 0 THEN 'AMT_GOODS_PRICE > 0' END, "
-    "CASE WHEN CNT_CHILDREN < 0 THEN 'CNT_CHILDREN >= 0' END, "
-    "CASE WHEN CNT_FAM_MEMBERS < 1 THEN 'CNT_FAM_MEMBERS >= 1' END, "
-    "CASE WHEN DAYS_BIRTH >= 0 THEN 'DAYS_BIRTH < 0' END, "
-    "CASE WHEN NAME_INCOME_TYPE IS NULL THEN 'NAME_INCOME_TYPE missing' END, "
-    "CASE WHEN EXT_SOURCE_1 > 1 THEN 'EXT_SOURCE_1 <= 1' END, "
-    "CASE WHEN REGION_RATING_CLIENT > 3 THEN 'REGION_RATING_CLIENT <= 3' END) AS violations FROM fx_requests"
-)
-
-
-@query(
-    "validate_rules",
-    o.sql(
-        f"SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN 1 ELSE 0 END AS valid FROM ({_VIOLATIONS_SQL})",
-        "fx_requests",
-    ),
-)
-def _(s, d):
-    checked = quality.validate_rules(
-        quality.apply_defaults(fx.fixture(s, d, "fx_requests"), FIELDS, ["SK_ID_CURR"]), FIELDS
-    )
-    return checked.select(
-        "SK_ID_CURR", F.array_join("violations", ";").alias("violations"), F.col("valid").cast("int").alias("valid")
-    )
-
-
-_IN_TRAIN = "split = 'train'"
-_REQUEST_RAW = (
-    f"({INTERCEPT}E0 + coalesce({WEIGHTS['EXT_SOURCE_MEAN']}E0 * (list_avg([EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3]) - {MEANS['EXT_SOURCE_MEAN']}E0), 0) "
-    f"+ coalesce({WEIGHTS['CREDIT_INCOME_RATIO']}E0 * ({o.ratio('AMT_CREDIT', 'AMT_INCOME_TOTAL')} - {MEANS['CREDIT_INCOME_RATIO']}E0), 0) "
-    f"+ coalesce({WEIGHTS['AGE_YEARS']}E0 * (-DAYS_BIRTH / 365.0E0 - {MEANS['AGE_YEARS']}E0), 0) "
-    f"+ coalesce({WEIGHTS['EMPLOYED_YEARS']}E0 * (-nullif(DAYS_EMPLOYED, 365243) / 365.0E0 - {MEANS['EMPLOYED_YEARS']}E0), 0))"
-)
-_REQUEST_P = f"(1 / (1 + exp(-{_REQUEST_RAW})))"
-
-
-@query(
-    "score_stream",
-    o.sql(
-        f"SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN round({_REQUEST_P}, 6) END AS default_probability, "
-        f"CASE WHEN violations = '' THEN {_TIER_SQL.format(_REQUEST_P)} END AS risk_tier "
-        f"FROM fx_requests JOIN ({_VIOLATIONS_SQL}) USING (SK_ID_CURR)",
-        "fx_requests",
-    ),
-)
-def _(s, d):
-    """All requests as JSON lines through the stream, then its output table."""
-    folder = f"{sinks.work_folder(s)}/requests-{uuid.uuid4().hex}"
-    fx.fixture(s, d, "fx_requests").select(F.to_json(F.struct("*")).alias("value")).write.text(f"{folder}/in")
-
-    def scorer(valid: DataFrame) -> DataFrame:
-        raw = evaluate.logistic_score(WEIGHTS, INTERCEPT, MEANS)
-        return evaluate.score_probability(application.app_features(application.fix_anomalies(valid)), raw)
-
-    lines = score.read_requests(s, f"{folder}/in")
-    score.score_stream(lines, FIELDS, scorer, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
-    return s.read.parquet(f"{folder}/out").select(
-        "SK_ID_CURR", F.array_join("violations", ";").alias("violations"), "default_probability", "risk_tier"
-    )
-
-
-_SERVED = [c for c in APP_CLEAN if c not in ("SK_ID_CURR", "TARGET")] + ["buro_loan_count"]
-
-
-@query(
-    "serving_encode",
-    o.rounded(
-        "SELECT a.SK_ID_CURR, a.* EXCLUDE (SK_ID_CURR, TARGET, split, ORGANIZATION_TYPE), coalesce(e.encoded, "
-        "(SELECT avg(TARGET) FROM app_clean WHERE split = 'train')) AS ORGANIZATION_TYPE, NULL AS buro_loan_count "
-        f"FROM app_clean a LEFT JOIN ({_encoding_sql(_IN_TRAIN)}) e ON a.ORGANIZATION_TYPE = e.category",
-        ["SK_ID_CURR"],
-        "app_clean",
-    ),
-)
-def _(s, d):
-    raw = app(s, d)
-    fitted = encode.fit_encoding(application.app_features(application.fix_anomalies(train_of(raw))))
-    train = features.application_clean(train_of(raw), fitted)
-    encoder = target.target_encode_full(train, ["ORGANIZATION_TYPE"], "TARGET")
-    return rounded(quality.serving_encode(raw.drop("split", "TARGET"), fitted, _SERVED, encoder, ["SK_ID_CURR"]), ["SK_ID_CURR"])
-
-
-# ---- drift ----------------------------------------------------------------
-
-_WATCHED = ["value", "user_number", "clean_value"]
-_WATCHED_TEXT = ["event_type", "level"]
-_SHIFTED = sorted(_WATCHED, key=lambda c: hashlib.md5(f"{c}:0".encode()).hexdigest())[0]
-
-
-def _sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Events before and since the middle of the month, the latter with one column shifted."""
-    df = events(s, d)
-    current = df.where("period = 'current'")
-    return df.where("period = 'reference'"), drift.inject_drift(current, _WATCHED)
-
-
-_SHIFTED_SQL = (
-    f"SELECT * REPLACE (CASE WHEN period = 'current' THEN {_SHIFTED} + 1.5E0 * (SELECT stddev_samp({_SHIFTED}) FROM fx_events "
-    f"WHERE period = 'current') ELSE {_SHIFTED} END AS {_SHIFTED}) FROM fx_events"
-)
-
-
-@query("inject_drift", o.rounded(f"SELECT event_id, {', '.join(_WATCHED)} FROM ({_SHIFTED_SQL})", ["event_id"], "fx_events"))
-def _(s, d):
-    reference, current = _sides(s, d)
-    return rounded(reference.unionByName(current).select("event_id", *_WATCHED), ["event_id"])
-
-
-_NUMERIC_SQL = f"""
-SELECT feature, n_ref, n_cur, ks AS ks_statistic,
-  CASE WHEN lam < 0.2 THEN 1.0E0 ELSE least(1.0E0, greatest(0.0E0, 2 * list_sum(list_transform(range(1, 101),
-    lambda j: (CASE WHEN j % 2 = 1 THEN 1.0E0 ELSE -1.0E0 END) * exp(-2.0E0 * lam * lam * j * j))))) END AS ks_p,
-  distance / greatest(std, 0.001E0) AS wasserstein, mean_cur - mean_ref AS mean_shift,
-  CASE WHEN distance / greatest(std, 0.001E0) >= 0.1 THEN 1 ELSE 0 END AS drifted
-FROM (SELECT *, (sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur)) + 0.12E0 + 0.11E0 / sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur))) * ks AS lam
-  FROM (SELECT feature, max(abs(f - g)) AS ks, sum(abs(f - g) * width) AS distance FROM
-    (SELECT feature, sum(r) OVER w * 1.0E0 / sum(r) OVER (PARTITION BY feature) AS f,
-       sum(c) OVER w * 1.0E0 / sum(c) OVER (PARTITION BY feature) AS g,
-       coalesce(lead(v) OVER (PARTITION BY feature ORDER BY v) - v, 0) AS width
-     FROM (SELECT feature, v, count(*) FILTER (WHERE period = 'reference') AS r, count(*) FILTER (WHERE period = 'current') AS c
-           FROM long GROUP BY feature, v)
-     WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)) GROUP BY feature)
-  JOIN (SELECT feature, count(*) FILTER (WHERE period = 'reference') AS n_ref, count(*) FILTER (WHERE period = 'current') AS n_cur,
-      avg(v) FILTER (WHERE period = 'reference') AS mean_ref, avg(v) FILTER (WHERE period = 'current') AS mean_cur,
-      stddev_pop(v) FILTER (WHERE period = 'reference') AS std FROM long GROUP BY feature) USING (feature))"""
-_LONG = f"(SELECT * FROM (SELECT period, {', '.join(_WATCHED)} FROM ({_SHIFTED_SQL})) UNPIVOT (v FOR feature IN ({', '.join(_WATCHED)})))"
-
-
-@query("drift_numeric", o.rounded(_NUMERIC_SQL.replace("FROM long", f"FROM {_LONG}"), ["feature"], "fx_events", digits=6))
-def _(s, d):
-    return rounded(drift.drift_numeric(*_sides(s, d), _WATCHED), ["feature"], 6)
-
-
-_CATEGORY_SQL = f"""
-SELECT feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, count(*) AS n_categories,
-  sum(CASE WHEN r > 0 THEN power(c - r * n_cur * 1.0E0 / n_ref, 2) / (r * n_cur * 1.0E0 / n_ref) END) AS chi_square,
-  sqrt(greatest(0, sum(coalesce(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) END, 0) + coalesce(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) END, 0)) / 2)) AS jensen_shannon,
-  count(*) FILTER (WHERE r = 0 AND c > 0) AS new_categories, count(*) FILTER (WHERE r > 0 AND c = 0) AS lost_categories
-FROM (SELECT *, r * 1.0E0 / n_ref AS p, c * 1.0E0 / n_cur AS q FROM
-  (SELECT *, sum(r) OVER (PARTITION BY feature) AS n_ref, sum(c) OVER (PARTITION BY feature) AS n_cur FROM
-    (SELECT feature, v, count(*) FILTER (WHERE period = 'reference') AS r, count(*) FILTER (WHERE period = 'current') AS c
-     FROM (SELECT * FROM (SELECT period, event_type, level FROM fx_events) UNPIVOT (v FOR feature IN (event_type, level)))
-     GROUP BY feature, v))) GROUP BY feature"""
-
-
-@query("drift_categorical", o.rounded(f"SELECT *, CASE WHEN jensen_shannon >= 0.1 THEN 1 ELSE 0 END AS drifted FROM ({_CATEGORY_SQL})", ["feature"], "fx_events", digits=6))
-def _(s, d):
-    return rounded(drift.drift_categorical(*_sides(s, d), _WATCHED_TEXT, p_values=False), ["feature"], 6)
-
-
-@query("drift_categorical_tests")
-def _(s, d):
-    return drift.drift_categorical(*_sides(s, d), _WATCHED_TEXT, test="chisquare")
-
-
-_MISSING_SQL = " + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0E0 ELSE 0.0E0 END)" for c in _WATCHED + _WATCHED_TEXT)
-
-
-@query(
-    "drift_summary",
-    o.sql(
-        "SELECT round(n_drifted * 1.0E0 / n_features, 4) AS share_drifted_features, CAST(n_drifted AS BIGINT) AS n_drifted_features, "
-        "n_features AS n_total_features, CASE WHEN n_drifted * 1.0E0 / n_features > 0.5 THEN 1 ELSE 0 END AS dataset_drift_detected, "
-        + ", ".join(
-            f"(SELECT round(({_MISSING_SQL}) / {len(_WATCHED + _WATCHED_TEXT)}, 4) FROM fx_events WHERE period = '{p}') "
-            f"AS share_missing_values_{p}"
-            for p in ("current", "reference")
-        )
-        + " FROM (SELECT sum(drifted) AS n_drifted, count(*) AS n_features FROM (SELECT drifted FROM ("
-        + _NUMERIC_SQL.replace("FROM long", f"FROM {_LONG}")
-        + f") UNION ALL SELECT CASE WHEN jensen_shannon >= 0.1 THEN 1 ELSE 0 END FROM ({_CATEGORY_SQL})))",
-        "fx_events",
-    ),
-)
-def _(s, d):
-    reference, current = _sides(s, d)
-    found = drift.drift_numeric(reference, current, _WATCHED).select("feature", "drifted").unionByName(
-        drift.drift_categorical(reference, current, _WATCHED_TEXT, p_values=False).select("feature", "drifted")
-    )
-    return drift.drift_summary(found, reference, current, _WATCHED + _WATCHED_TEXT)
+__all__ = ["INTERCEPT", "MEANS", "ORACLES", "QUERIES", "WEIGHTS", "build_features"]
