@@ -6,6 +6,8 @@ have no history and missing keys occur.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 SOURCES = ("customer", "nation", "orders", "lineitem", "events", "documents", "labels", "embeddings", "part")
@@ -132,7 +134,9 @@ def duck_sql(name: str) -> str:
     return _render(name, _DUCK_DAYS)
 
 
+@cache
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

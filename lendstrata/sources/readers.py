@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lendstrata.operators.application import fix_anomalies
 from lendstrata.sources.schemas import FILES, TABLES
+from lendstrata.sources.sinks import sink_parquet
 
 
 def csv_schema(spark: SparkSession, path: str, known: dict[str, T.DataType]) -> T.StructType:
@@ -45,15 +46,32 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def load_tables(
     spark: SparkSession, folder: str, files: dict[str, str] | None = None, clean: bool = True
 ) -> dict[str, DataFrame]:
-    """All eight inputs by name; the two application tables come with their anomalies cleaned."""
-    files = {**FILES, **(files or {})}
-    tables = {name: scan_csv_typed(spark, f"{folder}/{file}", name) for name, file in files.items()}
+    """All eight inputs by name; the two application tables come with their anomalies cleaned.
+
+    ``files`` names other CSV files, or Parquet tables by their ``.parquet`` ending.
+    """
+    tables = {}
+    for name, file in {**FILES, **(files or {})}.items():
+        path = f"{folder}/{file}"
+        tables[name] = scan_parquet(spark, path) if file.endswith(".parquet") else scan_csv_typed(spark, path, name)
     if clean:
         for name in ("application_train", "application_test"):
             tables[name] = fix_anomalies(tables[name])
     return tables
 
 
+def convert_tables(spark: SparkSession, csv_folder: str, parquet_folder: str) -> dict[str, str]:
+    """Store the raw CSV inputs as typed Parquet once; returns the ``files`` to load them by.
+
+    Worth it for large inputs: later scans read only the columns they use, and the passes that look
+    for hot keys read a single one.
+    """
+    files = {name: f"{name}.parquet" for name in FILES}
+    for name, df in load_tables(spark, csv_folder, clean=False).items():
+        sink_parquet(df, f"{parquet_folder}/{files[name]}")
+    return files
+
+
 def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan; a column list is pushed into the read schema."""
     df = spark.read.parquet(path)

@@ -43,6 +43,11 @@ def test_scan_reads_only_what_is_used(spark):
     assert "l_comment" not in months and "l_extendedprice" not in months
 
 
+@pytest.mark.parametrize("name", ["sample_n", "top_n_importance"])
+def test_top_rows_are_kept_while_scanning(spark, name):
+    assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, SF))
+
+
 def test_recent_filter_reaches_the_scan(spark):
     df = fx.source(spark, SF, "orders").where("o_totalprice > 1000")
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in plan(df)

@@ -50,6 +50,10 @@ def test_load_tables(spark, tmp_path):
     assert "TARGET" not in tables["application_test"].columns
     row = tables["application_train"].first()
     assert row["CODE_GENDER"] is None and row["DAYS_EMPLOYED_ANOMALY"] == 0
+    files = readers.convert_tables(spark, str(tmp_path), f"{tmp_path}/typed")
+    again = readers.load_tables(spark, f"{tmp_path}/typed", files)
+    assert {n: t.dtypes for n, t in again.items()} == {n: t.dtypes for n, t in tables.items()}
+    assert again["application_train"].first() == row
 
 
 def test_feature_set_round_trip(spark, tmp_path):
