@@ -18,6 +18,9 @@ from lendstrata.sources.sinks import materialize
 BROADCAST_ROWS = 100_000
 HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
+MAX_PIECES = 20_000  # over all hot keys, so that their split points stay a small broadcast
+POINTS_PER_PIECE = 20
+_BLOCK = 64
 
 
 @dataclass
@@ -38,6 +41,19 @@ def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
     return Lookup(stored, stored.count() <= max_rows)
 
 
+def every_block(values: str) -> Column:
+    """The first value of each block of a sorted array."""
+    return F.filter(values, lambda v, i: i % _BLOCK == 0)
+
+
+def count_below(values: Column | str, heads: Column | str, x: Column) -> Column:
+    """How many values of a sorted array are below x: one scan of the block heads, one of a block."""
+    blocks = F.size(F.filter(heads, lambda v: v < x))
+    start = (blocks - 1) * _BLOCK
+    in_block = F.size(F.filter(F.slice(values, F.greatest(start, F.lit(0)) + 1, _BLOCK), lambda v: v < x))
+    return F.when(blocks == 0, F.lit(0)).otherwise(start + in_block)
+
+
 def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys, maybe with a few more, that hold at least ``share`` of the table.
 
@@ -89,20 +105,21 @@ def _lag(df: DataFrame, key: str, order: list[str], value: str, out: str, hot: d
         return df.withColumn(out, F.when(F.col(key).isNotNull(), before))
 
     position = F.struct(*order)
-    pieces = {k: min(256, ceil(n / hot_rows) + 1) for k, n in hot.items()}
-    per_piece = 20
-    share = min(1.0, per_piece * sum(pieces.values()) / sum(hot.values()))
+    total = sum(hot.values())
+    pieces = ceil(total / max(hot_rows, total / MAX_PIECES)) + len(hot)
+    share = min(1.0, POINTS_PER_PIECE * pieces / total)
     splits = lookup(
         df.where(F.col(key).isin(list(hot)))
         .sample(share, seed=7)
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(position)).alias("_points"))
-        .select(key, F.expr(f"filter(_points, (p, i) -> i % {per_piece} = 0)").alias("_splits"))
+        .select(key, F.filter("_points", lambda p, i: i % POINTS_PER_PIECE == 0).alias("_splits"))
+        .select(key, "_splits", every_block("_splits").alias("_heads"))
     )
     rows = (
         df.join(splits.side(), key, "left")
-        .withColumn("_piece", F.coalesce(F.size(F.filter("_splits", lambda s: s < position)), F.lit(0)))
-        .drop("_splits")
+        .withColumn("_piece", F.coalesce(count_below("_splits", "_heads", position), F.lit(0)))
+        .drop("_splits", "_heads")
     )
     in_piece = Window.partitionBy(key, "_piece").orderBy(*order)
     tails = (
@@ -147,12 +164,16 @@ def running(
 
     buckets = _bucket_count(stored)
     cuts = F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000)
-    bounds = lookup(stored.groupBy(*group).agg(cuts.alias("_cuts")), BROADCAST_ROWS // buckets)
+    bounds = lookup(
+        stored.groupBy(*group).agg(cuts.alias("_cuts")).select(*group, "_cuts", every_block("_cuts").alias("_heads")),
+        BROADCAST_ROWS // buckets,
+    )
     if group:
         with_cuts = stored.join(bounds.side(), group, "left")
     else:
-        with_cuts = stored.withColumn("_cuts", F.array(*[F.lit(v) for v in bounds.table.first()[0]]))
-    placed = with_cuts.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+        one = bounds.table.first()
+        with_cuts = stored.withColumns({c: F.array(*[F.lit(v) for v in one[c]]) for c in ("_cuts", "_heads")})
+    placed = with_cuts.withColumn("_bucket", count_below("_cuts", "_heads", F.col(value))).drop("_cuts", "_heads")
     totals = placed.groupBy(*group, "_bucket").agg(
         *[F.sum(m).alias(m) for m in measures], F.min(value).alias("_first")
     )

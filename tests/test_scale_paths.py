@@ -43,6 +43,28 @@ def test_lag_does_not_depend_on_partitions(skewed):
     assert run(skewed) == run(skewed.repartition(11, "tie"))
 
 
+def test_count_below(spark):
+    """Against a plain scan, for arrays shorter and longer than a block."""
+    rng = random.Random(2)
+    rows = []
+    for n in (0, 1, 63, 64, 65, 128, 300):
+        values = sorted(rng.randrange(100) for _ in range(n))
+        rows += [(values, x, sum(v < x for v in values)) for x in (-1, 0, 13, 50, 99, 100, *values[:3])]
+    df = spark.createDataFrame(rows, "v array<int>, x int, want int")
+    got = df.withColumn("h", ordered.every_block("v")).select(ordered.count_below("v", "h", F.col("x")).alias("got"), "want")
+    assert got.where("got IS DISTINCT FROM want").count() == 0
+
+
+def test_many_pieces(spark):
+    """One key only, cut into several blocks of pieces."""
+    df = spark.range(8000).select(
+        F.lit(1).alias("k"), (F.col("id") % 90).alias("month"), F.xxhash64("id").alias("tie"), F.rand(1).alias("v")
+    ).repartition(3).cache()
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("month", "tie")))
+    cut = lag_within(df, "k", ["month", "tie"], "v", "p", hot_rows=20)
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_rows_without_a_key_have_no_previous_value(spark, skewed):
     for share in (0.3, 0.001):
         df = skewed.withColumn("k", F.when(F.col("tie") % 1000 >= 1000 * share, F.col("k")))
