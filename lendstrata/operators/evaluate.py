@@ -41,7 +41,10 @@ def auc_by_fold(df: DataFrame, score: str, label: str, fold: str, **options) ->
     folds = auc(df, score, label, [fold], **options)
     overall = folds.agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"))
     return folds.select(
-        fold, "auc", overall.select("mean_auc").scalar().alias("mean_auc"), overall.select("std_auc").scalar().alias("std_auc")
+        fold,
+        "auc",
+        overall.select("mean_auc").scalar().alias("mean_auc"),
+        overall.select("std_auc").scalar().alias("std_auc"),
     )
 
 

@@ -35,7 +35,9 @@ class FeatureConfig:
     card_ties: list[str] | None = None
 
 
-def application_clean(df: DataFrame, plan: EncodingPlan | None = None, high_cardinality: list[str] | None = None) -> DataFrame:
+def application_clean(
+    df: DataFrame, plan: EncodingPlan | None = None, high_cardinality: list[str] | None = None
+) -> DataFrame:
     """Clean, engineer, encode and rename one application table; fits the encoding if none is given."""
     engineered = app_features(fix_anomalies(df))
     return (plan or fit_encoding(engineered, high_cardinality)).transform(engineered)
