@@ -5,9 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalog import queries as catalog
 from compare import connect, difference
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 SLOW = {"cv_train", "fit_final", "param_search", "batch_score"}
 DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 
