@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.llm import quality, toxicity
+from lendstrata.llm import exact, lines, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,35 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.group_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.page_lines(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op4_line_dedup"] = lines.ORACLE
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_ids(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_mixing"] = mixing.ORACLE
