@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.llm import chat, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
+from lendstrata.llm import bpe, chat, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search_hundredths(table(spark, sf_dir, "embeddings"))
