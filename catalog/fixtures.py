@@ -47,7 +47,7 @@ SELECT o_orderkey AS SK_ID_PREV, CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_c
        WHEN o_orderstatus = 'O' THEN 'Refused' ELSE 'Canceled' END AS NAME_CONTRACT_STATUS,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'HC' WHEN o_orderpriority = '2-HIGH' THEN 'SCOFR' ELSE 'XAP' END
     AS CODE_REJECT_REASON,
-  DAYDIFF(o_orderdate) AS DAYS_DECISION,
+  CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE DAYDIFF(o_orderdate) END AS DAYS_DECISION,
   CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN 0.0E0 ELSE o_totalprice END AS AMT_APPLICATION,
   CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_totalprice * 0.9E0 END AS AMT_CREDIT,
   o_totalprice / 12.0E0 AS AMT_ANNUITY, o_orderkey % 48 AS CNT_PAYMENT,
@@ -101,6 +101,9 @@ FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
 SELECT event_id, event_type, user_id, value, CAST(user_id AS DOUBLE) AS user_number,
   CASE WHEN event_type = 'error' THEN NULL ELSE value * 2 END AS clean_value,
   CASE WHEN value < 20 THEN 'low' ELSE 'high' END AS level,
+  CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN value END AS gone_number,
+  CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN NULL ELSE event_type END AS new_text,
+  CAST(NULL AS DOUBLE) AS never_number, CAST(NULL AS VARCHAR(9)) AS never_text,
   CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'reference' ELSE 'current' END AS period
 FROM events""",
 }
@@ -110,10 +113,11 @@ SELECT SK_ID_CURR, CASE WHEN SK_ID_CURR % 40 = 0 THEN NULL ELSE 'Cash loans' END
   CASE WHEN SK_ID_CURR % 30 = 0 THEN -1000.0E0 ELSE AMT_CREDIT END AS AMT_CREDIT, AMT_INCOME_TOTAL - 500 AS AMT_INCOME_TOTAL,
   AMT_ANNUITY, AMT_GOODS_PRICE, CODE_GENDER, FLAG_OWN_CAR, 'Y' AS FLAG_OWN_REALTY,
   CASE WHEN SK_ID_CURR % 4 = 0 THEN NULL WHEN SK_ID_CURR % 33 = 0 THEN -1 ELSE SK_ID_CURR % 3 END AS CNT_CHILDREN,
-  CNT_FAM_MEMBERS, CASE WHEN SK_ID_CURR % 41 = 0 THEN 5 ELSE DAYS_BIRTH END AS DAYS_BIRTH, DAYS_EMPLOYED, NAME_INCOME_TYPE,
+  CASE WHEN SK_ID_CURR % 37 = 0 THEN 'many' ELSE CAST(CNT_FAM_MEMBERS AS VARCHAR(9)) END AS CNT_FAM_MEMBERS,
+  CASE WHEN SK_ID_CURR % 41 = 0 THEN 5 ELSE DAYS_BIRTH END AS DAYS_BIRTH, DAYS_EMPLOYED, NAME_INCOME_TYPE,
   'Higher education' AS NAME_EDUCATION_TYPE, 'Married' AS NAME_FAMILY_STATUS, 'House / apartment' AS NAME_HOUSING_TYPE,
   EXT_SOURCE_1 * 1.05E0 AS EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3,
-  CASE WHEN SK_ID_CURR % 7 = 0 THEN NULL ELSE SK_ID_CURR % 4 + 1 END AS REGION_RATING_CLIENT,
+  CASE WHEN SK_ID_CURR % 7 = 0 THEN NULL WHEN SK_ID_CURR % 43 = 0 THEN 1.5E0 ELSE SK_ID_CURR % 4 + 1 END AS REGION_RATING_CLIENT,
   FLAG_DOCUMENT_2, ORGANIZATION_TYPE, NAME_FREE_TEXT AS NOT_A_FIELD
 FROM ({_VIEWS["fx_application"]})"""
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalog import fixtures as fx
 from catalog import oracle as o
 from catalog.registry import (
+    APP_CLEAN,
     DIMENSIONS,
     INTERCEPT,
     MEANS,
@@ -22,7 +23,7 @@ from catalog.registry import (
     rounded,
 )
 from lendstrata.operators import application, columns, encode, evaluate, explain, folds, target
-from lendstrata.plans import training
+from lendstrata.plans import scoring, training
 
 
 # ---- encoding -------------------------------------------------------------
@@ -191,30 +192,61 @@ def _(s, d):
     return evaluate.score_probability(engineered(s, d), raw).select("SK_ID_CURR", "default_probability", "risk_tier")
 
 
-SHORT = training.TreeParams(trees=4, depth=3, learning_rate=0.2)
-
-
-@query("cv_train")
+# Scores of boosted trees have no SQL; what is certain about each result has: its rows, folds, features and ranges.
+@query(
+    "cv_train",
+    o.sql(
+        "SELECT SK_ID_CURR, TARGET, CAST((row_number() OVER (PARTITION BY TARGET ORDER BY md5(concat_ws(':', CAST(SK_ID_CURR AS VARCHAR), '42')), SK_ID_CURR) - 1) % 5 "
+        "AS INT) AS fold, 1 AS in_range FROM fx_application WHERE split = 'train'",
+        "fx_application",
+    ),
+)
 def _(s, d):
     built = matrix(s, d)
-    return training.cv_train(built.train, built.test, SHORT).oof
+    oof = training.cv_train(built.train, built.test).oof
+    return oof.select("SK_ID_CURR", "TARGET", "fold", F.col("oof_pred").between(0, 1).cast("int").alias("in_range"))
 
 
-@query("fit_final")
+@query(
+    "fit_final",
+    o.sql(
+        f"SELECT unnest([{', '.join(repr(c) for c in APP_CLEAN if c not in ('SK_ID_CURR', 'TARGET', 'MOSTLY_MISSING'))}]) AS feature, "
+        "1 AS sums_to_one, 0 AS negative"
+    ),
+)
 def _(s, d):
-    return training.fit_final(matrix(s, d).train, SHORT).importance(s)
+    """Importances of the application's features; those of all features add up to 1."""
+    found = training.fit_final(matrix(s, d).train).importance(s)
+    total = found.agg((F.abs(F.sum("importance") - 1) < 1e-6).cast("int")).scalar()
+    negative = found.agg(F.count_if(F.col("importance") < 0)).scalar()
+    return found.where(F.col("feature").isin(APP_CLEAN)).select(
+        "feature", total.alias("sums_to_one"), negative.alias("negative")
+    )
 
 
-@query("param_search")
+@query(
+    "param_search",
+    "SELECT * FROM (VALUES (0, 50, 5, 1), (1, 50, 3, 1)) AS t(trial, trees, depth, in_range)",
+)
 def _(s, d):
-    trials = [SHORT, training.TreeParams(trees=4, depth=2, learning_rate=0.3)]
-    return training.param_search(matrix(s, d).train, trials, k=2)
+    trials = [training.TreeParams(), training.TreeParams(depth=3)]
+    found = training.param_search(matrix(s, d).train, trials)
+    return found.select("trial", "trees", "depth", F.col("auc").between(0, 1).cast("int").alias("in_range"))
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    o.sql("SELECT SK_ID_CURR, split, 1 AS in_range, 1 AS tier_fits FROM fx_application", "fx_application"),
+)
 def _(s, d):
     built = matrix(s, d)
-    return training.fit_final(built.train, SHORT).score(built.matrix, "SK_ID_CURR", "split")
+    scored = training.fit_final(built.train).score(built.matrix, "SK_ID_CURR", "split")
+    p = F.col("default_probability")
+    near = F.lit(False)
+    for limit in (0.05, 0.15, 0.30):  # the tier is that of the unrounded probability
+        near = near | (F.abs(p - limit) <= 1e-6)
+    fits = (evaluate.risk_tier("default_probability") == F.col("risk_tier")) | near
+    return scored.select("SK_ID_CURR", "split", p.between(0, 1).cast("int").alias("in_range"), fits.cast("int").alias("tier_fits"))
 
 
 # ---- explanations ---------------------------------------------------------
@@ -247,6 +279,47 @@ def _(s, d):
     )
 
 
+_CONTRIBUTIONS = ", ".join(f"{w}E0 * ({c} - {MEANS.get(c, 0.0)}E0)" for c, w in WEIGHTS.items())
+_FEATURES_SQL = ", ".join(f"'{c}'" for c in WEIGHTS)
+
+
+@query(
+    "explain_all_factors",
+    o.sql(
+        "SELECT vec_id, CAST(rank AS INT) AS rank, feature, round(c, 6) AS contribution FROM factors", "factors"
+    ),
+)
+def _(s, d):
+    explained = explain.explain_top_n(_embedded(s, d), F.col("embedding"), _names(), _values(), len(DIMENSIONS))
+    return explained.select("vec_id", F.posexplode("top_features").alias("at", "f")).select(
+        "vec_id", (F.col("at") + 1).alias("rank"), "f.feature", "f.contribution"
+    )
+
+
+@query(
+    "explain_scores",
+    o.sql(
+        f"SELECT SK_ID_CURR, round({_P_SQL}, 6) AS default_probability, {TIER_SQL.format(_P_SQL)} AS risk_tier, CAST(r AS INT) AS rank, "
+        "f[i] AS feature, round(c[i], 6) AS contribution, round(b, 6) AS baseline FROM (SELECT *, unnest(CASE WHEN len(ranks) > 0 THEN ranks END) AS i, "
+        "generate_subscripts(ranks, 1) AS r FROM (SELECT *, list_transform(list_slice(list_sort(list_transform(list_filter(range(1, "
+        f"{len(WEIGHTS) + 1}), lambda j: c[j] IS NOT NULL), lambda j: {{'k': -abs(c[j]), 'j': j}})), 1, 3), lambda x: x.j) AS ranks "
+        f"FROM (SELECT *, [{_CONTRIBUTIONS}] AS c, [{_FEATURES_SQL}] AS f, (SELECT 1 / (1 + exp(-avg({_RAW_SQL}))) FROM app_engineered) AS b "
+        "FROM app_engineered)))",
+        "app_engineered",
+    ),
+)
+def _(s, d):
+    """Score, baseline and top factors of a row in one plan; features that are missing are no factors."""
+    rows = engineered(s, d)
+    explained = scoring.explain_linear(rows, WEIGHTS, INTERCEPT, MEANS, 3)
+    return explained.select(
+        "SK_ID_CURR", "default_probability", "risk_tier", "baseline", F.posexplode("top_features").alias("at", "x")
+    ).select(
+        "SK_ID_CURR", "default_probability", "risk_tier", (F.col("at") + 1).alias("rank"), "x.feature", "x.contribution",
+        F.round("baseline", 6).alias("baseline"),
+    )
+
+
 @query(
     "mixed_signal_rows",
     "SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS INT) AS n_positive, "

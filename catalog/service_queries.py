@@ -32,22 +32,24 @@ from lendstrata.streaming import score
 # ---- requests -------------------------------------------------------------
 
 FIELDS = quality.request_fields(["buro_loan_count"])
-_DEFAULTED = ["CNT_CHILDREN", "REGION_RATING_CLIENT", "AMT_ANNUITY", "NAME_CONTRACT_TYPE", "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_21", "buro_loan_count"]
+_DEFAULTED = ["CNT_CHILDREN", "REGION_RATING_CLIENT", "AMT_ANNUITY", "NAME_CONTRACT_TYPE", "CNT_FAM_MEMBERS", "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_21", "buro_loan_count"]
 
 
 @query(
     "apply_defaults",
     o.sql(
         "SELECT SK_ID_CURR, CAST(coalesce(CNT_CHILDREN, 0) AS INT) AS CNT_CHILDREN, "
-        "CAST(coalesce(REGION_RATING_CLIENT, 2) AS INT) AS REGION_RATING_CLIENT, AMT_ANNUITY, NAME_CONTRACT_TYPE, "
-        "CAST(FLAG_DOCUMENT_2 AS INT) AS FLAG_DOCUMENT_2, CAST(NULL AS INT) AS FLAG_DOCUMENT_21, "
+        "CAST(CASE WHEN REGION_RATING_CLIENT = floor(REGION_RATING_CLIENT) THEN REGION_RATING_CLIENT ELSE 2 END AS INT) "
+        "AS REGION_RATING_CLIENT, AMT_ANNUITY, NAME_CONTRACT_TYPE, TRY_CAST(CNT_FAM_MEMBERS AS DOUBLE) AS CNT_FAM_MEMBERS, "
+        "CASE WHEN CNT_FAM_MEMBERS = 'many' THEN 'CNT_FAM_MEMBERS' ELSE '' END || CASE WHEN REGION_RATING_CLIENT = 1.5E0 THEN 'REGION_RATING_CLIENT' "
+        "ELSE '' END AS type_errors, CAST(FLAG_DOCUMENT_2 AS INT) AS FLAG_DOCUMENT_2, CAST(NULL AS INT) AS FLAG_DOCUMENT_21, "
         "CAST(NULL AS DOUBLE) AS buro_loan_count FROM fx_requests",
         "fx_requests",
     ),
 )
 def _(s, d):
     out = quality.apply_defaults(fx.fixture(s, d, "fx_requests"), FIELDS, ["SK_ID_CURR"])
-    return out.select("SK_ID_CURR", *_DEFAULTED)
+    return out.select("SK_ID_CURR", *_DEFAULTED, F.array_join("type_errors", "").alias("type_errors"))
 
 
 _VIOLATIONS_SQL = (
@@ -57,10 +59,12 @@ _VIOLATIONS_SQL = (
     "CASE WHEN AMT_INCOME_TOTAL <= 0 THEN 'AMT_INCOME_TOTAL > 0' END, "
     "CASE WHEN AMT_GOODS_PRICE <= 0 THEN 'AMT_GOODS_PRICE > 0' END, "
     "CASE WHEN CNT_CHILDREN < 0 THEN 'CNT_CHILDREN >= 0' END, "
-    "CASE WHEN CNT_FAM_MEMBERS < 1 THEN 'CNT_FAM_MEMBERS >= 1' END, "
+    "CASE WHEN CNT_FAM_MEMBERS = 'many' THEN 'CNT_FAM_MEMBERS type' END, "
+    "CASE WHEN TRY_CAST(CNT_FAM_MEMBERS AS DOUBLE) < 1 THEN 'CNT_FAM_MEMBERS >= 1' END, "
     "CASE WHEN DAYS_BIRTH >= 0 THEN 'DAYS_BIRTH < 0' END, "
     "CASE WHEN NAME_INCOME_TYPE IS NULL THEN 'NAME_INCOME_TYPE missing' END, "
     "CASE WHEN EXT_SOURCE_1 > 1 THEN 'EXT_SOURCE_1 <= 1' END, "
+    "CASE WHEN REGION_RATING_CLIENT = 1.5E0 THEN 'REGION_RATING_CLIENT type' END, "
     "CASE WHEN REGION_RATING_CLIENT > 3 THEN 'REGION_RATING_CLIENT <= 3' END) AS violations FROM fx_requests"
 )
 
@@ -95,7 +99,8 @@ _REQUEST_P = f"(1 / (1 + exp(-{_REQUEST_RAW})))"
     "score_stream",
     o.sql(
         f"SELECT SK_ID_CURR, violations, CASE WHEN violations = '' THEN round({_REQUEST_P}, 6) END AS default_probability, "
-        f"CASE WHEN violations = '' THEN {TIER_SQL.format(_REQUEST_P)} END AS risk_tier "
+        f"CASE WHEN violations = '' THEN {TIER_SQL.format(_REQUEST_P)} END AS risk_tier, "
+        "CASE WHEN violations <> '' THEN 1 ELSE 0 END AS has_request "
         f"FROM fx_requests JOIN ({_VIOLATIONS_SQL}) USING (SK_ID_CURR)",
         "fx_requests",
     ),
@@ -110,9 +115,10 @@ def _(s, d):
         return evaluate.score_probability(application.app_features(application.fix_anomalies(valid)), raw)
 
     lines = score.read_requests(s, f"{folder}/in")
-    score.score_stream(lines, FIELDS, scorer, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+    score.score_stream(lines, FIELDS, scorer, f"{folder}/out").awaitTermination()
     return s.read.parquet(f"{folder}/out").select(
-        "SK_ID_CURR", F.array_join("violations", ";").alias("violations"), "default_probability", "risk_tier"
+        "SK_ID_CURR", F.array_join("violations", ";").alias("violations"), "default_probability", "risk_tier",
+        F.coalesce(F.col("request").contains(F.concat(F.lit('"SK_ID_CURR":'), "SK_ID_CURR")).cast("int"), F.lit(0)).alias("has_request"),
     )
 
 
@@ -141,6 +147,14 @@ def _(s, d):
 
 _WATCHED = ["value", "user_number", "clean_value"]
 _WATCHED_TEXT = ["event_type", "level"]
+_NUMBERS = [*_WATCHED, "gone_number", "never_number"]
+_WORDS = [*_WATCHED_TEXT, "new_text", "never_text"]
+
+
+def _named(names: list[str]) -> str:
+    return "(VALUES " + ", ".join(f"('{n}')" for n in names) + ") AS names(feature)"
+
+
 _SHIFTED = sorted(_WATCHED, key=lambda c: hashlib.md5(f"{c}:0".encode()).hexdigest())[0]
 
 
@@ -164,53 +178,81 @@ def _(s, d):
 
 
 _NUMERIC_SQL = f"""
-SELECT feature, n_ref, n_cur, ks AS ks_statistic,
-  CASE WHEN lam < 0.2 THEN 1.0E0 ELSE least(1.0E0, greatest(0.0E0, 2 * list_sum(list_transform(range(1, 101),
+SELECT feature, coalesce(n_ref, 0) AS n_ref, coalesce(n_cur, 0) AS n_cur, ks AS ks_statistic,
+  CASE WHEN ks IS NULL THEN NULL WHEN lam < 0.2 THEN 1.0E0 ELSE least(1.0E0, greatest(0.0E0, 2 * list_sum(list_transform(range(1, 101),
     lambda j: (CASE WHEN j % 2 = 1 THEN 1.0E0 ELSE -1.0E0 END) * exp(-2.0E0 * lam * lam * j * j))))) END AS ks_p,
   distance / greatest(std, 0.001E0) AS wasserstein, mean_cur - mean_ref AS mean_shift,
-  CASE WHEN distance / greatest(std, 0.001E0) >= 0.1 THEN 1 ELSE 0 END AS drifted
-FROM (SELECT *, (sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur)) + 0.12E0 + 0.11E0 / sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur))) * ks AS lam
+  CASE WHEN (coalesce(n_ref, 0) = 0) <> (coalesce(n_cur, 0) = 0) OR distance / greatest(std, 0.001E0) >= 0.1 THEN 1 ELSE 0 END AS drifted
+FROM {_named(_NUMBERS)} LEFT JOIN (SELECT *,
+    (sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur)) + 0.12E0 + 0.11E0 / nullif(sqrt(n_ref * n_cur * 1.0E0 / (n_ref + n_cur)), 0)) * ks AS lam
   FROM (SELECT feature, max(abs(f - g)) AS ks, sum(abs(f - g) * width) AS distance FROM
-    (SELECT feature, sum(r) OVER w * 1.0E0 / sum(r) OVER (PARTITION BY feature) AS f,
-       sum(c) OVER w * 1.0E0 / sum(c) OVER (PARTITION BY feature) AS g,
+    (SELECT feature, sum(r) OVER w * 1.0E0 / nullif(sum(r) OVER (PARTITION BY feature), 0) AS f,
+       sum(c) OVER w * 1.0E0 / nullif(sum(c) OVER (PARTITION BY feature), 0) AS g,
        coalesce(lead(v) OVER (PARTITION BY feature ORDER BY v) - v, 0) AS width
      FROM (SELECT feature, v, count(*) FILTER (WHERE period = 'reference') AS r, count(*) FILTER (WHERE period = 'current') AS c
            FROM long GROUP BY feature, v)
      WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)) GROUP BY feature)
   JOIN (SELECT feature, count(*) FILTER (WHERE period = 'reference') AS n_ref, count(*) FILTER (WHERE period = 'current') AS n_cur,
       avg(v) FILTER (WHERE period = 'reference') AS mean_ref, avg(v) FILTER (WHERE period = 'current') AS mean_cur,
-      stddev_pop(v) FILTER (WHERE period = 'reference') AS std FROM long GROUP BY feature) USING (feature))"""
-_LONG = f"(SELECT * FROM (SELECT period, {', '.join(_WATCHED)} FROM ({_SHIFTED_SQL})) UNPIVOT (v FOR feature IN ({', '.join(_WATCHED)})))"
+      stddev_pop(v) FILTER (WHERE period = 'reference') AS std FROM long GROUP BY feature) USING (feature)) USING (feature)"""
+_LONG = f"(SELECT * FROM (SELECT period, {', '.join(_NUMBERS)} FROM ({_SHIFTED_SQL})) UNPIVOT (v FOR feature IN ({', '.join(_NUMBERS)})))"
 
 
 @query("drift_numeric", o.rounded(_NUMERIC_SQL.replace("FROM long", f"FROM {_LONG}"), ["feature"], "fx_events", digits=6))
 def _(s, d):
-    return rounded(drift.drift_numeric(*_sides(s, d), _WATCHED), ["feature"], 6)
+    return rounded(drift.drift_numeric(*_sides(s, d), _NUMBERS), ["feature"], 6)
 
 
 _CATEGORY_SQL = f"""
-SELECT feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, count(*) AS n_categories,
-  sum(CASE WHEN r > 0 THEN power(c - r * n_cur * 1.0E0 / n_ref, 2) / (r * n_cur * 1.0E0 / n_ref) END) AS chi_square,
-  sqrt(greatest(0, sum(coalesce(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) END, 0) + coalesce(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) END, 0)) / 2)) AS jensen_shannon,
+SELECT feature, coalesce(n_ref, 0) AS n_ref, coalesce(n_cur, 0) AS n_cur, coalesce(n_categories, 0) AS n_categories, chi_square,
+  jensen_shannon, coalesce(new_categories, 0) AS new_categories, coalesce(lost_categories, 0) AS lost_categories,
+  coalesce(n_ref, 0) > 0 AND coalesce(n_cur, 0) > 0 AS both_sides, (coalesce(n_ref, 0) = 0) <> (coalesce(n_cur, 0) = 0) AS vanished, one_p, one_q
+FROM {_named(_WORDS)} LEFT JOIN (SELECT feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, count(*) AS n_categories,
+  max_by(p, v) AS one_p, max_by(q, v) AS one_q,
+  sum(CASE WHEN r > 0 THEN power(c - r * n_cur * 1.0E0 / n_ref, 2) / nullif(r * n_cur * 1.0E0 / n_ref, 0) END) AS chi_square,
+  CASE WHEN any_value(n_ref) > 0 AND any_value(n_cur) > 0 THEN
+    sqrt(greatest(0, sum(coalesce(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) END, 0) + coalesce(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) END, 0)) / 2)) END AS jensen_shannon,
   count(*) FILTER (WHERE r = 0 AND c > 0) AS new_categories, count(*) FILTER (WHERE r > 0 AND c = 0) AS lost_categories
-FROM (SELECT *, r * 1.0E0 / n_ref AS p, c * 1.0E0 / n_cur AS q FROM
+FROM (SELECT *, r * 1.0E0 / nullif(n_ref, 0) AS p, c * 1.0E0 / nullif(n_cur, 0) AS q FROM
   (SELECT *, sum(r) OVER (PARTITION BY feature) AS n_ref, sum(c) OVER (PARTITION BY feature) AS n_cur FROM
     (SELECT feature, v, count(*) FILTER (WHERE period = 'reference') AS r, count(*) FILTER (WHERE period = 'current') AS c
-     FROM (SELECT * FROM (SELECT period, event_type, level FROM fx_events) UNPIVOT (v FOR feature IN (event_type, level)))
-     GROUP BY feature, v))) GROUP BY feature"""
+     FROM (SELECT * FROM (SELECT period, {', '.join(_WORDS)} FROM fx_events) UNPIVOT (v FOR feature IN ({', '.join(_WORDS)})))
+     GROUP BY feature, v))) GROUP BY feature) USING (feature)"""
+_CATEGORY_OUT = "feature, n_ref, n_cur, n_categories, chi_square, jensen_shannon, new_categories, lost_categories"
+_CATEGORY_DRIFT = "CASE WHEN vanished OR jensen_shannon >= 0.1 THEN 1 ELSE 0 END AS drifted"
 
 
-@query("drift_categorical", o.rounded(f"SELECT *, CASE WHEN jensen_shannon >= 0.1 THEN 1 ELSE 0 END AS drifted FROM ({_CATEGORY_SQL})", ["feature"], "fx_events", digits=6))
+@query("drift_categorical", o.rounded(f"SELECT {_CATEGORY_OUT}, {_CATEGORY_DRIFT} FROM ({_CATEGORY_SQL})", ["feature"], "fx_events", digits=6))
 def _(s, d):
-    return rounded(drift.drift_categorical(*_sides(s, d), _WATCHED_TEXT, p_values=False), ["feature"], 6)
+    return rounded(drift.drift_categorical(*_sides(s, d), _WORDS, p_values=False), ["feature"], 6)
+
+
+def _erfc(x: str) -> str:
+    terms = f"list_sum(list_transform(range(0, 120), lambda n: exp(2 * n * ln(2) + (2 * n + 1) * ln({x}) + lgamma(n + 1) - lgamma(2 * n + 2))))"
+    return f"(CASE WHEN {x} > 5 THEN 0 ELSE 1 - 2 / sqrt(pi()) * exp(-{x} * {x}) * {terms} END)"
+
+
+def _chi_p(x: str, k: str) -> str:
+    """Tail of the chi-square distribution for few degrees of freedom."""
+    terms = f"list_sum(list_transform(range(0, {k} // 2), lambda j: exp(-{x} / 2 + (j + ({k} % 2) / 2.0E0) * ln({x} / 2) - lgamma(j + ({k} % 2) / 2.0E0 + 1))))"
+    odd = f"CASE WHEN {k} % 2 = 1 THEN {_erfc(f'sqrt({x} / 2)')} ELSE 0 END"
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN {k} < 1 OR {x} <= 0 THEN 1 WHEN isinf({x}) THEN 0 ELSE least(1, {odd} + coalesce({terms}, 0)) END)"
+
+
+_TESTS_SQL = f"""
+SELECT {_CATEGORY_OUT}, {_chi_p('x', 'k')} AS chi_square_p, CASE WHEN n_categories = 2 THEN {_chi_p('z', '1')} END AS z_p,
+  CASE WHEN vanished OR {_chi_p('x', 'k')} < 0.05 THEN 1 ELSE 0 END AS drifted
+FROM (SELECT *, CASE WHEN both_sides AND new_categories > 0 THEN 'inf'::DOUBLE ELSE chi_square END AS x, n_categories - 1 AS k,
+  power(one_p - one_q, 2) / nullif(pooled * (1 - pooled) * (1.0E0 / nullif(n_ref, 0) + 1.0E0 / nullif(n_cur, 0)), 0) AS z
+  FROM (SELECT *, (one_p * n_ref + one_q * n_cur) / nullif(n_ref + n_cur, 0) AS pooled FROM ({_CATEGORY_SQL})))"""
 
 
-@query("drift_categorical_tests")
+@query("drift_categorical_tests", o.rounded(_TESTS_SQL, ["feature"], "fx_events", digits=6))
 def _(s, d):
-    return drift.drift_categorical(*_sides(s, d), _WATCHED_TEXT, test="chisquare")
+    return rounded(drift.drift_categorical(*_sides(s, d), _WORDS, test="chisquare"), ["feature"], 6)
 
 
-_MISSING_SQL = " + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0E0 ELSE 0.0E0 END)" for c in _WATCHED + _WATCHED_TEXT)
+_MISSING_SQL = " + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0E0 ELSE 0.0E0 END)" for c in _NUMBERS + _WORDS)
 
 
 @query(
@@ -219,19 +261,19 @@ _MISSING_SQL = " + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0E0 ELSE 0.0E0 END)
         "SELECT round(n_drifted * 1.0E0 / n_features, 4) AS share_drifted_features, CAST(n_drifted AS BIGINT) AS n_drifted_features, "
         "n_features AS n_total_features, CASE WHEN n_drifted * 1.0E0 / n_features > 0.5 THEN 1 ELSE 0 END AS dataset_drift_detected, "
         + ", ".join(
-            f"(SELECT round(({_MISSING_SQL}) / {len(_WATCHED + _WATCHED_TEXT)}, 4) FROM fx_events WHERE period = '{p}') "
+            f"(SELECT round(({_MISSING_SQL}) / {len(_NUMBERS + _WORDS)}, 4) FROM fx_events WHERE period = '{p}') "
             f"AS share_missing_values_{p}"
             for p in ("current", "reference")
         )
         + " FROM (SELECT sum(drifted) AS n_drifted, count(*) AS n_features FROM (SELECT drifted FROM ("
         + _NUMERIC_SQL.replace("FROM long", f"FROM {_LONG}")
-        + f") UNION ALL SELECT CASE WHEN jensen_shannon >= 0.1 THEN 1 ELSE 0 END FROM ({_CATEGORY_SQL})))",
+        + f") UNION ALL SELECT {_CATEGORY_DRIFT} FROM ({_CATEGORY_SQL})))",
         "fx_events",
     ),
 )
 def _(s, d):
     reference, current = _sides(s, d)
-    found = drift.drift_numeric(reference, current, _WATCHED).select("feature", "drifted").unionByName(
-        drift.drift_categorical(reference, current, _WATCHED_TEXT, p_values=False).select("feature", "drifted")
+    found = drift.drift_numeric(reference, current, _NUMBERS).select("feature", "drifted").unionByName(
+        drift.drift_categorical(reference, current, _WORDS, p_values=False).select("feature", "drifted")
     )
-    return drift.drift_summary(found, reference, current, _WATCHED + _WATCHED_TEXT)
+    return drift.drift_summary(found, reference, current, _NUMBERS + _WORDS)

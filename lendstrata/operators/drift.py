@@ -1,22 +1,20 @@
 """Distribution drift between a reference and a current table, over all rows.
 
 Both sides are counted per feature and value in one pass; the statistics then need only these
-counts. Tests and thresholds are arguments.
+counts. Tests and thresholds are arguments. Every listed feature has a row: one that is missing on one side
+is drifted, one that is missing on both is not; their statistics are missing.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lendstrata.functions.nulls import flag
 from lendstrata.operators.columns import missing_profile, numeric_columns
-from lendstrata.operators.ordered import running, value_counts
+from lendstrata.operators.ordered import running
 
 # Defaults of the monitored report.
 DRIFT_SHARE = 0.15
@@ -52,14 +50,25 @@ def _two_sides(reference: DataFrame, current: DataFrame, columns: list[str], kin
 
 def kolmogorov_p(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided p-value of the two-sample KS statistic."""
-    en = F.sqrt(n * m / (n + m))
-    lam = (en + 0.12 + 0.11 / en) * statistic
+    en = F.sqrt(F.try_divide(n * m, n + m))
+    lam = (en + 0.12 + F.try_divide(F.lit(0.11), en)) * statistic
     terms = F.transform(
         F.sequence(F.lit(1), F.lit(100)),
         lambda j: F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * lam * lam * j * j),
     )
     series = 2 * F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), bounded)
+
+
+def _listed(stats: DataFrame, columns: list[str], counts: list[str]) -> DataFrame:
+    """A row for each listed feature; the counts of those without values are 0."""
+    names = stats.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    return names.join(stats, "feature", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+
+
+def _vanished() -> Column:
+    return (F.col("n_ref") == 0) != (F.col("n_cur") == 0)
 
 
 def drift_numeric(
@@ -74,9 +83,12 @@ def drift_numeric(
 
     ``test`` names what decides ``drifted``: ``ks`` (p below 0.05) or ``wasserstein`` (0.1 or more).
     """
-    counts = value_counts(_two_sides(reference, current, columns, "double"), columns, keep=["side"])
-    by_value = counts.groupBy("feature", "value").agg(
-        *[F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)).alias(name) for s, name in ((0, "ref"), (1, "cur"))]
+    numbered = [F.struct(F.lit(i).alias("feature"), F.col(c).alias("value")) for i, c in enumerate(columns)]
+    long = _two_sides(reference, current, columns, "double").select("side", F.inline(F.array(*numbered)))
+    by_value = (
+        long.where(F.col("value").isNotNull())
+        .groupBy("feature", "value")
+        .agg(F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur"))
     )
     ranked = running(by_value, ["feature"], "value", ["ref", "cur"], **options)
     # one row per column name
@@ -101,8 +113,9 @@ def drift_numeric(
             F.sqrt(F.try_divide(F.sum(deviation), F.col("n_ref"))).alias("_std"),
         )
     )
+    named = F.get(F.array(*[F.lit(c) for c in columns]), F.col("feature")).alias("feature")
     with_tests = stats.select(
-        "feature",
+        named,
         "n_ref",
         "n_cur",
         "ks_statistic",
@@ -110,38 +123,69 @@ def drift_numeric(
         (F.col("_distance") / F.greatest(F.col("_std"), F.lit(_SMALL_STD))).alias("wasserstein"),
         (F.col("mean_cur") - F.col("mean_ref")).alias("mean_shift"),
     )
-    return with_tests.withColumn("drifted", _decide(test, threshold, {"ks": "ks_p"}, {"wasserstein": "wasserstein"}))
+    found = _listed(with_tests, columns, ["n_ref", "n_cur"])
+    return found.withColumn("drifted", _decide(test, threshold, {"ks": "ks_p"}, {"wasserstein": "wasserstein"}))
 
 
 def _decide(test: str, threshold: float | None, p_values: dict[str, str], distances: dict[str, str]) -> Column:
     if test in p_values:
-        return flag(F.col(p_values[test]) < (P_VALUE if threshold is None else threshold))
-    if test in distances:
-        return flag(F.col(distances[test]) >= (DISTANCE if threshold is None else threshold))
-    raise ValueError(f"unknown test: {test}")
-
-
-def _chi2_tail(x: float, df: int) -> float:
-    """Upper tail of the chi-square distribution, by its finite sum for whole degrees of freedom."""
-    if df < 1:
-        return 1.0
-    if math.isinf(x):
-        return 0.0
-    half = x / 2
-    odd = df % 2
-    tail = math.erfc(math.sqrt(half)) if odd else 0.0
-    power = 0.5 if odd else 0.0
-    while power < df / 2:
-        if half > 0 or power == 0:
-            tail += math.exp(-half + (power * math.log(half) if power else 0.0) - math.lgamma(power + 1))
-        power += 1
-    return min(1.0, tail)
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_p(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
-    """P-values of one row per feature; not on the path of the data."""
-    return pd.Series([None if pd.isna(x) else _chi2_tail(x, int(k)) for x, k in zip(statistic, degrees)])
+        apart = F.col(p_values[test]) < (P_VALUE if threshold is None else threshold)
+    elif test in distances:
+        apart = F.col(distances[test]) >= (DISTANCE if threshold is None else threshold)
+    else:
+        raise ValueError(f"unknown test: {test}")
+    return flag(_vanished() | F.coalesce(apart, F.lit(False)))
+
+
+def normal_tail(z: Column) -> Column:
+    """Upper tail of the normal distribution for z of 0 or more: the series of erf, and its limit form beyond."""
+    x = z / F.sqrt(F.lit(2.0))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(120)),
+        F.struct(x.alias("term"), x.alias("sum")),
+        lambda s, n: F.struct(
+            (s["term"] * 2 * x * x / (2 * n + 1)).alias("term"), (s["sum"] + s["term"] * 2 * x * x / (2 * n + 1)).alias("sum")
+        ),
+        lambda s: s["sum"],
+    )
+    root = F.sqrt(F.pi())
+    near = 1 - 2 / root * F.exp(-x * x) * series
+    far = F.exp(-x * x) / (x * root) * (1 - 1 / (2 * x * x))
+    return F.when(x < 5, near).otherwise(far) / 2
+
+
+#: Degrees of freedom up to which the chi-square tail is its finite sum.
+EXACT_DEGREES = 200
+
+
+def chi2_p(statistic: Column, degrees: Column) -> Column:
+    """Upper tail of the chi-square distribution: its finite sum, or by Wilson and Hilferty for many degrees of freedom."""
+    half = statistic / 2
+    odd = degrees % 2
+    # Terms half^k / gamma(k + 1) for k = 0, 1, ... or 1/2, 3/2, ...; each from the one before.
+    start = F.when(odd == 1, 2 * F.sqrt(half / F.pi())).otherwise(F.lit(1.0))
+    first = F.when(odd == 1, F.lit(0.5)).otherwise(F.lit(0.0))
+    count = F.floor(F.least(degrees, F.lit(EXACT_DEGREES)) / 2).cast("int")
+    log_sum = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+        F.struct(F.lit(0.0).alias("sum"), (F.ln(start) - half).alias("log"), first.alias("k")),
+        lambda s, i: F.struct(
+            (s["sum"] + F.exp(s["log"])).alias("sum"),
+            (s["log"] + F.ln(half) - F.ln(s["k"] + 1)).alias("log"),
+            (s["k"] + 1).alias("k"),
+        ),
+        lambda s: s["sum"],
+    )
+    finite = F.when(odd == 1, 2 * normal_tail(F.sqrt(statistic))).otherwise(F.lit(0.0)) + F.when(count > 0, log_sum).otherwise(0.0)
+    nine = 2 / (9 * degrees)
+    many = normal_tail((F.cbrt(statistic / degrees) - (1 - nine)) / F.sqrt(nine))
+    tail = F.when(degrees <= EXACT_DEGREES, finite).otherwise(many)
+    return (
+        F.when(statistic.isNull() | degrees.isNull(), F.lit(None).cast("double"))
+        .when((degrees < 1) | (statistic <= 0), F.lit(1.0))
+        .when(statistic == float("inf"), F.lit(0.0))
+        .otherwise(F.least(F.lit(1.0), tail))
+    )
 
 
 def drift_categorical(
@@ -169,6 +213,8 @@ def drift_categorical(
     p, q = F.try_divide("ref", "n_ref"), F.try_divide("cur", "n_cur")
     expected = F.col("ref") * F.try_divide("n_cur", "n_ref")
 
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+
     def divergence(a: Column) -> Column:
         return F.when(a > 0, a * F.ln(F.nullif(2 * a / (p + q), F.lit(0.0)))).otherwise(0.0)
 
@@ -180,7 +226,7 @@ def drift_categorical(
             F.sum(
                 F.when(expected > 0, F.try_divide((F.col("cur") - expected) * (F.col("cur") - expected), expected))
             ).alias("chi_square"),
-            F.sqrt(F.greatest(F.lit(0.0), F.sum(divergence(p) + divergence(q)) / 2)).alias("jensen_shannon"),
+            F.when(both, F.sqrt(F.greatest(F.lit(0.0), F.sum(divergence(p) + divergence(q)) / 2))).alias("jensen_shannon"),
             F.count_if((F.col("ref") == 0) & (F.col("cur") > 0)).alias("new_categories"),
             F.count_if((F.col("ref") > 0) & (F.col("cur") == 0)).alias("lost_categories"),
             F.max(F.struct("category", p.alias("p"), q.alias("q"))).alias("_one"),
@@ -192,12 +238,12 @@ def drift_categorical(
         pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("n_ref")) + F.try_divide(F.lit(1), F.col("n_cur"))),
     )
     # a value the reference never had is infinitely unlikely under it
-    statistic = F.when(F.col("new_categories") > 0, F.lit(float("inf"))).otherwise(F.col("chi_square"))
+    statistic = F.when(both & (F.col("new_categories") > 0), F.lit(float("inf"))).otherwise(F.col("chi_square"))
     tail_columns = [
         chi2_p(statistic, F.col("n_categories") - 1).alias("chi_square_p"),
         F.when(F.col("n_categories") == 2, chi2_p(z_square, F.lit(1))).alias("z_p"),
     ]
-    out = stats.select(
+    found = stats.select(
         "feature",
         "n_ref",
         "n_cur",
@@ -208,6 +254,7 @@ def drift_categorical(
         "new_categories",
         "lost_categories",
     )
+    out = _listed(found, columns, ["n_ref", "n_cur", "n_categories", "new_categories", "lost_categories"])
     tests = {"chisquare": "chi_square_p", "z": "z_p"} if p_values else {}
     return out.withColumn("drifted", _decide(test, threshold, tests, {"jensenshannon": "jensen_shannon"}))
 

@@ -13,7 +13,6 @@ from lendstrata.functions.text import decimal_text
 
 # Fixed values of the reports.
 TOP_N = 10
-TOP_N_LIMIT = 50
 GLOBAL_TOP = 20
 MIXED_ABOVE = 0.1
 UP, DOWN = "increases_risk", "decreases_risk"
@@ -33,7 +32,7 @@ FALLBACK = (
 
 
 def top_factors(contributions: Column, names: Column, values: Column, n: int = TOP_N) -> Column:
-    """Array of the n largest contributions by size, ties in feature order.
+    """Array of the n largest contributions by size, ties in feature order; missing ones are left out.
 
     ``names`` and ``values`` are arrays aligned with the contributions.
     """
@@ -48,7 +47,8 @@ def top_factors(contributions: Column, names: Column, values: Column, n: int = T
             F.round(F.get(values, i).cast("double"), 4).alias("feature_value"),
         ),
     )
-    top = F.slice(F.array_sort(keyed), 1, min(n, TOP_N_LIMIT))
+    present = F.filter(keyed, lambda s: s["contribution"].isNotNull())
+    top = F.slice(F.array_sort(present), 1, n)
     return F.transform(
         top,
         lambda s: F.struct(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendstrata.functions.nulls import (
@@ -28,7 +28,7 @@ from lendstrata.functions.nulls import (
     subset_sum,
     sum0,
 )
-from lendstrata.operators.ordered import HOT_ROWS, has_hot_key, lag_within
+from lendstrata.operators.ordered import HOT_ROWS, hot_keys, lag_within
 
 # Fixed values of the data.
 DAY_SENTINEL = 365243
@@ -180,31 +180,44 @@ def install_row_features(installments: DataFrame, late_above: int = 0) -> DataFr
 INSTALLMENT_TIES = ["DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT"]
 
 
-def latest_version(rows: DataFrame, ties: list[str] | None = None) -> DataFrame:
-    """One row per (loan, installment): for each column the newest version's present value.
+_VERSION_SETS = {
+    "DAYS_INSTALMENT": ["DAYS_INSTALMENT"],
+    "days_late": ["days_late", "days_late_pos", "days_early_pos"],
+    "payment_deficit": ["payment_ratio", "payment_deficit"],
+    "is_missing": ["is_late", "is_very_late", "is_underpaid", "is_early", "is_missing"],
+}
+_VERSION_KEY = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"]
 
-    Columns that are missing together share one ``max_by`` over a struct. ``ties`` order the rows
-    of one version; a missing version counts as the newest.
-    """
-    order = [*nulls_last("NUM_INSTALMENT_VERSION", 0.0), *[F.col(t) for t in ties or INSTALLMENT_TIES]]
 
-    def newest(fields: list[str], present: Column) -> Column:
-        return F.max_by(F.struct(*fields), F.when(present, F.struct(*order)))
+def latest_version(rows: DataFrame, ties: list[str] | None = None, combine: bool = False) -> DataFrame:
+    """One row per (loan, installment): for each column the newest version's present value.
 
-    lateness = ["days_late", "days_late_pos", "days_early_pos"]
-    payment = ["payment_ratio", "payment_deficit"]
-    flags = ["is_late", "is_very_late", "is_underpaid", "is_early", "is_missing"]
-    return (
-        rows.where(F.col("SK_ID_PREV").isNotNull() & F.col("NUM_INSTALMENT_NUMBER").isNotNull())
-        .groupBy("SK_ID_PREV", "NUM_INSTALMENT_NUMBER")
-        .agg(
-            last_present("DAYS_INSTALMENT", F.struct(*order)).alias("DAYS_INSTALMENT"),
-            newest(lateness, F.col("days_late").isNotNull()).alias("lateness"),
-            newest(payment, F.col("payment_deficit").isNotNull()).alias("payment"),
-            newest(flags, F.lit(True)).alias("flags"),
-        )
-        .select("SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "DAYS_INSTALMENT", "lateness.*", "payment.*", "flags.*")
+    ``ties`` order the rows of one version; a missing version counts as the newest. Columns that are missing
+    together come from one row. One sort per key finds these rows, and plain maxima pick them. With ``combine``
+    each task first picks among its own rows, for tables where one key has very many.
+    """
+    rows = rows.where(F.col("SK_ID_PREV").isNotNull() & F.col("NUM_INSTALMENT_NUMBER").isNotNull())
+    ties = ties or INSTALLMENT_TIES
+    if combine:
+        order = F.struct(*nulls_last("NUM_INSTALMENT_VERSION", 0.0), *[F.col(t) for t in ties])
+        newest = [
+            F.max_by(F.struct(*fields), F.when(F.col(c).isNotNull(), order)).alias(f"_{c}")
+            for c, fields in _VERSION_SETS.items()
+        ]
+        picked = rows.groupBy(*_VERSION_KEY).agg(*newest)
+        return picked.select(*_VERSION_KEY, *[F.col(f"_{c}.{x}") for c, fields in _VERSION_SETS.items() for x in fields])
+    version = F.col("NUM_INSTALMENT_VERSION")
+    newest_first = [version.isNull().desc(), version.desc(), *[F.col(t).desc_nulls_last() for t in ties]]
+    so_far = (
+        Window.partitionBy(*_VERSION_KEY).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    numbered = rows.select("*", *[F.count(c).over(so_far).alias(f"_seen_{c}") for c in _VERSION_SETS])
+    picked = [
+        F.max(F.when((F.col(f"_seen_{c}") == 1) & F.col(c).isNotNull(), F.col(x))).alias(x)
+        for c, fields in _VERSION_SETS.items()
+        for x in fields
+    ]
+    return numbered.groupBy(*_VERSION_KEY).agg(*picked)
 
 
 def install_loan(installments: DataFrame, ties: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -214,11 +227,12 @@ def install_loan(installments: DataFrame, ties: list[str] | None = None, hot_row
     task, each aggregation combines before its own shuffle instead.
     """
     rows = installments.where(F.col("SK_ID_PREV").isNotNull())
-    if not has_hot_key(rows, "SK_ID_PREV", rows=hot_rows):
+    hot = hot_keys(rows, "SK_ID_PREV", hot_rows).rows > 0
+    if not hot:
         rows = rows.repartition("SK_ID_PREV")
     recent = F.col("DAYS_INSTALMENT") >= RECENT_DAYS
     return (
-        latest_version(install_row_features(rows), ties)
+        latest_version(install_row_features(rows), ties, combine=hot)
         .groupBy("SK_ID_PREV")
         .agg(
             F.count("NUM_INSTALMENT_NUMBER").alias("inst_count"),

@@ -1,8 +1,8 @@
 """Order-dependent work that stays distributed: lag per key, prefix sums, exact quantiles.
 
 A window over one key or over a whole table runs in one task. Here a hot key is cut into
-ordered pieces and a table of values into ordered buckets; only the per-piece summaries, whose
-number is bounded, are chained.
+ordered pieces and a table of values into ordered buckets, as many as the counted rows need; only
+the per-piece summaries are chained.
 """
 
 from __future__ import annotations
@@ -15,20 +15,20 @@ from pyspark.sql import functions as F
 
 from lendstrata.sources.sinks import materialize
 
-BROADCAST_ROWS = 100_000
-HOT_SHARE = 0.01
+BROADCAST_BYTES = 10_000_000
 HOT_ROWS = 1_000_000
-MAX_PIECES = 20_000  # over all hot keys, so that their split points stay a small broadcast
-POINTS_PER_PIECE = 20
+POINTS_PER_PIECE = 4
+KEYLESS_PARTS = 1024
 _BLOCK = 64
 
 
 @dataclass
 class Lookup:
-    """A table to join with, stored once; ``small`` says that its counted rows are in the bound."""
+    """A table to join with, stored once; ``small`` says that its measured size is in the bound."""
 
     table: DataFrame
     small: bool
+    rows: int
 
     def side(self, part: DataFrame | None = None) -> DataFrame:
         """The join side: broadcast if small, else shuffled, where adaptive execution splits hot keys."""
@@ -36,9 +36,12 @@ class Lookup:
         return F.broadcast(part) if self.small else part
 
 
-def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
+def lookup(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Lookup:
+    """Stored and measured: the bytes of its rows as text stand for its size in memory."""
     stored = materialize(df, "lookup")
-    return Lookup(stored, stored.count() <= max_rows)
+    size = F.sum(F.octet_length(F.to_json(F.struct(*stored.columns))))
+    rows, total = stored.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return Lookup(stored, total <= max_bytes, rows)
 
 
 def every_block(values: str) -> Column:
@@ -54,95 +57,62 @@ def count_below(values: Column | str, heads: Column | str, x: Column) -> Column:
     return F.when(blocks == 0, F.lit(0)).otherwise(start + in_block)
 
 
-def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys, maybe with a few more, that hold at least ``share`` of the table.
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> Lookup:
+    """Rows (key, hot_rows) of the keys with more than ``rows`` rows, by an exact count.
 
-    The frequent-item sketch misses none and keeps at most ``1/share`` of them. A missing key
-    may be among them.
+    The count combines on the map side; a table of n rows has fewer than n / ``rows`` such keys.
     """
-    return list(df.select(key).stat.freqItems([key], share).first()[0] or [])
-
-
-def hot_keys(df: DataFrame, key: str, candidates: list, rows: int = HOT_ROWS) -> dict:
-    """Those candidates with more than ``rows`` rows, counted exactly."""
-    present = [c for c in candidates if c is not None]
-    if not present:
-        return {}
-    counts = df.where(F.col(key).isin(present)).groupBy(key).count().where(F.col("count") > rows)
-    return {r[0]: r[1] for r in counts.collect()}
-
-
-def has_hot_key(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> bool:
-    return bool(hot_keys(df, key, frequent_keys(df, key, share), rows))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("hot_rows"))
+    return lookup(counts.where(F.col("hot_rows") > rows))
 
 
 def lag_within(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    out: str,
-    hot_share: float = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, key: str, order: list[str], value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Previous value per key in the given total order; missing for rows without a key.
 
     Normally one window. A key beyond ``hot_rows`` is cut into pieces at split points taken from a
-    bounded sample; the first row of a piece takes the last value of the piece before. The result
-    does not depend on where the splits fall. Frequent rows without a key stay out of the window.
+    sample, as many as its rows need; the first row of a piece takes the last value of the piece before. The result
+    does not depend on where the splits fall. Rows without a key are dealt to many windows.
     """
-    candidates = frequent_keys(df, key, hot_share)
-    if None in candidates:
-        without = df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(df.schema[value].dataType))
-        keyed = df.where(F.col(key).isNotNull())
-        return _lag(keyed, key, order, value, out, hot_keys(keyed, key, candidates, hot_rows), hot_rows).unionByName(without)
-    return _lag(df, key, order, value, out, hot_keys(df, key, candidates, hot_rows), hot_rows)
-
-
-def _lag(df: DataFrame, key: str, order: list[str], value: str, out: str, hot: dict, hot_rows: int) -> DataFrame:
-    if not hot:
-        before = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
+    hot = hot_keys(df, key, hot_rows)
+    keyless = F.when(F.col(key).isNull(), F.pmod(F.hash(*order), F.lit(KEYLESS_PARTS)))
+    if not hot.rows:
+        before = F.lag(value).over(Window.partitionBy(key, keyless).orderBy(*order))
         return df.withColumn(out, F.when(F.col(key).isNotNull(), before))
 
     position = F.struct(*order)
-    total = sum(hot.values())
-    pieces = ceil(total / max(hot_rows, total / MAX_PIECES)) + len(hot)
-    share = min(1.0, POINTS_PER_PIECE * pieces / total)
+    share = F.lit(float(POINTS_PER_PIECE)) / hot_rows
+    points = df.join(hot.side(), key).where(F.rand(7) < share).groupBy(key)
     splits = lookup(
-        df.where(F.col(key).isin(list(hot)))
-        .sample(share, seed=7)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(position)).alias("_points"))
+        points.agg(F.sort_array(F.collect_list(position)).alias("_points"))
         .select(key, F.filter("_points", lambda p, i: i % POINTS_PER_PIECE == 0).alias("_splits"))
         .select(key, "_splits", every_block("_splits").alias("_heads"))
     )
     rows = (
         df.join(splits.side(), key, "left")
-        .withColumn("_piece", F.coalesce(count_below("_splits", "_heads", position), F.lit(0)))
+        .withColumn("_piece", F.coalesce(count_below("_splits", "_heads", position), keyless, F.lit(0)))
+        .withColumn("_cut", F.col("_splits").isNotNull())
         .drop("_splits", "_heads")
     )
     in_piece = Window.partitionBy(key, "_piece").orderBy(*order)
     tails = (
-        rows.where(F.col(key).isin(list(hot)))
+        rows.where("_cut")
         .groupBy(key, "_piece")
         .agg(F.max_by(F.struct(F.col(value).alias("v")), position).alias("_tail"))
         .withColumn("_before", F.lag("_tail").over(Window.partitionBy(key).orderBy("_piece"))["v"])
         .select(key, "_piece", "_before")
     )
     lagged = rows.select("*", F.lag(value).over(in_piece).alias("_lag"), F.row_number().over(in_piece).alias("_rank"))
+    first = F.col("_cut") & (F.col("_rank") == 1)
     return lagged.join(lookup(tails).side(), [key, "_piece"], "left").select(
-        *df.columns,
-        F.when(F.col("_rank") == 1, F.col("_before")).when(F.col(key).isNotNull(), F.col("_lag")).alias(out),
+        *df.columns, F.when(first, F.col("_before")).when(F.col(key).isNotNull(), F.col("_lag")).alias(out)
     )
 
 
 # ---- prefix sums ----------------------------------------------------------
 
-SMALL_ROWS = 1_000_000
-
-
-def _bucket_count(df: DataFrame) -> int:
-    return max(8, min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+BUCKET_ROWS = 1_000_000
 
 
 def running(
@@ -150,23 +120,22 @@ def running(
     group: list[str],
     value: str,
     measures: list[str],
-    small_rows: int = SMALL_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``<measure>_before``, the sum over smaller values of the group, and ``next_value``.
 
     ``by_value`` has one row per group and value, so a value that fills the table is one row.
-    Up to ``small_rows`` (counted) a window per group does; beyond, values are cut into ordered
-    buckets at approximate quantiles, and bucket totals carry the sums across.
+    Values are cut into ordered buckets of about ``bucket_rows`` at approximate quantiles, as many as the counted
+    rows need, and bucket totals carry the sums across. One bucket is a window per group.
     """
     stored = materialize(by_value, "by-value")
-    if stored.count() <= small_rows:
+    buckets = max(1, ceil(stored.count() / bucket_rows))
+    if buckets == 1:
         return _running_in(stored, group, value, measures)
 
-    buckets = _bucket_count(stored)
     cuts = F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000)
     bounds = lookup(
-        stored.groupBy(*group).agg(cuts.alias("_cuts")).select(*group, "_cuts", every_block("_cuts").alias("_heads")),
-        BROADCAST_ROWS // buckets,
+        stored.groupBy(*group).agg(cuts.alias("_cuts")).select(*group, "_cuts", every_block("_cuts").alias("_heads"))
     )
     if group:
         with_cuts = stored.join(bounds.side(), group, "left")
@@ -186,7 +155,7 @@ def running(
         F.lead("_first").over(by_bucket).alias("_next_first"),
     )
     local = _running_in(placed, [*group, "_bucket"], value, measures)
-    return local.join(bounds.side(offsets), [*group, "_bucket"], "left").select(
+    return local.join(lookup(offsets).side(), [*group, "_bucket"], "left").select(
         *by_value.columns,
         *[(F.col(f"{m}_before") + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures],
         F.coalesce("next_value", "_next_first").alias("next_value"),

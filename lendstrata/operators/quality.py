@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lendstrata.operators.application import app_features, fix_anomalies
 from lendstrata.operators.encode import EncodingPlan
 from lendstrata.operators.target import TargetEncoding
+from lendstrata.sources.schemas import BUILDING_PARTS
 
 
 @dataclass(frozen=True)
@@ -32,14 +33,10 @@ def _optional(kind: str, *names: str) -> dict[str, Field]:
 
 
 def _building(kind: str) -> dict[str, Field]:
-    return _optional("double", *[f"{part}_{kind}" for part in _BUILDING_PARTS])
+    return _optional("double", *[f"{part}_{kind}" for part in BUILDING_PARTS])
 
 
 # The request fields in order, with their rules and defaults.
-_BUILDING_PARTS = (
-    "APARTMENTS BASEMENTAREA YEARS_BEGINEXPLUATATION YEARS_BUILD COMMONAREA ELEVATORS ENTRANCES FLOORSMAX "
-    "FLOORSMIN LANDAREA LIVINGAPARTMENTS LIVINGAREA NONLIVINGAPARTMENTS NONLIVINGAREA"
-).split()
 REQUEST_FIELDS: dict[str, Field] = {
     "NAME_CONTRACT_TYPE": Field("string", required=True),
     "AMT_CREDIT": Field("double", required=True, gt=0),
@@ -82,7 +79,6 @@ REQUEST_FIELDS: dict[str, Field] = {
     **_optional("int", *[f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]),
     **_optional("string", "WEEKDAY_APPR_PROCESS_START", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE"),
 }
-_SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType()}
 
 
 def request_fields(feature_names: Iterable[str] = ()) -> dict[str, Field]:
@@ -90,27 +86,49 @@ def request_fields(feature_names: Iterable[str] = ()) -> dict[str, Field]:
     return REQUEST_FIELDS | {c: Field("double") for c in feature_names if c not in REQUEST_FIELDS}
 
 
-def request_schema(fields: dict[str, Field], *ids: T.StructField) -> T.StructType:
-    return T.StructType([*ids, *[T.StructField(n, _SPARK_TYPES[f.type]) for n, f in fields.items()]])
+UNREADABLE = "request unreadable"
 
 
-def apply_defaults(df: DataFrame, fields: dict[str, Field], keep: list[str] = ()) -> DataFrame:
-    """Exactly the request fields: unknown columns go, absent ones are missing, defaults fill in."""
+def raw_schema(fields: dict[str, Field], *ids: str) -> T.StructType:
+    """Every field as its text, so that a value of the wrong type is seen; and the line if it can't be read."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*ids, *fields, UNREADABLE)])
+
+
+TYPE_ERRORS = "type_errors"
+
 
-    def value(name: str, f: Field) -> Column:
-        given = F.col(name).cast(f.type) if name in df.columns else F.lit(None).cast(f.type)
-        return given if f.default is None else F.coalesce(given, F.lit(f.default).cast(f.type))
+def _typed(raw: Column, f: Field) -> Column:
+    """The value in the field's type; missing if it has none. Whole numbers only for an int."""
+    if f.type == "string":
+        return raw.cast("string")
+    number = raw.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int")) if f.type == "int" else number
 
-    return df.select(*keep, *[value(n, f).alias(n) for n, f in fields.items()])
+
+def apply_defaults(df: DataFrame, fields: dict[str, Field], keep: list[str] = ()) -> DataFrame:
+    """Exactly the request fields: unknown columns go, absent ones are missing, defaults fill in.
+
+    A present value that is not of the field's type becomes missing, and ``type_errors`` names the field.
+    """
+    given = {n: _typed(F.col(n), f) if n in df.columns else F.lit(None).cast(f.type) for n, f in fields.items()}
+    wrong = [
+        F.when(F.col(n).isNotNull() & given[n].isNull(), F.lit(n)) for n, f in fields.items() if n in df.columns and f.type != "string"
+    ]
+    errors = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    filled = {n: v if fields[n].default is None else F.coalesce(v, F.lit(fields[n].default).cast(fields[n].type)) for n, v in given.items()}
+    return df.select(*keep, *[v.alias(n) for n, v in filled.items()], errors.alias(TYPE_ERRORS))
 
 
-def violations(fields: dict[str, Field]) -> Column:
-    """Array with the names of the failed rules, in field order."""
+def violations(fields: dict[str, Field], typed: bool = True) -> Column:
+    """Array with the names of the failed rules, in field order; ``typed`` if the rows have ``type_errors``."""
     checks: list[Column] = []
     for name, f in fields.items():
         c = F.col(name)
+        wrong = F.array_contains(TYPE_ERRORS, name) if typed and f.type != "string" else F.lit(False)
+        if typed and f.type != "string":
+            checks.append(F.when(wrong, F.lit(f"{name} type")))
         if f.required:
-            checks.append(F.when(c.isNull(), F.lit(f"{name} missing")))
+            checks.append(F.when(c.isNull() & ~wrong, F.lit(f"{name} missing")))
         for bound, broken, sign in (
             (f.gt, lambda x, b: x <= b, ">"),
             (f.ge, lambda x, b: x < b, ">="),
@@ -118,13 +136,14 @@ def violations(fields: dict[str, Field]) -> Column:
             (f.le, lambda x, b: x > b, "<="),
         ):
             if bound is not None:
-                checks.append(F.when(broken(c, bound), F.lit(f"{name} {sign} {bound:g}")))
+                checks.append(F.when(~wrong & broken(c, bound), F.lit(f"{name} {sign} {bound:g}")))
     return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
 
 def validate_rules(df: DataFrame, fields: dict[str, Field]) -> DataFrame:
     """Add ``violations`` and ``valid``; split with ``where('valid')`` and ``where('not valid')``."""
-    return df.withColumn("violations", violations(fields)).withColumn("valid", F.size("violations") == 0)
+    found = violations(fields, TYPE_ERRORS in df.columns)
+    return df.withColumn("violations", found).withColumn("valid", F.size("violations") == 0).drop(TYPE_ERRORS)
 
 
 def serving_features(

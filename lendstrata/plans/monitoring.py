@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lendstrata.operators.columns import numeric_columns, text_columns
 from lendstrata.operators.drift import drift_categorical, drift_numeric, drift_summary
@@ -37,6 +38,8 @@ def monitor(
     shared = [c for c in reference.columns if c in current.columns]
     numbers = [c for c in numeric_columns(reference) if c in shared]
     texts = [c for c in text_columns(reference) if c in shared]
+    switches = [f.name for f in reference.schema.fields if isinstance(f.dataType, T.BooleanType) and f.name in shared]
+    texts += switches  # two-valued, compared by their names
     parts = []
     if numbers:
         parts.append(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendstrata.operators.encode import EncodingPlan
+from lendstrata.operators.evaluate import baseline_probability, linear_contributions, logistic_score, score_probability
+from lendstrata.operators.explain import TOP_N, explain_top_n, render_explanation
 from lendstrata.operators.quality import Field, apply_defaults, serving_features, validate_rules
 from lendstrata.plans.training import FinalModel
 from lendstrata.streaming.score import Scorer
@@ -34,3 +36,21 @@ def score_requests(
         "valid",
         "violations",
     )
+
+
+def explain_linear(
+    df: DataFrame, weights: dict[str, float], intercept: float, means: dict[str, float] | None = None, n: int = TOP_N
+) -> DataFrame:
+    """Rows with probability, tier, the baseline probability of the table, top factors and the written summary.
+
+    The contributions of a linear model are exact; a missing feature contributes nothing and is no factor.
+    """
+    raw = logistic_score(weights, intercept, means)
+    baseline = baseline_probability(df, raw).select(F.col("baseline_probability").alias("baseline"))
+    names = F.array(*[F.lit(c) for c in weights])
+    values = F.array(*[F.col(c).cast("double") for c in weights])
+    scored = score_probability(df, raw).withColumn("baseline", baseline.scalar())
+    explained = explain_top_n(scored, F.array(*linear_contributions(weights, means)), names, values, n)
+    return render_explanation(
+        explained, F.col("default_probability"), F.col("baseline"), F.col("risk_tier"), F.col("top_features")
+    )

@@ -11,22 +11,23 @@ from lendstrata.sources.schemas import FILES, TABLES
 from lendstrata.sources.sinks import sink_parquet
 
 
-def csv_schema(spark: SparkSession, path: str, known: dict[str, T.DataType]) -> T.StructType:
-    """Schema in file order: the given types where known, inferred elsewhere.
+def csv_schema(spark: SparkSession, path: str, known: dict[str, T.DataType], infer: bool = False) -> T.StructType:
+    """Schema in file order: the given types where known, text elsewhere. Only the header line is read.
 
-    If all columns are listed only the header line is read; otherwise inference reads the file
-    once, so pass a full schema for large files with further columns.
+    With ``infer`` the types of unlisted columns are inferred, which reads the whole file once more.
     """
-    header = spark.read.option("header", True).csv(path)
-    if set(header.columns) <= known.keys():
-        return T.StructType([T.StructField(c, known[c]) for c in header.columns])
-    guessed = spark.read.csv(path, header=True, inferSchema=True).schema
-    return T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in guessed.fields])
-
-
-def scan_csv_typed(spark: SparkSession, path: str, table: str, schema: T.StructType | None = None) -> DataFrame:
-    """One typed table from CSV; NaN texts become missing. Pass ``schema`` to skip inference."""
-    schema = schema or csv_schema(spark, path, TABLES[table])
+    columns = spark.read.option("header", True).csv(path).columns
+    if infer and not set(columns) <= known.keys():
+        guessed = spark.read.csv(path, header=True, inferSchema=True).schema
+        return T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in guessed.fields])
+    return T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in columns])
+
+
+def scan_csv_typed(
+    spark: SparkSession, path: str, table: str, schema: T.StructType | None = None, infer: bool = False
+) -> DataFrame:
+    """One typed table from CSV; NaN texts become missing."""
+    schema = schema or csv_schema(spark, path, TABLES[table], infer)
     df = spark.read.csv(path, header=True, schema=schema, nullValue="", mode="FAILFAST")
     return nan_to_null(df)
 
@@ -44,16 +45,23 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def load_tables(
-    spark: SparkSession, folder: str, files: dict[str, str] | None = None, clean: bool = True
+    spark: SparkSession, folder: str, files: dict[str, str] | None = None, clean: bool = True, infer: bool = False
 ) -> dict[str, DataFrame]:
     """All eight inputs by name; the two application tables come with their anomalies cleaned.
 
-    ``files`` names other CSV files, or Parquet tables by their ``.parquet`` ending.
+    ``files`` names other CSV files, or Parquet tables by their ``.parquet`` ending. With ``infer`` the test table takes
+    the types inferred from the train table.
     """
-    tables = {}
+    tables: dict[str, DataFrame] = {}
     for name, file in {**FILES, **(files or {})}.items():
         path = f"{folder}/{file}"
-        tables[name] = scan_parquet(spark, path) if file.endswith(".parquet") else scan_csv_typed(spark, path, name)
+        if file.endswith(".parquet"):
+            tables[name] = scan_parquet(spark, path)
+        elif infer and name == "application_test":
+            trained = {f.name: f.dataType for f in tables["application_train"].schema.fields}
+            tables[name] = scan_csv_typed(spark, path, name, csv_schema(spark, path, trained))
+        else:
+            tables[name] = scan_csv_typed(spark, path, name, infer=infer)
     if clean:
         for name in ("application_train", "application_test"):
             tables[name] = fix_anomalies(tables[name])

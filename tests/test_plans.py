@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from catalog import fixtures as fx
+from catalog.queries import QUERIES
 from lendstrata.operators import bureau, history
 from lendstrata.plans import features
 
@@ -29,15 +29,15 @@ def shuffled(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries().keys() - MODELS))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - MODELS))
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text or name == "drift_categorical_tests"
+    assert "Python" not in text
 
 
 def test_scan_reads_only_what_is_used(spark):
-    text = plan(entry.queries()["scan_parquet"](spark, SF))
+    text = plan(QUERIES["scan_parquet"](spark, SF))
     assert re.search(r"ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>", text)
     months = plan(bureau.bureau_balance_loan(fx.fixture(spark, SF, "fx_bureau_balance")))
     assert "l_comment" not in months and "l_extendedprice" not in months
@@ -45,7 +45,7 @@ def test_scan_reads_only_what_is_used(spark):
 
 @pytest.mark.parametrize("name", ["sample_n", "top_n_importance"])
 def test_top_rows_are_kept_while_scanning(spark, name):
-    assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, SF))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF))
 
 
 def test_recent_filter_reaches_the_scan(spark):

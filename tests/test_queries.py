@@ -25,6 +25,8 @@ def test_every_sql_has_a_query():
 @pytest.mark.parametrize("sf_dir", DIRS)
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, connections, name, sf_dir):
+    if name in SLOW and sf_dir != DIRS[0]:
+        pytest.skip("tree training, checked on the smaller tables")
     if sf_dir not in connections:
         pytest.skip("no test tables")
     assert difference(QUERIES[name](spark, sf_dir), ORACLES[name], connections[sf_dir]) is None
@@ -36,9 +38,8 @@ def test_result_is_not_empty(connections, name):
     assert c.execute(f"SELECT count(*) FROM ({ORACLES[name]})").fetchall()[0][0] > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys() - SLOW))
-def test_without_sql_gives_rows(spark, name):
-    assert QUERIES[name](spark, DIRS[0]).count() > 0
+def test_every_query_has_sql():
+    assert ORACLES.keys() == QUERIES.keys()
 
 
 def test_entry_is_one_row_per_application(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendstrata.operators import drift, evaluate, explain, target
-from lendstrata.operators.drift import _chi2_tail
+from lendstrata.plans import monitoring
 
 NAMES = ["EXT_SOURCE_2", "CREDIT_INCOME_RATIO", "AGE_YEARS"]
 
@@ -72,9 +72,37 @@ def test_target_encoding_by_hand(spark):
     assert list(out.values()) == pytest.approx([0.5, (0 + 5) / 11, (1 + 5) / 11, 0.5])
 
 
-@pytest.mark.parametrize("x, df, p", [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307, 10, 0.05), (0.0, 4, 1.0)])
-def test_chi_square_tail(x, df, p):
-    assert _chi2_tail(x, df) == pytest.approx(p, abs=1e-5)
+@pytest.mark.parametrize(
+    "x, df, p",
+    [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307, 10, 0.05), (0.0, 4, 1.0), (341.3951, 300, 0.05), (1e6, 150, 0.0)],
+)
+def test_chi_square_tail(spark, x, df, p):
+    row = spark.createDataFrame([(x, df)], "x double, k int").select(drift.chi2_p(F.col("x"), F.col("k"))).first()
+    assert row[0] == pytest.approx(p, abs=1e-5)
+
+
+def test_vanished_features_are_drifted(spark):
+    ref = spark.createDataFrame([(1.0, None, None, "a", None, True)] * 9, "x double, y double, z double, s string, t string, b boolean")
+    cur = spark.createDataFrame([(None, 2.0, None, None, None, True)] * 9, "x double, y double, z double, s string, t string, b boolean")
+    found = {r["feature"]: r for test in ("ks", "wasserstein") for r in drift.drift_numeric(ref, cur, ["x", "y", "z"], test).collect()}
+    assert [found[c]["drifted"] for c in "xyz"] == [1, 1, 0]
+    assert (found["x"]["n_ref"], found["x"]["n_cur"], found["x"]["ks_p"]) == (9, 0, None)
+    words = {r["feature"]: r for r in drift.drift_categorical(ref, cur, ["s", "t", "b"], "chisquare").collect()}
+    assert [words[c]["drifted"] for c in "stb"] == [1, 0, 0] and words["s"]["jensen_shannon"] is None
+    report = monitoring.monitor(ref, cur)
+    assert report.features.count() == 6 and report.summary.first()["n_drifted_features"] == 3
+
+
+def test_missing_contributions_are_no_factors(spark):
+    df = spark.createDataFrame([([0.5, None, -2.0], [1.0, 2.0, 3.0])], "c array<double>, v array<double>")
+    assert [f["feature"] for f in top(df, 3)] == ["AGE_YEARS", "EXT_SOURCE_2"]
+
+
+def test_any_number_of_factors(spark):
+    names = F.array(*[F.lit(f"f{i}") for i in range(200)])
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: i.cast("double")).alias("c"))
+    row = df.select(explain.top_factors(F.col("c"), names, F.col("c"), 100).alias("t")).first()
+    assert len(row["t"]) == 100
 
 
 @pytest.fixture(scope="module")
@@ -95,7 +123,7 @@ def test_numeric_drift_by_hand(spark, two_samples):
     distance = sum(abs(cdf(a, v) - cdf(b, v)) * (w - v) for v, w in zip(grid, grid[1:]))
     mean = sum(a) / len(a)
     std = math.sqrt(sum((x - mean) ** 2 for x in a) / len(a))
-    for options in ({}, {"small_rows": 20}):
+    for options in ({}, {"bucket_rows": 20}):
         out = drift.drift_numeric(ref, cur, ["x"], **options).first()
         assert out["ks_statistic"] == pytest.approx(ks, abs=1e-12)
         assert out["wasserstein"] == pytest.approx(distance / std, abs=1e-9)

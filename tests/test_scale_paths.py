@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lendstrata.operators import evaluate, folds, history, ordered
-from lendstrata.operators.ordered import frequent_keys, hot_keys, lag_within, lookup, quantiles, running, value_counts
+from lendstrata.operators.ordered import hot_keys, lag_within, lookup, quantiles, running, value_counts
 
 
 @pytest.fixture(scope="module")
@@ -23,22 +23,30 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(skewed):
-    candidates = frequent_keys(skewed, "k", 0.05)
-    assert 1 in candidates and len(candidates) <= 20
-    assert hot_keys(skewed, "k", candidates, 100) == {1: 2000}
-    assert hot_keys(skewed, "k", candidates, 10_000) == {}
+    assert [tuple(r) for r in hot_keys(skewed, "k", 100).table.collect()] == [(1, 2000)]
+    assert hot_keys(skewed, "k", 10_000).rows == 0
+
+
+def test_many_small_hot_keys_are_all_cut(spark):
+    """200 keys of 0.4 % each beside a long tail: none stays whole."""
+    rows = [(i % 200, i % 7, i, float(i % 13)) for i in range(8000)] + [(1000 + i, 0, i, 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, month int, tie int, v double").repartition(4)
+    assert hot_keys(df, "k", 30).rows == 200
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("month", "tie")))
+    cut = lag_within(df, "k", ["month", "tie"], "v", "p", hot_rows=30)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_lag_of_a_hot_key(skewed):
     plain = skewed.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("month", "tie")))
-    cut = lag_within(skewed, "k", ["month", "tie"], "v", "p", hot_share=0.05, hot_rows=150)
+    cut = lag_within(skewed, "k", ["month", "tie"], "v", "p", hot_rows=150)
     assert "_piece" not in cut.columns
     assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_lag_does_not_depend_on_partitions(skewed):
     def run(df):
-        return sorted(map(str, lag_within(df, "k", ["month", "tie"], "v", "p", 0.05, 150).collect()))
+        return sorted(map(str, lag_within(df, "k", ["month", "tie"], "v", "p", 150).collect()))
 
     assert run(skewed) == run(skewed.repartition(11, "tie"))
 
@@ -70,7 +78,7 @@ def test_rows_without_a_key_have_no_previous_value(spark, skewed):
         df = skewed.withColumn("k", F.when(F.col("tie") % 1000 >= 1000 * share, F.col("k")))
         plain = df.withColumn("p", F.when(F.col("k").isNotNull(), F.lag("v").over(Window.partitionBy("k").orderBy("month", "tie"))))
         for rows in (150, 10_000):
-            cut = lag_within(df, "k", ["month", "tie"], "v", "p", hot_share=0.05, hot_rows=rows)
+            cut = lag_within(df, "k", ["month", "tie"], "v", "p", hot_rows=rows)
             assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
 
 
@@ -79,10 +87,10 @@ def test_running_in_buckets(spark):
     rows = [(g, float(x), rng.randrange(5), rng.randrange(5)) for g in "ab" for x in rng.sample(range(10_000), 700)]
     df = spark.createDataFrame(rows, "g string, x double, m int, n int")
     small = running(df, ["g"], "x", ["m", "n"])
-    large = running(df, ["g"], "x", ["m", "n"], small_rows=10)
+    large = running(df, ["g"], "x", ["m", "n"], bucket_rows=10)
     order = small.columns
     assert sorted(map(tuple, large.select(order).collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
-    one = running(df.where("g = 'a'").drop("g"), [], "x", ["m"], small_rows=10)
+    one = running(df.where("g = 'a'").drop("g"), [], "x", ["m"], bucket_rows=10)
     assert one.agg(F.max("m_before")).first()[0] > 0
 
 
@@ -128,7 +136,7 @@ def test_auc_against_all_pairs(spark):
     df = spark.createDataFrame(rows, "s double, y int")
     want = _auc(rows)
     assert evaluate.auc(df, "s", "y").first()[0] == pytest.approx(want, abs=1e-12)
-    assert evaluate.auc(df, "s", "y", small_rows=5).first()[0] == pytest.approx(want, abs=1e-12)
+    assert evaluate.auc(df, "s", "y", bucket_rows=5).first()[0] == pytest.approx(want, abs=1e-12)
     assert evaluate.auc(df.where("y = 1"), "s", "y").first()[0] is None
 
 
@@ -144,7 +152,7 @@ def test_quantiles_against_sorted_values(spark):
         return low + (high - low) * (at - int(at))
 
     for q in (0.5, 0.99, 0.0, 1.0):
-        for options in ({}, {"small_rows": 3}):
+        for options in ({}, {"bucket_rows": 3}):
             got = dict(quantiles(df, ["x", "y"], q, **options).collect())
             for c in ("x", "y"):
                 assert got[c] == pytest.approx(exact([r[c] for r in df.collect()], q), abs=1e-12)
@@ -162,7 +170,7 @@ def test_folds_are_even_within_labels(spark):
 def test_lookup_is_broadcast_only_in_its_bound(spark):
     df = spark.range(50).withColumn("v", F.col("id") * 2)
     big = spark.range(1000)
-    small, large = lookup(df), lookup(df, max_rows=10)
+    small, large = lookup(df), lookup(df, max_bytes=10)
     assert small.small and not large.small
     joined = big.join(large.side(), "id", "left")
     assert joined.where("v IS NOT NULL").count() == 50
@@ -175,4 +183,4 @@ def test_value_counts_leave_missing_out(spark):
 
 
 def test_default_bounds_are_finite():
-    assert ordered.BROADCAST_ROWS <= 1_000_000 and ordered.SMALL_ROWS <= 10_000_000
+    assert ordered.BROADCAST_BYTES <= 100_000_000 and ordered.BUCKET_ROWS <= 10_000_000

@@ -34,12 +34,14 @@ def test_typed_csv(spark, tmp_path):
     assert sorted(map(tuple, df.collect())) == [(5, -1, "C"), (6, -2, None)]
 
 
-def test_unlisted_columns_are_inferred_and_nan_is_missing(spark, tmp_path):
+def test_unlisted_columns_are_text_or_inferred_and_nan_is_missing(spark, tmp_path):
     path = tmp_path / "p.csv"
-    write_csv(path, ["SK_ID_PREV", "AMT_CREDIT", "DAYS_FIRST_DUE", "NOTE"], [[1, "NaN", 365243, "x"], [2, 3.5, "", "y"]])
-    df = readers.scan_csv_typed(spark, str(path), "previous_app")
-    assert dict(df.dtypes) == {"SK_ID_PREV": "int", "AMT_CREDIT": "double", "DAYS_FIRST_DUE": "int", "NOTE": "string"}
+    write_csv(path, ["SK_ID_PREV", "AMT_CREDIT", "SOME_DAYS", "NOTE"], [[1, "NaN", 365243, "x"], [2, 3.5, "", "y"]])
+    df = readers.scan_csv_typed(spark, str(path), "previous_app", infer=True)
+    assert dict(df.dtypes) == {"SK_ID_PREV": "int", "AMT_CREDIT": "double", "SOME_DAYS": "int", "NOTE": "string"}
     assert sorted(map(tuple, df.collect())) == [(1, None, 365243, "x"), (2, 3.5, None, "y")]
+    text = readers.scan_csv_typed(spark, str(path), "previous_app")
+    assert sorted(map(tuple, text.collect())) == [(1, None, "365243", "x"), (2, 3.5, None, "y")]
 
 
 def test_load_tables(spark, tmp_path):
@@ -118,6 +120,9 @@ VALID = {
         ({"EXT_SOURCE_2": 1.5}, ["EXT_SOURCE_2 <= 1"]),
         ({"REGION_RATING_CLIENT": 4, "CNT_CHILDREN": -1}, ["CNT_CHILDREN >= 0", "REGION_RATING_CLIENT <= 3"]),
         ({"CODE_GENDER": None}, ["CODE_GENDER missing"]),
+        ({"AMT_ANNUITY": "much"}, ["AMT_ANNUITY type"]),
+        ({"DAYS_BIRTH": -12000.5, "AMT_CREDIT": "450000"}, ["DAYS_BIRTH type"]),
+        ({"CNT_CHILDREN": [1], "EXT_SOURCE_2": True}, ["CNT_CHILDREN type", "EXT_SOURCE_2 type"]),
     ],
 )
 def test_request_rules(spark, change, broken):
@@ -130,6 +135,44 @@ def test_request_rules(spark, change, broken):
         assert row["CNT_CHILDREN"] == 0 and row["REGION_RATING_CLIENT"] == 2 and row["FLAG_DOCUMENT_21"] is None
 
 
+def test_bulk_and_stream_find_the_same_type_errors(spark):
+    fields = quality.request_fields()
+    rows = [{"SK_ID_CURR": 1, **VALID}, {"SK_ID_CURR": 2, **VALID, "AMT_ANNUITY": "x"}, {"SK_ID_CURR": 3, **VALID, "DAYS_BIRTH": "-5.5"}]
+    lines = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+    stream = {r["SK_ID_CURR"]: r["violations"] for r in score.parse_requests(lines, fields).collect()}
+    schema = ", ".join(f"{c} {'int' if c == 'SK_ID_CURR' else 'string'}" for c in rows[1])
+    bulk = spark.createDataFrame([tuple(None if r.get(c) is None else r[c] if c == "SK_ID_CURR" else str(r[c]) for c in rows[1]) for r in rows], schema)
+    checked = quality.validate_rules(quality.apply_defaults(bulk, fields, ["SK_ID_CURR"]), fields)
+    assert {r["SK_ID_CURR"]: r["violations"] for r in checked.collect()} == stream == {1: [], 2: ["AMT_ANNUITY type"], 3: ["DAYS_BIRTH type"]}
+
+
+def test_two_streams_keep_apart_and_survive_a_restart(spark, tmp_path):
+    fields = quality.request_fields()
+
+    def scorer(valid):
+        return valid.withColumns({"default_probability": F.lit(0.1), "risk_tier": F.lit("MEDIUM")})
+
+    def run(name):
+        lines = score.read_requests(spark, f"{tmp_path}/{name}-in")
+        score.score_stream(lines, fields, scorer, f"{tmp_path}/{name}").awaitTermination(120)
+        return sorted((r["SK_ID_CURR"] or 0, r["request"]) for r in spark.read.parquet(f"{tmp_path}/{name}").collect())
+
+    for name, ids in (("a", [1, 2]), ("b", [3])):
+        (tmp_path / f"{name}-in").mkdir()
+        (tmp_path / f"{name}-in" / "1.json").write_text("\n".join([*(json.dumps({"SK_ID_CURR": i, **VALID}) for i in ids), "no json"]))
+    assert run("a") == [(0, "no json"), (1, None), (2, None)]
+    assert run("b") == [(0, "no json"), (3, None)]
+    (tmp_path / "a-in" / "2.json").write_text(json.dumps({"SK_ID_CURR": 9, **VALID}))
+    assert run("a") == [(0, "no json"), (1, None), (2, None), (9, None)]
+
+
+def test_csv_scan_reads_the_header_only(spark, tmp_path):
+    """No job but the header's runs before the table is used; columns that are not listed are text."""
+    (tmp_path / "pos.csv").write_text("SK_ID_PREV,MONTHS_BALANCE,OTHER\n1,-3,5\n2,NaN-free,6\n")
+    df = readers.scan_csv_typed(spark, f"{tmp_path}/pos.csv", "pos_cash")  # the bad month would end a scan of the rows
+    assert dict(df.dtypes) == {"SK_ID_PREV": "int", "MONTHS_BALANCE": "smallint", "OTHER": "string"}
+
+
 def test_stream_scores_each_request_once(spark, tmp_path):
     fields = quality.request_fields()
 
@@ -196,7 +239,7 @@ def test_requests_are_scored_as_in_training(spark, tmp_path):
     """A trained model with its saved encoders gives applications the score they get as requests."""
     raw = fx.fixture(spark, SF, "fx_requests").withColumn("AMT_CREDIT", F.abs("AMT_CREDIT"))
     fields = quality.request_fields()
-    requests = quality.apply_defaults(raw, fields, ["SK_ID_CURR"])
+    requests = quality.apply_defaults(raw, fields, ["SK_ID_CURR"]).drop(quality.TYPE_ERRORS)
     labelled = requests.withColumn("TARGET", (F.col("SK_ID_CURR") % 4 == 0).cast("int"))
     plan = fit_encoding(app_features(fix_anomalies(labelled)))
     train = plan.transform(app_features(fix_anomalies(labelled)))
