@@ -101,11 +101,30 @@ def _subset(s: SparkSession, d: str) -> DataFrame:
 
 
 query("join_subset_agg", o.rounded(_SUBSET_SQL, ["SK_ID_CURR"], "fx_bureau"))(_subset)
-query("agg_subset", o.rounded(_SUBSET_SQL.replace("loan_count, ", "").replace(", count(SK_ID_BUREAU) AS loan_count", ""), ["SK_ID_CURR"], "fx_bureau"))(
-    lambda s, d: _subset(s, d).drop("loan_count")
+_RECENT_SQL = (
+    "SELECT SK_ID_CURR, sum(AMT_CREDIT_SUM) FILTER (WHERE DAYS_CREDIT >= -1500) AS recent_sum, max(CREDIT_DAY_OVERDUE) FILTER (WHERE DAYS_CREDIT >= -1500) "
+    "AS recent_overdue, CASE WHEN count(*) FILTER (WHERE DAYS_CREDIT >= -1500) > 0 THEN count(*) FILTER (WHERE DAYS_CREDIT >= -1500 AND CNT_CREDIT_PROLONG > 0) END "
+    "AS recent_prolonged FROM fx_bureau WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR"
 )
 
 
+@query("agg_subset", o.rounded(_RECENT_SQL, ["SK_ID_CURR"], "fx_bureau"))
+def _(s, d):
+    """Sum, maximum and count of a subset that some clients have no row in."""
+    recent = F.col("DAYS_CREDIT") >= -1500
+    out = (
+        fx.fixture(s, d, "fx_bureau")
+        .where("SK_ID_CURR IS NOT NULL")
+        .groupBy("SK_ID_CURR")
+        .agg(
+            n.subset_sum(recent, "AMT_CREDIT_SUM").alias("recent_sum"),
+            F.max(n.only(recent, "CREDIT_DAY_OVERDUE")).alias("recent_overdue"),
+            n.subset_count(recent, F.col("CNT_CREDIT_PROLONG") > 0).alias("recent_prolonged"),
+        )
+    )
+    return rounded(out, ["SK_ID_CURR"])
+
+
 @query(
     "join_encoding",
     o.rounded(
@@ -217,16 +236,9 @@ def _(s, d):
 
 @query("agg_first_last", o.rounded("SELECT SK_ID_CURR, first_ask, last_ask FROM prev_first_last", ["SK_ID_CURR"], "prev_first_last"))
 def _(s, d):
-    order = F.struct("DAYS_DECISION", "SK_ID_PREV")
-    out = (
-        fx.fixture(s, d, "fx_previous")
-        .where("SK_ID_CURR IS NOT NULL")
-        .groupBy("SK_ID_CURR")
-        .agg(
-            n.first_present("AMT_APPLICATION", order).alias("first_ask"),
-            n.last_present("AMT_APPLICATION", order).alias("last_ask"),
-        )
-    )
+    first, last = history.first_last_ask()
+    previous = fx.fixture(s, d, "fx_previous").where("SK_ID_CURR IS NOT NULL")
+    out = previous.groupBy("SK_ID_CURR").agg(first.alias("first_ask"), last.alias("last_ask"))
     return rounded(out, ["SK_ID_CURR"])
 
 
@@ -300,7 +312,16 @@ def _importance(s: SparkSession, d: str, top: int) -> DataFrame:
     return rounded(explain.global_importance(df, F.col("embedding"), DIMENSIONS, top), ["feature"], 6)
 
 
-query("top_n_importance", o.rounded(_IMPORTANCE_SQL + "15", ["feature"], digits=6))(lambda s, d: _importance(s, d, 15))
+@query(
+    "top_n_importance",
+    "SELECT p_brand AS feature, round(avg(p_retailprice), 6) AS importance FROM part GROUP BY p_brand ORDER BY avg(p_retailprice) DESC, feature LIMIT 7",
+)
+def _(s, d):
+    """The largest rows of any importance table."""
+    table = fx.source(s, d, "part").groupBy(F.col("p_brand").alias("feature")).agg(F.round(F.avg("p_retailprice"), 6).alias("importance"))
+    return explain.top_n_importance(table, 7)
+
+
 query("global_importance", o.rounded(_IMPORTANCE_SQL + "20", ["feature"], digits=6))(lambda s, d: _importance(s, d, 20))
 
 

@@ -19,9 +19,11 @@ UNKNOWN = "Unknown"
 _PLAN_SCHEMA = "column_name string, n_unique bigint, action string, categories array<string>"
 
 
-def label_encode(c: str, labels: list[str]) -> Column:
-    """Position in the sorted labels; a missing value is one class after them."""
-    chain = F.when(F.col(c).isNull(), F.lit(len(labels)))
+def label_encode(c: str, labels: list[str], missing: str = "class") -> Column:
+    """Position in the sorted labels; a missing value is one class after them, or stays missing (``null``)."""
+    if missing not in ("class", "null"):
+        raise ValueError(f"missing values as class or null, not {missing}")
+    chain = F.when(F.col(c).isNull(), F.lit(len(labels) if missing == "class" else None).cast("int"))
     for i, label in enumerate(labels):
         chain = chain.when(F.col(c) == label, F.lit(i))
     return chain

@@ -73,10 +73,16 @@ def last_status_flag() -> Column:
     return flag(last_present(F.col("NAME_CONTRACT_STATUS") == "Refused", _decision_order()))
 
 
+def first_last_ask() -> tuple[Column, Column]:
+    """Aggregates: the oldest and the newest requested amount."""
+    order = _decision_order()
+    return first_present("AMT_APPLICATION", order), last_present("AMT_APPLICATION", order)
+
+
 def growth_first_last() -> Column:
     """Aggregate: newest requested amount over the oldest one."""
-    order = _decision_order()
-    return ratio(last_present("AMT_APPLICATION", order), first_present("AMT_APPLICATION", order))
+    first, last = first_last_ask()
+    return ratio(last, first)
 
 
 def previous_aggregates() -> dict[str, Column]:

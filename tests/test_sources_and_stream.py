@@ -12,7 +12,7 @@ from catalog import fixtures as fx
 from catalog.queries import INTERCEPT, MEANS, WEIGHTS
 from lendstrata.operators import evaluate, quality
 from lendstrata.operators.application import app_features, fix_anomalies
-from lendstrata.operators.encode import EncodingPlan, fit_encoding
+from lendstrata.operators.encode import EncodingPlan, fit_encoding, label_encode
 from lendstrata.plans import features, monitoring, scoring, training
 from lendstrata.sources import readers, sinks
 from lendstrata.sources.schemas import FILES, TABLES
@@ -265,3 +265,20 @@ def test_monitoring(spark, tmp_path):
     assert found == {"value": 1, "user_number": 0, "event_type": 0, "level": 1}
     summary = spark.read.json(f"{tmp_path}/drift_metrics").first()
     assert summary["n_drifted_features"] == 2 and summary["dataset_drift_detected"] == 0
+
+
+def test_text_features_and_class_weights(spark):
+    rows = [(i, int(i % 4 == 0), float(i % 4 == 0) + 0.1 * (i % 3), "x") for i in range(200)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR int, TARGET int, a double, words string")
+    with pytest.raises(ValueError, match="words"):
+        training.fit_final(df, training.TreeParams(trees=1), high_cardinality=[])
+    params = training.TreeParams(trees=2, depth=2, balanced=True)
+    assert params.weighted(df).where("TARGET = 1").first()["weight"] == 3.0
+    found = training.fit_final(df.drop("words"), params, high_cardinality=[]).importance(spark).collect()
+    assert [r["feature"] for r in found] == ["a"]
+
+
+def test_missing_label_may_stay_missing(spark):
+    df = spark.createDataFrame([("F",), ("M",), (None,)], "c string")
+    assert [r[0] for r in df.select(label_encode("c", ["F", "M"])).collect()] == [0, 1, 2]
+    assert [r[0] for r in df.select(label_encode("c", ["F", "M"], "null")).collect()] == [0, 1, None]
