@@ -32,11 +32,12 @@ from lendstrata.sources.sinks import materialize
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Most words that are encoded beforehand and sent to every task.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 2_000_000
 #: Bytes of a word from which a step joins all places of a pair.
 LONG = 200
-#: Words of a task counted together.
-CHUNK = 2_000_000
+#: Words of a task counted together, and bytes of text cut at once.
+CHUNK = 500_000
+SLICE_BYTES = 500_000
 
 _MAPS = 1 << 15
 _NONE = (1 << 31) - 1
@@ -120,34 +121,39 @@ def _identity(w: tx.Words) -> np.ndarray:
 # --- words that occur often -------------------------------------------------------------------------------------
 
 
+def _words_of(w: tx.Words) -> pa.Array:
+    """The words as an Arrow array over the same bytes, which they cover."""
+    edges = np.append(w.starts, len(w.data)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(w.starts), [None, pa.py_buffer(edges), pa.py_buffer(w.data)])
+
+
 def _counted(kinds: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
-        size = 0
+        kept: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column(0)):
+            for _, _, data, offsets in tx.slices(batch.column(0), SLICE_BYTES):
                 w = cut(data, offsets, kinds)
                 if not len(w.starts):
                     continue
                 own, at, n = np.unique(_identity(w)[:, 0], return_index=True, return_counts=True)
-                raw = data.tobytes()
-                kept.append((own, n, [raw[a:b] for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())]))
-                size += len(own)
-                if size >= CHUNK:
-                    yield _summed(kept)
-                    kept, size = [], 0
+                kept.append((own, n, _words_of(w).take(pa.array(at))))
+                if sum(len(k[0]) for k in kept) >= 2 * CHUNK:
+                    kept = [_summed(kept)]
+                    if len(kept[0][0]) >= CHUNK:
+                        yield pa.RecordBatch.from_arrays([kept[0][2], pa.array(kept[0][1])], ["word", "n"])
+                        kept = []
         if kept:
-            yield _summed(kept)
+            _, n, names = _summed(kept)
+            yield pa.RecordBatch.from_arrays([names, pa.array(n)], ["word", "n"])
 
     return count
 
 
-def _summed(kept) -> pa.RecordBatch:
+def _summed(kept: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     hashes = np.concatenate([k[0] for k in kept])
-    names = [word for k in kept for word in k[2]]
-    _, at, where = np.unique(hashes, return_index=True, return_inverse=True)
+    own, at, where = np.unique(hashes, return_index=True, return_inverse=True)
     n = np.bincount(where, np.concatenate([k[1] for k in kept])).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array([names[i] for i in at.tolist()], pa.binary()), pa.array(n)], ["word", "n"])
+    return own, n, pa.concat_arrays([k[2] for k in kept]).take(pa.array(at))
 
 
 def frequent_words(docs: DataFrame, kinds: np.ndarray, most: int = KNOWN_WORDS) -> DataFrame:
@@ -246,14 +252,19 @@ def _merged_long(word: Column, maps: Column) -> Column:
     return F.aggregate(steps, start, step, lambda s: F.transform(pieces(s["s"]), lambda x: _rank(x, maps)))
 
 
+def _joined(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
 def encoded_words(words: Column, maps: Column) -> Column:
-    """Ids of each of an array of words (Latin-1 strings of their bytes)."""
+    """Ids of each of an array of words (binary)."""
 
     def ids(word: Column, m: Column) -> Column:
         whole = _rank(word, m)
         return F.when(whole.isNotNull(), F.array(whole)).when(F.length(word) < LONG, _merged(word, m)).otherwise(_merged_long(word, m))
 
-    return _with(maps, lambda m: F.transform(words, lambda w: ids(w, m)))
+    pieces = F.transform(words, lambda w: F.decode(w, "ISO-8859-1"))
+    return _with(maps, lambda m: F.transform(pieces, lambda w: ids(w, m)))
 
 
 # --- texts ----------------------------------------------------------------------------------------------------
@@ -262,17 +273,18 @@ def encoded_words(words: Column, maps: Column) -> Column:
 class Known:
     """Ids of the words that are encoded beforehand, by the words' hashes."""
 
-    def __init__(self, words: list[bytes], ids: list[list[int]]) -> None:
-        ends = np.cumsum([len(x) for x in words], dtype=np.int64)
-        data = np.frombuffer(b"".join(words), np.uint8)
-        w = tx.Words(data, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends, np.empty(0, np.int64))
-        own = _identity(w) if words else np.empty((0, 2), np.uint64)
+    def __init__(self, words: pa.Array, ids: pa.Array) -> None:
+        """``words``: binary, ``ids``: lists of ints."""
+        parts = [np.empty((0, 2), np.uint64)]
+        for _, _, data, edges in tx.slices(words, SLICE_BYTES):
+            parts.append(_identity(tx.Words(data, edges[:-1], edges[1:], np.empty(0, np.int64))))
+        own = np.concatenate(parts)
         order = np.argsort(own[:, 0], kind="stable")
         self.first, self.second = own[order, 0], own[order, 1]
-        many = np.array([len(x) for x in ids], np.int64)
+        many = np.asarray(pc.list_value_length(ids)).astype(np.int64)
         cuts = np.concatenate([[0], np.cumsum(many)])
-        self.start, self.many = cuts[:-1][order], many[order]
-        self.ids = np.array([i for x in ids for i in x], np.int32)
+        self.start, self.many = cuts[:-1][order].astype(np.int32), many[order].astype(np.int32)
+        self.ids = np.asarray(pc.list_flatten(ids)).astype(np.int32)
 
     @classmethod
     def of(cls, arrays: dict[str, np.ndarray]) -> Known:
@@ -289,7 +301,7 @@ class Known:
         return np.where((self.first[at] == identity[:, 0]) & (self.second[at] == identity[:, 1]), at, -1)
 
 
-_DRAFT = "struct<ids: array<int>, words: array<string>>"
+_DRAFT = "struct<ids: array<int>, words: array<binary>>"
 
 
 def _draft(known, kinds):
@@ -298,8 +310,8 @@ def _draft(known, kinds):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lookup = Known.of(known.value)
         for texts in batches:
-            sizes, ids, word_sizes, words = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)], []
-            for first, last, data, offsets in tx.slices(texts):
+            sizes, ids, word_sizes, words = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)], [pa.array([], pa.binary())]
+            for first, last, data, offsets in tx.slices(texts, SLICE_BYTES):
                 w = cut(data, offsets, kinds.value)
                 own, at, where = np.unique(_identity(w)[:, 0], return_index=True, return_inverse=True)
                 del own
@@ -322,11 +334,10 @@ def _draft(known, kinds):
                 edges = np.concatenate([[0], total])[w.bounds]
                 sizes.append(np.diff(edges))
                 word_sizes.append(np.diff(seen[w.bounds]))
-                raw = data.tobytes()
-                words += [raw[a:b].decode("latin-1") for a, b in zip(w.starts[new].tolist(), w.ends[new].tolist())]
+                words.append(_words_of(w).take(pa.array(np.flatnonzero(new))))
             columns = [
                 pa.ListArray.from_arrays(_edges(sizes), pa.array(np.concatenate(ids))),
-                pa.ListArray.from_arrays(_edges(word_sizes), pa.array(words, pa.string())),
+                pa.ListArray.from_arrays(_edges(word_sizes), pa.concat_arrays(words)),
             ]
             yield pa.StructArray.from_arrays(columns, ["ids", "words"])
 
@@ -355,24 +366,33 @@ def _filled(drafts: pa.Array, others: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(_edges([np.array(sizes, np.int64)]), pa.array(np.concatenate([np.empty(0, np.int32), *out])))
 
 
+def _drafted(docs: DataFrame, row: Column, path: str | None, known: int) -> DataFrame:
+    """row, the ids of known words with places for the others, and the ids of the others."""
+    spark = docs.sparkSession
+    maps = rank_maps(read_ranks(spark, path or public_tokenizers.path(RANKS)))
+    kinds = character_classes()
+    words = frequent_words(docs, kinds, known)
+    done = words.select("word", F.element_at(encoded_words(F.array("word"), maps), 1).alias("ids")).toArrow()
+    lookup = Known(_joined(done["word"]), _joined(done["ids"]))
+    del done
+    shared = [spark.sparkContext.broadcast(x) for x in (vars(lookup), kinds)]
+    drafts = docs.select(row.alias("row"), _draft(*shared)("text").alias("d"))
+    return drafts.select("row", F.col("d.ids").alias("draft"), encoded_words(F.col("d.words"), maps).alias("others"))
+
+
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), _filled(batch.column(1), batch.column(2))], ["row", "ids"])
 
 
+def _with_ids(row: T.StructField) -> T.StructType:
+    return T.StructType([row, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+
 def encode(docs: DataFrame, path: str | None = None, known: int = KNOWN_WORDS) -> DataFrame:
     """Columns row (as it came) and ids, for the ranks in the file at ``path``."""
-    spark = docs.sparkSession
-    maps = rank_maps(read_ranks(spark, path or public_tokenizers.path(RANKS)))
-    kinds = character_classes()
-    words = frequent_words(docs, kinds, known)
-    done = words.select("word", F.element_at(encoded_words(F.array(F.decode("word", "ISO-8859-1")), maps), 1).alias("ids")).toArrow()
-    lookup = Known(done["word"].to_pylist(), done["ids"].to_pylist())
-    shared = [spark.sparkContext.broadcast(x) for x in (vars(lookup), kinds)]
-    drafts = docs.select(F.struct("*").alias("row"), _draft(*shared)("text").alias("d"))
-    others = drafts.select("row", F.col("d.ids").alias("draft"), encoded_words(F.col("d.words"), maps).alias("others"))
-    schema = T.StructType([others.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return others.mapInArrow(_fill, schema)
+    drafted = _drafted(docs, F.struct("*"), path, known)
+    return drafted.mapInArrow(_fill, _with_ids(drafted.schema["row"]))
 
 
 class Decoder:
@@ -404,33 +424,39 @@ def decode(column: str, ranks: dict[bytes, int]) -> Column:
     return join(column)
 
 
-def _digests(ranks: dict[bytes, int]):
+def _digested(ranks: dict[bytes, int]):
+    """row, ids, their number and digest, and the digest of the bytes decoded from them."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Decoder(ranks)
-        for batch in batches:
+        for batch in _fill(batches):
             rows = [r.values.to_numpy() for r in batch.column(1)]
             columns = [
-                batch.column(0),
+                *batch.columns,
                 pa.array([len(r) for r in rows], pa.int64()),
                 pa.array([hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows], pa.string()),
                 pa.array([hashlib.sha256(own(r)).hexdigest() for r in rows], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return read
 
 
+def _round_trip(docs: DataFrame, row: Column, path: str | None) -> DataFrame:
+    """Encoded and decoded in one step, so that a task has no more Python workers than it needs."""
+    ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
+    drafted = _drafted(docs, row, path, KNOWN_WORDS)
+    schema = _with_ids(drafted.schema["row"]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return drafted.mapInArrow(_digested(ranks), schema)
+
+
 def digest_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per document: number of ids, digests of the ids and of the bytes decoded from them."""
-    ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
-    done = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path)
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return done.select("row.doc_id", "ids").mapInArrow(_digests(ranks), schema)
+    done = _round_trip(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")), path)
+    return done.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, and the digest of the text decoded from the ids."""
-    ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
-    done = encode(docs, path)
-    text = decode("ids", ranks)
-    return done.select("row.doc_id", "row.lang", "row.source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("decoded_sha256"))
+    done = _round_trip(docs, F.struct("doc_id", "lang", "source"), path)
+    return done.select("row.doc_id", "row.lang", "row.source", "ids", "n_tokens", "decoded_sha256")

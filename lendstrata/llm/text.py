@@ -52,15 +52,15 @@ def _classes(punctuation: bool) -> np.ndarray:
     return table
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first, last, bytes, offsets) of runs of whole texts; null texts are empty."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last, bytes, offsets) of runs of whole texts of about ``limit`` bytes; null texts are empty."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
         last = min(len(texts), max(last, first + 1))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
