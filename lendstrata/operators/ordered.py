@@ -60,9 +60,10 @@ def count_below(values: Column | str, heads: Column | str, x: Column) -> Column:
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> Lookup:
     """Rows (key, hot_rows) of the keys with more than ``rows`` rows, by an exact count.
 
-    The count combines on the map side; a table of n rows has fewer than n / ``rows`` such keys.
+    The count combines on the map side; a table of n rows has fewer than n / ``rows`` such keys. The missing key
+    may be one of them.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("hot_rows"))
+    counts = df.groupBy(key).agg(F.count("*").alias("hot_rows"))
     return lookup(counts.where(F.col("hot_rows") > rows))
 
 
@@ -73,14 +74,14 @@ def lag_within(
 
     Normally one window. A key beyond ``hot_rows`` is cut into pieces at split points taken from a
     sample, as many as its rows need; the first row of a piece takes the last value of the piece before. The result
-    does not depend on where the splits fall. Rows without a key are dealt to many windows.
+    does not depend on where the splits fall. Many rows without a key are dealt to many windows.
     """
     hot = hot_keys(df, key, hot_rows)
-    keyless = F.when(F.col(key).isNull(), F.pmod(F.hash(*order), F.lit(KEYLESS_PARTS)))
     if not hot.rows:
-        before = F.lag(value).over(Window.partitionBy(key, keyless).orderBy(*order))
+        before = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
         return df.withColumn(out, F.when(F.col(key).isNotNull(), before))
 
+    keyless = F.when(F.col(key).isNull(), F.pmod(F.hash(*order), F.lit(KEYLESS_PARTS)))
     position = F.struct(*order)
     share = F.lit(float(POINTS_PER_PIECE)) / hot_rows
     points = df.join(hot.side(), key).where(F.rand(7) < share).groupBy(key)
