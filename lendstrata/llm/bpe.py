@@ -35,9 +35,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 KNOWN_WORDS = 2_000_000
 #: Bytes of a word from which a step joins all places of a pair.
 LONG = 200
-#: Words of a task counted together, and bytes of text cut at once.
+#: Words of a task counted together.
 CHUNK = 500_000
-SLICE_BYTES = 500_000
 
 _MAPS = 1 << 15
 _NONE = (1 << 31) - 1
@@ -131,7 +130,7 @@ def _counted(kinds: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column(0), SLICE_BYTES):
+            for _, _, data, offsets in tx.slices(batch.column(0)):
                 w = cut(data, offsets, kinds)
                 if not len(w.starts):
                     continue
@@ -276,7 +275,7 @@ class Known:
     def __init__(self, words: pa.Array, ids: pa.Array) -> None:
         """``words``: binary, ``ids``: lists of ints."""
         parts = [np.empty((0, 2), np.uint64)]
-        for _, _, data, edges in tx.slices(words, SLICE_BYTES):
+        for _, _, data, edges in tx.slices(words):
             parts.append(_identity(tx.Words(data, edges[:-1], edges[1:], np.empty(0, np.int64))))
         own = np.concatenate(parts)
         order = np.argsort(own[:, 0], kind="stable")
@@ -311,7 +310,7 @@ def _draft(known, kinds):
         lookup = Known.of(known.value)
         for texts in batches:
             sizes, ids, word_sizes, words = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)], [pa.array([], pa.binary())]
-            for first, last, data, offsets in tx.slices(texts, SLICE_BYTES):
+            for first, last, data, offsets in tx.slices(texts):
                 w = cut(data, offsets, kinds.value)
                 own, at, where = np.unique(_identity(w)[:, 0], return_index=True, return_inverse=True)
                 del own
@@ -369,6 +368,7 @@ def _filled(drafts: pa.Array, others: pa.Array) -> pa.Array:
 def _drafted(docs: DataFrame, row: Column, path: str | None, known: int) -> DataFrame:
     """row, the ids of known words with places for the others, and the ids of the others."""
     spark = docs.sparkSession
+    tx.bound_batches(spark)
     maps = rank_maps(read_ranks(spark, path or public_tokenizers.path(RANKS)))
     kinds = character_classes()
     words = frequent_words(docs, kinds, known)

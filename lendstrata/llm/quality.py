@@ -62,7 +62,7 @@ def _contexts(p: Params):
         places, signs = index_vectors(p)
         total = np.zeros(p.buckets * p.size, np.int64)
         for batch in batches:
-            for _, _, data, offsets in tx.slices(tx.text_of(batch, "text")):
+            for _, _, data, offsets in tx.slices(tx.text_of(batch, "text"), tx.LARGE_SLICE):
                 w = tx.words(data, offsets, punctuation=True)
                 own, owner = _buckets(w, p), w.owners()
                 for step in range(1, p.window + 1):
@@ -95,7 +95,7 @@ def word_vectors(docs: DataFrame, p: Params = Params()) -> np.ndarray:
 
 def pooled(texts: pa.Array, vectors: np.ndarray, p: Params) -> Iterator[np.ndarray]:
     """Feature rows of the texts, slice by slice."""
-    for _, _, data, offsets in tx.slices(texts):
+    for _, _, data, offsets in tx.slices(texts, tx.LARGE_SLICE):
         w = tx.words(data, offsets, punctuation=True)
         v = vectors[_buckets(w, p)]
         n = w.counts()

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendstrata.llm import text as tx
 from lendstrata.llm.components import components, forest
 from lendstrata.sources.sinks import materialize
 
@@ -204,6 +205,7 @@ def links_between(nodes: DataFrame, bits: int = BITS) -> DataFrame:
 
 def group_documents(docs: DataFrame, bits: int = BITS, size: int = SHINGLE) -> DataFrame:
     """One row per document: fingerprint, and the smallest doc_id that links lead to."""
+    tx.bound_batches(docs.sparkSession)
     own = materialize(docs.select("doc_id", fingerprints("text", size).alias("node")), "fingerprints")
     nodes = materialize(own.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("docs")), "nodes")
     roots = components(links_between(nodes.select("node"), bits))

@@ -106,7 +106,7 @@ class Segments:
 
 def _segments(batches: Iterator[pa.RecordBatch], window: int, pick: int):
     for batch in batches:
-        for first, _, data, offsets in tx.slices(tx.text_of(batch, "text")):
+        for first, _, data, offsets in tx.slices(tx.text_of(batch, "text"), tx.LARGE_SLICE):
             s = Segments(tx.words(data, offsets), window, pick)
             if len(s.first):
                 yield batch, first, s

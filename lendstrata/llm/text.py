@@ -8,10 +8,13 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-#: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+#: Bytes of text handled at once; a longer text is a slice of its own. Working arrays take some 60 times as much.
+SLICE_BYTES = 250_000
+LARGE_SLICE = 2_000_000
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _BLOCK = 1 << 16
 
@@ -123,5 +126,14 @@ def _polynomial(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, factor:
     return (running[ends] - running[starts]) * _powers(inverse, size)[starts]
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Fewer texts in an Arrow batch than the default of 10,000, which whole texts make too large for a worker.
+
+    The setting is the session's, and is left alone if it isn't the default; results don't depend on it.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(rows))
+
+
 def text_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column))

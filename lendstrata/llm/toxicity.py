@@ -207,6 +207,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, params: Params = Params()) -> Model:
+    tx.bound_batches(docs.sparkSession)
     rows = lab.sample(labels, "toxic", learn, params.rows)
     own = lab.labelled(docs, rows)
     base = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1)
