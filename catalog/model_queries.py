@@ -229,7 +229,8 @@ def _(s, d):
     "SELECT * FROM (VALUES (0, 50, 5, 1), (1, 50, 3, 1)) AS t(trial, trees, depth, in_range)",
 )
 def _(s, d):
-    trials = [training.TreeParams(), training.TreeParams(depth=3)]
+    # The SQL lists trials of 50 trees.
+    trials = [training.TreeParams(trees=50, learning_rate=0.1, depth=depth) for depth in (5, 3)]
     found = training.param_search(matrix(s, d).train, trials)
     return found.select("trial", "trees", "depth", F.col("auc").between(0, 1).cast("int").alias("in_range"))
 
