@@ -180,17 +180,22 @@ class Best:
 
     def compare(self, query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         for low in range(0, len(x), 4096):
+            order = np.argsort(ids[low : low + 4096], kind="stable")
+            own, part = ids[low : low + 4096][order], x[low : low + 4096][order]
             for at in range(0, len(q), 256):
-                self._block(query_ids[at : at + 256], q[at : at + 256], ids[low : low + 4096], x[low : low + 4096])
+                self._block(query_ids[at : at + 256], q[at : at + 256], own, part)
 
     def _block(self, query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        """``ids`` ascend, so that rows of one id are neighbours."""
         rough = _distances(q, x)
         rough[query_ids[:, None] == ids[None]] = np.inf
+        firsts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        by_id = rough if len(firsts) == len(ids) else np.minimum.reduceat(rough, firsts, axis=1)
         for i, own in enumerate(query_ids.tolist()):
             best = self.found.get(own)
             row = rough[i]
             # The rough distance of a near vector may be off by rounding: all that could be among the nearest are measured.
-            limit = np.partition(row, self.nearest - 1)[self.nearest - 1] if len(row) > self.nearest else np.inf
+            limit = np.partition(by_id[i], self.nearest - 1)[self.nearest - 1] if len(firsts) > self.nearest else np.inf
             if best is not None and len(best[0]) == self.nearest:
                 limit = min(limit, best[0][-1])
             near = np.flatnonzero((row <= limit + 1e-5) & np.isfinite(row))
