@@ -1,12 +1,12 @@
 """Cases that earlier versions cut short."""
 
-from collections import Counter, defaultdict
+import random
+from collections import Counter
 
 import numpy as np
-from pyspark.sql import functions as F
 from test_rows import brute_neighbours, found_by_query, recall
 
-from lendstrata.llm import neighbours
+from lendstrata.llm import neighbours, simhash
 
 
 def test_repeated_rows_do_not_push_out_neighbours(spark):
@@ -27,3 +27,30 @@ def test_block_takes_the_nearest_ids_not_rows():
     best.compare(np.array([0]), x[:1], np.repeat(np.arange(100), 12), np.repeat(x, 12, axis=0))
     far = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
     assert best.found[0][1].tolist() == np.argsort(far)[1:11].tolist()
+
+
+def test_edited_copies_do_not_survive(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows.append((3 * i, " ".join(words)))
+        for extra, edits in ((1, 1 + i % 4), (2, 9)):  # some 0.82 to 0.95, and 0.6
+            copy = list(words)
+            for at in range(10, 10 + 20 * edits, 20):
+                copy[at] = "edited"
+            rows.append((3 * i + extra, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = {i: simhash.shingles(t.encode(), 5) for i, t in rows}
+    gone = {i + 1 for i in range(0, 360, 3) if simhash.similarity(sets[i], sets[i + 1]) >= 0.8}
+    assert len(gone) == 120 and all(simhash.similarity(sets[i], sets[i + 2]) < 0.8 for i in range(0, 360, 3))
+    left = {r["doc_id"] for r in simhash.keep_one(docs).collect()}
+    direct = {i + 2 for i in range(0, 360, 3) if simhash.similarity(sets[i + 1], sets[i + 2]) >= 0.8}
+    assert left == set(range(360)) - gone - direct
+
+
+def test_large_group_of_near_copies_leaves_one(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows = [(i, " ".join([*words[: i % 290], f"x{i}", *words[i % 290 :]])) for i in range(200)]
+    assert [r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
