@@ -54,3 +54,11 @@ def test_large_group_of_near_copies_leaves_one(spark):
     words = [f"w{rng.randrange(5000)}" for _ in range(300)]
     rows = [(i, " ".join([*words[: i % 290], f"x{i}", *words[i % 290 :]])) for i in range(200)]
     assert [r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
+
+
+def test_near_duplicates_go_by_row(spark):
+    words = [f"w{i}" for i in range(100)]
+    text, copy = " ".join(words), " ".join([*words, "more"])
+    rows = [(1, text), (1, text), (2, copy), (2, "another text without a copy of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, simhash.keep_one(docs).collect())) == Counter({(1, text): 1, rows[3]: 1})
