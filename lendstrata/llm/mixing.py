@@ -3,24 +3,34 @@
 A source's rows are cut into blocks of equal size, in an order given by a digest of the id. With weight w
 (all weights add up to 1) its block j is released at slot floor(j / w) and due by slot ceil((j + 1) / w). A
 slot takes the released block with the earliest deadline, ties to the first source, so that after any number of slots every
-source is less than one block off its share. Weights are whole numbers of slots of a period, so the schedule of
-one period, of a fixed length, repeats. Each source starts over when its blocks are used up; the mix ends when every source has
+source is less than one block off its share. ``mix_exactly`` takes the windows from the weights themselves; the driver plans its
+slots, a bounded number at a time. ``mix`` (and the query op6_mixing, whose SQL asks for it) rounds weights to whole slots of a
+period, one of them each source's own, whose schedule repeats: its shares are those of the rounded weights. Each source starts over when its blocks are used up; the mix ends when every source has
 been through once. So every row is there, and rows of a source that is to weigh more than its size are there more often.
 
 Without given weights a source weighs its number of rows to the power 0.7. Rows without a source are
 a source of their own, named by the empty string. Null ids and repeated rows are rows like others; which of some equal rows
 comes first makes no difference. Other columns are passed on, whatever their names. An empty table gives an empty mix.
-Everything is DataFrame and SQL functions; the driver sees the number of rows and of sources.
+No task runs Python.
 """
 
 from __future__ import annotations
 
 import math
-
+import uuid
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heappop, heappush
+from itertools import islice
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lendstrata.sources.sinks import work_folder
+
 BLOCK_ROWS = 64
 PERIOD = 4096
 POWER = 0.7
@@ -28,6 +38,9 @@ POWER = 0.7
 BUCKET_ROWS = 2_000
 #: Buckets that a task adds up.
 GROUP_BUCKETS = 1_000
+#: Slots that the driver plans at once, and that are sent to every task at most.
+PLAN_ROWS = 500_000
+SENT_SLOTS = 50_000
 
 
 def weighted(sources: DataFrame, weights: DataFrame | None = None, period: int = PERIOD) -> DataFrame:
@@ -99,17 +112,21 @@ def numbered(rows: DataFrame, n: int) -> DataFrame:
     return placed.withColumn("own", own).join(starts, ["source", "bucket"]).withColumn("rank", F.col("start") + F.col("own") - 1)
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
-    """Columns row (as it came), source, block, epoch, turn, slot, release, deadline, row_in_block; in the mix's order by (slot, row_in_block).
-
-    ``weights``: (source, weight), weights of 0 or more; sources that it doesn't name weigh 0, and still get one slot of a period.
-    """
-    rows = docs.select(
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.struct("*").alias("row"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("mark"),
         F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]).alias("tie"),
     )
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+    """Columns row (as it came), source, block, epoch, turn, slot, release, deadline, row_in_block; in the mix's order by (slot, row_in_block).
+
+    ``weights``: (source, weight), weights of 0 or more; sources that it doesn't name weigh 0, and still get one slot of a period.
+    """
+    rows = _marked(docs)
     sources = rows.groupBy("source").agg(F.count("*").alias("n"))
     plan = scheduled(weighted(sources, weights, period), period, block_rows)
     placed = numbered(rows, docs.count()).select(
@@ -132,6 +149,69 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLO
     )
 
 
+def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(slot, source's place in the list, turn, release, deadline) until each source of some weight has been through.
+
+    Windows come from the weights as exact ratios of whole numbers, so that after any number of slots each source is less
+    than one block off its share. Sources without weight get no slot.
+    """
+    ratios = [Fraction(w) for w in weights]
+    scale = math.lcm(*(r.denominator for r in ratios))
+    parts = [int(r * scale) for r in ratios]
+    total, left = sum(parts), {i for i, w in enumerate(parts) if w > 0}
+    ready: list[tuple[int, int, int, int]] = []
+    waiting = [(0, i, 0) for i in sorted(left)]
+    slot = 0
+    while left:
+        while waiting and waiting[0][0] <= slot:
+            release, i, turn = heappop(waiting)
+            heappush(ready, (-(-(turn + 1) * total // parts[i]), i, turn, release))
+        deadline, i, turn, release = heappop(ready)
+        yield slot, i, turn, release, deadline
+        if turn + 1 == blocks[i]:
+            left.discard(i)
+        heappush(waiting, ((turn + 1) * total // parts[i], i, turn + 1))
+        slot += 1
+
+
+PLAN = "source string, block long, epoch long, turn long, slot long, release long, deadline long"
+
+
+def planned(sources: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The schedule of (source, n) as a stored table, of PLAN's columns; the driver holds PLAN_ROWS slots of it at a time."""
+    spark = sources.sparkSession
+    sizes = dict(sources.select("source", "n").collect())
+    given = {k: n**POWER for k, n in sizes.items()}
+    if weights is not None:
+        given = dict.fromkeys(sizes, 0.0) | {r["source"]: float(r["weight"] or 0) for r in weights.collect() if r["source"] in sizes}
+    if any(w < 0 or not math.isfinite(w) for w in given.values()):
+        raise ValueError("weights are finite numbers of 0 or more")
+    names = sorted(sizes)
+    blocks = [-(-sizes[k] // block_rows) for k in names]
+    slots = schedule([given[k] for k in names], blocks)
+    path = f"{work_folder(spark)}/plan-{uuid.uuid4().hex}"
+    spark.createDataFrame([], PLAN).write.parquet(path)
+    while some := list(islice(slots, PLAN_ROWS)):
+        at, i, turn, release, deadline = (np.array(c, np.int64) for c in zip(*some))
+        many = np.array(blocks, np.int64)[i]
+        columns = [pa.array(names, pa.string()).take(pa.array(i)), *map(pa.array, (turn % many, turn // many, turn, at, release, deadline))]
+        part = pa.table(columns, names=["source", "block", "epoch", "turn", "slot", "release", "deadline"])
+        spark.createDataFrame(part).write.mode("append").parquet(path)
+    return spark.read.schema(PLAN).parquet(path)
+
+
+def mix_exactly(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Like ``mix``, by the weights themselves: no period, and any number of sources. Rows of sources without weight are not in it."""
+    rows = _marked(docs)
+    sources = rows.groupBy("source").agg(F.count("*").alias("n"))
+    plan = planned(sources, weights, block_rows)
+    placed = numbered(rows, docs.count()).select(
+        "row", "source", F.floor(F.col("rank") / block_rows).alias("block"), F.pmod("rank", F.lit(block_rows)).alias("row_in_block")
+    )
+    side = F.broadcast(plan) if plan.count() <= SENT_SLOTS else plan
+    return placed.join(side, ["source", "block"]).select("row", "source", "block", "epoch", "turn", "slot", "release", "deadline", "row_in_block")
+
+
 ORACLE = f"""
 WITH RECURSIVE s0 AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
 s1 AS (SELECT source, n, power(n, {POWER}) / sum(power(n, {POWER})) OVER () * ({PERIOD} - count(*) OVER ()) AS share FROM s0),
@@ -168,5 +248,5 @@ def mix_ids(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, columns unchanged."""
-    return mix(docs).select("row.*")
+    """The documents of the mix by exact weights, columns unchanged."""
+    return mix_exactly(docs).select("row.*")

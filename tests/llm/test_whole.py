@@ -2,11 +2,12 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 from test_rows import brute_neighbours, found_by_query, recall
 
-from lendstrata.llm import neighbours, simhash
+from lendstrata.llm import mixing, neighbours, simhash
 
 
 def test_repeated_rows_do_not_push_out_neighbours(spark):
@@ -62,3 +63,32 @@ def test_near_duplicates_go_by_row(spark):
     rows = [(1, text), (1, text), (2, copy), (2, "another text without a copy of it")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(map(tuple, simhash.keep_one(docs).collect())) == Counter({(1, text): 1, rows[3]: 1})
+
+
+def test_exact_mix_keeps_to_the_given_weights():
+    for weights, blocks in (([0.5] + [0.5 / 19] * 19, [4000] + [211] * 19), ([1 / 3, 1e-3, 0.1, 0.0], [900, 1, 40, 7]), ([1.0] * 5000, [2] * 5000)):
+        placed, exact = [0] * len(weights), [Fraction(w) for w in weights]
+        total = sum(exact)
+        for slot, i, turn, release, deadline in mixing.schedule(weights, blocks):
+            assert release <= slot < deadline and turn == placed[i]
+            placed[i] += 1
+            if len(weights) < 100 or slot % 500 == 0:
+                assert all(abs(n - (slot + 1) * w / total) < 1 for n, w in zip(placed, exact))
+        assert all(n >= b if w else n == 0 for n, b, w in zip(placed, blocks, weights))
+
+
+def test_exact_mix_of_documents(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PLAN_ROWS", 7)
+    docs = spark.createDataFrame([(i, "abcd"[i % 4 * (i % 3) % 4]) for i in range(500)], "doc_id long, source string")
+    sizes = Counter(r["source"] for r in docs.collect())
+    out = mixing.mix_exactly(docs, None, 10).collect()
+    assert {r["row"]["doc_id"] for r in out} == set(range(500))
+    at = {r["slot"]: r["source"] for r in out}
+    total, placed = sum(n**mixing.POWER for n in sizes.values()), Counter()
+    assert sorted(at) == list(range(len(at)))
+    for t in range(len(at)):
+        placed[at[t]] += 1
+        assert all(abs(placed[s] - (t + 1) * n**mixing.POWER / total) < 1 for s, n in sizes.items())
+    monkeypatch.undo()
+    many = spark.createDataFrame([(i, f"s{i}") for i in range(5000)], "doc_id long, source string")
+    assert mixing.mix_documents(many).count() == 5000
