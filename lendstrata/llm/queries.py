@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.llm import bpe, chat, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
+from lendstrata.llm import bpe, chat, divergence, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,11 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length('<|im_start|>' || role || '.' || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>.')) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_divergence"] = divergence.ORACLE
