@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.llm import bpe, chat, divergence, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
+from lendstrata.llm import bpe, chat, clusters, divergence, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.assigned(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_clusters"] = clusters.ORACLE
