@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.llm import bpe, chat, clusters, divergence, exact, lines, mixing, neighbours, quality, simhash, substrings, toxicity
+from lendstrata.llm import bpe, chat, clusters, divergence, exact, lines, mixing, neighbours, quality, simhash, substrings, tokenfiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,8 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_clusters"] = clusters.ORACLE
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"))
