@@ -40,8 +40,8 @@ PIECE = 100_000
 #: Ids of an Arrow batch on their way to a file.
 BATCH_IDS = 500_000
 
-#: Between a letter and a space no token of the split pattern goes on.
-_CUT = re.compile(r"(?<=[^\W\d_])(?= )")
+#: Between a letter, digit or mark and a space no token of the split pattern goes on.
+_CUT = re.compile(r"(?<=[\w!-/:-@])(?= )")
 _FILE = T.StructType().add("doc_id", "long").add("part", "integer").add("start", "long").add("n_tokens", "integer").add("tokens", T.ArrayType(T.IntegerType()))
 _INDEX = "part int, base long, documents long, tokens long, first_id long, last_id long"
 
