@@ -7,39 +7,48 @@ encoding. Row groups and pages have a bounded number of rows, and their least an
 range of documents or of token positions reads its own pages, and metadata reads no tokens.
 
 Documents are dealt to files by ranges of their id, sorted and then encoded where they are written, so ids are made once and never
-shuffled. Ids before a file are added up from the index, whose rows are as many as the files, by the driver; a row never holds them.
+shuffled. A task puts each distinct word through the tokenizer's model once; texts are cut into words by the classes
+of characters that the tokenizer itself tells apart. Ids before a file are added up from the index, whose rows are as many as the files, by the driver; a row never holds them.
 
 Null texts are empty: the end id alone. A null doc_id comes first. Rows with one doc_id are rows of their own, ordered by a
 digest of the text; they and equal rows may lie in several files. Very long texts are encoded a piece at a time, cut where no token can
-cross. Empty tables give a dataset without rows. Other columns are not written unless they are asked for by name.
+cross. A string in a text that is one of the tokenizer's special tokens becomes that token, as the library has it. Empty tables give a dataset without rows. Other columns are not written unless they are asked for by name.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendstrata.llm import bpe
 from lendstrata.llm import text as tx
 from lendstrata.sources.sinks import work_folder
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
-#: Characters that are encoded at once.
-PIECE = 100_000
+#: Bytes whose words are encoded at once, and characters of a piece of a very long text.
+SLICE = 2_000_000
+PIECE = 500_000
+#: Distinct words a task keeps the ids of.
+KEPT = 400_000
 #: Ids of an Arrow batch on their way to a file.
 BATCH_IDS = 500_000
 
+_ID = attrgetter("id")
 #: Between a letter, digit or mark and a space no token of the split pattern goes on.
 _CUT = re.compile(r"(?<=[\w!-/:-@])(?= )")
 _FILE = T.StructType().add("doc_id", "long").add("part", "integer").add("start", "long").add("n_tokens", "integer").add("tokens", T.ArrayType(T.IntegerType()))
@@ -77,16 +86,65 @@ class _Loaded(dict):
 _LOADED = _Loaded()
 
 
-def _tokenizer(model: str):
-    key = zlib.crc32(model.encode())
+@dataclass(frozen=True)
+class Model:
+    """A tokenizer's file, and what the driver found out about it."""
+
+    text: str
+    special: tuple[str, ...]  # strings that are a token wherever they stand
+    kinds: np.ndarray | None  # class of each code point, if words can be cut apart from the library
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str | None) -> Model:
+        """The size of the file is fixed by its vocabulary."""
+        path = path or public_tokenizers.path(VOCABULARY)
+        if "://" in path:
+            text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+        else:
+            with open(path, encoding="utf-8") as f:
+                text = f.read()
+        facts = json.loads(text)
+        cut = facts["pre_tokenizer"] or {}
+        by_words = (
+            (cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space")) == ("ByteLevel", True, False)
+            and facts["model"]["type"] == "BPE"
+            and not facts["model"]["dropout"]
+            and not facts["normalizer"]
+            and not facts["truncation"]
+            and not any(" " in t["content"] for t in facts["added_tokens"])
+        )
+        special = tuple(t["content"] for t in facts["added_tokens"])
+        return cls(text, special, _classes(tokenizer(text)) if by_words else None)
+
+
+def tokenizer(text: str):
+    key = zlib.crc32(text.encode())
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
         from tokenizers import Tokenizer
 
-        _LOADED[key] = Tokenizer.from_str(model)
+        _LOADED[key] = Tokenizer.from_str(text)
     return _LOADED[key]
 
 
+def _classes(own) -> np.ndarray:
+    """Class of each code point, as the library's own cutting shows: letter, number, other or white space.
+
+    A run of one class is a piece, so that one character of each piece has to be looked at.
+    """
+    cut = own.pre_tokenizer.pre_tokenize_str
+    kinds = np.full(0x110000, bpe._OTHER, np.uint8)
+    for low, high in ((0, 0xD800), (0xE000, 0x110000)):
+        every = "".join(map(chr, range(low, high)))
+        for _, (start, end) in cut(every):
+            start += every[start] == " " and end - start > 1
+            one = every[start]
+            probes = ((f"a{one}a", bpe._LETTER), (f"1{one}1", bpe._NUMBER), (f"!{one}!", bpe._OTHER))
+            kinds[low + start : low + end] = next((kind for text, kind in probes if len(cut(text)) == 1), bpe._SPACE)
+    kinds[0x20] = bpe._SPACE
+    return kinds
+
+
 def pieces(text: str, size: int = PIECE) -> list[str]:
     """The text in pieces of about ``size`` characters whose ids together are the text's."""
     out, at = [], 0
@@ -96,42 +154,90 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
     return [*out, text[at:]]
 
 
-def encoded(texts: Iterator[str | None], tokenizer, end: int | None = END) -> Iterator[np.ndarray]:
-    """Ids of each text, with the end id."""
-    waiting: list[list[str]] = []
-    size = 0
-
-    def done() -> Iterator[np.ndarray]:
-        flat = iter(tokenizer.encode_batch_fast([p for own in waiting for p in own], add_special_tokens=False))
-        for own in waiting:
-            parts = [np.array(next(flat).ids, np.int32) for _ in own]
-            yield np.concatenate([*parts, np.array([] if end is None else [end], np.int32)])
-
-    for text in texts:
-        text = text or ""
-        if len(text) > PIECE:  # by itself, a piece at a time
-            yield from done()
-            waiting, size = [], 0
-            parts = [np.array(tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.int32) for p in pieces(text)]
-            yield np.concatenate([*parts, np.array([] if end is None else [end], np.int32)])
-            continue
-        waiting.append([text])
-        size += len(text)
-        if size >= PIECE:
-            yield from done()
-            waiting, size = [], 0
-    yield from done()
-
-
-def _written(model: str, end: int | None, names: list[str]):
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next from 256 on."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    others = [b for b in range(256) if b not in printable]
+    return dict(zip(printable, printable)) | {b: 256 + i for i, b in enumerate(others)}
+
+
+class Encoder:
+    """Ids of texts. Words are cut as the library cuts them; each distinct word is put through its model once in a while."""
+
+    def __init__(self, model: Model, end: int | None) -> None:
+        self.own, self.kinds, self.end = tokenizer(model.text), model.kinds, end
+        self.special = re.compile("|".join(map(re.escape, model.special)).encode()) if model.special else None
+        self.characters = _byte_characters()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.many = np.empty(0, np.int64)
+        self.starts = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, with the end id."""
+        ending = np.array([] if self.end is None else [self.end], np.int32)
+        for first, last, data, offsets in tx.slices(texts, SLICE):
+            raw = data.tobytes()
+            if self.kinds is None or (self.special and self.special.search(raw)) or (last - first == 1 and len(raw) > SLICE):
+                for i in range(last - first):
+                    yield np.concatenate([*self._by_text(raw[offsets[i] : offsets[i + 1]].decode()), ending])
+                continue
+            ids, edges = self._by_word(raw, data, offsets)
+            for i in range(last - first):
+                yield np.concatenate([ids[edges[i] : edges[i + 1]], ending])
+
+    def _by_text(self, text: str) -> Iterator[np.ndarray]:
+        """Ids of a text's pieces; of the whole text, if the tokenizer is of another kind."""
+        for p in pieces(text) if self.kinds is not None else [text]:
+            if self.kinds is not None and not (self.special and self.special.search(p.encode())):
+                data = np.frombuffer(p.encode(), np.uint8)
+                yield self._by_word(data.tobytes(), data, np.array([0, len(data)]))[0]
+            else:
+                yield np.array(self.own.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.int32)
+
+    def _by_word(self, raw: bytes, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of consecutive texts, and where each text's ids begin."""
+        w = bpe.cut(data, offsets, self.kinds)
+        if not len(w.starts):
+            return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
+        which = pc.dictionary_encode(pa.array(tx.hashes(w, strong=True))).indices.to_numpy()
+        first = np.empty(int(which.max()) + 1, np.int64)
+        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        place = self._placed([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])[which]
+        many = self.many[place]
+        total = np.cumsum(many)
+        step = np.arange(int(total[-1])) - np.repeat(total - many, many)
+        return self.flat[np.repeat(self.starts[place], many) + step], np.concatenate([[0], total])[w.bounds]
+
+    def _placed(self, words: list[bytes]) -> np.ndarray:
+        """Place of each distinct word; new ones are encoded."""
+        if len(self.places) > KEPT:
+            self._forget()
+        new = [x for x in words if x not in self.places]
+        if new:
+            tokenize, table, flat, edges = self.own.model.tokenize, self.characters, [], [0]
+            for x in new:
+                flat += map(_ID, tokenize(x.decode("latin-1").translate(table)))
+                edges.append(len(flat))
+            edges = np.array(edges, np.int64)
+            self.starts = np.concatenate([self.starts, len(self.flat) + edges[:-1]])
+            self.many = np.concatenate([self.many, np.diff(edges)])
+            self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
+
+def _written(model: Model, end: int | None, names: list[str]):
     """Rows of a file, from its sorted documents (extra columns, doc_id, text, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, start = _tokenizer(model), 0
+        encoder, start = Encoder(model, end), 0
         for batch in batches:
             first, kept, size = 0, [], 0
-            texts = (t.as_py() for t in tx.text_of(batch, "text"))
-            for i, ids in enumerate(encoded(texts, tokenizer, end)):
+            for i, ids in enumerate(encoder(tx.text_of(batch, "text"))):
                 kept.append(ids)
                 size += len(ids)
                 if size >= BATCH_IDS:
@@ -152,15 +258,6 @@ def _written(model: str, end: int | None, names: list[str]):
     return run
 
 
-def read_model(spark: SparkSession, path: str | None) -> str:
-    """The tokenizer's file; its size is fixed."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    if "://" in path:
-        return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
-    with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
 def write(docs: DataFrame, folder: str, layout: Layout = Layout(), path: str | None = None, end: int | None = END, keep: tuple[str, ...] = ()) -> None:
     """Writes documents (doc_id, text) as a dataset; ``keep`` names columns that go beside the ids."""
     spark = docs.sparkSession
@@ -179,7 +276,7 @@ def write(docs: DataFrame, folder: str, layout: Layout = Layout(), path: str | N
     dealt = rows.repartitionByRange(layout.files, *keys) if layout.files else rows.repartitionByRange(*keys)
     placed = dealt.sortWithinPartitions(*keys).drop("digest", "row").withColumn("part", F.spark_partition_id())
     schema = T.StructType([*_FILE, *[T.StructField(c, docs.schema[c].dataType) for c in keep]])
-    files = placed.mapInArrow(_written(read_model(spark, path), end, list(keep)), schema)
+    files = placed.mapInArrow(_written(Model.read(spark, path), end, list(keep)), schema)
     files.write.options(**layout.options(["doc_id", "part", "start", "n_tokens"])).parquet(f"{folder}/tokens")
     write_index(spark, folder)
 

@@ -1,11 +1,14 @@
 """Token files: ids as the library gives them, exact positions, encodings and indexes of the files, reads in part."""
 
 import glob
+import json
+import random
 import zlib
 
 import messy
 import numpy as np
 import public_tokenizers as PUBLIC
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
@@ -116,3 +119,43 @@ def test_long_texts_are_cut_where_no_token_crosses():
     assert len(parts) > 100 and "".join(parts) == text
     assert [i for p in parts for i in OWN.encode(p, add_special_tokens=False).ids] + [0] == ids(text)
     assert tf.pieces("y" * 5000, 700) == ["y" * 5000]
+
+
+def encode(texts):
+    model = tf.Model.read(None, None)
+    return [x.tolist() for x in tf.Encoder(model, tf.END)(pa.array(texts, pa.string()))]
+
+
+def test_characters_are_classed_as_the_library_does():
+    kinds = tf.Model.read(None, None).kinds
+    cut = OWN.pre_tokenizer.pre_tokenize_str
+    rng = random.Random(1)
+    some = [*range(0x2100), *(rng.choice([rng.randrange(0x2100, 0xD800), rng.randrange(0xE000, 0x30000)]) for _ in range(4000))]
+    for c in some:
+        one = chr(c)
+        want = 1 if len(cut(f"a{one}a")) == 1 else 2 if len(cut(f"1{one}1")) == 1 else 3 if len(cut(f"!{one}!")) == 1 else 0
+        assert kinds[c] == want, hex(c)
+
+
+@pytest.mark.parametrize("kept, size", [(tf.KEPT, tf.SLICE), (3, 40)])
+def test_words_are_encoded_as_texts_are(monkeypatch, kept, size):
+    monkeypatch.setattr(tf, "KEPT", kept)
+    monkeypatch.setattr(tf, "SLICE", size)
+    monkeypatch.setattr(tf, "PIECE", size)
+    rng = random.Random(kept)
+    parts = [" ", "  ", "\n", "\t ", "word", "Word's", "'ll ", "don't", "12", "é", "漢字", "😀", "!?", "\u00a0", "\u3000", "\u0558", "\ua7ce", "ſ", "½", "_", "\x00", "x" * 50]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(200)] + [None, "", "a <|endoftext|> b", "<|endoftext|>" * 3]
+    assert encode(texts) == [ids(t) for t in texts]
+
+
+def test_other_tokenizers_are_used_as_they_are(tmp_path):
+    facts = json.loads(OWN.to_str())
+    facts["pre_tokenizer"]["add_prefix_space"] = True
+    path = f"{tmp_path}/t.json"
+    with open(path, "w") as f:
+        json.dump(facts, f)
+    model = tf.Model.read(None, path)
+    assert model.kinds is None
+    own = Tokenizer.from_file(path)
+    texts = ["word", " two words", ""]
+    assert [x.tolist() for x in tf.Encoder(model, None)(pa.array(texts))] == [own.encode(t, add_special_tokens=False).ids for t in texts]
