@@ -1,13 +1,15 @@
 """Byte-level BPE: text to token ids and back.
 
 A text is cut by the tokenizer's split pattern. Words that occur more than once in all documents are encoded once, up
-to a bounded number of the most frequent ones, and sent to all tasks; any other word is encoded in the row where it
+to a bounded number and size of the most frequent ones, and sent to all tasks; any other word is encoded in the row where it
 occurs. Either way a fold of Spark's higher-order functions merges the pieces of a word: its state is the array of
 pieces and the ranks of neighbouring pairs, and each step joins the leftmost pair with the least rank. Ranks are a literal of
 the plan, an array of small maps by hash. A piece is a string with one Latin-1 character for each byte. Words of many
 bytes take a fold whose steps join all places of the least pair at once. Decoding puts the bytes of the ids together.
 
-Null texts are empty and have no ids. Repeated rows give equal rows. Other columns are passed on, whatever their names.
+The result is a stored table, after which the words that were sent are released.
+
+Null texts are empty and have no ids; an empty table has no rows. Repeated rows give equal rows. Other columns are passed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +34,9 @@ from lendstrata.llm import text as tx
 from lendstrata.sources.sinks import materialize
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Most words that are encoded beforehand and sent to every task.
+#: Most words that are encoded beforehand and sent to every task, and most bytes of them.
 KNOWN_WORDS = 2_000_000
+KNOWN_BYTES = 32 << 20
 #: Bytes of a word from which a step joins all places of a pair.
 LONG = 200
 #: Words of a task counted together.
@@ -155,16 +159,17 @@ def _summed(kept: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.nda
     return own, n, pa.concat_arrays([k[2] for k in kept]).take(pa.array(at))
 
 
-def frequent_words(docs: DataFrame, kinds: np.ndarray, most: int = KNOWN_WORDS) -> DataFrame:
-    """Words that occur more than once, at most ``most``: those with the highest counts over all documents."""
+def frequent_words(docs: DataFrame, kinds: np.ndarray, most: int = KNOWN_WORDS, most_bytes: int = KNOWN_BYTES) -> DataFrame:
+    """Words that occur more than once, at most ``most`` of at most ``most_bytes``: those with the highest counts over all documents."""
     counts = docs.select("text").mapInArrow(_counted(kinds), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialize(counts.where("n > 1"), "words")
     # Powers of two as limits: the least one that leaves few enough words.
-    sizes = {r["power"]: r["words"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("words")).collect()}
-    total, limit = 0, 1 << 62
+    by_power = counts.groupBy(F.floor(F.log2("n")).alias("power"))
+    sizes = {r["power"]: r[1:] for r in by_power.agg(F.count("*"), F.sum(F.octet_length("word"))).collect()}
+    total, size, limit = 0, 0, 1 << 62
     for power in sorted(sizes, reverse=True):
-        total += sizes[power]
-        if total > most:
+        total, size = total + sizes[power][0], size + sizes[power][1]
+        if total > most or size > most_bytes:
             break
         limit = 1 << power
     return counts.where(F.col("n") >= limit).select("word")
@@ -365,19 +370,33 @@ def _filled(drafts: pa.Array, others: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(_edges([np.array(sizes, np.int64)]), pa.array(np.concatenate([np.empty(0, np.int32), *out])))
 
 
-def _drafted(docs: DataFrame, row: Column, path: str | None, known: int) -> DataFrame:
-    """row, the ids of known words with places for the others, and the ids of the others."""
+def _known(words: DataFrame, maps: Column) -> Known:
+    """The encoded words; the driver keeps nothing but the arrays that are sent."""
+    done = words.select("word", F.element_at(encoded_words(F.array("word"), maps), 1).alias("ids")).toArrow()
+    out = Known(_joined(done["word"]), _joined(done["ids"]))
+    del done
+    pa.default_memory_pool().release_unused()
+    return out
+
+
+def _drafted(docs: DataFrame, row: Column, path: str | None, known: int) -> tuple[DataFrame, list[Broadcast]]:
+    """row, the ids of known words with places for the others, and the ids of the others; and what was sent to the tasks."""
     spark = docs.sparkSession
     tx.bound_batches(spark)
     maps = rank_maps(read_ranks(spark, path or public_tokenizers.path(RANKS)))
     kinds = character_classes()
     words = frequent_words(docs, kinds, known)
-    done = words.select("word", F.element_at(encoded_words(F.array("word"), maps), 1).alias("ids")).toArrow()
-    lookup = Known(_joined(done["word"]), _joined(done["ids"]))
-    del done
-    shared = [spark.sparkContext.broadcast(x) for x in (vars(lookup), kinds)]
+    shared = [spark.sparkContext.broadcast(x) for x in (vars(_known(words, maps)), kinds)]
     drafts = docs.select(row.alias("row"), _draft(*shared)("text").alias("d"))
-    return drafts.select("row", F.col("d.ids").alias("draft"), encoded_words(F.col("d.words"), maps).alias("others"))
+    return drafts.select("row", F.col("d.ids").alias("draft"), encoded_words(F.col("d.words"), maps).alias("others")), shared
+
+
+def _stored(done: DataFrame, shared: list[Broadcast]) -> DataFrame:
+    """The rows as a stored table, so that neither the driver nor the executors hold the known words any longer."""
+    out = materialize(done, "encoded")
+    for b in shared:
+        b.destroy()
+    return out
 
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,8 +410,8 @@ def _with_ids(row: T.StructField) -> T.StructType:
 
 def encode(docs: DataFrame, path: str | None = None, known: int = KNOWN_WORDS) -> DataFrame:
     """Columns row (as it came) and ids, for the ranks in the file at ``path``."""
-    drafted = _drafted(docs, F.struct("*"), path, known)
-    return drafted.mapInArrow(_fill, _with_ids(drafted.schema["row"]))
+    drafted, shared = _drafted(docs, F.struct("*"), path, known)
+    return _stored(drafted.mapInArrow(_fill, _with_ids(drafted.schema["row"])), shared)
 
 
 class Decoder:
@@ -442,21 +461,21 @@ def _digested(ranks: dict[bytes, int]):
     return read
 
 
-def _round_trip(docs: DataFrame, row: Column, path: str | None) -> DataFrame:
-    """Encoded and decoded in one step, so that a task has no more Python workers than it needs."""
+def _round_trip(docs: DataFrame, row: Column, path: str | None, *columns: str) -> DataFrame:
+    """Encoded and decoded in one step, so that a task has no more Python workers than it needs; the named columns."""
     ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
-    drafted = _drafted(docs, row, path, KNOWN_WORDS)
+    drafted, shared = _drafted(docs, row, path, KNOWN_WORDS)
     schema = _with_ids(drafted.schema["row"]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return drafted.mapInArrow(_digested(ranks), schema)
+    return _stored(drafted.mapInArrow(_digested(ranks), schema).select(*columns), shared)
 
 
 def digest_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per document: number of ids, digests of the ids and of the bytes decoded from them."""
-    done = _round_trip(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")), path)
-    return done.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    return _round_trip(docs, row, path, "row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, and the digest of the text decoded from the ids."""
-    done = _round_trip(docs, F.struct("doc_id", "lang", "source"), path)
-    return done.select("row.doc_id", "row.lang", "row.source", "ids", "n_tokens", "decoded_sha256")
+    row = F.struct("doc_id", "lang", "source")
+    return _round_trip(docs, row, path, "row.doc_id", "row.lang", "row.source", "ids", "n_tokens", "decoded_sha256")

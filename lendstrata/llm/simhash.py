@@ -11,15 +11,15 @@ budget leaves, which one side spells out. The longer chains are checked on each
 Equal fingerprints are one node, however many documents have them. Candidates are compared within the tasks that get
 their keys, and only a spanning forest of the links leaves a task.
 
-A few bits are far less than what copies at a Jaccard similarity of 0.8 differ by (some 10 of 64), so ``keep_one`` finds its
-candidates by bands of least shingle hashes instead, and confirms each on the texts.
+A null id takes no part in a group's smallest id: ``group_documents`` gives its row the component_id of the others, or null if
+there are none, and ``keep_one`` keeps it. Repeated rows give repeated rows. An empty table gives none. Other columns are not
+read by ``group_documents`` and passed on by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -42,16 +42,6 @@ PART_ROWS = 2_000_000
 PAIRS = 4_000_000
 #: Parts that the documents of one fingerprint are dealt to when they look up their component.
 SALTS = 8
-#: Near-duplicates: words of a shingle, and the least Jaccard similarity.
-WORDS = 5
-SIMILAR = 0.8
-#: Bands of least hashes, and hashes of a band: a pair at similarity s shares a band with a chance of 1 - (1 - s**BAND)**BANDS.
-BANDS, BAND = 16, 4
-#: Nodes of a band's key that are all paired; of more, each is paired with the first and those NEXT to it.
-WHOLE, NEXT = 32, 2
-_RNG = np.random.default_rng(SEED)
-_FLIPS, _TURNS = (_RNG.integers(0, 1 << 64, BANDS * BAND, np.uint64) for _ in range(2))
-_TURNS = _TURNS | np.uint64(1)
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE, seed: int = SEED) -> bytes:
@@ -235,103 +225,17 @@ def group_documents(docs: DataFrame, bits: int = BITS, size: int = SHINGLE) -> D
     )
 
 
-def shingles(text: bytes, size: int) -> frozenset[bytes]:
-    """The distinct shingles of a text: words in lower case, joined by spaces."""
-    found = text.lower().split()
-    if len(found) <= size:
-        return frozenset([b" ".join(found)]) if found else frozenset()
-    return frozenset(map(b" ".join, zip(*(found[i:] for i in range(size)))))
-
-
-def similarity(a: frozenset, b: frozenset) -> float:
-    """Jaccard similarity; two sets without a member are the same."""
-    both = len(a & b)
-    return both / (len(a) + len(b) - both) if a or b else 1.0
-
-
-def band_keys(text: bytes, size: int) -> np.ndarray:
-    """One key for each band of least shingle hashes."""
-    hashes = np.frombuffer(shingle_hashes(text, size), ">u8").astype(np.uint64)
-    least = np.full(len(_TURNS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        turned = (hashes[None, at : at + 2048] ^ _FLIPS[:, None]) * _TURNS[:, None]
-        np.minimum(least, turned.min(axis=1), out=least)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in least.reshape(BANDS, BAND).T:
-        key = tx.mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-    return key
-
-
-def _bands(size: int):
-    """Rows (key, node) of each text."""
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
-            found = [band_keys(t.as_py(), size) for t in texts]
-            if found:
-                key, node = np.concatenate(found).view(np.int64), np.repeat(np.asarray(batch.column(0)), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
-
-    return spell
-
+def keep_one(docs: DataFrame, bits: int = BITS, size: int = SHINGLE) -> DataFrame:
+    """One row of each group of near-duplicates, that with the smallest id, columns unchanged; rows without an id stay.
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b), a < b, of the nodes that share a key in this task."""
-    parts = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches]
-    if not parts:
-        return
-    key, node = (np.concatenate(c) for c in zip(*parts))
-    order = np.lexsort([node, key])
-    key, node = key[order], node[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    sizes = np.diff(np.append(start, len(key)))
-    first, many = np.repeat(start, sizes), np.repeat(sizes, sizes)
-    far = np.flatnonzero((many > WHOLE) & (first != np.arange(len(key))))
-    yield _pairs(node[first[far]], node[far])
-    for step in range(1, min(WHOLE, len(key))):
-        later = np.flatnonzero((key[step:] == key[:-step]) & ((many[step:] <= WHOLE) | (step <= NEXT)))
-        yield _pairs(node[later], node[later + step])
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-
-def similarities(size: int):
-    """Exact similarity of two texts."""
-
-    @F.arrow_udf("double")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        own = lru_cache(256)(lambda text: shingles(text.encode(), size))
-        for left, right in batches:
-            yield pa.array([similarity(own(a.as_py() or ""), own(b.as_py() or "")) for a, b in zip(left, right)], pa.float64())
-
-    return run
-
-
-def similar_links(texts: DataFrame, least: float = SIMILAR, size: int = WORDS) -> DataFrame:
-    """Links (a, b) between similar texts, of rows (node, text); all rows of a node have the same text."""
-    spelled = materialize(texts.select("node", "text").mapInArrow(_bands(size), "key long, node long").distinct(), "bands")
-    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(spelled.count() / PART_ROWS))
-    met = materialize(spelled.repartition(parts, "key").mapInArrow(_met, "a long, b long").distinct(), "candidates")
-    asked = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
-    found = materialize(texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "candidate-texts")
-    for side in "ab":
-        met = met.join(found.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
-    return met.where(similarities(size)("text_a", "text_b") >= least).select("a", "b")
-
-
-def keep_one(docs: DataFrame, least: float = SIMILAR, size: int = WORDS) -> DataFrame:
-    """One row of each group of similar texts, that with the smallest id, columns unchanged; rows without an id stay.
-
-    Groups are the components of pairs whose sets of shingles of ``size`` words have a Jaccard similarity of ``least`` or
-    more. Candidates share a band of least shingle hashes; each is confirmed on the texts.
+    Groups are those of ``group_documents``. Rows go one by one: of repeated rows of the smallest id one stays, and if that id
+    has several texts in the group, the one with the smallest fingerprint, then digest.
     """
     tx.bound_batches(docs.sparkSession)
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", fingerprints("text", size).alias("node"))
+    rows = materialize(rows.withColumn("digest", F.unhex(F.md5(F.coalesce("row.text", F.lit(""))))), "fingerprinted")
     nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("docs")), "nodes")
-    roots = components(materialize(similar_links(rows.select("node", "text"), least, size), "similar"))
+    roots = components(links_between(nodes.select("node"), bits))
     rooted = nodes.join(roots, "node", "left").where("docs > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
     rooted = materialize(rooted, "rooted")
     kept = rooted.where("least is not null").groupBy("root").agg(F.min(F.struct("least", "node")).alias("kept"))
@@ -339,8 +243,8 @@ def keep_one(docs: DataFrame, least: float = SIMILAR, size: int = WORDS) -> Data
     table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     stay = F.col("kept_id").isNull() | F.col("doc_id").isNull() | (F.col("own") & (F.col("doc_id") == F.col("kept_id")))
-    left = materialize(salted.join(table, ["node", "salt"], "left").where(stay).select("row", "doc_id", "node", "kept_id"), "left")
-    # Of repeated rows of the kept id and text one stays.
+    left = materialize(salted.join(table, ["node", "salt"], "left").where(stay).select("row", "doc_id", "node", "digest", "kept_id"), "left")
+    # Rows of the kept id and fingerprint: one stays. Only digests meet; the row is taken from its own task's first.
     again = F.col("doc_id").isNotNull() & F.col("kept_id").isNotNull()
-    once = left.where(again).groupBy("doc_id", "node").agg(F.first("row").alias("row"))
+    once = left.where(again).groupBy("doc_id", "node").agg(F.min_by("row", "digest").alias("row"))
     return left.where(~again).select("row.*").unionByName(once.select("row.*"))
