@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from catalog.registry import (
     DIMENSIONS,
     INTERCEPT,
     MEANS,
+    QUERIES,
     TEXTS,
     TIER_SQL,
     WEIGHTS,
@@ -22,7 +26,7 @@ from catalog.registry import (
     query,
     rounded,
 )
-from lendstrata.operators import application, columns, encode, evaluate, explain, folds, target
+from lendstrata.operators import application, columns, encode, evaluate, explain, folds, target, trees
 from lendstrata.plans import scoring, training
 
 
@@ -192,9 +196,17 @@ def _(s, d):
     return evaluate.score_probability(engineered(s, d), raw).select("SK_ID_CURR", "default_probability", "risk_tier")
 
 
-# Scores of boosted trees have no SQL; what is certain about each result has: its rows, folds, features and ranges.
+# Scores of trained trees have no SQL. Their queries return full rows; what is certain about them (rows, folds, features, ranges) is
+# checked by queries of its own, and scoring by an ensemble that is written out here.
+@query("cv_train")
+def _(s, d):
+    """Out-of-fold score of every training row."""
+    built = matrix(s, d)
+    return training.cv_train(built.train, built.test).oof
+
+
 @query(
-    "cv_train",
+    "cv_train_facts",
     o.sql(
         "SELECT SK_ID_CURR, TARGET, CAST((row_number() OVER (PARTITION BY TARGET ORDER BY md5(concat_ws(':', CAST(SK_ID_CURR AS VARCHAR), '42')), SK_ID_CURR) - 1) % 5 "
         "AS INT) AS fold, 1 AS in_range FROM fx_application WHERE split = 'train'",
@@ -202,13 +214,18 @@ def _(s, d):
     ),
 )
 def _(s, d):
-    built = matrix(s, d)
-    oof = training.cv_train(built.train, built.test).oof
+    oof = QUERIES["cv_train"](s, d)
     return oof.select("SK_ID_CURR", "TARGET", "fold", F.col("oof_pred").between(0, 1).cast("int").alias("in_range"))
 
 
+@query("fit_final")
+def _(s, d):
+    """Importance of every feature of the model on all rows."""
+    return training.fit_final(matrix(s, d).train).importance(s)
+
+
 @query(
-    "fit_final",
+    "fit_final_facts",
     o.sql(
         f"SELECT unnest([{', '.join(repr(c) for c in APP_CLEAN if c not in ('SK_ID_CURR', 'TARGET', 'MOSTLY_MISSING'))}]) AS feature, "
         "1 AS sums_to_one, 0 AS negative"
@@ -216,7 +233,7 @@ def _(s, d):
 )
 def _(s, d):
     """Importances of the application's features; those of all features add up to 1."""
-    found = training.fit_final(matrix(s, d).train).importance(s)
+    found = QUERIES["fit_final"](s, d)
     total = found.agg((F.abs(F.sum("importance") - 1) < 1e-6).cast("int")).scalar()
     negative = found.agg(F.count_if(F.col("importance") < 0)).scalar()
     return found.where(F.col("feature").isin(APP_CLEAN)).select(
@@ -224,24 +241,50 @@ def _(s, d):
     )
 
 
+SEARCH_TRIALS, SEARCH_KEEP = 50, 3
+
+
+@query("param_search")
+def _(s, d):
+    """All trials and rungs of a search over 50 settings, the best trial first."""
+    return training.param_search(matrix(s, d).train, training.proposals(SEARCH_TRIALS), keep=SEARCH_KEEP)
+
+
+_RUNGS = training.rungs(SEARCH_TRIALS, training.TreeParams().trees, SEARCH_KEEP)
+
+
 @query(
-    "param_search",
-    "SELECT * FROM (VALUES (0, 50, 5, 1), (1, 50, 3, 1)) AS t(trial, trees, depth, in_range)",
+    "param_search_facts",
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"({r}, {n}, {trees}, {_RUNGS[r + 1][0] if r + 1 < len(_RUNGS) else 0}, 1)" for r, (n, trees) in enumerate(_RUNGS))
+    + ") AS t(rung, trials, trees, go_on, in_range)",
 )
 def _(s, d):
-    # The SQL lists trials of 50 trees.
-    trials = [training.TreeParams(trees=50, learning_rate=0.1, depth=depth) for depth in (5, 3)]
-    found = training.param_search(matrix(s, d).train, trials)
-    return found.select("trial", "trees", "depth", F.col("auc").between(0, 1).cast("int").alias("in_range"))
+    """Trials of each rung, their trees, and how many of them go on."""
+    return (
+        QUERIES["param_search"](s, d)
+        .groupBy("rung", "trees")
+        .agg(
+            F.count("*").alias("trials"),
+            F.count_if("goes_on").alias("go_on"),
+            F.min(F.coalesce(F.col("auc").between(0, 1), F.lit(False)).cast("int")).alias("in_range"),
+        )
+    )
+
+
+@query("batch_score_fitted")
+def _(s, d):
+    """Every application scored by the model that is fitted on the training ones."""
+    built = matrix(s, d)
+    return training.fit_final(built.train).score(built.matrix, "SK_ID_CURR", "split")
 
 
 @query(
-    "batch_score",
+    "batch_score_facts",
     o.sql("SELECT SK_ID_CURR, split, 1 AS in_range, 1 AS tier_fits FROM fx_application", "fx_application"),
 )
 def _(s, d):
-    built = matrix(s, d)
-    scored = training.fit_final(built.train).score(built.matrix, "SK_ID_CURR", "split")
+    scored = QUERIES["batch_score_fitted"](s, d)
     p = F.col("default_probability")
     near = F.lit(False)
     for limit in (0.05, 0.15, 0.30):  # the tier is that of the unrounded probability
@@ -250,6 +293,113 @@ def _(s, d):
     return scored.select("SK_ID_CURR", "split", p.between(0, 1).cast("int").alias("in_range"), fits.cast("int").alias("tier_fits"))
 
 
+# Any fixed ensemble will do for the check: splits as (feature, threshold, left, right), leaves as (value, rows).
+ENSEMBLE = [
+    ("EXT_SOURCE_MEAN", 0.45,
+     ("CREDIT_INCOME_RATIO", 30.0, (0.30, 120.0), ("AGE_YEARS", 38.5, (0.85, 60.0), (0.55, 90.0))),
+     ("AGE_YEARS", 50.0, (-0.90, 300.0), ("EXT_SOURCE_MEAN", 0.75, (-1.30, 200.0), (-1.75, 80.0)))),
+    ("EMPLOYED_YEARS", 4.0,
+     ("DEF_30_RATE", 0.15, (0.12, 210.0), (0.47, 40.0)),
+     ("CREDIT_INCOME_RATIO", 55.0, ("EMPLOYED_YEARS", 12.0, (-0.21, 260.0), (-0.38, 190.0)), (0.05, 150.0))),
+    ("AGE_YEARS", 29.0, (0.33, 95.0), ("DEF_30_RATE", 0.4, (-0.08, 640.0), ("EXT_SOURCE_MEAN", 0.3, (0.61, 35.0), (0.24, 80.0)))),
+    (-0.75, 850.0),
+]
+ENSEMBLE_COLUMNS = ["EXT_SOURCE_MEAN", "CREDIT_INCOME_RATIO", "AGE_YEARS", "EMPLOYED_YEARS", "DEF_30_RATE"]
+
+
+def _rows_of(tree) -> float:
+    return tree[1] if len(tree) == 2 else _rows_of(tree[2]) + _rows_of(tree[3])
+
+
+def _mean_of(tree) -> float:
+    if len(tree) == 2:
+        return tree[0]
+    a, b = _rows_of(tree[2]), _rows_of(tree[3])
+    return (a * _mean_of(tree[2]) + b * _mean_of(tree[3])) / (a + b)
+
+
+def _nodes_of(tree) -> list[tuple]:
+    """The tree as a list of nodes, the root first."""
+    if len(tree) == 2:
+        return [(trees.LEAF, 0.0, 0, 0, tree[0], tree[1])]
+    left, right = _nodes_of(tree[2]), _nodes_of(tree[3])
+    moved = [[(f, t, a + n, b + n, v, c) for f, t, a, b, v, c in side] for side, n in ((left, 1), (right, 1 + len(left)))]
+    return [(ENSEMBLE_COLUMNS.index(tree[0]), tree[1], 1, 1 + len(left), _mean_of(tree), _rows_of(tree)), *moved[0], *moved[1]]
+
+
+def ensemble() -> training.FinalModel:
+    return training.FinalModel(trees.Trees.of([_nodes_of(t) for t in ENSEMBLE]), None, ENSEMBLE_COLUMNS, [])
+
+
+def _walk_sql(tree, known: frozenset[str]) -> str:
+    """A tree's value if only some features are known: both ways otherwise, weighted by rows."""
+    if len(tree) == 2:
+        return f"{tree[0]!r}E0"
+    left, right = (_walk_sql(t, known) for t in tree[2:])
+    if tree[0] in known:
+        return f"CASE WHEN {tree[0]} IS NULL OR {tree[0]} <= {tree[1]!r}E0 THEN {left} ELSE {right} END"
+    a, b = _rows_of(tree[2]), _rows_of(tree[3])
+    return f"({left} * {a / (a + b)!r}E0 + {right} * {b / (a + b)!r}E0)"
+
+
+def _features_of(tree) -> set[str]:
+    return set() if len(tree) == 2 else {tree[0]} | _features_of(tree[2]) | _features_of(tree[3])
+
+
+def _contribution_sql(feature: str) -> str:
+    """Mean change of a feature becoming known, over all orders in which the features of a tree become known."""
+    parts = ["0.0E0"]
+    for tree in ENSEMBLE:
+        own = _features_of(tree)
+        if feature not in own:
+            continue
+        others = sorted(own - {feature})
+        for n in range(len(others) + 1):
+            weight = factorial(n) * factorial(len(own) - n - 1) / factorial(len(own))
+            for some in combinations(others, n):
+                known = frozenset(some)
+                parts.append(f"{weight!r}E0 * ({_walk_sql(tree, known | {feature})} - {_walk_sql(tree, known)})")
+    return " + ".join(parts)
+
+
+_TREES_SQL = "(" + " + ".join(f"({_walk_sql(t, frozenset(ENSEMBLE_COLUMNS))})" for t in ENSEMBLE) + ")"
+_TREES_P_SQL = f"(1 / (1 + exp(-{_TREES_SQL})))"
+
+
+@query(
+    "batch_score",
+    o.sql(
+        f"SELECT SK_ID_CURR, split, round({_TREES_P_SQL}, 6) AS default_probability, {TIER_SQL.format(_TREES_P_SQL)} AS risk_tier FROM app_engineered",
+        "app_engineered",
+    ),
+)
+def _(s, d):
+    return ensemble().score(engineered(s, d), "SK_ID_CURR", "split")
+
+
+@query(
+    "tree_contributions",
+    o.rounded(
+        f"SELECT SK_ID_CURR, raw_score, {sum(_mean_of(t) for t in ENSEMBLE)!r}E0 AS expected_score, unnest([{', '.join(repr(c) for c in ENSEMBLE_COLUMNS)}]) AS feature, "
+        f"unnest([{', '.join(_contribution_sql(c) for c in ENSEMBLE_COLUMNS)}]) AS contribution FROM (SELECT *, {_TREES_SQL} AS raw_score FROM app_engineered)",
+        ["SK_ID_CURR", "feature"],
+        "app_engineered",
+        digits=6,
+    ),
+)
+def _(s, d):
+    """What each feature adds to the raw score of each row; with the expected score they add up to it."""
+    model = ensemble()
+    found = model.contributions(engineered(s, d), "SK_ID_CURR")
+    each = found.select("SK_ID_CURR", "raw_score", F.posexplode("contributions").alias("at", "contribution"))
+    names = F.array(*[F.lit(c) for c in model.columns])
+    return rounded(
+        each.select("SK_ID_CURR", F.get(names, F.col("at")).alias("feature"), "raw_score", F.lit(model.trees.expected).alias("expected_score"), "contribution"),
+        ["SK_ID_CURR", "feature"],
+        6,
+    )
+
+
 # ---- explanations ---------------------------------------------------------
 
 def _embedded(s: SparkSession, d: str) -> DataFrame:

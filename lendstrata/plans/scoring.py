@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendstrata.operators.encode import EncodingPlan
-from lendstrata.operators.evaluate import baseline_probability, linear_contributions, logistic_score, score_probability
+from lendstrata.operators.evaluate import baseline_probability, linear_contributions, logistic_score, score_probability, sigmoid
 from lendstrata.operators.explain import TOP_N, explain_top_n, render_explanation
 from lendstrata.operators.quality import Field, apply_defaults, serving_features, validate_rules
 from lendstrata.plans.training import FinalModel
@@ -54,3 +54,18 @@ def explain_linear(
     return render_explanation(
         explained, F.col("default_probability"), F.col("baseline"), F.col("risk_tier"), F.col("top_features")
     )
+
+
+def explain_trees(df: DataFrame, model: FinalModel, n: int = TOP_N, *keep: str) -> DataFrame:
+    """Rows with probability, tier, the baseline probability of the ensemble, top factors and the written summary.
+
+    Contributions are Shapley values of the trees; a missing feature contributes by being missing, with a null value.
+    """
+    found = score_probability(model.contributions(df, *keep), F.col("raw_score"))
+    names = F.array(*[F.lit(c) for c in model.columns])
+    explained = explain_top_n(found, F.col("contributions"), names, F.col("feature_values"), n)
+    baseline = F.round(sigmoid(F.lit(model.trees.expected)), 6)
+    rendered = render_explanation(
+        explained.withColumn("baseline", baseline), F.col("default_probability"), baseline, F.col("risk_tier"), F.col("top_features")
+    )
+    return rendered.select(*keep, "default_probability", "risk_tier", "baseline", "top_features", "explanation", "fallback")
