@@ -7,7 +7,7 @@ encoding. Row groups and pages have a bounded number of rows, and their least an
 range of documents or of token positions reads its own pages, and metadata reads no tokens.
 
 Documents are dealt to files by ranges of their id, sorted and then encoded where they are written, so ids are made once and never
-shuffled. A task puts each distinct word through the tokenizer's model once; texts are cut into words by the classes
+shuffled. A worker puts a distinct word through the tokenizer's model once; texts are cut into words by the classes
 of characters that the tokenizer itself tells apart. Ids before a file are added up from the index, whose rows are as many as the files, by the driver; a row never holds them.
 
 Null texts are empty: the end id alone. A null doc_id comes first. Rows with one doc_id are rows of their own, ordered by a
@@ -17,14 +17,17 @@ cross. A string in a text that is one of the tokenizer's special tokens becomes
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import attrgetter
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
@@ -43,8 +46,8 @@ END = 0
 #: Bytes whose words are encoded at once, and characters of a piece of a very long text.
 SLICE = 2_000_000
 PIECE = 500_000
-#: Distinct words a task keeps the ids of.
-KEPT = 400_000
+#: Distinct words a worker keeps the ids of, in some 200 bytes each.
+KEPT = 800_000
 #: Ids of an Arrow batch on their way to a file.
 BATCH_IDS = 500_000
 
@@ -76,14 +79,10 @@ class Layout:
         } | {f"parquet.enable.dictionary#{c}": "false" for c in plain}
 
 
-class _Loaded(dict):
-    """Tokenizers that a worker has loaded; they don't travel."""
-
-    def __reduce__(self):
-        return _Loaded, ()
-
-
-_LOADED = _Loaded()
+def _kept() -> dict:
+    """What a worker process keeps from task to task. Functions of this folder travel by value, so their module is no place for it."""
+    name = "_kept_by_token_files"
+    return vars(sys.modules.setdefault(name, ModuleType(name)))
 
 
 @dataclass(frozen=True)
@@ -118,13 +117,18 @@ class Model:
 
 
 def tokenizer(text: str):
-    key = zlib.crc32(text.encode())
-    if key not in _LOADED:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
-        from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(text)
+
 
-        _LOADED[key] = Tokenizer.from_str(text)
-    return _LOADED[key]
+def encoder(model: Model, end: int | None) -> Encoder:
+    """The worker's encoder, which knows the words of the tasks before."""
+    kept, key = _kept(), f"{hash(model.text)} {end} {KEPT} {SLICE} {PIECE}"
+    if key not in kept:
+        kept[key] = Encoder(model, end)
+    return kept[key]
 
 
 def _classes(own) -> np.ndarray:
@@ -154,15 +158,16 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
     return [*out, text[at:]]
 
 
-def _byte_characters() -> dict[int, int]:
+def _byte_characters() -> np.ndarray:
     """The character that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next from 256 on."""
-    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-    others = [b for b in range(256) if b not in printable]
-    return dict(zip(printable, printable)) | {b: 256 + i for i, b in enumerate(others)}
+    table = np.arange(256, dtype="<u2")
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173)]
+    table[others] = 256 + np.arange(len(others))
+    return table
 
 
 class Encoder:
-    """Ids of texts. Words are cut as the library cuts them; each distinct word is put through its model once in a while."""
+    """Ids of texts. Words are cut as the library cuts them; each distinct word is put through its model once, as long as it is kept."""
 
     def __init__(self, model: Model, end: int | None) -> None:
         self.own, self.kinds, self.end = tokenizer(model.text), model.kinds, end
@@ -171,7 +176,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.places: dict[str, int] = {}
         self.many = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
@@ -185,7 +190,7 @@ class Encoder:
                 for i in range(last - first):
                     yield np.concatenate([*self._by_text(raw[offsets[i] : offsets[i + 1]].decode()), ending])
                 continue
-            ids, edges = self._by_word(raw, data, offsets)
+            ids, edges = self._by_word(data, offsets)
             for i in range(last - first):
                 yield np.concatenate([ids[edges[i] : edges[i + 1]], ending])
 
@@ -194,11 +199,11 @@ class Encoder:
         for p in pieces(text) if self.kinds is not None else [text]:
             if self.kinds is not None and not (self.special and self.special.search(p.encode())):
                 data = np.frombuffer(p.encode(), np.uint8)
-                yield self._by_word(data.tobytes(), data, np.array([0, len(data)]))[0]
+                yield self._by_word(data, np.array([0, len(data)]))[0]
             else:
                 yield np.array(self.own.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.int32)
 
-    def _by_word(self, raw: bytes, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _by_word(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts, and where each text's ids begin."""
         w = bpe.cut(data, offsets, self.kinds)
         if not len(w.starts):
@@ -206,22 +211,25 @@ class Encoder:
         which = pc.dictionary_encode(pa.array(tx.hashes(w, strong=True))).indices.to_numpy()
         first = np.empty(int(which.max()) + 1, np.int64)
         first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-        place = self._placed([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])[which]
+        text = self.characters[data].tobytes().decode("utf-16-le")  # a character for each byte
+        place = self._placed([text[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])[which]
         many = self.many[place]
         total = np.cumsum(many)
         step = np.arange(int(total[-1])) - np.repeat(total - many, many)
         return self.flat[np.repeat(self.starts[place], many) + step], np.concatenate([[0], total])[w.bounds]
 
-    def _placed(self, words: list[bytes]) -> np.ndarray:
-        """Place of each distinct word; new ones are encoded."""
+    def _placed(self, words: list[str]) -> np.ndarray:
+        """Place of each distinct word, given by the characters of its bytes; new ones are encoded."""
         if len(self.places) > KEPT:
             self._forget()
         new = [x for x in words if x not in self.places]
         if new:
-            tokenize, table, flat, edges = self.own.model.tokenize, self.characters, [], [0]
+            tokenize, flat, edges = self.own.model.tokenize, [], [0]
+            gc.disable()  # nothing here is in a cycle, and there are many small objects
             for x in new:
-                flat += map(_ID, tokenize(x.decode("latin-1").translate(table)))
+                flat += map(_ID, tokenize(x))
                 edges.append(len(flat))
+            gc.enable()
             edges = np.array(edges, np.int64)
             self.starts = np.concatenate([self.starts, len(self.flat) + edges[:-1]])
             self.many = np.concatenate([self.many, np.diff(edges)])
@@ -234,10 +242,10 @@ def _written(model: Model, end: int | None, names: list[str]):
     """Rows of a file, from its sorted documents (extra columns, doc_id, text, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = Encoder(model, end), 0
+        own, start = encoder(model, end), 0
         for batch in batches:
             first, kept, size = 0, [], 0
-            for i, ids in enumerate(encoder(tx.text_of(batch, "text"))):
+            for i, ids in enumerate(own(tx.text_of(batch, "text"))):
                 kept.append(ids)
                 size += len(ids)
                 if size >= BATCH_IDS:
