@@ -44,10 +44,10 @@ from lendstrata.sources.sinks import work_folder
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Bytes whose words are encoded at once, and characters of a piece of a very long text.
-SLICE = 2_000_000
+SLICE = 1_000_000
 PIECE = 500_000
-#: Distinct words a worker keeps the ids of, in some 200 bytes each.
-KEPT = 800_000
+#: Distinct words a worker keeps the ids of, in some 50 bytes each; they are told apart by 64 bits.
+KEPT = 1_200_000
 #: Ids of an Arrow batch on their way to a file.
 BATCH_IDS = 500_000
 
@@ -176,8 +176,9 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.many = np.empty(0, np.int64)
+        self.keys = np.empty(0, np.uint64)  # hashes of words, rising
+        self.places = np.empty(0, np.int32)
+        self.many = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
 
@@ -208,34 +209,44 @@ class Encoder:
         w = bpe.cut(data, offsets, self.kinds)
         if not len(w.starts):
             return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
-        which = pc.dictionary_encode(pa.array(tx.hashes(w, strong=True))).indices.to_numpy()
-        first = np.empty(int(which.max()) + 1, np.int64)
+        coded = pc.dictionary_encode(pa.array(tx.hashes(w, strong=True)))
+        which = coded.indices.to_numpy()
+        first = np.empty(len(coded.dictionary), np.int64)
         first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-        text = self.characters[data].tobytes().decode("utf-16-le")  # a character for each byte
-        place = self._placed([text[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])[which]
+        place = self._placed(coded.dictionary.to_numpy(), data, w.starts[first], w.ends[first])[which]
         many = self.many[place]
         total = np.cumsum(many)
         step = np.arange(int(total[-1])) - np.repeat(total - many, many)
         return self.flat[np.repeat(self.starts[place], many) + step], np.concatenate([[0], total])[w.bounds]
 
-    def _placed(self, words: list[str]) -> np.ndarray:
-        """Place of each distinct word, given by the characters of its bytes; new ones are encoded."""
-        if len(self.places) > KEPT:
+    def _placed(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Place of each distinct word, by its hash; new ones are encoded."""
+        if len(self.keys) > KEPT:
             self._forget()
-        new = [x for x in words if x not in self.places]
-        if new:
+        order = np.argsort(hashes)
+        asked = hashes[order]
+        at = np.searchsorted(self.keys, asked)
+        near = np.minimum(at, max(0, len(self.keys) - 1))
+        known = self.keys[near] == asked if len(self.keys) else np.zeros(len(asked), bool)
+        out = np.empty(len(hashes), np.int64)
+        out[order[known]] = self.places[near[known]]
+        new = order[~known]
+        if len(new):
+            text = self.characters[data].tobytes().decode("utf-16-le")  # a character for each byte
             tokenize, flat, edges = self.own.model.tokenize, [], [0]
             gc.disable()  # nothing here is in a cycle, and there are many small objects
-            for x in new:
-                flat += map(_ID, tokenize(x))
+            for a, b in zip(starts[new].tolist(), ends[new].tolist()):
+                flat += map(_ID, tokenize(text[a:b]))
                 edges.append(len(flat))
             gc.enable()
             edges = np.array(edges, np.int64)
+            out[new] = len(self.many) + np.arange(len(new))
             self.starts = np.concatenate([self.starts, len(self.flat) + edges[:-1]])
-            self.many = np.concatenate([self.many, np.diff(edges)])
+            self.many = np.concatenate([self.many, np.diff(edges).astype(np.int32)])
             self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
-        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+            self.places = np.insert(self.places, at[~known], out[new].astype(np.int32))
+            self.keys = np.insert(self.keys, at[~known], asked[~known])
+        return out
 
 
 def _written(model: Model, end: int | None, names: list[str]):
