@@ -1,14 +1,16 @@
 """Toxic passages as maximal scoring segments.
 
-Every word has a score: the lower confidence limit of its log-odds between toxic and clean documents
-under Dirichlet priors, minus a small drift. Priors take the share of documents with the word over
+Every word has a score, from its log-odds between toxic and clean documents under Dirichlet priors, as far as they are certain: the lower
+confidence limit minus a small drift if that is positive, the upper one if that is below the drift's negative. Any other word, and
+any unseen one, takes the drift off. Priors take the share of documents with the word over
 the whole corpus. A linear scan finds all maximal scoring segments of a text. Their scores have an
 extreme value distribution in clean text, whose constants are fitted, so that a segment of score S in
 a text of n words has lambda * S - ln(K * n) nats of significance. A document's score is a logistic
 curve over the sum of its significant segments.
 
-Null and empty texts have no segment and get the score of a text without evidence. Repeated rows count
-as often as they occur. Without documents, or without labels of both kinds, every text gets the share
+Null and empty texts have no segment and get the score of a text without evidence. Very long texts are scanned whole. Repeated rows count
+as often as they occur; a row without an id is scored, is not held out, and teaches nothing. Other columns are not read, whatever their names;
+``drop_toxic`` passes them on and keeps the texts of all ids alike, null ids too. Without documents, or without labels of both kinds, every text gets the share
 of toxic labels (one half without any label).
 """
 
@@ -38,14 +40,15 @@ class Params:
     rows: int = lab.SAMPLE_ROWS  # most labelled documents to learn from
     confidence: float = 3.0  # standard deviations below the log-odds
     prior: float = 0.1  # weight of the corpus shares, in clean documents
-    least: int = 3  # toxic documents a word must occur in
+    least: int = 3  # toxic documents a word must occur in to speak for toxicity
+    common: int = 3  # times as many clean ones it must occur in to speak against
     drift: float = 0.3  # taken off each word's score
 
 
 @dataclass(frozen=True)
 class Model:
-    features: np.ndarray  # sorted hashes with a positive score
-    scores: np.ndarray
+    features: np.ndarray  # sorted hashes
+    scores: np.ndarray  # drift included where they are positive
     drift: float
     rate: float  # lambda
     log_k: float
@@ -166,16 +169,20 @@ class Scorer:
             if not len(m.features):
                 yield from ((int(n), []) for n in w.counts())
                 continue
-            value = np.zeros(len(w.starts))
-            for found in map(self.find, _features(w)):
-                value = np.maximum(value, np.where(found >= 0, m.scores[found], 0.0))
-            places = np.flatnonzero(value)
+            value = self.values(w)
+            places = np.flatnonzero(value != -m.drift)
             cuts = np.searchsorted(places, w.bounds)
             for i in range(last - first):
                 own = places[cuts[i] : cuts[i + 1]]
-                found = segments(value[own] - m.drift, own - w.bounds[i], m.drift) if len(own) else []
+                found = segments(value[own], own - w.bounds[i], m.drift) if len(own) else []
                 yield int(w.bounds[i + 1] - w.bounds[i]), found
 
+    def values(self, w: tx.Words) -> np.ndarray:
+        """Score of each word: the better one of the word and of its beginning, if that is positive, else the word's."""
+        m = self.model
+        whole, stem = (np.where((found := self.find(h)) >= 0, m.scores[found], -m.drift) for h in _features(w))
+        return np.where(stem > 0, np.maximum(whole, stem), whole)
+
     def evidence(self, n: int, found: list[tuple[int, int, float]]) -> list[float]:
         """Significance of each segment in nats; positive ones are significant."""
         return [self.model.rate * s - self.model.log_k - math.log(max(n, 1)) for _, _, s in found]
@@ -190,7 +197,7 @@ def _rate(scores: np.ndarray, shares: np.ndarray, drift: float) -> float:
     low, high = 1e-6, 20.0
     for _ in range(60):
         mid = (low + high) / 2
-        total = np.sum(shares * np.exp(np.minimum(mid * (scores - drift), 500))) + (1 - shares.sum()) * math.exp(-mid * drift)
+        total = np.sum(shares * np.exp(np.minimum(mid * scores, 500))) + (1 - shares.sum()) * math.exp(-mid * drift)
         low, high = (mid, high) if total < 1 else (low, mid)
     return low
 
@@ -218,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, params: Params = Para
         .mapInArrow(_class_counts, "feature long, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= params.least) | F.col("feature").isin(DOCS, WORDS))
+        .where((F.col("toxic") >= params.least) | (F.col("clean") >= params.least * params.common) | F.col("feature").isin(DOCS, WORDS))
         .toPandas()
     )
     whole = counted[counted.feature.isin([DOCS, WORDS])].set_index("feature")
@@ -226,9 +233,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, params: Params = Para
         return nothing
     n1, n0 = int(whole.loc[DOCS, "toxic"]), int(whole.loc[DOCS, "clean"])
     words0 = int(whole.loc[WORDS, "clean"])
-    # Only features that are more frequent in toxic documents can have a positive score.
-    more = counted[~counted.feature.isin([DOCS, WORDS]) & (counted.toxic * n0 > counted.clean * n1)]
-    if more.empty:
+    # Only features that are more frequent in toxic documents can have a positive score, and a negative one only those that would be
+    # in several toxic documents if they were as frequent there.
+    above = (counted.toxic >= params.least) & (counted.toxic * n0 > counted.clean * n1)
+    below = counted.clean * n1 >= params.confidence**2 * n0
+    more = counted[~counted.feature.isin([DOCS, WORDS]) & (above | below & (counted.toxic * n0 < counted.clean * n1))]
+    if not above[~counted.feature.isin([DOCS, WORDS])].any():
         return nothing
     keys, y1, y0 = more.feature.to_numpy().view(np.uint64), more.toxic.to_numpy(), more.clean.to_numpy()
     order = np.argsort(keys)
@@ -243,10 +253,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, params: Params = Para
     weight = params.prior * n0
     a1, a0 = y1 + weight * share, y0 + weight * share
     odds = np.log(a1 / (n1 + weight - a1 + weight * share)) - np.log(a0 / (n0 + weight - a0 + weight * share))
-    scores = odds - params.confidence * np.sqrt(1 / a1 + 1 / a0)
-    good = scores > params.drift
+    unsure = params.confidence * np.sqrt(1 / a1 + 1 / a0)
+    scores = np.where(odds - unsure > params.drift, odds - unsure - params.drift, np.where(odds + unsure < -params.drift, odds + unsure, 0.0))
+    good = scores != 0
     keys, scores = keys[good], scores[good]
-    if not len(keys):
+    if not (scores > 0).any():
         return nothing
     shares = (y0[good] + 0.5) / (words0 + 0.5 * len(keys) + 1)
     draft = Model(keys, scores, params.drift, _rate(scores, shares, params.drift), 0.0, 1.0, 0.0)
@@ -257,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, params: Params = Para
     clean = best[(seen.label == 0).to_numpy()]
     spread = np.exp(-clean[np.isfinite(clean)])
     # Texts without a segment have their best below that of the weakest feature.
-    floor = math.exp(-(draft.rate * float(scores.min())))
+    floor = math.exp(-(draft.rate * (float(scores[scores > 0].min()) + params.drift)))
     mean = (spread.sum() + (len(clean) - len(spread)) / floor) / max(1, len(clean))
     log_k = -math.log(mean) if mean > 0 else 0.0
     x = np.array([np.log1p(sum(max(0.0, v - log_k) for v in nats)) for nats in seen.nats])
