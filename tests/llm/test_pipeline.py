@@ -1,7 +1,9 @@
 """The pipeline against a brute-force version of its stages."""
 
 import hashlib
+import math
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import corpus_pipeline
 import messy
@@ -25,7 +27,7 @@ def test_run_matches_brute_force(spark):
     scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, labels).collect()}
     rows = [r.asDict() for r in docs.collect() if scores[r["doc_id"]] < 0.3]
     assert 0 < len(rows)
-    for row, text in zip(rows, brute_lines([(r["source"], r["text"]) for r in rows], lines.RATIO, lines.LEAST_PAGES)):
+    for row, text in zip(rows, brute_lines([(r["source"], r["text"]) for r in rows], lines.RATIO, distinct=True)):
         row["text"] = text
     rows.sort(key=lambda r: r["doc_id"])
     roots = brute_components([brute_fingerprint(r["text"]) for r in rows], 3)
@@ -49,17 +51,14 @@ def test_run_matches_brute_force(spark):
 
 def mixed_turns(sizes):
     """Blocks of each source until every source has been through, by earliest deadline first."""
-    period, weights = mixing.PERIOD, {s: n**mixing.POWER for s, n in sizes.items()}
-    share = {s: w / sum(weights.values()) * (period - len(sizes)) for s, w in weights.items()}
-    slots = {s: 1 + int(x) for s, x in share.items()}
-    for s in sorted(sizes, key=lambda s: (int(share[s]) - share[s], s))[: period - sum(slots.values())]:
-        slots[s] += 1
+    weights = {s: int(n**mixing.POWER * 2**20) for s, n in sizes.items()}
+    share = {s: Fraction(w, sum(weights.values())) for s, w in weights.items()}
     need = {s: -(-n // mixing.BLOCK_ROWS) for s, n in sizes.items()}
     done = Counter()
     t = 0
     while any(done[s] < need[s] for s in sizes):
-        open_ = [s for s in sizes if done[s] * period // slots[s] <= t]
-        best = min(open_, key=lambda s: (-(-(done[s] + 1) * period // slots[s]), s))
+        open_ = [s for s in sizes if done[s] // share[s] <= t]
+        best = min(open_, key=lambda s: (math.ceil((done[s] + 1) / share[s]), s))
         done[best] += 1
         t += 1
     return done

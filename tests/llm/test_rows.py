@@ -24,38 +24,62 @@ def sha(text):
 # --- lines
 
 
-def brute_lines(rows, ratio, least):
+def brute_lines(rows, ratio, distinct=False):
+    """Texts without the lines that are on two pages at least and on more than a share of their host's."""
     pages, seen = defaultdict(set), defaultdict(set)
-    for host, text in rows:
+    for i, (host, text) in enumerate(rows):
         if text is not None:
-            pages[host or ""].add(text)
+            page = text if distinct else i
+            pages[host or ""].add(page)
             for line in set(text.split("\n")):
-                seen[host or "", line].add(text)
-    gone = {k for k, v in seen.items() if k[1] and len(v) >= least and len(v) > ratio * len(pages[k[0]])}
+                seen[host or "", line].add(page)
+    gone = {k for k, v in seen.items() if k[1] and len(v) >= 2 and len(v) > ratio * len(pages[k[0]])}
     return [None if t is None else "\n".join(x for x in t.split("\n") if (h or "", x) not in gone) for h, t in rows]
 
 
-@pytest.mark.parametrize("sent", [100_000, -1])
-def test_lines_that_many_pages_have(spark, monkeypatch, sent):
+@pytest.mark.parametrize("distinct", [False, True])
+@pytest.mark.parametrize("sent, hosts", [(100_000, 100_000), (-1, 100_000), (-1, -1)])
+def test_lines_that_many_pages_have(spark, monkeypatch, sent, hosts, distinct):
     monkeypatch.setattr(lines, "SENT_LINES", sent)
+    monkeypatch.setattr(lines, "SENT_HOSTS", hosts)
     rng = random.Random(2)
     rows = [(rng.choice(["a", "a", "a", "b", None]), "\n".join(rng.choice(["", "menu", "© é", f"body {rng.randrange(900)}"]) for _ in range(6))) for _ in range(150)]
     rows += [("c", "only page")] + [("d", "copied page\nof many")] * 30 + [("d", f"page {i}") for i in range(9)] + [("a", None), (None, None), ("a", "")]
-    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
-    got = {r["row"]["doc_id"]: r["text"] for r in lines.drop_lines(docs, F.col("source"), F.col("text"), 0.3, 3).collect()}
-    want = brute_lines(rows, 0.3, 3)
+    rows += [("e", f"banner\nown {i}") for i in range(4)] + [("f", "twice"), ("f", "twice"), ("f", "once\nonce")]
+    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    got = {r["row"]["doc_id"]: r["text"] for r in lines.drop_lines(docs, F.col("source"), F.col("text"), 0.3, distinct).collect()}
+    want = brute_lines(rows, 0.3, distinct)
     assert got == dict(enumerate(want))
-    assert want != [t for _, t in rows] and got[150] == "only page" and got[151] == "copied page\nof many"
+    assert got[150] == "only page" and got[151] == ("copied page\nof many" if distinct else "")
+    assert [got[193 + i] for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert got[197] == ("twice" if distinct else "") and got[199] == "once\nonce"
 
 
-def test_lines_of_awkward_rows(spark):
+@pytest.mark.parametrize("sent", [100_000, -1])
+def test_lines_of_awkward_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(lines, "SENT_LINES", sent)
     docs = messy.documents(spark)
     out = lines.clean_documents(docs)
-    assert out.columns == docs.columns and out.count() == docs.count()
-    assert {r["n_chars"] for r in out.collect()} == {None if t is None else len(t) for t in messy.texts() + ["no id"]}
+    assert out.columns == docs.columns
+    rows = docs.collect()
+    want = brute_lines([(r["source"], r["text"]) for r in rows], lines.RATIO, True)
+    key = lambda r, t: (str(r["doc_id"]), str(r["source"]), str(t), str(r["marks"]), r["key"])
+    assert sorted(key(r, r["text"]) for r in out.collect()) == sorted(key(r, t) for r, t in zip(rows, want))
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out.collect())
     assert lines.clean_documents(messy.empty(spark)).count() == 0
 
 
+def test_pages_with_awkward_columns(spark):
+    page = "<p>menu</p><p>{}</p>"
+    rows = [(1, "http://a/x", page.format("one")), (1, "http://a/x", page.format("one")), (2, "http://A/y", page.format("two")), (3, None, None), (4, "", ""), (None, "no url", page.format("x"))]
+    pages = spark.createDataFrame([(*r, "h", "t") for r in rows], "page_id long, url string, html string, host string, text string")
+    got = sorted(map(str, (tuple(r) for r in lines.page_lines(pages).collect())))
+    empty = sha("")
+    want = [(1, "a", 2, 2, empty)] * 2 + [(2, "a", 2, 1, sha("two")), (3, "", 0, 0, empty), (4, "", 1, 0, empty), (None, "", 2, 0, sha("menu\nx"))]
+    assert got == sorted(map(str, want))
+    assert lines.page_lines(pages.limit(0)).count() == 0
+
+
 def test_html_lines(spark):
     html = '<html><STYLE>p{}</style><!-- <p>no</p> --><p class="x">one\n  two</p>three<br/>f<b>ou</b>r<script>\n</p></script></html>'
     row = spark.createDataFrame([(html, "HTTP://A.Example/x?y"), (None, None)], "html string, url string")
@@ -66,17 +90,79 @@ def test_html_lines(spark):
 # --- mixing
 
 
-def check_mix(rows, slots, period=mixing.PERIOD):
-    """Every slot holds one block within its window, and no source is a block or more off its share."""
-    at = {}
+def run_of_slots(weights, until):
+    """Slots as (source, turn, release, deadline) by earliest deadline first, one after the other."""
+    total, done, out = sum(weights), [0] * len(weights), []
+    for t in range(until):
+        free = [(-(-(d + 1) * total // w), i, d, d * total // w) for i, (w, d) in enumerate(zip(weights, done)) if w and d * total // w <= t]
+        due, i, turn, release = min(free)
+        done[i] += 1
+        out.append((i, turn, release, due))
+    return out
+
+
+def plan_of(spark, weights, blocks, chunk):
+    rows = [(f"s{i:05}", n, w) for i, (w, n) in enumerate(zip(weights, blocks)) if w]
+    sources = spark.createDataFrame(rows, "source string, n long, w long").withColumn("w", F.col("w").cast("decimal(38,0)"))
+    return mixing.planned(sources, 1, chunk)
+
+
+def check_plan(rows, weights, blocks):
+    """One block a slot, within its window, sources in the order of their turns and less than a block off their shares."""
+    rows = sorted(rows, key=lambda r: r["slot"])
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    total, placed, last = sum(weights), [0] * len(weights), -1
     for r in rows:
-        assert at.setdefault(r["slot"], (r["source"], r["block"], r["turn"])) == (r["source"], r["block"], r["turn"])
-        assert r["release"] <= r["slot"] < r["deadline"]
-    placed = Counter()
-    for t in range(max(at) + 1):
-        placed[at[t][0]] += 1
-        for source, s in slots.items():
-            assert abs(placed[source] - (t + 1) * s / period) < 1
+        i = int(r["source"][1:])
+        assert r["release"] <= r["slot"] < r["deadline"] and r["turn"] == placed[i]
+        assert (r["block"], r["epoch"]) == (r["turn"] % blocks[i], r["turn"] // blocks[i])
+        placed[i] += 1
+        last = r["slot"] if placed[i] == blocks[i] else last
+        if len(weights) < 100 or r["slot"] % 97 == 0:
+            assert all(abs(n * total - (r["slot"] + 1) * w) < total for n, w in zip(placed, weights))
+    assert last == len(rows) - 1 and all(n >= b for n, b, w in zip(placed, blocks, weights) if w)
+
+
+MIXES = [
+    ([1], [40]),
+    ([1, 1, 1], [5, 9, 2]),
+    ([1 << 50, (1 << 44) + 1], [90, 2]),
+    ([5, 5, 90], [30, 2, 40]),  # light windows that are held for long
+    ([50, 50, 1, 1, 1, 1], [60, 80, 1, 2, 1, 1]),  # two heavy ones released at once
+    ([997, 991, 13, 7, 3], [150, 10, 3, 1, 1]),
+    ([333, 333, 333, 1], [90, 20, 3, 1]),
+    ([0, 4, 9], [3, 30, 5]),
+    ([19, *[1] * 19], [200, *[9] * 19]),
+]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64])
+@pytest.mark.parametrize("weights, blocks", MIXES)
+def test_chunks_are_one_run(spark, weights, blocks, chunk):
+    rows = plan_of(spark, weights, blocks, chunk).collect()
+    check_plan(rows, weights, blocks)
+    want = run_of_slots(weights, len(rows))
+    assert [(int(r["source"][1:]), r["turn"], r["release"], r["deadline"]) for r in sorted(rows, key=lambda r: r["slot"])] == want
+
+
+def test_chunks_of_random_weights_are_one_run(spark):
+    rng = random.Random(11)
+    for _ in range(6):
+        weights = [rng.choice([rng.randrange(3, 9), rng.randrange(3, 90)]) for _ in range(rng.randrange(2, 9))]
+        blocks = [1 + 60 * w // sum(weights) for w in weights]
+        rows = plan_of(spark, weights, blocks, rng.choice([5, 20])).collect()
+        want = run_of_slots(weights, len(rows))
+        assert [(int(r["source"][1:]), r["turn"], r["release"], r["deadline"]) for r in sorted(rows, key=lambda r: r["slot"])] == want
+
+
+def test_many_sources_and_three_chunks(spark):
+    weights, blocks = [1 + i % 3 for i in range(600)], [2 + 2 * (i % 3) for i in range(600)]
+    plan = plan_of(spark, weights, blocks, None)
+    rows = plan.collect()
+    check_plan(rows, weights, blocks)
+    assert len(rows) > 2 * mixing.CHUNK
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
 
 
 def test_mix_keeps_rows_and_shares(spark):
@@ -85,14 +171,17 @@ def test_mix_keeps_rows_and_shares(spark):
     rows = [(i, s) for i, s in enumerate(x for s, n in sizes.items() for x in [s] * n)]
     rng.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, source string")
-    weights = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 0.5), ("x", 9.0)], "source string, weight double")
-    for given in (None, weights):
+    weights = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 0.5), ("x", 9.0), ("d", 0.0)], "source string, weight double")
+    for given, share in ((None, {s: n**mixing.POWER for s, n in sizes.items()}), (weights, {"a": 1.0, "b": 2.0, "c": 0.5})):
         out = mixing.mix(docs, given, block_rows=10).select("row.doc_id", "source", "block", "epoch", "turn", "slot", "release", "deadline", "row_in_block").collect()
-        sources = spark.createDataFrame(list(sizes.items()), "source string, n long")
-        slots = {r["source"]: r["slots"] for r in mixing.weighted(sources, given).collect()}
-        assert sum(slots.values()) == mixing.PERIOD
-        check_mix(out, slots)
-        assert {r["doc_id"] for r in out} == {i for i, _ in rows}
+        total, placed, at = sum(share.values()), Counter(), {}
+        for r in out:
+            assert at.setdefault(r["slot"], (r["source"], r["block"], r["turn"])) == (r["source"], r["block"], r["turn"])
+            assert r["release"] <= r["slot"] < r["deadline"]
+        for t in range(max(at) + 1):
+            placed[at[t][0]] += 1
+            assert all(abs(placed[s] - (t + 1) * w / total) < 1 + 1e-6 for s, w in share.items())
+        assert {r["doc_id"] for r in out} == {i for i, s in rows if s in share}
         assert max(Counter((r["slot"], r["row_in_block"]) for r in out).values()) == 1
         blocks = Counter((r["source"], r["block"]) for r in out if r["epoch"] == 0)
         assert all(n == 10 or b == math.ceil(sizes[s] / 10) - 1 for (s, b), n in blocks.items())
@@ -107,14 +196,20 @@ def test_mix_of_many_buckets(spark, monkeypatch):
     assert order == sorted(range(500), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
 
 
-def test_mix_of_awkward_rows(spark):
+@pytest.mark.parametrize("sent", [50_000, -1])
+def test_mix_of_awkward_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "SENT_SLOTS", sent)
     docs = messy.documents(spark)
     out = mixing.mix_documents(docs)
     assert out.columns == docs.columns
     assert Counter(map(tuple, out.collect())) >= Counter(map(tuple, docs.collect()))
-    assert mixing.mix_documents(messy.empty(spark)).count() == 0
-    with pytest.raises(ValueError):
-        mixing.weighted(spark.range(5).selectExpr("string(id) AS source", "id + 1 AS n"), None, 4)
+    assert {r["source"] for r in mixing.mix_ids(docs).collect()} == {"", "s0", "s1"}
+    assert mixing.mix_documents(messy.empty(spark)).count() == mixing.mix_ids(messy.empty(spark)).count() == 0
+    weights = spark.createDataFrame([("s0", 1.0), ("s1", None)], "source string, weight double")
+    assert {r["source"] for r in mixing.mix(docs, weights).collect()} == {"s0"}
+    for bad in (-1.0, math.nan, math.inf):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, spark.createDataFrame([("s0", bad)], "source string, weight double"))
 
 
 # --- neighbours
