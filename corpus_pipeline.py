@@ -27,8 +27,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
-    return simhash.keep_one(docs)
+    """The document with the smallest id of each group of fingerprints of three-word shingles that are at most three bits apart."""
+    return simhash.keep_one(docs, simhash.BITS, simhash.SHINGLE)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
