@@ -29,6 +29,33 @@ def _(s, d):
     return rounded(readers.scan_csv_typed(s, folder, "pos_cash"), ["NAME_CONTRACT_STATUS"])
 
 
+_GOOD = "MONTHS_BALANCE % 5 <> 0 AND SK_ID_PREV % 11 <> 0"
+
+
+@query(
+    "scan_csv_rejects",
+    o.rounded(
+        f"SELECT {_POS}, 0 AS rejected FROM fx_pos WHERE {_GOOD} UNION ALL "
+        f"SELECT NULL, NULL, NULL, NULL, 'all', NULL, count(*) FROM fx_pos WHERE NOT ({_GOOD})",
+        ["NAME_CONTRACT_STATUS"],
+        "fx_pos",
+    ),
+)
+def _(s, d):
+    """A CSV in which some lines have a text in a number's place and some have too few cells: its good rows, and its rejects counted."""
+    folder = _folder(s)
+    cells = [F.coalesce(F.expr(c).cast("string"), F.lit("")) for c in _POS.split(", ")]
+    cells[1] = F.when(F.expr("MONTHS_BALANCE % 5 = 0"), F.lit("last month")).otherwise(cells[1])
+    line = F.when(F.expr("SK_ID_PREV % 11 = 0"), F.concat_ws(",", *cells[:3])).otherwise(F.concat_ws(",", *cells))
+    names = [c.split(" AS ")[-1] for c in _POS.split(", ")]
+    fx.fixture(s, d, "fx_pos").select(line.alias(",".join(names))).write.csv(folder, header=True, sep="\u0001")
+    parsed = readers.scan_csv_lenient(s, folder, "pos_cash")
+    count = parsed.rejects.agg(F.count("*").alias("rejected"))
+    good = parsed.rows.withColumn("rejected", F.lit(0).cast("long"))
+    absent = [F.lit("all" if c == "NAME_CONTRACT_STATUS" else None).cast(good.schema[c].dataType).alias(c) for c in names]
+    return rounded(good.unionByName(count.select(*absent, "rejected")), ["NAME_CONTRACT_STATUS"])
+
+
 _LOADED = {
     "application_train": "fx_application WHERE split = 'train'", "application_test": "fx_application WHERE split = 'test'",
     "bureau": "fx_bureau", "bureau_balance": "fx_bureau_balance", "previous_app": "fx_previous", "pos_cash": "fx_pos",
@@ -91,6 +118,22 @@ def _(s, d):
     return encode.drop_high_card(df, encode.fit_encoding(df))
 
 
+_PREFIX = o.rounded(
+    "SELECT event_type, value, n, coalesce(sum(n) OVER w, 0) AS n_before, lead(value) OVER (PARTITION BY event_type ORDER BY value) AS next_value "
+    "FROM (SELECT event_type, value, count(*) AS n FROM events GROUP BY ALL) "
+    "WINDOW w AS (PARTITION BY event_type ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+    ["event_type"],
+    digits=6,
+)
+
+
+@query("prefix_sums_ranged", _PREFIX)
+def _(s, d):
+    """Prefix sums over 64 ranges, whatever the number of values."""
+    counts = fx.source(s, d, "events").groupBy("event_type", "value").agg(F.count("*").alias("n"))
+    return rounded(ordered.running(counts, ["event_type"], "value", ["n"], buckets=64), ["event_type"], 6)
+
+
 @query(
     "prefix_sums",
     o.rounded(

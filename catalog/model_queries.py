@@ -45,7 +45,26 @@ from lendstrata.plans import scoring, training
     ),
 )
 def _(s, d):
-    return encode.fit_encoding(application.fix_anomalies(app(s, d).drop("split"))).table(s)
+    """The policy needs to know of "more than ten" only; the exact counts are a profile of their own."""
+    train = application.fix_anomalies(app(s, d).drop("split"))
+    actions = encode.fit_encoding(train).table(s).drop("n_unique")
+    return actions.join(columns.nunique_profile(train), "column_name").select("column_name", "n_unique", "action")
+
+
+@query(
+    "label_sets",
+    o.sql(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {c} AS label FROM app_fixed WHERE {c} IS NOT NULL AND (SELECT count(DISTINCT {c}) FROM app_fixed) <= 10 GROUP BY {c}"
+            for c in TEXTS
+        ),
+        "app_fixed",
+    ),
+)
+def _(s, d):
+    """The labels of text columns with at most ten, from one pass of bounded sketches."""
+    found = columns.label_sets(application.fix_anomalies(app(s, d)), TEXTS, 10)
+    return s.createDataFrame([(c, label) for c, labels in found.items() for label in labels or ()], "column_name string, label string")
 
 
 @query("label_encode", o.sql("SELECT SK_ID_CURR, CODE_GENDER, FLAG_OWN_CAR FROM app_clean", "app_clean"))

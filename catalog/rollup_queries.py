@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from catalog.registry import (
     DIMENSIONS,
     APP_CLEAN,
     APP_RAW,
+    CONFIG,
     INST_COLUMNS,
     TEXTS,
     Query,
@@ -26,6 +30,7 @@ from catalog.registry import (
 from lendstrata.functions import nulls as n
 from lendstrata.operators import aggregate, application, bureau, columns, encode, explain, folds, history, ordered, target
 from lendstrata.plans import features
+from lendstrata.sources import buckets, sinks
 
 
 # ---- joins ----------------------------------------------------------------
@@ -373,3 +378,20 @@ def _(s, d):
 )
 def build_features(s: SparkSession, d: str) -> DataFrame:
     return rounded(matrix(s, d).matrix, ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"])
+
+
+@query(
+    "build_features_bucketed",
+    o.rounded(
+        "SELECT * EXCLUDE (MOSTLY_MISSING) REPLACE (CASE WHEN split = 'train' THEN TARGET END AS TARGET) FROM crossed",
+        ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"],
+        "crossed",
+    ),
+)
+def _(s, d):
+    """The full build over histories that were stored by their keys."""
+    name = uuid.uuid4().hex
+    stored = buckets.store_histories(fx.tables(s, d), f"{sinks.work_folder(s)}/histories-{name}", f"h_{name}", 8)
+    built = features.build_features(stored, replace(CONFIG, placed=True))
+    buckets.drop_histories(s, f"h_{name}")
+    return rounded(built.matrix, ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"])

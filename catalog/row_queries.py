@@ -91,6 +91,36 @@ def _(s, d):
     return report.withColumn("target_mean", F.round(F.col("target_mean") + float(o.shift(6)), 6))
 
 
+@query(
+    "observed_report",
+    o.sql(
+        f"SELECT t.train_rows, s.test_rows, CAST({len(_APP_FEATURES)} - m.n AS INT) AS feature_count, "
+        f"m.dropped AS dropped_high_missing, round(t.target_mean + {o.shift(6)}, 6) AS target_mean, t.zeros, t.ones FROM "
+        "(SELECT count(*) AS train_rows, avg(TARGET) AS target_mean, count(*) FILTER (WHERE TARGET = 0) AS zeros, "
+        "count(*) FILTER (WHERE TARGET = 1) AS ones FROM app_clean WHERE split = 'train') t, "
+        "(SELECT count(*) AS test_rows FROM app_clean WHERE split = 'test') s, "
+        "(SELECT count(*) AS n, coalesce(string_agg(column_name, ',' ORDER BY column_name), '') AS dropped FROM ("
+        + missing_sql(_APP_FEATURES, "app_clean", "split = 'train'")
+        + ") WHERE missing_share > 0.8) m",
+        "app_clean",
+    ),
+)
+def _(s, d):
+    """The report and the class balance from what was counted while the table was stored."""
+    raw = app(s, d)
+    fitted = encode.fit_encoding(application.app_features(application.fix_anomalies(train_of(raw))))
+    clean = fitted.transform(application.app_features(application.fix_anomalies(raw.drop("split")))).join(raw.select("SK_ID_CURR", "split"), "SK_ID_CURR")
+    stored, seen = columns.store_observed(clean, "observed", "split", [c for c in clean.columns if c not in (*rows.NOT_FEATURES, "split")])
+    dropped = seen.high_missing()
+    report = seen.report(s, len(seen.present) - len(dropped), dropped)
+    balance = {r["label"]: r["row_count"] for r in seen.class_balance(s).collect()}
+    return report.select(
+        "train_rows", "test_rows", "feature_count", "dropped_high_missing",
+        F.round(F.col("target_mean") + float(o.shift(6)), 6).alias("target_mean"),
+        F.lit(balance[0]).cast("long").alias("zeros"), F.lit(balance[1]).cast("long").alias("ones"),
+    )
+
+
 # ---- projections, cleaning, predicates ------------------------------------
 
 @query(

@@ -23,9 +23,10 @@ from catalog.registry import (
     rounded,
     train_of,
 )
-from lendstrata.operators import application, drift, encode, evaluate, quality, target
+from lendstrata.operators import application, drift, encode, evaluate, quality, sketches, target
 from lendstrata.plans import features
 from lendstrata.sources import sinks
+from lendstrata.streaming import drift as stream_drift
 from lendstrata.streaming import score
 
 
@@ -277,3 +278,110 @@ def _(s, d):
         drift.drift_categorical(reference, current, _WORDS, p_values=False).select("feature", "drifted")
     )
     return drift.drift_summary(found, reference, current, _NUMBERS + _WORDS)
+
+
+# ---- drift of stored sketches, and of a stream ----------------------------
+
+_SKETCHED = ["value", "user_number"]
+_PLAIN_LONG = f"(SELECT * FROM (SELECT period, {', '.join(_SKETCHED)} FROM fx_events) UNPIVOT (v FOR feature IN ({', '.join(_SKETCHED)})))"
+
+
+def _dated(s: SparkSession, d: str) -> DataFrame:
+    """Events with their day, and the half of the month it is in."""
+    return fx.source(s, d, "events").select(
+        "ts", F.to_date("ts").alias("day"), "event_type", "value", F.col("user_id").cast("double").alias("user_number"),
+        F.when(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"), "reference").otherwise("current").alias("period"),
+    )
+
+
+@query(
+    "drift_sketched",
+    o.rounded(
+        f"SELECT feature, n_ref, n_cur, ks_statistic, wasserstein, mean_shift, 1 AS ks_within, 1 AS distance_within, 1 AS shift_fits FROM ("
+        + _NUMERIC_SQL.replace("FROM long", f"FROM {_PLAIN_LONG}")
+        + f") WHERE feature IN ({', '.join(repr(c) for c in _SKETCHED)})",
+        ["feature", "ks_within", "distance_within", "shift_fits"],
+        "fx_events",
+        digits=6,
+    ),
+)
+def _(s, d):
+    """Sketches of each day, stored and merged per half of the month, against the exact statistics."""
+    df = _dated(s, d)
+    days = sinks.materialize(sketches.numeric_sketches(df, _SKETCHED, F.struct("period", "day")), "sketches")
+    side = {p: sketches.merge_sketches(days.where(F.col("batch.period") == p)) for p in ("reference", "current")}
+    about = sketches.drift_sketched(side["reference"], side["current"])
+    exact = drift.drift_numeric(df.where("period = 'reference'"), df.where("period = 'current'"), _SKETCHED)
+    both = exact.alias("e").join(about.alias("a"), "feature")
+    within = F.abs(F.col("e.ks_statistic") - F.col("a.ks_statistic")) <= sketches.statistic_error()
+    near = F.abs(F.col("e.wasserstein") - F.col("a.wasserstein")) <= F.col("a.wasserstein_error")
+    fits = (F.abs(F.col("e.mean_shift") - F.col("a.mean_shift")) < 1e-6) & (F.col("e.n_ref") == F.col("a.n_ref")) & (F.col("e.n_cur") == F.col("a.n_cur"))
+    checks = {"ks_within": within, "distance_within": near, "shift_fits": fits}
+    return rounded(
+        both.select("feature", *[F.col(f"e.{c}") for c in ("n_ref", "n_cur", "ks_statistic", "wasserstein", "mean_shift")], *[c.cast("int").alias(n) for n, c in checks.items()]),
+        ["feature", *checks],
+        6,
+    )
+
+
+# Any fixed edges and texts will do for the check.
+_EDGES = {"value": [5.0, 15.0, 40.0, 100.0], "user_number": [200.0, 500.0, 900.0]}
+_TEXTS = {"event_type": ["click", "error", "view"]}
+_BINS_SQL = " UNION ALL ".join(
+    [
+        f"SELECT ts, '{c}' AS feature, CASE WHEN {x} IS NULL THEN 'missing' ELSE CAST({' + '.join(f'({x} > {e!r})::INT' for e in edges)} AS VARCHAR) END AS bin FROM events"
+        for (c, edges), x in zip(_EDGES.items(), ("value", "CAST(user_id AS DOUBLE)"))
+    ]
+    + [
+        f"SELECT ts, '{c}', CASE WHEN {c} IS NULL THEN 'missing' WHEN {c} IN ({', '.join(map(repr, known))}) THEN '=' || {c} ELSE 'other' END FROM events"
+        for c, known in _TEXTS.items()
+    ]
+)
+_WINDOWS_SQL = (
+    f"SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS day, feature, bin, count(*) AS n FROM ({_BINS_SQL}) "
+    "WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY ALL"
+)
+
+
+def _streamed(s: SparkSession, d: str) -> DataFrame:
+    """Counts per day from a stream of the events; the last day is still open."""
+    folder = f"{sinks.work_folder(s)}/windows-{uuid.uuid4().hex}"
+    lines = s.readStream.schema(fx.source(s, d, "events").schema).parquet(f"{d}/events.parquet")
+    rows = lines.select("ts", "event_type", "value", F.col("user_id").cast("double").alias("user_number"))
+    stream_drift.count_stream(stream_drift.window_counts(rows, "ts", _EDGES, _TEXTS), folder).awaitTermination()
+    return s.read.parquet(folder)
+
+
+@query("stream_counts", _WINDOWS_SQL)
+def _(s, d):
+    day = F.datediff(F.to_date("window_start"), F.lit("2024-01-01").cast("date")).alias("day")
+    return _streamed(s, d).select(day, "feature", "bin", "n")
+
+
+@query(
+    "stream_drift",
+    o.rounded(
+        f"""
+WITH windows AS ({_WINDOWS_SQL}),
+base AS (SELECT feature, bin, count(*) AS n FROM ({_BINS_SQL}) WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY ALL),
+cells AS (SELECT day, feature, bin, coalesce(b.n, 0) AS r, coalesce(w.n, 0) AS c FROM
+  (SELECT DISTINCT day, feature FROM windows) JOIN (SELECT feature, bin FROM windows UNION SELECT feature, bin FROM base) USING (feature)
+  LEFT JOIN windows w USING (day, feature, bin) LEFT JOIN base b USING (feature, bin) WHERE w.n IS NOT NULL OR b.n IS NOT NULL),
+sized AS (SELECT *, sum(r) OVER f AS n_ref, sum(c) OVER f AS n_cur, r * 1.0E0 / sum(r) OVER f AS p, c * 1.0E0 / sum(c) OVER f AS q
+  FROM cells WINDOW f AS (PARTITION BY day, feature))
+SELECT day, feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, CAST(bool_or(r = 0) AS INT) AS unseen,
+  CASE WHEN NOT bool_or(r = 0) THEN sum(power(c - r * n_cur * 1.0E0 / n_ref, 2) / nullif(r * n_cur * 1.0E0 / n_ref, 0)) END AS chi_square,
+  sqrt(greatest(0, sum(coalesce(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) END, 0) + coalesce(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) END, 0)) / 2)) AS jensen_shannon
+FROM sized GROUP BY day, feature""",
+        ["day", "feature"],
+        digits=6,
+    ),
+)
+def _(s, d):
+    """Each closed day of the stream against the first half of the month."""
+    base = stream_drift.reference_counts(_dated(s, d).where("period = 'reference'"), _EDGES, _TEXTS)
+    found = stream_drift.window_drift(_streamed(s, d), base)
+    day = F.datediff(F.to_date("window_start"), F.lit("2024-01-01").cast("date")).alias("day")
+    unseen = (F.col("chi_square") == float("inf")).cast("int").alias("unseen")
+    finite = F.when(F.col("chi_square") < float("inf"), F.col("chi_square")).alias("chi_square")
+    return rounded(found.select(day, "feature", "n_ref", "n_cur", finite, "jensen_shannon", unseen), ["day", "feature"], 6)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendstrata.operators.ordered import quantiles
 from lendstrata.operators.rows import feature_columns
+from lendstrata.sources.sinks import materialize
 
 MISSING_ABOVE = 0.8
 
@@ -42,6 +45,32 @@ def nunique_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return listed.join(counts, "at", "left").select("column_name", F.coalesce("n_unique", F.lit(0)).cast("long").alias("n_unique"))
 
 
+#: Items that a sketch of labels holds; far more than are asked for, so that few labels are counted exactly.
+TRACKED = 1024
+
+
+def label_sets(df: DataFrame, columns: list[str], up_to: int) -> dict[str, list[str] | None]:
+    """The sorted labels of each text column; None for those with more than ``up_to``, at most a hundred.
+
+    One aggregation of bounded sketches: a task passes on at most ``TRACKED`` labels of a column, however many it has. The sketch of
+    frequent labels is exact as long as it is not full; that it may be full, the estimated count tells, which for few labels is never
+    far off.
+    """
+    if not 0 < up_to <= 100:
+        raise ValueError("1 to 100 labels")
+    if not columns:
+        return {}
+    found = df.agg(
+        *[F.approx_count_distinct(c).alias(f"{i}_about") for i, c in enumerate(columns)],
+        *[F.expr(f"approx_top_k(`{c}`, {up_to + 1}, {TRACKED}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"{i}_top") for i, c in enumerate(columns)],
+    ).first()
+    out: dict[str, list[str] | None] = {}
+    for i, c in enumerate(columns):
+        labels = [r["item"] for r in found[f"{i}_top"] or ()]
+        out[c] = sorted(labels) if len(labels) <= up_to and found[f"{i}_about"] <= 2 * up_to else None
+    return out
+
+
 def high_missing(train: DataFrame, threshold: float = MISSING_ABOVE) -> list[str]:
     """Feature columns whose missing share in ``train`` is above the threshold."""
     profile = missing_profile(train, feature_columns(train))
@@ -128,6 +157,54 @@ def class_balance(df: DataFrame, target: str = "TARGET") -> DataFrame:
     ).select("label", "row_count", F.try_divide("row_count", "total").alias("share"), "imbalance")
 
 
+@dataclass
+class Observed:
+    """What a stored feature matrix holds, counted while it was written."""
+
+    train_rows: int
+    test_rows: int
+    ones: int
+    zeros: int
+    target_sum: float
+    present: dict[str, int]  # rows of train with a value
+
+    def high_missing(self, threshold: float = MISSING_ABOVE) -> list[str]:
+        """Features whose missing share in train is above the threshold."""
+        return sorted(c for c, n in self.present.items() if self.train_rows and (self.train_rows - n) / self.train_rows > threshold)
+
+    def report(self, spark: SparkSession, feature_count: int, dropped: list[str]) -> DataFrame:
+        """The row of ``feature_report``."""
+        labelled = self.ones + self.zeros
+        row = (self.train_rows, self.test_rows, feature_count, ",".join(dropped), self.target_sum / labelled if labelled else None)
+        return spark.createDataFrame([row], "train_rows long, test_rows long, feature_count int, dropped_high_missing string, target_mean double")
+
+    def class_balance(self, spark: SparkSession) -> DataFrame:
+        """The rows of ``class_balance``."""
+        total = self.ones + self.zeros
+        ratio = self.zeros / self.ones if self.ones else None
+        rows = [(label, n, n / total if total else None, ratio) for label, n in ((0, self.zeros), (1, self.ones))]
+        return spark.createDataFrame(rows, "label int, row_count long, share double, imbalance double")
+
+
+def store_observed(df: DataFrame, name: str, split: str, features: list[str], target: str = "TARGET") -> tuple[DataFrame, Observed]:
+    """The matrix as a stored table, and its figures from the same pass."""
+    train = F.col(split) == "train"
+    seen = Observation(name)
+    watched = df.observe(
+        seen,
+        F.count_if(train).alias("train_rows"),
+        F.count_if(F.col(split) == "test").alias("test_rows"),
+        F.count_if(train & (F.col(target) == 1)).alias("ones"),
+        F.count_if(train & (F.col(target) == 0)).alias("zeros"),
+        F.coalesce(F.sum(F.when(train, F.col(target).cast("double"))), F.lit(0.0)).alias("target_sum"),
+        *[F.count_if(train & F.col(f"`{c}`").isNotNull()).alias(f"present {c}") for c in features],
+    )
+    stored = materialize(watched, name)
+    found = dict(seen.get)
+    present = {c: found.pop(f"present {c}") for c in features}
+    return stored, Observed(**found, present=present)
+
+
 def feature_report(train: DataFrame, test: DataFrame, dropped: list[str], target: str = "TARGET") -> DataFrame:
     """One row on the finished feature tables."""
     counts = train.agg(F.count("*").alias("train_rows"), F.avg(target).alias("target_mean"))

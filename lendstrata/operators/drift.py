@@ -137,54 +137,47 @@ def _decide(test: str, threshold: float | None, p_values: dict[str, str], distan
     return flag(_vanished() | F.coalesce(apart, F.lit(False)))
 
 
-def normal_tail(z: Column) -> Column:
-    """Upper tail of the normal distribution for z of 0 or more: the series of erf, and its limit form beyond."""
-    x = z / F.sqrt(F.lit(2.0))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(120)),
-        F.struct(x.alias("term"), x.alias("sum")),
-        lambda s, n: F.struct(
-            (s["term"] * 2 * x * x / (2 * n + 1)).alias("term"), (s["sum"] + s["term"] * 2 * x * x / (2 * n + 1)).alias("sum")
-        ),
-        lambda s: s["sum"],
-    )
-    root = F.sqrt(F.pi())
-    near = 1 - 2 / root * F.exp(-x * x) * series
-    far = F.exp(-x * x) / (x * root) * (1 - 1 / (2 * x * x))
-    return F.when(x < 5, near).otherwise(far) / 2
-
-
-#: Degrees of freedom up to which the chi-square tail is its finite sum.
-EXACT_DEGREES = 200
+def log_gamma(a: Column) -> Column:
+    """Logarithm of the gamma function for a > 0, by its series far from 0."""
+    z = a + 8
+    near = F.ln(a * (a + 1) * (a + 2) * (a + 3)) + F.ln((a + 4) * (a + 5) * (a + 6) * (a + 7))
+    return (z - 0.5) * F.ln(z) - z + 0.5 * F.ln(2 * F.pi()) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - near
 
 
 def chi2_p(statistic: Column, degrees: Column) -> Column:
-    """Upper tail of the chi-square distribution: its finite sum, or by Wilson and Hilferty for many degrees of freedom."""
-    half = statistic / 2
-    odd = degrees % 2
-    # Terms half^k / gamma(k + 1) for k = 0, 1, ... or 1/2, 3/2, ...; each from the one before.
-    start = F.when(odd == 1, 2 * F.sqrt(half / F.pi())).otherwise(F.lit(1.0))
-    first = F.when(odd == 1, F.lit(0.5)).otherwise(F.lit(0.0))
-    count = F.floor(F.least(degrees, F.lit(EXACT_DEGREES)) / 2).cast("int")
-    log_sum = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        F.struct(F.lit(0.0).alias("sum"), (F.ln(start) - half).alias("log"), first.alias("k")),
-        lambda s, i: F.struct(
-            (s["sum"] + F.exp(s["log"])).alias("sum"),
-            (s["log"] + F.ln(half) - F.ln(s["k"] + 1)).alias("log"),
-            (s["k"] + 1).alias("k"),
-        ),
-        lambda s: s["sum"],
-    )
-    finite = F.when(odd == 1, 2 * normal_tail(F.sqrt(statistic))).otherwise(F.lit(0.0)) + F.when(count > 0, log_sum).otherwise(0.0)
-    nine = 2 / (9 * degrees)
-    many = normal_tail((F.cbrt(statistic / degrees) - (1 - nine)) / F.sqrt(nine))
-    tail = F.when(degrees <= EXACT_DEGREES, finite).otherwise(many)
+    """Upper tail of the chi-square distribution: its series below the mean, its continued fraction above.
+
+    Both converge in a number of steps that follows the root of the degrees of freedom.
+    """
+    a, x = degrees / 2.0, statistic / 2.0
+    inside = statistic.isNotNull() & (degrees >= 1) & (statistic > 0) & (statistic < float("inf"))
+    a, x = F.when(inside, a).otherwise(1.0), F.when(inside, x).otherwise(1.0)
+    steps = F.sequence(F.lit(1), (200 + 12 * F.sqrt(a)).cast("int"))
+    scale = F.exp(a * F.ln(x) - x - log_gamma(a))
+
+    def term(s: Column, i: Column) -> Column:
+        new = s["term"] * x / (a + i)
+        return F.struct(new.alias("term"), (s["sum"] + new).alias("sum"))
+
+    series = F.aggregate(steps, F.struct((1 / a).alias("term"), (1 / a).alias("sum")), term, lambda s: s["sum"])
+
+    def away(c: Column) -> Column:
+        return F.when(F.abs(c) < 1e-300, 1e-300).otherwise(c)
+
+    def fraction(s: Column, i: Column) -> Column:
+        part = -i * (i - a)
+        b = s["b"] + 2
+        c, d = away(b + part / s["c"]), 1 / away(part * s["d"] + b)
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
+
+    first = 1 / away(x + 1 - a)
+    start = F.struct((x + 1 - a).alias("b"), F.lit(1e300).alias("c"), first.alias("d"), first.alias("h"))
+    tail = F.when(x < a + 1, 1 - scale * series).otherwise(scale * F.aggregate(steps, start, fraction, lambda s: s["h"]))
     return (
         F.when(statistic.isNull() | degrees.isNull(), F.lit(None).cast("double"))
         .when((degrees < 1) | (statistic <= 0), F.lit(1.0))
         .when(statistic == float("inf"), F.lit(0.0))
-        .otherwise(F.least(F.lit(1.0), tail))
+        .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lendstrata.functions.nulls import flag
 from lendstrata.functions.text import clean_column_names
-from lendstrata.operators.columns import nunique_profile, text_columns
+from lendstrata.operators.columns import label_sets, text_columns
 from lendstrata.sources.sinks import sink_json
 
 # Fixed values of the policy.
@@ -44,7 +44,10 @@ def decide(column: str, n_unique: int, keep: list[str], one_hot_up_to: int = ONE
 
 @dataclass
 class EncodingPlan:
-    """What to do with each text column, with the categories seen in train."""
+    """What to do with each text column, with the categories seen in train.
+
+    ``n_unique`` counts labels up to one more than can be encoded.
+    """
 
     actions: dict[str, str]
     n_unique: dict[str, int]
@@ -92,19 +95,13 @@ class EncodingPlan:
 def fit_encoding(
     train: DataFrame, keep: list[str] | None = None, one_hot_up_to: int = ONE_HOT_UP_TO
 ) -> EncodingPlan:
-    """Two passes over the text columns: distinct counts, then the few labels of the encoded ones."""
+    """One pass over the text columns, whose sets of labels end where there are too many to encode."""
     keep = HIGH_CARDINALITY_COLUMNS if keep is None else keep
-    columns = text_columns(train)
-    if not columns:
-        return EncodingPlan({}, {})
-    n_unique = {r[0]: r[1] for r in nunique_profile(train, columns).collect()}
-    actions = {c: decide(c, n_unique[c], keep, one_hot_up_to) for c in columns}
-    listed = [c for c, a in actions.items() if a in ("label", "one_hot")]
-    categories: dict[str, list[str]] = {}
-    if listed:
-        # sets hold at most ``one_hot_up_to`` labels each
-        found = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in listed]).first()
-        categories = {c: list(found[c]) for c in listed}
+    most = max(2, one_hot_up_to)
+    labels = label_sets(train, text_columns(train), most)
+    n_unique = {c: most + 1 if found is None else len(found) for c, found in labels.items()}
+    actions = {c: decide(c, n, keep, one_hot_up_to) for c, n in n_unique.items()}
+    categories = {c: labels[c] for c, a in actions.items() if a in ("label", "one_hot")}
     return EncodingPlan(actions, n_unique, categories)
 
 

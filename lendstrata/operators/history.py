@@ -226,20 +226,32 @@ def latest_version(rows: DataFrame, ties: list[str] | None = None, combine: bool
     return numbered.groupBy(*_VERSION_KEY).agg(*picked)
 
 
-def install_loan(installments: DataFrame, ties: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def install_loan(
+    installments: DataFrame, ties: list[str] | None = None, hot_rows: int = HOT_ROWS, placed: bool = False
+) -> DataFrame:
     """One row per loan, from the newest version of each installment.
 
-    Rows placed by loan serve both aggregations with one shuffle. If a loan is too large for one
-    task, each aggregation combines before its own shuffle instead.
+    Rows placed by loan serve both aggregations with one shuffle; a table that is stored that way (``placed``) needs none. Loans that
+    are too large for one task, and only they, go another way, on which each aggregation combines before its own shuffle.
     """
     rows = installments.where(F.col("SK_ID_PREV").isNotNull())
-    hot = hot_keys(rows, "SK_ID_PREV", hot_rows).rows > 0
-    if not hot:
-        rows = rows.repartition("SK_ID_PREV")
+    hot = hot_keys(installments, "SK_ID_PREV", hot_rows)
+
+    def by_loan(some: DataFrame) -> DataFrame:
+        return _loan_figures(latest_version(install_row_features(some if placed else some.repartition("SK_ID_PREV")), ties))
+
+    if not hot.rows:
+        return by_loan(rows)
+    keys = hot.side(hot.table.where(F.col("SK_ID_PREV").isNotNull()).select("SK_ID_PREV"))
+    cold = by_loan(rows.join(keys, "SK_ID_PREV", "left_anti"))
+    warm = rows.join(keys, "SK_ID_PREV", "left_semi")
+    return cold.unionByName(_loan_figures(latest_version(install_row_features(warm), ties, combine=True)))
+
+
+def _loan_figures(newest: DataFrame) -> DataFrame:
     recent = F.col("DAYS_INSTALMENT") >= RECENT_DAYS
     return (
-        latest_version(install_row_features(rows), ties, combine=hot)
-        .groupBy("SK_ID_PREV")
+        newest.groupBy("SK_ID_PREV")
         .agg(
             F.count("NUM_INSTALMENT_NUMBER").alias("inst_count"),
             F.max("days_late").alias("inst_days_late_max"),

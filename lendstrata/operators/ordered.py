@@ -1,8 +1,7 @@
 """Order-dependent work that stays distributed: lag per key, prefix sums, exact quantiles.
 
-A window over one key or over a whole table runs in one task. Here a hot key is cut into
-ordered pieces and a table of values into ordered buckets, as many as the counted rows need; only
-the per-piece summaries are chained.
+A window over one key or over a whole table runs in one task. Here the rows of hot keys, and tables of values, are
+dealt to ranges of their order, as many as the counted rows need; only the summaries of the ranges are chained.
 """
 
 from __future__ import annotations
@@ -17,9 +16,6 @@ from lendstrata.sources.sinks import materialize
 
 BROADCAST_BYTES = 10_000_000
 HOT_ROWS = 1_000_000
-POINTS_PER_PIECE = 4
-KEYLESS_PARTS = 1024
-_BLOCK = 64
 
 
 @dataclass
@@ -44,70 +40,64 @@ def lookup(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Lookup:
     return Lookup(stored, total <= max_bytes, rows)
 
 
-def every_block(values: str) -> Column:
-    """The first value of each block of a sorted array."""
-    return F.filter(values, lambda v, i: i % _BLOCK == 0)
-
-
-def count_below(values: Column | str, heads: Column | str, x: Column) -> Column:
-    """How many values of a sorted array are below x: one scan of the block heads, one of a block."""
-    blocks = F.size(F.filter(heads, lambda v: v < x))
-    start = (blocks - 1) * _BLOCK
-    in_block = F.size(F.filter(F.slice(values, F.greatest(start, F.lit(0)) + 1, _BLOCK), lambda v: v < x))
-    return F.when(blocks == 0, F.lit(0)).otherwise(start + in_block)
-
-
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> Lookup:
     """Rows (key, hot_rows) of the keys with more than ``rows`` rows, by an exact count.
 
-    The count combines on the map side; a table of n rows has fewer than n / ``rows`` such keys. The missing key
+    A table of no more than ``rows`` rows has none, which the row counts in Parquet footers tell. Else the
+    count per key combines on the map side; a table of n rows has fewer than n / ``rows`` such keys. The missing key
     may be one of them.
     """
+    if df.count() <= rows:
+        return Lookup(df.select(key).limit(0).withColumn("hot_rows", F.lit(0).cast("long")), True, 0)
     counts = df.groupBy(key).agg(F.count("*").alias("hot_rows"))
     return lookup(counts.where(F.col("hot_rows") > rows))
 
 
+def in_ranges(df: DataFrame, parts: int, order: list[str], name: str) -> DataFrame:
+    """The rows dealt to ``parts`` ranges of the order, stored with the number of their range as ``_part``.
+
+    Ranges come from a sample that Spark takes; what is stored doesn't move any more, so later steps may rely on it.
+    """
+    return materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+
+
 def lag_within(
     df: DataFrame, key: str, order: list[str], value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Previous value per key in the given total order; missing for rows without a key.
 
-    Normally one window. A key beyond ``hot_rows`` is cut into pieces at split points taken from a
-    sample, as many as its rows need; the first row of a piece takes the last value of the piece before. The result
-    does not depend on where the splits fall. Many rows without a key are dealt to many windows.
+    Normally one window. The rows of keys beyond ``hot_rows``, and only they, are dealt to ranges of (key, order) of about that many;
+    the first row of a range takes the last value of its key in the range before. The result does not depend on where
+    ranges end. Rows without a key are not moved.
     """
+    before = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
     hot = hot_keys(df, key, hot_rows)
     if not hot.rows:
-        before = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
         return df.withColumn(out, F.when(F.col(key).isNotNull(), before))
 
-    keyless = F.when(F.col(key).isNull(), F.pmod(F.hash(*order), F.lit(KEYLESS_PARTS)))
-    position = F.struct(*order)
-    share = F.lit(float(POINTS_PER_PIECE)) / hot_rows
-    points = df.join(hot.side(), key).where(F.rand(7) < share).groupBy(key)
-    splits = lookup(
-        points.agg(F.sort_array(F.collect_list(position)).alias("_points"))
-        .select(key, F.filter("_points", lambda p, i: i % POINTS_PER_PIECE == 0).alias("_splits"))
-        .select(key, "_splits", every_block("_splits").alias("_heads"))
-    )
-    rows = (
-        df.join(splits.side(), key, "left")
-        .withColumn("_piece", F.coalesce(count_below("_splits", "_heads", position), keyless, F.lit(0)))
-        .withColumn("_cut", F.col("_splits").isNotNull())
-        .drop("_splits", "_heads")
-    )
-    in_piece = Window.partitionBy(key, "_piece").orderBy(*order)
+    keyed, keyless = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+    known = hot.table.where(F.col(key).isNotNull())
+    rows = known.agg(F.sum("hot_rows")).first()[0] or 0
+    keys = hot.side(known.select(key))
+    cold = keyed.join(keys, key, "left_anti").withColumn(out, before)
+    warm = _lag_in_ranges(keyed.join(keys, key, "left_semi"), key, order, value, out, max(1, ceil(rows / hot_rows)))
+    missing = keyless.withColumn(out, F.lit(None).cast(df.schema[value].dataType))
+    return cold.select(*df.columns, out).unionByName(warm).unionByName(missing)
+
+
+def _lag_in_ranges(rows: DataFrame, key: str, order: list[str], value: str, out: str, parts: int) -> DataFrame:
+    placed = in_ranges(rows, parts, [key, *order], "hot-rows")
+    in_part = Window.partitionBy(key, "_part").orderBy(*order)
+    # A row per hot key and range, from which the ranges' last values are chained.
     tails = (
-        rows.where("_cut")
-        .groupBy(key, "_piece")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), position).alias("_tail"))
-        .withColumn("_before", F.lag("_tail").over(Window.partitionBy(key).orderBy("_piece"))["v"])
-        .select(key, "_piece", "_before")
+        placed.groupBy(key, "_part")
+        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_tail"))
+        .withColumn("_before", F.lag("_tail").over(Window.partitionBy(key).orderBy("_part"))["v"])
+        .select(key, "_part", "_before")
     )
-    lagged = rows.select("*", F.lag(value).over(in_piece).alias("_lag"), F.row_number().over(in_piece).alias("_rank"))
-    first = F.col("_cut") & (F.col("_rank") == 1)
-    return lagged.join(lookup(tails).side(), [key, "_piece"], "left").select(
-        *df.columns, F.when(first, F.col("_before")).when(F.col(key).isNotNull(), F.col("_lag")).alias(out)
+    lagged = placed.select("*", F.lag(value).over(in_part).alias("_lag"), F.row_number().over(in_part).alias("_rank"))
+    return lagged.join(lookup(tails).side(), [key, "_part"]).select(
+        *rows.columns, F.when(F.col("_rank") == 1, F.col("_before")).otherwise(F.col("_lag")).alias(out)
     )
 
 
@@ -122,41 +112,31 @@ def running(
     value: str,
     measures: list[str],
     bucket_rows: int = BUCKET_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<measure>_before``, the sum over smaller values of the group, and ``next_value``.
 
-    ``by_value`` has one row per group and value, so a value that fills the table is one row.
-    Values are cut into ordered buckets of about ``bucket_rows`` at approximate quantiles, as many as the counted
-    rows need, and bucket totals carry the sums across. One bucket is a window per group.
+    ``by_value`` has one row per group and value, so a value that fills the table is one row. Two passes: rows are dealt to ranges of
+    (group, value) of about ``bucket_rows`` and stored; totals per range then give each range what lies before it. One range is a
+    window per group.
     """
     stored = materialize(by_value, "by-value")
-    buckets = max(1, ceil(stored.count() / bucket_rows))
+    buckets = buckets or max(1, ceil(stored.count() / bucket_rows))
     if buckets == 1:
         return _running_in(stored, group, value, measures)
 
-    cuts = F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000)
-    bounds = lookup(
-        stored.groupBy(*group).agg(cuts.alias("_cuts")).select(*group, "_cuts", every_block("_cuts").alias("_heads"))
-    )
-    if group:
-        with_cuts = stored.join(bounds.side(), group, "left")
-    else:
-        one = bounds.table.first()
-        with_cuts = stored.withColumns({c: F.array(*[F.lit(v) for v in one[c]]) for c in ("_cuts", "_heads")})
-    placed = with_cuts.withColumn("_bucket", count_below("_cuts", "_heads", F.col(value))).drop("_cuts", "_heads")
-    totals = placed.groupBy(*group, "_bucket").agg(
-        *[F.sum(m).alias(m) for m in measures], F.min(value).alias("_first")
-    )
-    # at most one row per group and bucket from here on
-    by_bucket = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_bucket")
+    placed = in_ranges(stored, buckets, [*group, value], "by-range")
+    # At most a row per range and one more per group from here on.
+    totals = placed.groupBy(*group, "_part").agg(*[F.sum(m).alias(m) for m in measures], F.min(value).alias("_first"))
+    by_part = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_part")
     offsets = totals.select(
         *group,
-        "_bucket",
-        *[_before(m, by_bucket).alias(f"_{m}_offset") for m in measures],
-        F.lead("_first").over(by_bucket).alias("_next_first"),
+        "_part",
+        *[_before(m, by_part).alias(f"_{m}_offset") for m in measures],
+        F.lead("_first").over(by_part).alias("_next_first"),
     )
-    local = _running_in(placed, [*group, "_bucket"], value, measures)
-    return local.join(lookup(offsets).side(), [*group, "_bucket"], "left").select(
+    local = _running_in(placed, [*group, "_part"], value, measures)
+    return local.join(lookup(offsets).side(), [*group, "_part"]).select(
         *by_value.columns,
         *[(F.col(f"{m}_before") + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures],
         F.coalesce("next_value", "_next_first").alias("next_value"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,25 +120,41 @@ def apply_defaults(df: DataFrame, fields: dict[str, Field], keep: list[str] = ()
     return df.select(*keep, *[v.alias(n) for n, v in filled.items()], errors.alias(TYPE_ERRORS))
 
 
+def _rules(name: str, f: Field, wrong: Column) -> list[Column]:
+    """The failed rules of a field, each null if it is kept."""
+    c = F.col(name)
+    checks = [F.when(c.isNull() & ~wrong, F.lit(f"{name} missing"))] if f.required else []
+    for bound, broken, sign in (
+        (f.gt, lambda x, b: x <= b, ">"),
+        (f.ge, lambda x, b: x < b, ">="),
+        (f.lt, lambda x, b: x >= b, "<"),
+        (f.le, lambda x, b: x > b, "<="),
+    ):
+        if bound is not None:
+            checks.append(F.when(~wrong & broken(c, bound), F.lit(f"{name} {sign} {bound:g}")))
+    return checks
+
+
 def violations(fields: dict[str, Field], typed: bool = True) -> Column:
-    """Array with the names of the failed rules, in field order; ``typed`` if the rows have ``type_errors``."""
-    checks: list[Column] = []
-    for name, f in fields.items():
-        c = F.col(name)
-        wrong = F.array_contains(TYPE_ERRORS, name) if typed and f.type != "string" else F.lit(False)
-        if typed and f.type != "string":
-            checks.append(F.when(wrong, F.lit(f"{name} type")))
-        if f.required:
-            checks.append(F.when(c.isNull() & ~wrong, F.lit(f"{name} missing")))
-        for bound, broken, sign in (
-            (f.gt, lambda x, b: x <= b, ">"),
-            (f.ge, lambda x, b: x < b, ">="),
-            (f.lt, lambda x, b: x >= b, "<"),
-            (f.le, lambda x, b: x > b, "<="),
-        ):
-            if bound is not None:
-                checks.append(F.when(~wrong & broken(c, bound), F.lit(f"{name} {sign} {bound:g}")))
-    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    """Array with the names of the failed rules, in field order; ``typed`` if the rows have ``type_errors``.
+
+    Most fields have a type and no rule. A run of such fields takes its part of ``type_errors`` as it is, which has the fields' order.
+    """
+    parts: list[Column] = []
+    for ruled, run in groupby(fields.items(), lambda x: bool(_rules(*x, F.lit(False)))):
+        own = dict(run)
+        names = [n for n, f in own.items() if f.type != "string"]
+        if ruled:
+            checks: list[Column] = []
+            for name, f in own.items():
+                wrong = F.array_contains(TYPE_ERRORS, name) if typed and name in names else F.lit(False)
+                if typed and name in names:
+                    checks.append(F.when(wrong, F.lit(f"{name} type")))
+                checks += _rules(name, f, wrong)
+            parts.append(F.array_compact(F.array(*checks)))
+        elif typed and names:
+            parts.append(F.transform(F.filter(TYPE_ERRORS, lambda x: x.isin(names)), lambda x: F.concat(x, F.lit(" type"))))
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
 def validate_rules(df: DataFrame, fields: dict[str, Field]) -> DataFrame:

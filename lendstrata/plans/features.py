@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from lendstrata.operators.application import app_features, cross_features, fix_anomalies
 from lendstrata.operators.bureau import bureau_client
-from lendstrata.operators.columns import MISSING_ABOVE, feature_report, high_missing
+from lendstrata.operators.columns import MISSING_ABOVE, Observed, store_observed
 from lendstrata.operators.encode import HIGH_CARDINALITY_COLUMNS, EncodingPlan, fit_encoding
 from lendstrata.operators.history import card_loan, history_client, install_loan, pos_loan
-from lendstrata.sources.sinks import materialize, sink_json, sink_parquet
+from lendstrata.operators.rows import feature_columns
+from lendstrata.sources.sinks import sink_json, sink_parquet
 
 KEY = "SK_ID_CURR"
 SPLIT = "split"
@@ -25,7 +26,10 @@ GROUPS = ("bureau", "previous_app", "pos_cash", "installments", "credit_card")
 
 @dataclass
 class FeatureConfig:
-    """Which groups to build and how; tie columns give rows of one version or month an order."""
+    """Which groups to build and how; tie columns give rows of one version or month an order.
+
+    ``placed`` says that the histories are stored by their keys (``store_histories``), so that none of them is shuffled.
+    """
 
     groups: tuple[str, ...] = GROUPS
     high_cardinality: list[str] = field(default_factory=lambda: list(HIGH_CARDINALITY_COLUMNS))
@@ -33,6 +37,7 @@ class FeatureConfig:
     monthly_balance: bool = True
     installment_ties: list[str] | None = None
     card_ties: list[str] | None = None
+    placed: bool = False
 
 
 def application_clean(
@@ -57,7 +62,7 @@ def client_groups(tables: dict[str, DataFrame], config: FeatureConfig) -> list[D
         out.append(bureau_client(tables["bureau"], tables["bureau_balance"] if config.monthly_balance else None))
     makers = {
         "pos_cash": lambda: pos_loan(tables["pos_cash"]),
-        "installments": lambda: install_loan(tables["installments"], config.installment_ties),
+        "installments": lambda: install_loan(tables["installments"], config.installment_ties, placed=config.placed),
         "credit_card": lambda: card_loan(tables["credit_card"], config.card_ties),
     }
     loans = {name: make() for name, make in makers.items() if name in config.groups}
@@ -68,11 +73,12 @@ def client_groups(tables: dict[str, DataFrame], config: FeatureConfig) -> list[D
 
 @dataclass
 class FeatureSet:
-    """The finished matrix, train and test told apart by ``split``."""
+    """The finished matrix, train and test told apart by ``split``, with what was counted while it was stored."""
 
     matrix: DataFrame
     dropped: list[str]
     plan: EncodingPlan
+    observed: Observed
 
     @property
     def train(self) -> DataFrame:
@@ -83,7 +89,12 @@ class FeatureSet:
         return self.matrix.where(F.col(SPLIT) == "test").drop(SPLIT, "TARGET")
 
     def report(self) -> DataFrame:
-        return feature_report(self.train, self.test, self.dropped)
+        """One row on the matrix, without another pass over it."""
+        features = len(self.matrix.columns) - 3  # id, target and split
+        return self.observed.report(self.matrix.sparkSession, features, self.dropped)
+
+    def class_balance(self) -> DataFrame:
+        return self.observed.class_balance(self.matrix.sparkSession)
 
     def write(self, folder: str) -> None:
         """Parquet by split in one write, and the report as JSON."""
@@ -105,9 +116,9 @@ def build_matrix(tables: dict[str, DataFrame], config: FeatureConfig) -> tuple[D
 
 
 def build_features(tables: dict[str, DataFrame], config: FeatureConfig | None = None) -> FeatureSet:
-    """The full build. The matrix is stored once; the profile that decides on columns reads it back."""
+    """The full build. The matrix is stored once; the profile that decides on columns is counted on the way."""
     config = config or FeatureConfig()
     matrix, plan = build_matrix(tables, config)
-    stored = materialize(matrix, "features")
-    dropped = high_missing(stored.where(F.col(SPLIT) == "train").drop(SPLIT), config.missing_above)
-    return FeatureSet(stored.drop(*dropped), dropped, plan)
+    stored, observed = store_observed(matrix, "features", SPLIT, [c for c in feature_columns(matrix) if c != SPLIT])
+    dropped = observed.high_missing(config.missing_above)
+    return FeatureSet(stored.drop(*dropped), dropped, plan, observed)
