@@ -343,19 +343,25 @@ _WINDOWS_SQL = (
 )
 
 
+_FIRST_DAY = 19723  # 2024-01-01 in days since 1970
+
+
 def _streamed(s: SparkSession, d: str) -> DataFrame:
     """Counts per day from a stream of the events; the last day is still open."""
     folder = f"{sinks.work_folder(s)}/windows-{uuid.uuid4().hex}"
-    lines = s.readStream.schema(fx.source(s, d, "events").schema).parquet(f"{d}/events.parquet")
+    # A pattern, since a stream's plain path has to be a folder.
+    lines = s.readStream.schema(fx.source(s, d, "events").schema).parquet(f"{d}/events.parque[t]")
     rows = lines.select("ts", "event_type", "value", F.col("user_id").cast("double").alias("user_number"))
     stream_drift.count_stream(stream_drift.window_counts(rows, "ts", _EDGES, _TEXTS), folder).awaitTermination()
     return s.read.parquet(folder)
 
 
+_DAY_EXPR = f"CAST(unix_seconds(window_start) div 86400 - {_FIRST_DAY} AS INT) AS day"
+
+
 @query("stream_counts", _WINDOWS_SQL)
 def _(s, d):
-    day = F.datediff(F.to_date("window_start"), F.lit("2024-01-01").cast("date")).alias("day")
-    return _streamed(s, d).select(day, "feature", "bin", "n")
+    return _streamed(s, d).select(F.expr(_DAY_EXPR), "feature", "bin", "n")
 
 
 @query(
@@ -381,7 +387,6 @@ def _(s, d):
     """Each closed day of the stream against the first half of the month."""
     base = stream_drift.reference_counts(_dated(s, d).where("period = 'reference'"), _EDGES, _TEXTS)
     found = stream_drift.window_drift(_streamed(s, d), base)
-    day = F.datediff(F.to_date("window_start"), F.lit("2024-01-01").cast("date")).alias("day")
     unseen = (F.col("chi_square") == float("inf")).cast("int").alias("unseen")
     finite = F.when(F.col("chi_square") < float("inf"), F.col("chi_square")).alias("chi_square")
-    return rounded(found.select(day, "feature", "n_ref", "n_cur", finite, "jensen_shannon", unseen), ["day", "feature"], 6)
+    return rounded(found.select(F.expr(_DAY_EXPR), "feature", "n_ref", "n_cur", finite, "jensen_shannon", unseen), ["day", "feature"], 6)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lendstrata.functions.nulls import flag
@@ -64,6 +65,8 @@ def window_counts(
     rows: DataFrame, time: str, edges: dict[str, list[float]], texts: dict[str, list[str]], window: str = WINDOW, watermark: str = WATERMARK
 ) -> DataFrame:
     """(window_start, window_end, feature, bin, n) of a stream or a table; in a stream, rows later than the watermark are left out."""
+    if isinstance(rows.schema[time].dataType, T.TimestampNTZType):  # taken as UTC, whatever the session's zone
+        rows = rows.withColumn(time, F.concat(F.col(time).cast("string"), F.lit("Z")).cast("timestamp"))
     watched = rows.withWatermark(time, watermark) if rows.isStreaming else rows
     long = binned(watched, edges, texts, F.col(time))
     counts = long.groupBy(F.window(time, window).alias("w"), "feature", "bin").agg(F.count("*").alias("n"))
