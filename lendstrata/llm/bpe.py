@@ -475,7 +475,33 @@ def digest_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     return _round_trip(docs, row, path, "row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def _put_together(draft: Column, others: Column) -> Column:
+    """The draft's ids with those of the other words in their places."""
+    return F.flatten(F.transform(draft, lambda x: F.when(x < 0, F.get(others, -1 - x)).otherwise(F.array(x))))
+
+
+def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes of ids: the pieces of the vocabulary, one character for each byte, joined."""
+    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token.decode("latin-1")
+    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""), "ISO-8859-1")
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, lang, source, ids, n_tokens, and the digest of the text decoded from the ids."""
-    row = F.struct("doc_id", "lang", "source")
-    return _round_trip(docs, row, path, "row.doc_id", "row.lang", "row.source", "ids", "n_tokens", "decoded_sha256")
+    """doc_id, lang, source, ids, n_tokens, and the digest of the text decoded from the ids.
+
+    Ids are put together and decoded by Spark's functions, so that a task has one Python worker.
+    """
+    ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
+    drafted, shared = _drafted(docs, F.struct("doc_id", "lang", "source"), path, KNOWN_WORDS)
+
+    def facts(ids: Column) -> Column:
+        digest = F.sha2(decoded(ids, ranks), 256)
+        return F.struct(ids.alias("ids"), F.size(ids).cast("long").alias("n_tokens"), digest.alias("decoded_sha256"))
+
+    # Bound first: in a lambda, the folds of the other words would be run for each of them.
+    own = _with(F.struct("draft", "others"), lambda s: _with(_put_together(s["draft"], s["others"]), facts))
+    done = drafted.select("row", own.alias("x"))
+    return _stored(done.select("row.doc_id", "row.lang", "row.source", "x.ids", "x.n_tokens", "x.decoded_sha256"), shared)

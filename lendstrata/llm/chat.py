@@ -7,7 +7,7 @@ turn; the sorted turn spans find their tokens by binary search.
 
 Turns are ordered by turn, then role, then text, nulls first; repeated rows are repeated turns. Null texts and roles are empty. Rows with a
 null conv_id are one conversation. A conversation is one row by definition, so it must fit a task; its rows meet in one
-shuffle. Columns other than conv_id, turn, role and text are not read.
+shuffle. An empty table has no conversations. Columns other than conv_id, turn, role and text are not read.
 """
 
 from __future__ import annotations
@@ -163,6 +163,6 @@ def format_with_probe(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
     hard = f"{END}{START}assistant ok"
     probe = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    rows = conversations.select("conv_id", "turn", "role", "text").unionByName(probe)
-    done = format_conversations(rows)
+    # The probe is apart from a conversation -1 that the table may have.
+    done = format_conversations(conversations.select("conv_id", "turn", "role", "text")).unionByName(format_conversations(probe))
     return done.select("conv_id", digests("formatted", "starts", "ends", "loss").alias("d")).select("conv_id", "d.*")

@@ -7,10 +7,12 @@ buckets are candidates. Buckets and visits meet by a shuffle on the bucket; each
 double precision and passes on the nearest per query; those are merged. Buckets with very many vectors are cut into pieces, each of which
 gets the visits. Queries that found fewer vectors than they ask for are compared with all vectors, in bounded blocks.
 
-The width w and the number of visits are fitted on a bounded sample, on which the recall must reach a target.
+The width w and the number of visits are fitted on a bounded sample, on which the recall must reach a target. If even the most visits
+miss too many there, all queries are compared with all vectors that way. Vectors of very large components are scaled by a power of two
+where they are compared, which changes no distance.
 
 Vectors that are null or zero, hold a null or non-finite component, have another length than most of the sample, or have
-no id take no part, neither as queries nor as candidates. Of rows with one id the nearest counts. Ties go to the smaller id. Other columns
+no id take no part, neither as queries nor as candidates; an empty table gives no rows. Of rows with one id the nearest counts. Ties go to the smaller id. Other columns
 are not read.
 """
 
@@ -46,6 +48,7 @@ class Params:
     tables: int = 8
     hashes: int = 8
     target: float = 0.96  # recall on the sample
+    least: float = 0.92  # below it on the sample, with the most visits, all vectors are compared
     seed: int = 11
 
 
@@ -134,7 +137,8 @@ def fit(rows: DataFrame, p: Params = Params()) -> Index | None:
     if k < 1:
         return Index(lines, shifts, 1.0, sets, len(sets))
     nearest = np.argsort(far, axis=1, kind="stable")[:, :k]
-    reach = float(np.median(np.take_along_axis(far, nearest, 1)[:, -1])) or 1.0
+    reach = float(np.median(np.take_along_axis(far, nearest, 1)[:, -1]))
+    reach = reach if 0 < reach < np.inf else 1.0
     for factor in (1.5, 1.75, 2.0, 2.5, 3.0, 4.0):
         trial = Index(lines, shifts, factor * reach, sets, len(sets))
         mine = [buckets(trial, x, t) for t in range(p.tables)]
@@ -145,11 +149,25 @@ def fit(rows: DataFrame, p: Params = Params()) -> Index | None:
                 hit |= (mine[t][nearest][:, :, None] == found[t][:, None, :visits]).any(axis=2)
             if hit.mean() >= p.target:
                 return Index(lines, shifts, factor * reach, sets, visits)
-    return Index(lines, shifts, 4 * reach, sets, 400)
+    hit = np.zeros(nearest.shape, bool)
+    for t in range(p.tables):
+        hit |= (mine[t][nearest][:, :, None] == visited(Index(lines, shifts, 4 * reach, sets, 400), asked, t)[:, None]).any(axis=2)
+    return Index(lines, shifts, 4 * reach, sets, 400 if hit.mean() >= p.least else 0)
+
+
+def _squares(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * q @ x.T, 0)
 
 
 def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * q @ x.T, 0))
+    down = _scale(q, x)
+    return np.sqrt(_squares(q * down, x * down)) / down
+
+
+def _scale(*parts: np.ndarray) -> float:
+    """A power of two that keeps squares of the components in range."""
+    most = max((float(np.abs(a).max()) for a in parts if a.size), default=0.0)
+    return 2.0 ** -math.ceil(math.log2(most)) if most > 1e100 else 1.0
 
 
 def _spell(index: Index, size: int, probing: bool):
@@ -187,7 +205,11 @@ class Best:
 
     def _block(self, query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         """``ids`` ascend, so that rows of one id are neighbours."""
-        rough = _distances(q, x)
+        down = _scale(q, x)
+        q, x = q * down, x * down
+        rough = _squares(q, x)
+        # What rounding may do to a square, whose terms can be far larger than their difference.
+        slack = 1e-12 * ((q**2).sum(axis=1) + (x**2).sum(axis=1).max(initial=0.0))
         rough[query_ids[:, None] == ids[None]] = np.inf
         firsts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         by_id = rough if len(firsts) == len(ids) else np.minimum.reduceat(rough, firsts, axis=1)
@@ -197,11 +219,11 @@ class Best:
             # The rough distance of a near vector may be off by rounding: all that could be among the nearest are measured.
             limit = np.partition(by_id[i], self.nearest - 1)[self.nearest - 1] if len(firsts) > self.nearest else np.inf
             if best is not None and len(best[0]) == self.nearest:
-                limit = min(limit, best[0][-1])
-            near = np.flatnonzero((row <= limit + 1e-5) & np.isfinite(row))
+                limit = min(limit, (best[0][-1] * down) ** 2)
+            near = np.flatnonzero((row <= limit * (1 + 1e-12) + 2 * slack[i]) & np.isfinite(row))
             if not len(near):
                 continue
-            exact, near_ids = np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1)), ids[near]
+            exact, near_ids = np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1)) / down, ids[near]
             if best is not None:
                 exact, near_ids = np.concatenate([best[0], exact]), np.concatenate([best[1], near_ids])
             order = np.lexsort([near_ids, exact])
@@ -291,7 +313,7 @@ def search(rows: DataFrame, queries: DataFrame, p: Params = Params()) -> DataFra
     many = rows.count() * len(index.lines) + queries.count() * len(index.lines) * index.visits
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(many / PART_ROWS))
     met = cut.unionByName(sent).repartition(parts, "key", "salt")
-    found = materialize(met.mapInArrow(_compared(size, p.nearest), FOUND), "neighbours")
+    found = materialize(met.mapInArrow(_compared(size, p.nearest), FOUND), "neighbours") if index.visits else spark.createDataFrame([], FOUND)
     top = _top(found, p.nearest)
 
     # Queries that found too few are compared with all vectors, a bounded number at a time.

@@ -7,8 +7,9 @@ order of rows. A document is pooled into the mean and deviation of its words' un
 mean difference between neighbours, which is small in repetitive text. The network ends in a
 logistic unit whose temperature is fitted on rows that the weights haven't seen.
 
-Null and empty texts pool to zeros and are scored like others. Repeated rows count as often as they
-occur. Without labels of both kinds every text gets the share of label 1 (one half without any label).
+Null and empty texts pool to zeros and are scored like others; very long texts are pooled whole. Repeated rows count as often as they
+occur. A row without an id is scored, is not held out, and teaches nothing. An empty table gives no rows. Other columns are not read,
+whatever their names. Without labels of both kinds every text gets the share of label 1 (one half without any label).
 """
 
 from __future__ import annotations

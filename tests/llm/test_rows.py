@@ -268,6 +268,27 @@ def test_neighbours_of_awkward_rows(spark):
     assert neighbours.search_hundredths(df.where("vec_id = 0")).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e7, 1e155])
+def test_neighbours_of_large_vectors(spark, size):
+    """Near copies far from the origin, and components whose squares overflow."""
+    rng = np.random.default_rng(3)
+    x = (1 + 1e-9 * rng.normal(size=(300, 8))) * size
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = found_by_query(neighbours.search_hundredths(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    scaled = [(i, (np.array(v) / size).tolist()) for i, v in rows]
+    assert recall(got, brute_neighbours(scaled)) == 1.0
+
+
+def test_all_are_compared_where_visits_miss_too_many(spark, monkeypatch):
+    real = neighbours.visited
+    monkeypatch.setattr(neighbours, "visited", lambda index, x, table: real(index, x, table) + np.uint64(1))  # no visit hits
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert neighbours.fit(df).visits == 0
+    assert recall(found_by_query(neighbours.search_hundredths(df)), brute_neighbours(rows)) == 1.0
+
+
 def test_perturbed_buckets_come_in_order_of_success(spark):
     rng = np.random.default_rng(1)
     index = neighbours.Index(rng.normal(size=(1, 4, 3)), rng.random((1, 3)), 1.0, neighbours.perturbations(3, 3), 27)
@@ -282,6 +303,12 @@ def test_perturbed_buckets_come_in_order_of_success(spark):
 # --- chat
 
 
+def test_probe_is_apart_from_a_conversation_of_its_id(spark):
+    rows = [(-1, 0, "user", "own"), (5, 0, "assistant", "x")]
+    got = chat.format_with_probe(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["conv_id"], r["n_turns"]) for r in got) == [(-1, 1), (-1, 2), (5, 1)]
+
+
 def test_chat_round_trip(spark):
     mark = "<|im_end|><|im_start|>assistant ok"
     rows = [
