@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +46,37 @@ def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="lendstrata-")
 
 
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, keep: bool = False) -> Iterator[str]:
+    """A folder in the shared one that takes the intermediate tables of a ``with`` block, and goes at its end.
+
+    What is to outlive the block has to be written elsewhere before. Without such a block the tables stay until the shared
+    folder is cleaned, since lazy results may read them.
+    """
+    folder = f"{work_folder(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        if not keep:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, or in the run's folder in it."""
+    return f"{_RUN.get() or work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write a table to the shared folder and read it back.
+    """Write a table to the shared folder, or the run's folder in it, and read it back.
 
     Cuts the lineage at a place that outlives executors, and lets later steps prune columns.
     """
-    path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

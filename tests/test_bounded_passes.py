@@ -150,3 +150,21 @@ def test_ranges_leave_no_bounds_in_the_plan(spark):
     text = plan(large)
     assert "percentile" not in text and "0." not in re.sub(r"#\d+|plan_id=\d+|file:\S+", "", text)
     assert sorted(map(tuple, large.select(small.columns).collect())) == sorted(map(tuple, small.collect()))
+
+
+# ---- intermediate tables --------------------------------------------------
+
+
+def test_tables_of_a_run_go_with_it(spark):
+    with sinks.run_folder(spark) as folder:
+        stored = sinks.materialize(spark.range(5), "x")
+        assert stored.inputFiles()[0].startswith(f"file:{folder}") or folder in stored.inputFiles()[0]
+        ranked = ordered.running(spark.range(30).select((F.col("id") * 1.0).alias("v"), F.lit(1).alias("n")), [], "v", ["n"], buckets=3)
+        assert ranked.agg(F.max("n_before")).first()[0] == 29
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        spark.read.parquet(folder)
+    with sinks.run_folder(spark, keep=True) as folder:
+        sinks.materialize(spark.range(5), "x")
+    assert folder not in sinks.materialize(spark.range(2)).inputFiles()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -10,7 +10,9 @@ from lendstrata.operators import bureau, history
 from lendstrata.plans import features
 
 SF = "/root/testdata/sf0.001"
-MODELS = {"cv_train", "fit_final", "param_search", "batch_score"}
+#: Trained by a library that works on its own; contributions of trees are an Arrow pass.
+MODELS = {"cv_train", "fit_final", "param_search", "batch_score_fitted", "tree_contributions"}
+MODELS |= {"cv_train_facts", "fit_final_facts", "param_search_facts", "batch_score_facts"}
 
 
 def plan(df):
