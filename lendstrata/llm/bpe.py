@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,13 +178,21 @@ def frequent_words(docs: DataFrame, kinds: np.ndarray, most: int = KNOWN_WORDS,
 # --- the fold -------------------------------------------------------------------------------------------------
 
 
-def rank_maps(ranks: dict[bytes, int]) -> Column:
+def _given(spark: SparkSession, value: list, kind: str) -> Column:
+    """A literal of a vocabulary's size, as the one value of a local table: plans name it and don't spell it out, wherever they are kept.
+
+    It has to be a column of its own before a higher-order function may use it; the optimizer puts it back where it is used.
+    """
+    return spark.createDataFrame([(json.dumps(value),)], "value string").select(F.from_json("value", kind)).scalar()
+
+
+def rank_maps(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
     """The ranks as a literal: maps from token to rank, by the token's hash."""
     maps: list[dict[str, int]] = [{} for _ in range(_MAPS)]
     for token, rank in ranks.items():
         piece = token.decode("latin-1")
         maps[xxhash.xxh64_intdigest(piece.encode(), 42) & (_MAPS - 1)][piece] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+    return _given(spark, maps, "array<map<string,int>>")
 
 
 def _rank(piece: Column, maps: Column) -> Column:
@@ -372,7 +380,7 @@ def _filled(drafts: pa.Array, others: pa.Array) -> pa.Array:
 
 def _known(words: DataFrame, maps: Column) -> Known:
     """The encoded words; the driver keeps nothing but the arrays that are sent."""
-    done = words.select("word", F.element_at(encoded_words(F.array("word"), maps), 1).alias("ids")).toArrow()
+    done = words.select("word", maps.alias("maps")).select("word", F.element_at(encoded_words(F.array("word"), F.col("maps")), 1).alias("ids")).toArrow()
     out = Known(_joined(done["word"]), _joined(done["ids"]))
     del done
     pa.default_memory_pool().release_unused()
@@ -383,12 +391,13 @@ def _drafted(docs: DataFrame, row: Column, path: str | None, known: int) -> tupl
     """row, the ids of known words with places for the others, and the ids of the others; and what was sent to the tasks."""
     spark = docs.sparkSession
     tx.bound_batches(spark)
-    maps = rank_maps(read_ranks(spark, path or public_tokenizers.path(RANKS)))
+    maps = rank_maps(spark, read_ranks(spark, path or public_tokenizers.path(RANKS)))
     kinds = character_classes()
     words = frequent_words(docs, kinds, known)
     shared = [spark.sparkContext.broadcast(x) for x in (vars(_known(words, maps)), kinds)]
     drafts = docs.select(row.alias("row"), _draft(*shared)("text").alias("d"))
-    return drafts.select("row", F.col("d.ids").alias("draft"), encoded_words(F.col("d.words"), maps).alias("others")), shared
+    parts = drafts.select("row", F.col("d.ids").alias("draft"), F.col("d.words").alias("words"), maps.alias("maps"))
+    return parts.select("row", "draft", encoded_words(F.col("words"), F.col("maps")).alias("others")), shared
 
 
 def _stored(done: DataFrame, shared: list[Broadcast]) -> DataFrame:
@@ -480,13 +489,17 @@ def _put_together(draft: Column, others: Column) -> Column:
     return F.flatten(F.transform(draft, lambda x: F.when(x < 0, F.get(others, -1 - x)).otherwise(F.array(x))))
 
 
-def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of ids: the pieces of the vocabulary, one character for each byte, joined."""
+def decoded(ids: Column, pieces: Column) -> Column:
+    """The bytes of ids: their pieces, which have one character for each byte, joined."""
+    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""), "ISO-8859-1")
+
+
+def vocabulary(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The pieces by id, as a literal."""
     pieces = [""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token.decode("latin-1")
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""), "ISO-8859-1")
+    return _given(spark, pieces, "array<string>")
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -497,11 +510,13 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     ranks = read_ranks(docs.sparkSession, path or public_tokenizers.path(RANKS))
     drafted, shared = _drafted(docs, F.struct("doc_id", "lang", "source"), path, KNOWN_WORDS)
 
-    def facts(ids: Column) -> Column:
-        digest = F.sha2(decoded(ids, ranks), 256)
+    def facts(ids: Column, pieces: Column) -> Column:
+        digest = F.sha2(decoded(ids, pieces), 256)
         return F.struct(ids.alias("ids"), F.size(ids).cast("long").alias("n_tokens"), digest.alias("decoded_sha256"))
 
     # Bound first: in a lambda, the folds of the other words would be run for each of them.
-    own = _with(F.struct("draft", "others"), lambda s: _with(_put_together(s["draft"], s["others"]), facts))
-    done = drafted.select("row", own.alias("x"))
+    given = drafted.select("*", vocabulary(docs.sparkSession, ranks).alias("pieces"))
+    bound = F.struct("draft", "others", "pieces")
+    own = _with(bound, lambda s: _with(_put_together(s["draft"], s["others"]), lambda ids: facts(ids, s["pieces"])))
+    done = given.select("row", own.alias("x"))
     return _stored(done.select("row.doc_id", "row.lang", "row.source", "x.ids", "x.n_tokens", "x.decoded_sha256"), shared)

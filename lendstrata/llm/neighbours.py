@@ -82,7 +82,8 @@ def _keys(table: int, corners: np.ndarray) -> np.ndarray:
     """64-bit key of buckets."""
     h = np.full(corners.shape[:-1], table + 1, np.uint64)
     for i in range(corners.shape[-1]):
-        h = tx.mix(h * np.uint64(0x9E3779B97F4A7C15) + corners[..., i].astype(np.int64).view(np.uint64))
+        corner = np.clip(np.nan_to_num(corners[..., i]), -(2.0**62), 2.0**62).astype(np.int64)
+        h = tx.mix(h * np.uint64(0x9E3779B97F4A7C15) + corner.view(np.uint64))
     return h
 
 
