@@ -391,7 +391,7 @@ def build_features(s: SparkSession, d: str) -> DataFrame:
 def _(s, d):
     """The full build over histories that were stored by their keys."""
     name = uuid.uuid4().hex
-    stored = buckets.store_histories(fx.tables(s, d), f"{sinks.work_folder(s)}/histories-{name}", f"h_{name}", 8)
+    stored = buckets.store_histories(fx.tables(s, d), f"{sinks.work_folder(s)}/histories-{name}", f"h_{name}")
     built = features.build_features(stored, replace(CONFIG, placed=True))
     buckets.drop_histories(s, f"h_{name}")
     return rounded(built.matrix, ["SK_ID_CURR", "split", "ORGANIZATION_TYPE"])

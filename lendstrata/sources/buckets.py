@@ -6,6 +6,8 @@ number of buckets read them as they lie: the shuffle is paid for once, when they
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: The key each history is stored by.
@@ -17,14 +19,24 @@ KEYS = {
     "installments": "SK_ID_PREV",
     "credit_card": "SK_ID_PREV",
 }
+#: Rows of the longest history that a bucket holds on average at most, and buckets that even short histories get.
+BUCKET_ROWS = 250_000
+LEAST_BUCKETS = 8
+
+
+def bucket_count(tables: dict[str, DataFrame]) -> int:
+    """Buckets for the histories of a build, as many as the longest one needs; Parquet footers tell its rows."""
+    longest = max((tables[name].count() for name in KEYS if name in tables), default=0)
+    return max(LEAST_BUCKETS, ceil(longest / BUCKET_ROWS))
 
 
-def store_histories(tables: dict[str, DataFrame], folder: str, prefix: str, buckets: int) -> dict[str, DataFrame]:
+def store_histories(tables: dict[str, DataFrame], folder: str, prefix: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """The tables, histories read from bucketed ones under ``folder`` that the session's catalog knows by ``prefix``.
 
-    All keys are stored as long, so that they meet without a cast. ``buckets`` is the number of tasks a history is worked on by: its
-    bytes over what a task should hold. Rows are dealt to their buckets first, so that each bucket is one file.
+    All keys are stored as long, so that they meet without a cast. ``buckets`` is the number of tasks a history is worked on by, by
+    default as the rows need (``bucket_count``). Rows are dealt to their buckets first, so that each bucket is one file.
     """
+    buckets = buckets or bucket_count(tables)
     out = dict(tables)
     for name, key in KEYS.items():
         if name not in tables:

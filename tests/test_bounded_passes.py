@@ -140,6 +140,21 @@ def test_stored_histories_are_not_shuffled(spark):
     assert buckets.open_histories(spark, {}, f"h_{name}") == {}
 
 
+def test_buckets_follow_the_longest_history(spark, monkeypatch):
+    given = {"pos_cash": spark.range(95).withColumnRenamed("id", "SK_ID_PREV"), "bureau": spark.range(40).withColumnRenamed("id", "SK_ID_BUREAU")}
+    assert buckets.bucket_count(given) == buckets.bucket_count({}) == 8
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 10)
+    assert buckets.bucket_count(given) == 10
+    name = uuid.uuid4().hex
+    try:
+        buckets.store_histories(given, f"{sinks.work_folder(spark)}/h-{name}", f"h_{name}")
+        for table in given:
+            stored = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED h_{name}_{table}").collect()}
+            assert stored["Num Buckets"] == "10"
+    finally:
+        buckets.drop_histories(spark, f"h_{name}")
+
+
 # ---- ordered ranges -------------------------------------------------------
 
 
