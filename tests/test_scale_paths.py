@@ -173,3 +173,22 @@ def test_value_counts_leave_missing_out(spark):
 
 def test_default_bounds_are_finite():
     assert ordered.BROADCAST_BYTES <= 100_000_000 and ordered.BUCKET_ROWS <= 10_000_000
+
+
+def test_hot_keys_are_counted_alone_only_where_places_are_full(spark, skewed, monkeypatch):
+    """Places that hold several keys, the missing key, and no count per key where no place is full."""
+    df = skewed.withColumn("k", F.when(F.col("tie") % 50 != 0, F.col("k")))
+    counts = {r[0]: r[1] for r in df.groupBy("k").count().collect()}
+    stored = []
+    real = ordered.lookup
+    monkeypatch.setattr(ordered, "lookup", lambda table, *more: stored.append(table.columns) or real(table, *more))
+    for places, each in ((65_536, 64), (1, 0), (3, 0)):
+        monkeypatch.setattr(ordered, "HOT_PLACES", places)
+        monkeypatch.setattr(ordered, "PLACES_EACH", each)
+        for limit in (1, 12, 100, 1_900, 2_500):
+            stored.clear()
+            found = hot_keys(df, "k", limit)
+            assert {r["k"]: r["hot_rows"] for r in found.table.collect()} == {k: n for k, n in counts.items() if n > limit}
+            assert found.rows == sum(n > limit for n in counts.values())
+            if places == 65_536:
+                assert stored == ([["_place"], ["k", "hot_rows"]] if limit < 2_500 else [["_place"]])
