@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import messy
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from lendstrata.llm import bpe, chat, lines, mixing, neighbours
+from lendstrata.llm import bpe, chat, lines, mixing, neighbours, queries
 from lendstrata.llm import text as tx
 
 
@@ -80,6 +81,20 @@ def test_pages_with_awkward_columns(spark):
     assert lines.page_lines(pages.limit(0)).count() == 0
 
 
+def test_line_dedup_query_counts_equal_pages_once(spark, tmp_path):
+    page = "<p>menu</p><p>{}</p>"
+    html = [page.format("copied")] * 12 + [page.format(i) for i in range(9)]
+    rows = [(i, "http://a/x", h) for i, h in enumerate(html)] + [(None, "http://b/x", "<p>same</p>"), (None, "http://b/x", "<p>same</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op4_line_dedup(spark, str(tmp_path)).collect()
+    want = [(i, "a", 2, 1, sha("copied" if i < 12 else str(i - 12))) for i in range(21)] + [(None, "b", 1, 0, sha("same"))] * 2
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))  # by rows, "copied" and "same" went too
+    path = f"read_parquet('{tmp_path}/pages.parquet/*.parquet')"
+    sql = lines.ORACLE.replace("FROM pages)", f"FROM {path})")
+    one = [tuple(r) for r in duckdb.connect().execute(sql).fetchall() if r[0] is not None]
+    assert sorted(one) == sorted(x for x in want if x[0] is not None)
+
+
 def test_html_lines(spark):
     html = '<html><STYLE>p{}</style><!-- <p>no</p> --><p class="x">one\n  two</p>three<br/>f<b>ou</b>r<script>\n</p></script></html>'
     row = spark.createDataFrame([(html, "HTTP://A.Example/x?y"), (None, None)], "html string, url string")
